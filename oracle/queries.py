@@ -719,3 +719,10 @@ SELECT count(*) AS total_trades, sum(CAST(is_open AS BIGINT)) AS open_trades, su
 Q["src_open_closed_counts"] = Q["src_open_closed_counts"].replace("sum(CAST(is_open AS BIGINT))", "ISUM(CAST(is_open AS INTEGER))").replace(
     "sum(CAST(NOT is_open AS BIGINT))", "ISUM(CAST(NOT is_open AS INTEGER))"
 )
+
+# ----------------------------------------------------------------- streaming
+Q["str_stream_refresh"] = Q["build_performance_rankings"]
+Q["str_live_windows"] = f"""
+SELECT time_bucket(INTERVAL '1 hour', close_date) AS window_start, time_bucket(INTERVAL '1 hour', close_date) + INTERVAL '1 hour' AS window_end,
+  strategy, count(*) AS trades, avg(profit_pct) AS avg_profit_pct, sum(profit_abs) AS total_profit_abs, avg({WIN}) AS win_rate
+FROM closed WHERE close_date IS NOT NULL GROUP BY 1, 2, 3"""

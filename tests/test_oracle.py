@@ -21,11 +21,15 @@ def duck():
     return con
 
 
+# Run-metadata reports (ids, timestamps) have no SQL twin; checked in test_sinks.
+NO_ORACLE = {"snk_ledger_report"}
+
+
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - NO_ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]

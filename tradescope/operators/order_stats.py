@@ -22,19 +22,23 @@ MAX_STEPS = 64
 def nth_smallest(
     values: DataFrame,
     column: str,
-    rank: int | None,
+    rank,
     *,
     out: str = "value",
     exact_rows: int = DEFAULT_EXACT_ROWS,
     buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """One-row frame ``(out)`` holding the ``rank``-th smallest non-null value (NULL if none)."""
+    """One-row frame ``(out)`` holding the ``rank``-th smallest non-null value (NULL if none).
+
+    ``rank`` is an int, or a function of the number of values returning one
+    (so count, min and max come from the same single pass).
+    """
     c = F.col(column)
     vals = values.select(c.alias("v")).where(F.col("v").isNotNull())
-    if rank is None or rank < 1:
-        return vals.agg(F.max(F.when(F.lit(False), F.col("v"))).alias(out))
     lo, hi, count = vals.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
-    if count < rank:
+    if callable(rank):
+        rank = rank(count)
+    if rank is None or rank < 1 or count < rank:
         return vals.agg(F.max(F.when(F.lit(False), F.col("v"))).alias(out))
     before = 0
     for _ in range(MAX_STEPS):

@@ -72,8 +72,7 @@ def var_rank(n_losers: int, level: float = 0.05) -> int:
 def build_risk_var(closed: DataFrame, level: float = 0.05) -> DataFrame:
     """m_var95: among losing trades sorted ascending, the element at ``floor(level*N)``."""
     losers = closed.where(F.col(m.P) < 0).select(m.P)
-    n = losers.count()
-    value = nth_smallest(losers, m.P, var_rank(n, level) if n else None, out="var_95_pct")
+    value = nth_smallest(losers, m.P, lambda n: var_rank(n, level) if n else None, out="var_95_pct")
     return value.select(
         F.lit("var_analysis").alias("metric_type"),
         F.lit("portfolio").alias("entity_name"),

@@ -36,7 +36,14 @@ def max_streaks(
     order: str = "trade_id",
     bucket_ids: int = DEFAULT_BUCKET_IDS,
 ) -> DataFrame:
-    """Return ``(key, max_consecutive_wins, max_consecutive_losses)``."""
+    """Return ``(key, max_consecutive_wins, max_consecutive_losses)``.
+
+    Two exchanges in total: rows are hash-partitioned once on (key, bucket);
+    the running window, the island-length window and the per-bucket summary
+    all reuse that partitioning. The bucket summaries (a few numbers per
+    bucket) are then partitioned on key for the chaining window and the final
+    per-key maxima, which again reuse that partitioning.
+    """
     p = F.col(profit)
     rows = closed.select(
         F.col(key).alias("k"),
@@ -60,47 +67,46 @@ def max_streaks(
         F.sum("not_l").over(whole).alias("tl"),
         F.count(F.lit(1)).over(whole).alias("n"),
     )
-    islands = rows.groupBy("k", "b", "side", "brk").agg(
-        F.count(F.lit(1)).alias("len"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), F.max("n").alias("n")
-    )
+    # Island length on every row of the island (same (k, b) clustering).
+    rows = rows.withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("k", "b", "side", "brk")))
     side_aggs = []
     for s in _SIDES:
-        total = F.col(f"t{s}")
         mine = F.col("side") == s
         side_aggs += [
             F.coalesce(F.max(F.when(mine & (F.col("brk") == 0), F.col("len"))), F.lit(0)).alias(f"{s}_pre"),
-            F.coalesce(F.max(F.when(mine & (F.col("brk") == total), F.col("len"))), F.lit(0)).alias(f"{s}_suf"),
+            F.coalesce(F.max(F.when(mine & (F.col("brk") == F.col(f"t{s}")), F.col("len"))), F.lit(0)).alias(f"{s}_suf"),
             F.max(F.when(mine, F.col("len"))).alias(f"{s}_best"),
         ]
-    buckets = islands.groupBy("k", "b").agg(
-        F.max("n").alias("n"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), *side_aggs
-    )
+    buckets = rows.groupBy("k", "b").agg(F.max("n").alias("n"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), *side_aggs)
     # Chain runs across buckets: seg = number of broken buckets so far.
     chain_w = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_key = Window.partitionBy("k")
     parts = []
     for s in _SIDES:
         broken = F.col(f"t{s}") > 0
-        seg = F.sum(F.when(broken, F.lit(1)).otherwise(F.lit(0))).over(chain_w)
-        buckets = buckets.withColumn(f"{s}_seg", seg)
+        seg = F.col(f"{s}_seg")
+        piece = lambda chain, length: F.struct(F.lit(s).alias("side"), chain.alias("chain"), length.alias("len"))
         parts.append(
-            F.when(
-                broken,
-                F.array(
-                    F.struct(F.lit(s).alias("side"), F.col(f"{s}_seg").alias("chain"), F.col(f"{s}_suf").alias("len")),
-                    F.struct(F.lit(s).alias("side"), (F.col(f"{s}_seg") - 1).alias("chain"), F.col(f"{s}_pre").alias("len")),
-                ),
-            ).otherwise(
-                F.array(
-                    F.struct(F.lit(s).alias("side"), F.col(f"{s}_seg").alias("chain"), F.col("n").alias("len")),
-                )
+            F.when(broken, F.array(piece(seg, F.col(f"{s}_suf")), piece(seg - 1, F.col(f"{s}_pre")))).otherwise(
+                F.array(piece(seg, F.col("n")))
             )
         )
-    pieces = buckets.select("k", F.explode(F.concat(*parts)).alias("c")).select("k", "c.side", "c.chain", "c.len")
-    chains = pieces.groupBy("k", "side", "chain").agg(F.sum("len").alias("len")).groupBy("k").agg(
-        *[F.max(F.when((F.col("side") == s) & (F.col("len") > 0), F.col("len"))).alias(f"{s}_chain") for s in _SIDES]
+    buckets = buckets.select(
+        "*",
+        *[F.sum(F.when(F.col(f"t{s}") > 0, F.lit(1)).otherwise(F.lit(0))).over(chain_w).alias(f"{s}_seg") for s in _SIDES],
+        *[F.max(f"{s}_best").over(per_key).alias(f"{s}_kbest") for s in _SIDES],
+    )
+    pieces = buckets.select("k", "w_kbest", "l_kbest", F.explode(F.concat(*parts)).alias("c")).select(
+        "k", "w_kbest", "l_kbest", "c.side", "c.chain", "c.len"
+    )
+    chains = pieces.groupBy("k", "side", "chain").agg(
+        F.sum("len").alias("len"), F.max("w_kbest").alias("w_kbest"), F.max("l_kbest").alias("l_kbest")
+    )
+    out = chains.groupBy("k").agg(
+        *[F.max(F.when((F.col("side") == s) & (F.col("len") > 0), F.col("len"))).alias(f"{s}_chain") for s in _SIDES],
+        F.max("w_kbest").alias("w_best"),
+        F.max("l_kbest").alias("l_best"),
     )
-    best = buckets.groupBy("k").agg(*[F.max(f"{s}_best").alias(f"{s}_best") for s in _SIDES])
-    out = best.join(chains, "k", "left")
     return out.select(
         F.col("k").alias(key),
         F.greatest("w_best", "w_chain").cast("long").alias("max_consecutive_wins"),

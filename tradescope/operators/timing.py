@@ -66,17 +66,9 @@ def hour_period(hour) -> F.Column:
     return expr
 
 
-def hourly(closed: DataFrame) -> DataFrame:
-    dated = closed.where(F.col("open_date").isNotNull())
-    h = m.hour_of().alias("hour_of_day")
-    agg = dated.groupBy(h).agg(*_basic(), m.volatility().alias("volatility_pct"))
-    return agg.select("*", hour_period(F.col("hour_of_day")).alias("time_period_name"), F.lit("hourly").alias("time_category"))
-
-
 def overall(closed: DataFrame, variant: str = "sql") -> DataFrame:
-    """Scalar row. Best/worst hour come from the (at most 24-row) hourly
-    aggregate; weekend/weekday averages are conditional averages in the same
-    scan as the totals."""
+    """The overall row alone (poller variant). Best/worst hour come from the
+    (at most 24-row) hourly aggregate; the poller writes 0 when missing."""
     dated = F.col("open_date").isNotNull()
     weekend = m.dow_of().isin(*L.WEEKEND_DAYS)
     totals = closed.agg(
@@ -104,23 +96,69 @@ def overall(closed: DataFrame, variant: str = "sql") -> DataFrame:
     return row.withColumn("time_category", F.lit("overall"))
 
 
-def daily(closed: DataFrame) -> DataFrame:
-    d = m.dow_of().alias("day_of_week")
-    agg = closed.where(F.col("open_date").isNotNull()).groupBy(d).agg(*_basic())
-    return agg.select("*", _name_of(F.col("day_of_week"), L.DAY_NAMES, 0).alias("time_period_name"), F.lit("daily").alias("time_category"))
-
-
-def monthly(closed: DataFrame, min_trades: int = 2) -> DataFrame:
-    mo = m.month_of().alias("month_of_year")
-    agg = closed.where(F.col("open_date").isNotNull()).groupBy(mo).agg(*_basic()).where(F.col("trade_count") >= min_trades)
-    return agg.select(
-        "*", _name_of(F.col("month_of_year"), L.MONTH_NAMES, 1).alias("time_period_name"), F.lit("monthly").alias("time_category")
-    )
+# grouping_id(hour_of_day, day_of_week, month_of_year)
+GID_OVERALL, GID_HOUR, GID_DAY, GID_MONTH = 7, 3, 5, 6
 
 
 def build_timing_analysis(closed: DataFrame, variant: str = "sql") -> DataFrame:
+    """All four categories from one scan: ``GROUPING SETS ((), (hour), (dow), (month))``.
+
+    Undated trades fall into the NULL group of each time set and are dropped
+    there, while the overall row counts them (as the reference does). Best and
+    worst hour are picked from the (at most 24) hourly groups of the same
+    aggregate, so the exchange is shared.
+    """
     if variant == "poller":
         return _conform(overall(closed, "poller"))
-    return _conform(overall(closed)).unionByName(_conform(hourly(closed))).unionByName(_conform(daily(closed))).unionByName(
-        _conform(monthly(closed))
+    dated = F.col("open_date").isNotNull()
+    weekend = m.dow_of().isin(*L.WEEKEND_DAYS)
+    keyed = closed.select(
+        m.P,
+        m.A,
+        "trade_duration",
+        "open_date",
+        F.when(dated, m.hour_of()).alias("hour_of_day"),
+        F.when(dated, m.dow_of()).alias("day_of_week"),
+        F.when(dated, m.month_of()).alias("month_of_year"),
+    )
+    g = keyed.groupingSets([[], ["hour_of_day"], ["day_of_week"], ["month_of_year"]], "hour_of_day", "day_of_week", "month_of_year").agg(
+        F.grouping_id().alias("gid"),
+        *_basic(),
+        m.volatility().alias("volatility_pct"),
+        F.avg(F.when(dated & weekend, F.col(m.P))).alias("weekend_performance_pct"),
+        F.avg(F.when(dated & ~weekend, F.col(m.P))).alias("weekday_performance_pct"),
+    )
+    gid = F.col("gid")
+    hours = g.where((gid == GID_HOUR) & F.col("hour_of_day").isNotNull())
+    has = F.col("avg_profit_pct").isNotNull()
+    h = F.col("hour_of_day")
+    picks = hours.agg(
+        F.max_by(h, F.struct(has, F.col("avg_profit_pct"), -h)).alias("best_performance_hour"),
+        F.min_by(h, F.struct(has, F.col("avg_profit_pct"), h)).alias("worst_performance_hour"),
+    )
+    ov = (
+        g.where(gid == GID_OVERALL)
+        .join(F.broadcast(picks), how="left", on=F.lit(True))  # 1 row x 1 row
+        .select("*", F.lit("overall").alias("time_category"))
+        .drop("volatility_pct", "hour_of_day", "day_of_week", "month_of_year")
+    )
+    hourly = hours.select(
+        *[c for c in g.columns if c not in ("weekend_performance_pct", "weekday_performance_pct", "day_of_week", "month_of_year")],
+        hour_period(h).alias("time_period_name"),
+        F.lit("hourly").alias("time_category"),
+    )
+    base = [c for c in g.columns if c not in ("weekend_performance_pct", "weekday_performance_pct", "volatility_pct", "hour_of_day")]
+    daily = g.where((gid == GID_DAY) & F.col("day_of_week").isNotNull()).select(
+        *[c for c in base if c != "month_of_year"],
+        _name_of(F.col("day_of_week"), L.DAY_NAMES, 0).alias("time_period_name"),
+        F.lit("daily").alias("time_category"),
+    )
+    monthly = g.where((gid == GID_MONTH) & F.col("month_of_year").isNotNull() & (F.col("trade_count") >= 2)).select(
+        *[c for c in base if c != "day_of_week"],
+        _name_of(F.col("month_of_year"), L.MONTH_NAMES, 1).alias("time_period_name"),
+        F.lit("monthly").alias("time_category"),
     )
+    out = _conform(ov)
+    for part in (hourly, daily, monthly):
+        out = out.unionByName(_conform(part))
+    return out

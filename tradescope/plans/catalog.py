@@ -8,6 +8,7 @@ measure whose sum is not exact in binary (``profit_ratio``) to 9 places.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -104,7 +105,67 @@ SOURCES = {
     "src_open_closed_counts": lambda t: open_closed_counts(t.trades),
 }
 
-CATALOG: dict[str, Callable[[Tables], DataFrame]] = {**BUILDERS, **POLLER, **REPORTS, **SOURCES}
+
+def _scratch(t: Tables, prefix: str) -> str:
+    from tradescope.session import shared_path
+
+    return shared_path(t.trades.sparkSession, f"{prefix}-{uuid.uuid4().hex[:10]}")
+
+
+def str_stream_refresh(t: Tables, n_files: int = 3) -> DataFrame:
+    """STR-1..6: closed trades arrive as close-ordered files (late ids included);
+    the foreachBatch refresh must end with the batch result."""
+    from tradescope.sinks.refresh import read_result
+    from tradescope.streaming.stream import stream_refresh, write_close_ordered_files
+
+    spark = t.trades.sparkSession
+    root = _scratch(t, "stream")
+    src, out, ckpt = (f"{root}/{p}" for p in ("source", "out", "checkpoint"))
+    write_close_ordered_files(t.trades, src, n_files)
+    stream_refresh(spark, src, out, ckpt, max_files_per_trigger=1).awaitTermination()
+    return comparable(read_result(spark, out, "performance_rankings"))
+
+
+def str_live_windows(t: Tables) -> DataFrame:
+    """STR-8: hourly windows on close time from the streaming fixture."""
+    from tradescope.streaming.stream import closed_trade_stream, live_window_stats, write_close_ordered_files
+
+    spark = t.trades.sparkSession
+    root = _scratch(t, "windows")
+    write_close_ordered_files(t.trades, f"{root}/source", 3)
+    name = f"live_windows_{uuid.uuid4().hex[:8]}"
+    q = (
+        live_window_stats(closed_trade_stream(spark, f"{root}/source", 1))
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName(name)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.table(name)
+
+
+def snk_ledger_report(t: Tables) -> DataFrame:
+    """SNK-2/5/6/9: two refresh runs (the second forced) and the last-3 ledger report."""
+    from tradescope.sinks.refresh import ledger_report, read_ledger, refresh
+
+    spark = t.trades.sparkSession
+    root = _scratch(t, "refresh")
+    refresh(spark, t.trades, root)
+    refresh(spark, t.trades, root)  # nothing new: skipped, no ledger row
+    refresh(spark, t.trades, root, full=True)
+    return ledger_report(read_ledger(spark, root))
+
+
+STREAMS = {
+    "str_stream_refresh": str_stream_refresh,
+    "str_live_windows": str_live_windows,
+    "snk_ledger_report": snk_ledger_report,
+}
+
+CATALOG: dict[str, Callable[[Tables], DataFrame]] = {**BUILDERS, **POLLER, **REPORTS, **SOURCES, **STREAMS}
 
 # Columns compared after rounding to 9 places (sums of non-dyadic values).
 ROUND9 = {"doc_strategy_raw": ["avg_profit_pct"]}
