@@ -726,3 +726,35 @@ Q["str_live_windows"] = f"""
 SELECT time_bucket(INTERVAL '1 hour', close_date) AS window_start, time_bucket(INTERVAL '1 hour', close_date) + INTERVAL '1 hour' AS window_end,
   strategy, count(*) AS trades, avg(profit_pct) AS avg_profit_pct, sum(profit_abs) AS total_profit_abs, avg({WIN}) AS win_rate
 FROM closed WHERE close_date IS NOT NULL GROUP BY 1, 2, 3"""
+
+# ----------------------------------------------------------------- health history / normalisation
+def _history():
+    from oracle.prelude import _health_rows
+
+    rows = _health_rows().replace("FROM health_stats", "FROM history_stats")
+    rows = rows.replace("SELECT 'overall_win_rate' AS metric_name", "SELECT analysis_date, 'overall_win_rate' AS metric_name")
+    rows = rows.replace("\n  UNION ALL\n  SELECT ", "\n  UNION ALL\n  SELECT analysis_date, ")
+    return f"""
+, history_months AS (SELECT DISTINCT CAST(date_trunc('month', open_date) AS TIMESTAMP) AS m FROM closed WHERE open_date IS NOT NULL),
+history_stats AS (
+  SELECT hm.m AS analysis_date, count(*) AS total_trades, avg({WIN}) AS win_rate, avg(c.profit_pct) AS avg_profit_pct,
+    sum(c.profit_abs) AS total_profit, min(c.profit_pct) AS worst_loss, max(c.profit_pct) AS best_win,
+    count(DISTINCT c.pair) AS pairs_traded, count(DISTINCT c.strategy) AS strategies_used, avg(c.trade_duration) AS avg_duration_minutes,
+    ISUM(CASE WHEN c.exit_reason = 'stop_loss' THEN 1 ELSE 0 END) AS sl_triggered,
+    count(DISTINCT CAST(c.open_date AS DATE)) AS active_days,
+    (epoch_us(max(c.open_date)) - epoch_us(min(c.open_date))) / 86400000000.0 AS span
+  FROM history_months hm JOIN closed c ON c.open_date IS NOT NULL AND date_trunc('month', c.open_date) <= hm.m
+  GROUP BY hm.m
+),
+history AS ({rows})
+SELECT metric_name, metric_value, health_status, analysis_date,
+  lag(metric_value) OVER (PARTITION BY metric_name ORDER BY analysis_date) AS previous_value,
+  ROUND(metric_value - lag(metric_value) OVER (PARTITION BY metric_name ORDER BY analysis_date), 2) AS value_change
+FROM history"""
+
+
+Q["bh_history_lag"] = _history()
+Q["src_normalize_trades"] = """
+SELECT trade_id, pair, base_currency, quote_currency, is_open, strategy, profit_ratio * 100.0 AS profit_pct, profit_abs, profit_ratio,
+  date_sub('minute', open_date, close_date) AS trade_duration, exit_reason, stop_loss_pct, stake_amount, open_date, close_date
+FROM trades"""

@@ -90,13 +90,15 @@ REPORT_NAMES = [
     # bot health
     "bh_dashboard", "bh_status_summary", "bh_attention", "bh_summary", "bh_correlated", "bh_risk_assessment",
     "bh_efficiency", "bh_profitability", "bh_critical_alerts", "bh_warning_alerts", "bh_score", "bh_realtime",
-    "bh_recent30", "bh_utilization",
+    "bh_recent30", "bh_utilization", "bh_history_lag",
     # data quality
     "dq_pr_quality", "dq_rm_quality", "dq_sp_quality", "dq_ta_quality", "dq_pa_quality", "dq_sl_quality",
     "dq_dp_quality", "dq_bh_quality", "dq_key_unique", "dq_trades_nulls",
     # guide queries
     "doc_top_pairs", "doc_strategy_list", "doc_health_list", "doc_health_lookup", "doc_best_hours", "doc_high_risk",
     "doc_three_way", "doc_recent_trades", "doc_strategy_raw",
+    # sources
+    "src_normalize_trades",
 ]
 
 REPORTS = {name: getattr(r, name) for name in REPORT_NAMES}

@@ -1563,6 +1563,14 @@ def bh_utilization(t):
     )
 
 
+def bh_history_lag(t):
+    """Previous value and change per metric across monthly health snapshots."""
+    from tradescope.operators.health import health_history_by_month
+    from tradescope.sinks.refresh import health_history_lag
+
+    return health_history_lag(health_history_by_month(t.closed))
+
+
 # ------------------------------------------------------------- data quality
 def _nulls(col_name: str) -> Column:
     return F.count(F.when(c(col_name).isNull(), 1))
@@ -1751,6 +1759,13 @@ def doc_recent_trades(t, k: int = 10):
     )
 
 
+def src_normalize_trades(t):
+    """SRC-2: the bot's own trade columns, normalised back to ``trades``."""
+    from tradescope.sources.trades import normalize_trades, to_upstream
+
+    return normalize_trades(to_upstream(t.trades))
+
+
 def doc_strategy_raw(t):
     cp = c("profit_ratio")
     return t.closed.groupBy("strategy").agg(

@@ -110,6 +110,23 @@ def normalize_trades(raw: DataFrame) -> DataFrame:
     )
 
 
+def to_upstream(trades: DataFrame) -> DataFrame:
+    """The inverse mapping: a ``trades`` frame in the bot's own column names."""
+    return trades.select(
+        F.col("trade_id").alias("id"),
+        "pair",
+        "is_open",
+        "strategy",
+        F.col("profit_ratio").alias("close_profit"),
+        F.col("profit_abs").alias("close_profit_abs"),
+        "exit_reason",
+        "stop_loss_pct",
+        "stake_amount",
+        F.col("open_date").alias("open_date_utc"),
+        F.col("close_date").alias("close_date_utc"),
+    )
+
+
 def closed(trades: DataFrame) -> DataFrame:
     """SRC-4: completed trades (``is_open = 0``)."""
     return trades.where(~F.col("is_open"))
