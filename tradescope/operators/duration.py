@@ -1,4 +1,4 @@
-"""duration_patterns: duration_based / by_pair / by_strategy in one grouping-sets pass."""
+"""duration_patterns: duration_based / by_pair / by_strategy from the grain statistics."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradescope.functions import labels as L
-from tradescope.functions import measures as m
 from tradescope.functions.bands import band
+from tradescope.operators import grains as G
 
 DURATION_COLUMNS = [
     "pattern_type",
@@ -23,9 +23,7 @@ DURATION_COLUMNS = [
     "pair",
     "strategy",
 ]
-
-# grouping_id(pair, strategy, duration_category)
-GID_CATEGORY, GID_PAIR, GID_STRATEGY = 6, 2, 4
+NEEDS = ["category", "pair_category", "strategy_category"]
 
 
 def duration_category(d="trade_duration"):
@@ -34,36 +32,32 @@ def duration_category(d="trade_duration"):
 
 
 def build_duration_patterns(
-    closed: DataFrame, variant: str = "sql", min_pair_trades: int = 2, min_strategy_trades: int = 3
+    closed: DataFrame,
+    variant: str = "sql",
+    stats: DataFrame | None = None,
+    min_pair_trades: int = 2,
+    min_strategy_trades: int = 3,
 ) -> DataFrame:
-    timed = closed.where(F.col("trade_duration").isNotNull()).withColumn("duration_category", duration_category())
-    sets = [["duration_category"]] if variant == "poller" else [["duration_category"], ["pair", "duration_category"], ["strategy", "duration_category"]]
-    g = timed.groupingSets(sets, "pair", "strategy", "duration_category").agg(
-        F.grouping_id("pair", "strategy", "duration_category").alias("gid"),
-        F.min("trade_duration").cast("double").alias("min_duration_minutes"),
-        F.max("trade_duration").cast("double").alias("max_duration_minutes"),
-        m.n_rows().alias("trade_count"),
-        m.win_rate().alias("win_rate"),
-        F.avg(m.P).alias("avg_profit_pct"),
-        F.sum(m.A).alias("total_profit_abs"),
-        F.avg("trade_duration").alias("optimal_exit_timing_minutes"),
-        m.profit_per_hour(F.avg(m.P), F.avg("trade_duration")).alias("profit_per_hour"),
-    )
-    gid = F.col("gid")
-    n = F.col("trade_count")
-    keep = (gid == GID_CATEGORY) | ((gid == GID_PAIR) & (n >= min_pair_trades)) | ((gid == GID_STRATEGY) & (n >= min_strategy_trades))
-    out = g.where(keep).select(
-        F.when(gid == GID_CATEGORY, "duration_based").when(gid == GID_PAIR, "by_pair").otherwise("by_strategy").alias("pattern_type"),
-        "duration_category",
-        "min_duration_minutes",
-        "max_duration_minutes",
-        "trade_count",
-        "win_rate",
-        "avg_profit_pct",
-        "total_profit_abs",
-        "optimal_exit_timing_minutes",
-        (F.lit(None).cast("double") if variant == "poller" else F.col("profit_per_hour")).alias("profit_per_hour"),
-        F.when(gid == GID_PAIR, F.col("pair")).alias("pair"),
-        F.when(gid == GID_STRATEGY, F.col("strategy")).alias("strategy"),
-    )
+    poller = variant == "poller"
+    st = stats if stats is not None else G.grain_stats(closed, ["category"] if poller else NEEDS)
+    specs = [("duration_based", "category", None, 1)]
+    if not poller:
+        specs += [("by_pair", "pair_category", "pair", min_pair_trades), ("by_strategy", "strategy_category", "strategy", min_strategy_trades)]
+    out = None
+    for pattern, name, key, min_n in specs:
+        part = G.grain(st, name).where(F.col("n") >= min_n).select(
+            F.lit(pattern).alias("pattern_type"),
+            "duration_category",
+            F.col("min_d").cast("double").alias("min_duration_minutes"),
+            F.col("max_d").cast("double").alias("max_duration_minutes"),
+            F.col("n").alias("trade_count"),
+            G.win_rate().alias("win_rate"),
+            G.avg_p().alias("avg_profit_pct"),
+            F.col("s_a").alias("total_profit_abs"),
+            G.avg_duration().alias("optimal_exit_timing_minutes"),
+            (F.lit(None).cast("double") if poller else G.profit_per_hour()).alias("profit_per_hour"),
+            (F.col("pair") if key == "pair" else F.lit(None).cast("string")).alias("pair"),
+            (F.col("strategy") if key == "strategy" else F.lit(None).cast("string")).alias("strategy"),
+        )
+        out = part if out is None else out.unionByName(part)
     return out

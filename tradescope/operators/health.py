@@ -23,8 +23,43 @@ HEALTH_COLUMNS = [
 MICROS_PER_DAY = 86_400_000_000.0
 
 
-def trading_stats(closed: DataFrame) -> DataFrame:
-    """The one-row statistics every health metric is computed from."""
+NEEDS = ["overall", "pair", "strategy", "day"]
+
+
+def trading_stats(closed: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """The one-row statistics every health metric is computed from.
+
+    Read from the grain statistics: distinct pairs / strategies / trading
+    days are the numbers of groups of those grains.
+    """
+    from tradescope.operators import grains as G
+
+    st = stats if stats is not None else G.grain_stats(closed, NEEDS)
+    return G.overall(
+        st,
+        G.count_groups("pair", "pair").alias("pairs_traded"),
+        G.count_groups("strategy", "strategy").alias("strategies_used"),
+        G.count_groups("day", "open_day").alias("active_trading_days"),
+    ).select(
+        F.col("n").alias("total_trades"),
+        G.win_rate().alias("win_rate"),
+        G.avg_p().alias("avg_profit_pct"),
+        F.col("s_a").alias("total_profit"),
+        F.col("min_p").alias("worst_loss"),
+        F.col("max_p").alias("best_win"),
+        "pairs_traded",
+        "strategies_used",
+        G.avg_duration().alias("avg_duration_minutes"),
+        F.col("trig").alias("sl_triggered"),
+        "active_trading_days",
+        (F.timestamp_diff("MICROSECOND", F.col("first_open"), F.col("last_open")) / F.lit(MICROS_PER_DAY)).alias(
+            "total_trading_period_days"
+        ),
+    )
+
+
+def trading_stats_direct(closed: DataFrame) -> DataFrame:
+    """The same statistics straight from the trades (used by tests)."""
     od = F.col("open_date")
     return closed.agg(
         m.n_rows().alias("total_trades"),
@@ -75,15 +110,17 @@ def _metric_values(thresholds: dict | None = None):
     return out
 
 
-def build_bot_health(closed: DataFrame, variant: str = "sql", thresholds: dict | None = None, as_of=None) -> DataFrame:
+def build_bot_health(
+    closed: DataFrame, variant: str = "sql", thresholds: dict | None = None, as_of=None, stats: DataFrame | None = None
+) -> DataFrame:
     """Eleven (SQL) or six (poller) metric rows from one scan.
 
     The stats row is unpivoted with ``explode(array(struct ...))``: no
     eleven-branch UNION, no re-scan per metric.
     """
-    stats = trading_stats(closed)
     if variant == "poller":
-        return _poller_health(stats, as_of)
+        return _poller_health(trading_stats(closed, stats if stats is not None else None), as_of)
+    stats = trading_stats(closed, stats)
     values = _metric_values(thresholds)
     rows = []
     for name, unit, _hb, _h, _w, tw, tc, desc, rec in L.HEALTH_METRICS:

@@ -1,13 +1,15 @@
-"""pair_analytics: per-pair statistics, streaks and Sharpe ratio."""
+"""pair_analytics: pair grain of the grain statistics, streaks and Sharpe ratio."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradescope.functions import measures as m
+from tradescope.operators import grains as G
 from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, max_streaks
 
+NEEDS = ["pair_currency"]
+
 PAIR_COLUMNS = [
     "pair",
     "base_currency",
@@ -33,24 +35,35 @@ PAIR_COLUMNS = [
 POLLER_COLUMNS = PAIR_COLUMNS[:11]
 
 
-def build_pair_analytics(closed: DataFrame, variant: str = "sql", bucket_ids: int = DEFAULT_BUCKET_IDS) -> DataFrame:
-    agg = closed.groupBy("pair", "base_currency", "quote_currency").agg(
-        m.n_rows().alias("total_trades"),
-        m.wins().alias("winning_trades"),
-        m.losses().alias("losing_trades"),
-        m.win_rate().alias("win_rate"),
-        F.avg(m.P).alias("avg_profit_pct"),
-        F.sum(m.A).alias("total_profit_abs"),
-        F.avg("trade_duration").alias("avg_trade_duration_minutes"),
-        m.volatility().alias("price_volatility_pct"),
-        F.max(m.P).alias("best_trade_pct"),
-        F.min(m.P).alias("worst_trade_pct"),
-        F.sum("stake_amount").alias("total_volume"),
-        F.avg("stake_amount").alias("avg_stake_amount"),
-        m.profit_factor().alias("profit_factor"),
-        m.multi_trade(m.sharpe()).alias("sharpe_ratio"),
+def build_pair_analytics(
+    closed: DataFrame,
+    variant: str = "sql",
+    bucket_ids: int = DEFAULT_BUCKET_IDS,
+    stats: DataFrame | None = None,
+    streaks: DataFrame | None = None,
+) -> DataFrame:
+    g = G.grain(stats if stats is not None else G.grain_stats(closed, NEEDS), "pair_currency")
+    agg = g.select(
+        "pair",
+        "base_currency",
+        "quote_currency",
+        F.col("n").alias("total_trades"),
+        F.col("wins").alias("winning_trades"),
+        F.col("losses").alias("losing_trades"),
+        G.win_rate().alias("win_rate"),
+        G.avg_p().alias("avg_profit_pct"),
+        F.col("s_a").alias("total_profit_abs"),
+        G.avg_duration().alias("avg_trade_duration_minutes"),
+        G.volatility().alias("price_volatility_pct"),
+        F.col("max_p").alias("best_trade_pct"),
+        F.col("min_p").alias("worst_trade_pct"),
+        F.col("s_stake").alias("total_volume"),
+        G.avg("s_stake", "n_stake").alias("avg_stake_amount"),
+        G.profit_factor().alias("profit_factor"),
+        G.multi_trade(G.sharpe()).alias("sharpe_ratio"),
     )
     if variant == "poller":
         return agg.select(*POLLER_COLUMNS)
-    streaks = max_streaks(closed, "pair", bucket_ids=bucket_ids)
+    if streaks is None:
+        streaks = max_streaks(closed, "pair", bucket_ids=bucket_ids)
     return agg.join(streaks, "pair", "left").select(*PAIR_COLUMNS)

@@ -5,29 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradescope.functions import measures as m
+from tradescope.operators import grains as G
 
+NEEDS = ["pair"]
 
-def build_performance_rankings(closed: DataFrame, variant: str = "sql") -> DataFrame:
+
+def build_performance_rankings(closed: DataFrame, variant: str = "sql", stats: DataFrame | None = None) -> DataFrame:
     """``ranking_type='by_pair'`` rows; ``rank_position`` = 1 for the best average profit.
 
-    One partial+final hash aggregate keyed by pair; the rank is a window over
-    the aggregated rows (one per pair). Both variants compute the same rows
-    (the SQL file only adds a no-op ``HAVING COUNT(*) >= 1``).
+    Read from the pair grain of the shared grain statistics (one hash
+    aggregate); the rank is a window over the aggregated rows, one per pair.
+    Both variants compute the same rows (the SQL file only adds a no-op
+    ``HAVING COUNT(*) >= 1``).
     """
-    agg = closed.groupBy("pair").agg(
-        F.avg("profit_ratio").alias("profit_ratio"),
-        F.avg(m.P).alias("profit_pct"),
-        F.sum(m.A).alias("profit_abs"),
-        m.n_rows().alias("trade_count"),
-        m.win_rate().alias("win_rate"),
-        F.avg("trade_duration").alias("avg_duration_minutes"),
-        F.max(m.P).alias("max_profit_pct"),
-        F.min(m.P).alias("min_profit_pct"),
-        F.sum("stake_amount").alias("total_volume"),
+    g = G.grain(stats if stats is not None else G.grain_stats(closed, NEEDS), "pair")
+    rows = g.select(
+        "pair",
+        G.avg("s_ratio", "n_ratio").alias("profit_ratio"),
+        G.avg_p().alias("profit_pct"),
+        F.col("s_a").alias("profit_abs"),
+        F.col("n").alias("trade_count"),
+        G.win_rate().alias("win_rate"),
+        G.avg_duration().alias("avg_duration_minutes"),
+        F.col("max_p").alias("max_profit_pct"),
+        F.col("min_p").alias("min_profit_pct"),
+        F.col("s_stake").alias("total_volume"),
     )
     rank_w = Window.orderBy(F.desc_nulls_last("profit_pct"), F.asc_nulls_first("pair"))
-    return agg.select(
+    return rows.select(
         F.lit("by_pair").alias("ranking_type"),
         F.col("pair").alias("entity_name"),
         F.lit("trading_pair").alias("entity_type"),

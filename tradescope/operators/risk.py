@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradescope.functions import measures as m
+from tradescope.operators import grains as G
 from tradescope.operators.order_stats import nth_smallest
 
 RISK_COLUMNS = [
@@ -20,48 +21,51 @@ RISK_COLUMNS = [
     "risk_reward_ratio",
 ]
 
-# grouping_id(pair, strategy): 3 = (), 1 = (pair), 2 = (strategy)
-GID_OVERALL, GID_PAIR, GID_STRATEGY = 3, 1, 2
+NEEDS = ["overall", "pair", "strategy"]
 
 
 def build_risk_grains(
     closed: DataFrame,
     min_pair_trades: int = 3,
     min_strategy_trades: int = 5,
-    pair_sl_threshold: float = -10.0,
-    strategy_sl_threshold: float = -5.0,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """The three grains from one scan: ``GROUPING SETS ((), (pair), (strategy))``."""
-    g = closed.groupingSets([[], ["pair"], ["strategy"]], "pair", "strategy").agg(
-        F.grouping_id().alias("gid"),
-        m.n_rows().alias("n"),
-        m.sl_triggered().alias("sl_triggered"),
-        m.sl_eff_money().alias("eff_money"),
-        m.sl_eff_count(pair_sl_threshold).alias("eff_pair"),
-        m.sl_eff_count(strategy_sl_threshold).alias("eff_strategy"),
-        F.min(m.P).alias("min_p"),
-        m.volatility().alias("vol"),
-        m.risk_reward().alias("rr"),
-    )
-    gid = F.col("gid")
-    keep = (gid == GID_OVERALL) | ((gid == GID_PAIR) & (F.col("n") >= min_pair_trades)) | (
-        (gid == GID_STRATEGY) & (F.col("n") >= min_strategy_trades)
-    )
-    grouped = gid != GID_OVERALL
-    return g.where(keep).select(
-        F.when(gid == GID_OVERALL, "overall").when(gid == GID_PAIR, "by_pair").otherwise("by_strategy").alias("metric_type"),
-        F.when(gid == GID_PAIR, F.col("pair")).when(gid == GID_STRATEGY, F.col("strategy")).alias("entity_name"),
-        F.col("sl_triggered").alias("stop_loss_triggered_count"),
-        F.when(gid == GID_OVERALL, F.col("eff_money"))
-        .when(gid == GID_PAIR, F.col("eff_pair"))
-        .otherwise(F.col("eff_strategy"))
-        .alias("stop_loss_effectiveness_pct"),
-        F.when(~grouped, F.lit(0.0)).alias("sharpe_ratio"),
+    """overall / by_pair / by_strategy rows from the shared grain statistics.
+
+    Stop-loss effectiveness: money share for overall, count share above -10
+    for pairs and above -5 for strategies (the reference's thresholds).
+    """
+    st = stats if stats is not None else G.grain_stats(closed, NEEDS)
+    null_d = F.lit(None).cast("double")
+    overall = G.overall(st).select(
+        F.lit("overall").alias("metric_type"),
+        F.lit(None).cast("string").alias("entity_name"),
+        F.col("trig").alias("stop_loss_triggered_count"),
+        G.sl_eff_money().alias("stop_loss_effectiveness_pct"),
+        F.lit(0.0).alias("sharpe_ratio"),
         F.col("min_p").alias("max_drawdown_pct"),
-        F.when(grouped, F.col("vol")).alias("volatility_pct"),
-        F.lit(None).cast("double").alias("var_95_pct"),
-        F.when(grouped, F.col("rr")).alias("risk_reward_ratio"),
+        null_d.alias("volatility_pct"),
+        null_d.alias("var_95_pct"),
+        null_d.alias("risk_reward_ratio"),
     )
+    parts = [overall]
+    for name, key, kept, min_n in (("by_pair", "pair", "kept10", min_pair_trades), ("by_strategy", "strategy", "kept5", min_strategy_trades)):
+        parts.append(
+            G.grain(st, key)
+            .where(F.col("n") >= min_n)
+            .select(
+                F.lit(name).alias("metric_type"),
+                F.col(key).alias("entity_name"),
+                F.col("trig").alias("stop_loss_triggered_count"),
+                G.sl_eff_count(kept).alias("stop_loss_effectiveness_pct"),
+                null_d.alias("sharpe_ratio"),
+                F.col("min_p").alias("max_drawdown_pct"),
+                G.volatility().alias("volatility_pct"),
+                null_d.alias("var_95_pct"),
+                G.risk_reward().alias("risk_reward_ratio"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def var_rank(n_losers: int, level: float = 0.05) -> int:
@@ -82,7 +86,7 @@ def build_risk_var(closed: DataFrame, level: float = 0.05) -> DataFrame:
     )
 
 
-def build_risk_metrics(closed: DataFrame, variant: str = "sql", **params) -> DataFrame:
+def build_risk_metrics(closed: DataFrame, variant: str = "sql", stats: DataFrame | None = None, **params) -> DataFrame:
     if variant == "poller":
-        return build_risk_grains(closed, **params).where(F.col("metric_type") == "overall")
-    return build_risk_grains(closed, **params).unionByName(build_risk_var(closed))
+        return build_risk_grains(closed, stats=stats, **params).where(F.col("metric_type") == "overall")
+    return build_risk_grains(closed, stats=stats, **params).unionByName(build_risk_var(closed))

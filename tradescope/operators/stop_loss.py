@@ -1,11 +1,11 @@
-"""stop_loss_analytics: overall / by_pair / by_strategy in one grouping-sets pass.
+"""stop_loss_analytics: overall / by_pair / by_strategy from the grain statistics.
 
 The reference fills two columns afterwards with correlated updates: the
 optimal stop level (best average outcome among rounded levels with at least
 two trades) and the maximum loss taken through a stop-loss exit. Both are
-decorrelated: the max loss is one more aggregate in the same grouping sets
-(its "NULL matches everything" predicate is exactly the grain of each row),
-and the optimal level is a second small grouping-sets aggregate joined back.
+decorrelated: the max loss is one more statistic of the same grains (its
+"NULL matches everything" predicate is exactly the grain of each row), and
+the optimal level comes from the level grains of the same aggregate.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradescope.functions import measures as m
+from tradescope.operators import grains as G
 
 SL_COLUMNS = [
     "analysis_type",
@@ -31,107 +32,73 @@ SL_COLUMNS = [
     "trades_without_sl",
     "avg_loss_without_sl_pct",
 ]
-GID_OVERALL, GID_PAIR, GID_STRATEGY = 3, 1, 2
-
-
-def _sl_measures(has_sl, threshold_col):
-    """Aggregates restricted to trades with a stop loss (``has_sl``)."""
-    sl_exit = m.is_sl_exit()
-    p = F.col(m.P)
-    trig = m.count_when(has_sl & sl_exit)
-    n_sl = m.count_when(has_sl)
-    return [
-        F.avg(F.when(has_sl, F.col("stop_loss_pct"))).alias("stop_loss_level_pct"),
-        F.count(F.when(has_sl, F.lit(1))).alias("total_trades_with_sl"),
+NEEDS = ["overall", "pair", "strategy", "level", "pair_level"]
+
+
+def _sl_row(df: DataFrame, analysis_type: str, pair, strategy, kept: str, overall: bool, poller: bool = False) -> DataFrame:
+    c = F.col
+    trig = c("trig_sl")
+    if poller:  # the poller divides first and scales after, unrounded
+        eff = F.when(trig > 0, (c(kept) * m.ONE / trig) * m.HUNDRED).otherwise(m.ZERO)
+        rate = F.lit(None).cast("double")
+    else:
+        eff = F.when(trig > 0, F.round(c(kept) * m.HUNDRED / trig, 2)).otherwise(m.ZERO)
+        rate = F.round(F.try_divide(trig * m.HUNDRED, c("n_sl")), 2)
+    null_d = F.lit(None).cast("double")
+    return df.select(
+        F.lit(analysis_type).alias("analysis_type"),
+        (pair if pair is not None else F.lit(None).cast("string")).alias("pair"),
+        (strategy if strategy is not None else F.lit(None).cast("string")).alias("strategy"),
+        G.avg("s_level", "n_sl").alias("stop_loss_level_pct"),
+        c("n_sl").alias("total_trades_with_sl"),
         trig.alias("sl_triggered_count"),
-        F.round(F.try_divide(trig * m.HUNDRED, n_sl), 2).alias("sl_trigger_rate_pct"),
-        F.avg(F.when(has_sl & sl_exit, p)).alias("avg_loss_when_triggered_pct"),
-        F.avg(F.when(has_sl & (F.col("exit_reason") != "stop_loss"), p)).alias("avg_profit_when_not_triggered_pct"),
-    ]
-
-
-def build_sl_grains(
-    closed: DataFrame,
-    min_pair_trades: int = 3,
-    min_strategy_trades: int = 5,
-    pair_threshold: float = -10.0,
-    strategy_threshold: float = -5.0,
-    round_effectiveness: bool = True,
-    poller_arithmetic: bool = False,
-) -> DataFrame:
-    has_sl = F.col("stop_loss_pct").isNotNull()
-    sl_exit = m.is_sl_exit()
-    p = F.col(m.P)
-    trig = m.count_when(has_sl & sl_exit)
-
-    def eff(t):
-        kept = m.count_when(has_sl & sl_exit & (p > t))
-        # The poller divides first and scales after: (kept * 1.0 / trig) * 100.
-        value = (kept * m.ONE / trig) * m.HUNDRED if poller_arithmetic else kept * m.HUNDRED / trig
-        return F.when(trig > 0, F.round(value, 2) if round_effectiveness else value).otherwise(m.ZERO)
-
-    g = closed.groupingSets([[], ["pair"], ["strategy"]], "pair", "strategy").agg(
-        F.grouping_id().alias("gid"),
-        *_sl_measures(has_sl, None),
-        eff(pair_threshold).alias("eff_pair"),
-        eff(strategy_threshold).alias("eff_strategy"),
-        F.abs(F.min(F.when(sl_exit, p))).alias("max_loss_prevented_pct"),
-        F.count(F.when(~has_sl, F.lit(1))).alias("trades_without_sl"),
-        F.avg(F.when(~has_sl & (p < 0), p)).alias("avg_loss_without_sl_pct"),
-    )
-    gid = F.col("gid")
-    n = F.col("total_trades_with_sl")
-    keep = (gid == GID_OVERALL) | ((gid == GID_PAIR) & (n >= min_pair_trades)) | ((gid == GID_STRATEGY) & (n >= min_strategy_trades))
-    return g.where(keep).select(
-        F.when(gid == GID_OVERALL, "overall").when(gid == GID_PAIR, "by_pair").otherwise("by_strategy").alias("analysis_type"),
-        F.when(gid == GID_PAIR, F.col("pair")).alias("pair"),
-        F.when(gid == GID_STRATEGY, F.col("strategy")).alias("strategy"),
-        "stop_loss_level_pct",
-        "total_trades_with_sl",
-        "sl_triggered_count",
-        "sl_trigger_rate_pct",
-        F.when(gid == GID_STRATEGY, F.col("eff_strategy")).otherwise(F.col("eff_pair")).alias("sl_effectiveness_pct"),
-        "avg_loss_when_triggered_pct",
-        "avg_profit_when_not_triggered_pct",
-        "max_loss_prevented_pct",
-        F.when(gid == GID_OVERALL, F.col("trades_without_sl")).alias("trades_without_sl"),
-        F.when(gid == GID_OVERALL, F.col("avg_loss_without_sl_pct")).alias("avg_loss_without_sl_pct"),
+        rate.alias("sl_trigger_rate_pct"),
+        eff.alias("sl_effectiveness_pct"),
+        G.avg("s_p_trig", "n_p_trig").alias("avg_loss_when_triggered_pct"),
+        G.avg("s_p_not", "n_p_not").alias("avg_profit_when_not_triggered_pct"),
+        (null_d if poller else F.abs(c("min_p_sl_exit"))).alias("max_loss_prevented_pct"),
+        (c("n_nosl") if overall else F.lit(None).cast("long")).alias("trades_without_sl"),
+        (G.avg("s_loss_nosl", "n_loss_nosl") if overall else null_d).alias("avg_loss_without_sl_pct"),
     )
 
 
-def optimal_levels(closed: DataFrame, min_trades: int = 2) -> DataFrame:
-    """m_optimal_sl for every pair and overall: ``(pair or NULL, optimal_sl_level_pct)``.
+def optimal_levels(stats: DataFrame, min_trades: int = 2) -> DataFrame:
+    """m_optimal_sl for every pair and overall: ``(_type, _pair, optimal_sl_level_pct)``.
 
     Levels are ``ROUND(stop_loss_pct, 1)``; among levels with at least
     ``min_trades`` trades the best average profit wins; ties go to the most
     negative level.
     """
-    lv = closed.where(F.col("stop_loss_pct").isNotNull()).withColumn("level", F.round("stop_loss_pct", 1))
-    per = (
-        lv.groupingSets([["level"], ["pair", "level"]], "pair", "level")
-        .agg(F.grouping("pair").cast("int").alias("overall"), F.count(F.lit(1)).alias("n"), F.avg(m.P).alias("a"))
-        .where(F.col("n") >= min_trades)
+    per = G.grain(stats, "level").select(F.lit("overall").alias("_type"), F.lit(None).cast("string").alias("_pair"), "level", "n", G.avg_p().alias("a")).unionByName(
+        G.grain(stats, "pair_level").select(F.lit("by_pair").alias("_type"), F.col("pair").alias("_pair"), "level", "n", G.avg_p().alias("a"))
     )
-    return per.groupBy("overall", "pair").agg(
-        F.max_by("level", F.struct(F.col("a").isNotNull(), F.col("a"), -F.col("level"))).alias("optimal_sl_level_pct")
+    return (
+        per.where(F.col("n") >= min_trades)
+        .groupBy("_type", "_pair")
+        .agg(F.max_by("level", F.struct(F.col("a").isNotNull(), F.col("a"), -F.col("level"))).alias("optimal_sl_level_pct"))
     )
 
 
-def build_stop_loss_analytics(closed: DataFrame, variant: str = "sql", **params) -> DataFrame:
+def build_stop_loss_analytics(
+    closed: DataFrame,
+    variant: str = "sql",
+    stats: DataFrame | None = None,
+    min_pair_trades: int = 3,
+    min_strategy_trades: int = 5,
+) -> DataFrame:
+    st = stats if stats is not None else G.grain_stats(closed, ["pair"] if variant == "poller" else NEEDS)
     if variant == "poller":
-        g = build_sl_grains(closed, min_pair_trades=1, round_effectiveness=False, poller_arithmetic=True).where(F.col("analysis_type") == "by_pair")
-        return g.select(
-            *[F.col(c) for c in SL_COLUMNS if c not in ("sl_trigger_rate_pct", "max_loss_prevented_pct", "optimal_sl_level_pct")],
-            F.lit(None).cast("double").alias("sl_trigger_rate_pct"),
-            F.lit(None).cast("double").alias("max_loss_prevented_pct"),
-            F.lit(None).cast("double").alias("optimal_sl_level_pct"),
+        pairs = G.grain(st, "pair").where(F.col("n_sl") > 0)
+        return _sl_row(pairs, "by_pair", F.col("pair"), None, "kept10_sl", False, poller=True).withColumn(
+            "optimal_sl_level_pct", F.lit(None).cast("double")
         ).select(*SL_COLUMNS)
-    grains = build_sl_grains(closed, **params)
-    opt = optimal_levels(closed).select(
-        F.when(F.col("overall") == 1, F.lit("overall")).otherwise(F.lit("by_pair")).alias("_type"),
-        F.col("pair").alias("_pair"),
-        "optimal_sl_level_pct",
-    )
+    parts = [
+        _sl_row(G.overall(st), "overall", None, None, "kept10_sl", True),
+        _sl_row(G.grain(st, "pair").where(F.col("n_sl") >= min_pair_trades), "by_pair", F.col("pair"), None, "kept10_sl", False),
+        _sl_row(G.grain(st, "strategy").where(F.col("n_sl") >= min_strategy_trades), "by_strategy", None, F.col("strategy"), "kept5_sl", False),
+    ]
+    grains = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    opt = optimal_levels(st)
     joined = grains.join(
         opt,
         (grains["analysis_type"] == opt["_type"]) & grains["pair"].eqNullSafe(opt["_pair"]),

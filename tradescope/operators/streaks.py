@@ -44,11 +44,44 @@ def max_streaks(
     bucket) are then partitioned on key for the chaining window and the final
     per-key maxima, which again reuse that partitioning.
     """
-    p = F.col(profit)
-    rows = closed.select(
-        F.col(key).alias("k"),
+    return _streaks(closed.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(profit).alias("p")), bucket_ids).withColumnRenamed(
+        "k", key
+    )
+
+
+def max_streaks_multi(
+    closed: DataFrame,
+    keys: list[str],
+    profit: str = "profit_pct",
+    order: str = "trade_id",
+    bucket_ids: int = DEFAULT_BUCKET_IDS,
+) -> DataFrame:
+    """Streaks for several keys from one scan: each trade is exploded into one
+    row per key, keyed by (key name, value). Returns ``(key_name, key_value,
+    max_consecutive_wins, max_consecutive_losses)``."""
+    tagged = closed.select(
         F.col(order).alias("o"),
-        F.floor(F.col(order) / F.lit(bucket_ids)).alias("b"),
+        F.col(profit).alias("p"),
+        F.explode(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])).alias("k"),
+    )
+    out = _streaks(tagged, bucket_ids)
+    return out.select(F.col("k.key_name").alias("key_name"), F.col("k.key_value").alias("key_value"), "max_consecutive_wins", "max_consecutive_losses")
+
+
+def streaks_for(multi: DataFrame, key: str) -> DataFrame:
+    """One key's rows of ``max_streaks_multi`` output, named like ``max_streaks``."""
+    return multi.where(F.col("key_name") == key).select(
+        F.col("key_value").alias(key), "max_consecutive_wins", "max_consecutive_losses"
+    )
+
+
+def _streaks(src: DataFrame, bucket_ids: int) -> DataFrame:
+    """Core of the bucketed streak computation over columns (k, o, p)."""
+    p = F.col("p")
+    rows = src.select(
+        "k",
+        "o",
+        F.floor(F.col("o") / F.lit(bucket_ids)).alias("b"),
         F.when(p > 0, F.lit(0)).otherwise(F.lit(1)).alias("not_w"),
         F.when(p <= 0, F.lit(0)).otherwise(F.lit(1)).alias("not_l"),
         F.when(p > 0, F.lit("w")).when(p <= 0, F.lit("l")).otherwise(F.lit("n")).alias("side"),
@@ -108,7 +141,7 @@ def max_streaks(
         F.max("l_kbest").alias("l_best"),
     )
     return out.select(
-        F.col("k").alias(key),
+        "k",
         F.greatest("w_best", "w_chain").cast("long").alias("max_consecutive_wins"),
         F.greatest("l_best", "l_chain").cast("long").alias("max_consecutive_losses"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradescope.functions import labels as L
 from tradescope.functions import measures as m
+from tradescope.operators import grains as G
 
 TIMING_COLUMNS = [
     "time_category",
@@ -96,67 +97,63 @@ def overall(closed: DataFrame, variant: str = "sql") -> DataFrame:
     return row.withColumn("time_category", F.lit("overall"))
 
 
-# grouping_id(hour_of_day, day_of_week, month_of_year)
-GID_OVERALL, GID_HOUR, GID_DAY, GID_MONTH = 7, 3, 5, 6
+NEEDS = ["overall", "hour", "dow", "month"]
 
 
-def build_timing_analysis(closed: DataFrame, variant: str = "sql") -> DataFrame:
-    """All four categories from one scan: ``GROUPING SETS ((), (hour), (dow), (month))``.
+def _basic_from_stats():
+    return [
+        F.col("n").alias("trade_count"),
+        G.win_rate().alias("win_rate"),
+        G.avg_p().alias("avg_profit_pct"),
+        F.col("s_a").alias("total_profit_abs"),
+        G.avg_duration().alias("duration_minutes_avg"),
+    ]
 
-    Undated trades fall into the NULL group of each time set and are dropped
-    there, while the overall row counts them (as the reference does). Best and
-    worst hour are picked from the (at most 24) hourly groups of the same
-    aggregate, so the exchange is shared.
+
+def build_timing_analysis(closed: DataFrame, variant: str = "sql", stats: DataFrame | None = None) -> DataFrame:
+    """All four categories from the grain statistics (overall, hour, weekday,
+    month). Undated trades count in the overall row only, as in the
+    reference. Best and worst hour are picked from the (at most 24) hourly
+    rows of the same aggregate.
     """
     if variant == "poller":
         return _conform(overall(closed, "poller"))
-    dated = F.col("open_date").isNotNull()
-    weekend = m.dow_of().isin(*L.WEEKEND_DAYS)
-    keyed = closed.select(
-        m.P,
-        m.A,
-        "trade_duration",
-        "open_date",
-        F.when(dated, m.hour_of()).alias("hour_of_day"),
-        F.when(dated, m.dow_of()).alias("day_of_week"),
-        F.when(dated, m.month_of()).alias("month_of_year"),
-    )
-    g = keyed.groupingSets([[], ["hour_of_day"], ["day_of_week"], ["month_of_year"]], "hour_of_day", "day_of_week", "month_of_year").agg(
-        F.grouping_id().alias("gid"),
-        *_basic(),
-        m.volatility().alias("volatility_pct"),
-        F.avg(F.when(dated & weekend, F.col(m.P))).alias("weekend_performance_pct"),
-        F.avg(F.when(dated & ~weekend, F.col(m.P))).alias("weekday_performance_pct"),
+    st = stats if stats is not None else G.grain_stats(closed, NEEDS)
+    hours = G.grain(st, "hour").select(
+        "hour_of_day", *_basic_from_stats(), G.volatility().alias("volatility_pct")
     )
-    gid = F.col("gid")
-    hours = g.where((gid == GID_HOUR) & F.col("hour_of_day").isNotNull())
-    has = F.col("avg_profit_pct").isNotNull()
     h = F.col("hour_of_day")
+    has = F.col("avg_profit_pct").isNotNull()
     picks = hours.agg(
         F.max_by(h, F.struct(has, F.col("avg_profit_pct"), -h)).alias("best_performance_hour"),
         F.min_by(h, F.struct(has, F.col("avg_profit_pct"), h)).alias("worst_performance_hour"),
     )
     ov = (
-        g.where(gid == GID_OVERALL)
+        G.overall(st)
+        .select(
+            *_basic_from_stats(),
+            G.avg("s_p_weekend", "n_p_weekend").alias("weekend_performance_pct"),
+            G.avg("s_p_weekday", "n_p_weekday").alias("weekday_performance_pct"),
+        )
         .join(F.broadcast(picks), how="left", on=F.lit(True))  # 1 row x 1 row
-        .select("*", F.lit("overall").alias("time_category"))
-        .drop("volatility_pct", "hour_of_day", "day_of_week", "month_of_year")
-    )
-    hourly = hours.select(
-        *[c for c in g.columns if c not in ("weekend_performance_pct", "weekday_performance_pct", "day_of_week", "month_of_year")],
-        hour_period(h).alias("time_period_name"),
-        F.lit("hourly").alias("time_category"),
+        .withColumn("time_category", F.lit("overall"))
     )
-    base = [c for c in g.columns if c not in ("weekend_performance_pct", "weekday_performance_pct", "volatility_pct", "hour_of_day")]
-    daily = g.where((gid == GID_DAY) & F.col("day_of_week").isNotNull()).select(
-        *[c for c in base if c != "month_of_year"],
+    hourly = hours.select("*", hour_period(h).alias("time_period_name"), F.lit("hourly").alias("time_category"))
+    daily = G.grain(st, "dow").select(
+        "day_of_week",
+        *_basic_from_stats(),
         _name_of(F.col("day_of_week"), L.DAY_NAMES, 0).alias("time_period_name"),
         F.lit("daily").alias("time_category"),
     )
-    monthly = g.where((gid == GID_MONTH) & F.col("month_of_year").isNotNull() & (F.col("trade_count") >= 2)).select(
-        *[c for c in base if c != "day_of_week"],
-        _name_of(F.col("month_of_year"), L.MONTH_NAMES, 1).alias("time_period_name"),
-        F.lit("monthly").alias("time_category"),
+    monthly = (
+        G.grain(st, "month")
+        .where(F.col("n") >= 2)
+        .select(
+            "month_of_year",
+            *_basic_from_stats(),
+            _name_of(F.col("month_of_year"), L.MONTH_NAMES, 1).alias("time_period_name"),
+            F.lit("monthly").alias("time_category"),
+        )
     )
     out = _conform(ov)
     for part in (hourly, daily, monthly):

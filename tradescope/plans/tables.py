@@ -19,7 +19,8 @@ from tradescope.operators.rankings import build_performance_rankings
 from tradescope.operators.risk import build_risk_metrics
 from tradescope.operators.stop_loss import build_stop_loss_analytics
 from tradescope.operators.strategy import build_strategy_performance
-from tradescope.operators.streaks import DEFAULT_BUCKET_IDS
+from tradescope.operators.grains import grain_stats
+from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, max_streaks_multi, streaks_for
 from tradescope.operators.timing import build_timing_analysis
 from tradescope.sources.trades import closed as closed_filter
 
@@ -54,6 +55,10 @@ class Tables:
         self.bucket_ids = bucket_ids
         self.as_of = as_of
         self._pinned: list[DataFrame] = []
+        # Shared intermediates, set by ``persist_results``: the grain
+        # statistics (one scan for all builders) and the pair+strategy streaks.
+        self._stats: DataFrame | None = None
+        self._streaks: DataFrame | None = None
 
     @cached_property
     def closed(self) -> DataFrame:
@@ -61,42 +66,58 @@ class Tables:
 
     @cached_property
     def performance_rankings(self) -> DataFrame:
-        return build_performance_rankings(self.closed, self.variant)
+        return build_performance_rankings(self.closed, self.variant, stats=self._stats)
 
     @cached_property
     def risk_metrics(self) -> DataFrame:
-        return build_risk_metrics(self.closed, self.variant)
+        return build_risk_metrics(self.closed, self.variant, stats=self._stats)
 
     @cached_property
     def strategy_performance(self) -> DataFrame:
-        return build_strategy_performance(self.closed, self.variant, bucket_ids=self.bucket_ids)
+        return build_strategy_performance(
+            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self._stats, streaks=self._streaks_for("strategy")
+        )
 
     @cached_property
     def timing_analysis(self) -> DataFrame:
-        return build_timing_analysis(self.closed, self.variant)
+        return build_timing_analysis(self.closed, self.variant, stats=self._stats)
 
     @cached_property
     def pair_analytics(self) -> DataFrame:
-        return build_pair_analytics(self.closed, self.variant, bucket_ids=self.bucket_ids)
+        return build_pair_analytics(
+            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self._stats, streaks=self._streaks_for("pair")
+        )
 
     @cached_property
     def stop_loss_analytics(self) -> DataFrame:
-        return build_stop_loss_analytics(self.closed, self.variant)
+        return build_stop_loss_analytics(self.closed, self.variant, stats=self._stats)
 
     @cached_property
     def duration_patterns(self) -> DataFrame:
-        return build_duration_patterns(self.closed, self.variant)
+        return build_duration_patterns(self.closed, self.variant, stats=self._stats)
 
     @cached_property
     def bot_health_metrics(self) -> DataFrame:
-        return build_bot_health(self.closed, self.variant, as_of=self.as_of)
+        return build_bot_health(self.closed, self.variant, as_of=self.as_of, stats=self._stats)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def _streaks_for(self, key: str) -> DataFrame | None:
+        return None if self._streaks is None else streaks_for(self._streaks, key)
+
     def persist_results(self) -> "Tables":
         """Materialise every result table once (they are small: one row per
-        pair/strategy/hour/...). Reports then read cached rows."""
+        pair/strategy/hour/...). The fact table is scanned once for the grain
+        statistics and once for both streak keys; builders then only derive
+        from those small cached frames. Reports read the cached tables."""
+        self._stats = grain_stats(self.closed).cache()
+        self._stats.count()
+        self._pinned.append(self._stats)
+        if self.variant == "sql":
+            self._streaks = max_streaks_multi(self.closed, ["pair", "strategy"], bucket_ids=self.bucket_ids).cache()
+            self._streaks.count()
+            self._pinned.append(self._streaks)
         for name in RESULT_TABLES:
             df = self.table(name).cache()
             df.count()

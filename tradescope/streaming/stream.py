@@ -161,5 +161,5 @@ def write_close_ordered_files(trades: DataFrame, out_dir: str, n_files: int) ->
             cond = cond & (u <= F.lit(int(hi)))
         if i == 0:
             cond = cond | F.col("close_date").isNull()
-        closed.where(cond).write.mode("append").parquet(out_dir)
+        closed.where(cond).coalesce(1).write.mode("append").parquet(out_dir)
     return bounds
