@@ -758,3 +758,46 @@ Q["src_normalize_trades"] = """
 SELECT trade_id, pair, base_currency, quote_currency, is_open, strategy, profit_ratio * 100.0 AS profit_pct, profit_abs, profit_ratio,
   date_sub('minute', open_date, close_date) AS trade_duration, exit_reason, stop_loss_pct, stake_amount, open_date, close_date
 FROM trades"""
+
+# ----------------------------------------------------------------- sub-builders
+def _sub():
+    from tradescope.plans import catalog as C
+
+    out = {}
+    spec = {
+        "build_risk_overall": ("risk_metrics", "metric_type", "overall"),
+        "build_risk_by_pair": ("risk_metrics", "metric_type", "by_pair"),
+        "build_risk_by_strategy": ("risk_metrics", "metric_type", "by_strategy"),
+        "build_strategy_core": ("strategy_performance", None, None),
+        "build_strategy_consistency": ("strategy_performance", None, None),
+        "build_strategy_sharpe": ("strategy_performance", None, None),
+        "build_strategy_sortino": ("strategy_performance", None, None),
+        "build_strategy_calmar": ("strategy_performance", None, None),
+        "build_timing_overall": ("timing_analysis", "time_category", "overall"),
+        "build_timing_hourly": ("timing_analysis", "time_category", "hourly"),
+        "build_timing_daily": ("timing_analysis", "time_category", "daily"),
+        "build_timing_monthly": ("timing_analysis", "time_category", "monthly"),
+        "build_pair_core": ("pair_analytics", None, None),
+        "build_pair_sharpe": ("pair_analytics", None, None),
+        "build_sl_overall": ("stop_loss_analytics", "analysis_type", "overall"),
+        "build_sl_by_pair": ("stop_loss_analytics", "analysis_type", "by_pair"),
+        "build_sl_by_strategy": ("stop_loss_analytics", "analysis_type", "by_strategy"),
+        "build_sl_optimal": ("stop_loss_analytics", None, None),
+        "build_sl_max_prevented": ("stop_loss_analytics", None, None),
+        "build_duration_based": ("duration_patterns", "pattern_type", "duration_based"),
+        "build_duration_by_pair": ("duration_patterns", "pattern_type", "by_pair"),
+        "build_duration_by_strategy": ("duration_patterns", "pattern_type", "by_strategy"),
+    }
+    import inspect
+
+    for name, (table, col, val) in spec.items():
+        cols = inspect.getclosurevars(C.SUB_BUILDERS[name]).nonlocals["cols"]
+        where = f" WHERE {col} = '{val}'" if col else ""
+        out[name] = f"SELECT {', '.join(cols)} FROM {table}{where}"
+    return out
+
+
+Q.update(_sub())
+Q["build_strategy_streaks"] = "SELECT k AS strategy_name, max_consecutive_wins, max_consecutive_losses FROM strategy_streaks"
+Q["build_pair_streaks"] = "SELECT k AS pair, max_consecutive_wins, max_consecutive_losses FROM pair_streaks"
+Q["build_risk_var"] = "SELECT metric_type, entity_name, var_95_pct FROM risk_metrics WHERE metric_type = 'var_analysis'"

@@ -63,6 +63,63 @@ POLLER = {
     "poll_bot_health": _builder("bot_health_metrics", "poller"),
 }
 
+def _part(table: str, column: str | None, value: str | None, cols: list[str]) -> Callable[[Tables], DataFrame]:
+    """A §2.3 sub-builder: one subtype / column group of a result table."""
+
+    def run(t: Tables) -> DataFrame:
+        df = t.table(table)
+        if column is not None:
+            df = df.where(F.col(column) == value)
+        return comparable(df.select(*cols))
+
+    return run
+
+
+def _streaks(key: str, name: str) -> Callable[[Tables], DataFrame]:
+    def run(t: Tables) -> DataFrame:
+        from tradescope.operators.streaks import max_streaks
+
+        return max_streaks(t.closed, key, bucket_ids=t.bucket_ids).withColumnRenamed(key, name)
+
+    return run
+
+
+def _risk_var(t: Tables) -> DataFrame:
+    from tradescope.operators.risk import build_risk_var
+
+    return build_risk_var(t.closed).select("metric_type", "entity_name", "var_95_pct")
+
+
+_SP_KEY = ["strategy_name"]
+_SL_KEY = ["analysis_type", "pair", "strategy"]
+SUB_BUILDERS = {
+    "build_risk_overall": _part("risk_metrics", "metric_type", "overall", ["stop_loss_triggered_count", "stop_loss_effectiveness_pct", "sharpe_ratio", "max_drawdown_pct"]),
+    "build_risk_by_pair": _part("risk_metrics", "metric_type", "by_pair", ["entity_name", "stop_loss_triggered_count", "stop_loss_effectiveness_pct", "max_drawdown_pct", "volatility_pct", "risk_reward_ratio"]),
+    "build_risk_by_strategy": _part("risk_metrics", "metric_type", "by_strategy", ["entity_name", "stop_loss_triggered_count", "stop_loss_effectiveness_pct", "max_drawdown_pct", "volatility_pct", "risk_reward_ratio"]),
+    "build_risk_var": _risk_var,
+    "build_strategy_core": _part("strategy_performance", None, None, _SP_KEY + ["total_trades", "winning_trades", "losing_trades", "win_rate", "avg_profit_pct", "total_profit_abs", "profit_factor", "expectancy", "best_trade_pct", "worst_trade_pct", "avg_trade_duration_minutes"]),
+    "build_strategy_streaks": _streaks("strategy", "strategy_name"),
+    "build_strategy_consistency": _part("strategy_performance", None, None, _SP_KEY + ["consistency_score"]),
+    "build_strategy_sharpe": _part("strategy_performance", None, None, _SP_KEY + ["sharpe_ratio"]),
+    "build_strategy_sortino": _part("strategy_performance", None, None, _SP_KEY + ["sortino_ratio"]),
+    "build_strategy_calmar": _part("strategy_performance", None, None, _SP_KEY + ["calmar_ratio"]),
+    "build_timing_overall": _part("timing_analysis", "time_category", "overall", ["trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "best_performance_hour", "worst_performance_hour", "weekend_performance_pct", "weekday_performance_pct", "duration_minutes_avg"]),
+    "build_timing_hourly": _part("timing_analysis", "time_category", "hourly", ["hour_of_day", "time_period_name", "trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "duration_minutes_avg", "volatility_pct"]),
+    "build_timing_daily": _part("timing_analysis", "time_category", "daily", ["day_of_week", "time_period_name", "trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "duration_minutes_avg"]),
+    "build_timing_monthly": _part("timing_analysis", "time_category", "monthly", ["month_of_year", "time_period_name", "trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "duration_minutes_avg"]),
+    "build_pair_core": _part("pair_analytics", None, None, ["pair", "base_currency", "quote_currency", "total_trades", "winning_trades", "losing_trades", "win_rate", "avg_profit_pct", "total_profit_abs", "avg_trade_duration_minutes", "price_volatility_pct", "best_trade_pct", "worst_trade_pct", "total_volume", "avg_stake_amount", "profit_factor"]),
+    "build_pair_streaks": _streaks("pair", "pair"),
+    "build_pair_sharpe": _part("pair_analytics", None, None, ["pair", "sharpe_ratio"]),
+    "build_sl_overall": _part("stop_loss_analytics", "analysis_type", "overall", ["stop_loss_level_pct", "total_trades_with_sl", "sl_triggered_count", "sl_trigger_rate_pct", "sl_effectiveness_pct", "avg_loss_when_triggered_pct", "avg_profit_when_not_triggered_pct", "trades_without_sl", "avg_loss_without_sl_pct"]),
+    "build_sl_by_pair": _part("stop_loss_analytics", "analysis_type", "by_pair", ["pair", "stop_loss_level_pct", "total_trades_with_sl", "sl_triggered_count", "sl_trigger_rate_pct", "sl_effectiveness_pct", "avg_loss_when_triggered_pct", "avg_profit_when_not_triggered_pct"]),
+    "build_sl_by_strategy": _part("stop_loss_analytics", "analysis_type", "by_strategy", ["strategy", "stop_loss_level_pct", "total_trades_with_sl", "sl_triggered_count", "sl_trigger_rate_pct", "sl_effectiveness_pct", "avg_loss_when_triggered_pct", "avg_profit_when_not_triggered_pct"]),
+    "build_sl_optimal": _part("stop_loss_analytics", None, None, _SL_KEY + ["optimal_sl_level_pct"]),
+    "build_sl_max_prevented": _part("stop_loss_analytics", None, None, _SL_KEY + ["max_loss_prevented_pct"]),
+    "build_duration_based": _part("duration_patterns", "pattern_type", "duration_based", ["duration_category", "min_duration_minutes", "max_duration_minutes", "trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "optimal_exit_timing_minutes", "profit_per_hour"]),
+    "build_duration_by_pair": _part("duration_patterns", "pattern_type", "by_pair", ["pair", "duration_category", "min_duration_minutes", "max_duration_minutes", "trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "optimal_exit_timing_minutes", "profit_per_hour"]),
+    "build_duration_by_strategy": _part("duration_patterns", "pattern_type", "by_strategy", ["strategy", "duration_category", "min_duration_minutes", "max_duration_minutes", "trade_count", "win_rate", "avg_profit_pct", "total_profit_abs", "optimal_exit_timing_minutes", "profit_per_hour"]),
+}
+
 REPORT_NAMES = [
     # performance rankings
     "pr_top10", "pr_bottom5", "pr_high_win_low_profit", "pr_high_volume", "pr_portfolio_summary",
@@ -167,7 +224,7 @@ STREAMS = {
     "snk_ledger_report": snk_ledger_report,
 }
 
-CATALOG: dict[str, Callable[[Tables], DataFrame]] = {**BUILDERS, **POLLER, **REPORTS, **SOURCES, **STREAMS}
+CATALOG: dict[str, Callable[[Tables], DataFrame]] = {**BUILDERS, **SUB_BUILDERS, **POLLER, **REPORTS, **SOURCES, **STREAMS}
 
 # Columns compared after rounding to 9 places (sums of non-dyadic values).
 ROUND9 = {"doc_strategy_raw": ["avg_profit_pct"]}
