@@ -275,3 +275,17 @@ def overall(stats: DataFrame, *extra: Column) -> DataFrame:
 def count_groups(name: str, key: str) -> Column:
     """Number of non-NULL groups of a grain (a distinct count over the stats)."""
     return F.count(F.when((F.col("gid") == grain_id(name)) & F.col(key).isNotNull(), 1))
+
+
+_MIN_COLUMNS = {"min_p", "min_d", "min_p_sl_exit", "first_open"}
+_MAX_COLUMNS = {"max_p", "max_d", "last_open"}
+
+
+def merge_stats(parts: DataFrame) -> DataFrame:
+    """Combine grain statistics computed on disjoint sets of trades (e.g. one
+    per micro-batch): counts and sums add, minima and maxima combine."""
+    aggs = []
+    for name in STAT_COLUMNS:
+        fn = F.min if name in _MIN_COLUMNS else F.max if name in _MAX_COLUMNS else F.sum
+        aggs.append(fn(name).alias(name))
+    return parts.groupBy("gid", *KEYS).agg(*aggs)

@@ -59,12 +59,11 @@ def max_streaks_multi(
     """Streaks for several keys from one scan: each trade is exploded into one
     row per key, keyed by (key name, value). Returns ``(key_name, key_value,
     max_consecutive_wins, max_consecutive_losses)``."""
-    tagged = closed.select(
-        F.col(order).alias("o"),
-        F.col(profit).alias("p"),
-        F.explode(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])).alias("k"),
-    )
-    out = _streaks(tagged, bucket_ids)
+    out = _streaks(keyed_rows(closed, keys, profit, order), bucket_ids)
+    return split_keys(out)
+
+
+def split_keys(out: DataFrame) -> DataFrame:
     return out.select(F.col("k.key_name").alias("key_name"), F.col("k.key_value").alias("key_value"), "max_consecutive_wins", "max_consecutive_losses")
 
 
@@ -75,8 +74,14 @@ def streaks_for(multi: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _streaks(src: DataFrame, bucket_ids: int) -> DataFrame:
-    """Core of the bucketed streak computation over columns (k, o, p)."""
+def bucket_summaries(src: DataFrame, bucket_ids: int) -> DataFrame:
+    """Level 1 over columns (k, o, p): one row per (k, b) with run statistics.
+
+    ``(n, tw, tl, w_pre, w_suf, w_best, l_pre, l_suf, l_best)``: rows, breakers
+    of win runs / loss runs, and the prefix, suffix and longest run per side.
+    The running window, the island-length window and this aggregate all share
+    one hash partitioning on (k, b).
+    """
     p = F.col("p")
     rows = src.select(
         "k",
@@ -110,8 +115,12 @@ def _streaks(src: DataFrame, bucket_ids: int) -> DataFrame:
             F.coalesce(F.max(F.when(mine & (F.col("brk") == F.col(f"t{s}")), F.col("len"))), F.lit(0)).alias(f"{s}_suf"),
             F.max(F.when(mine, F.col("len"))).alias(f"{s}_best"),
         ]
-    buckets = rows.groupBy("k", "b").agg(F.max("n").alias("n"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), *side_aggs)
-    # Chain runs across buckets: seg = number of broken buckets so far.
+    return rows.groupBy("k", "b").agg(F.max("n").alias("n"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), *side_aggs)
+
+
+def chain_buckets(buckets: DataFrame) -> DataFrame:
+    """Level 2: longest runs per k from its bucket summaries (runs crossing
+    bucket edges are chained). Returns ``(k, max_consecutive_wins, max_consecutive_losses)``."""
     chain_w = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_key = Window.partitionBy("k")
     parts = []
@@ -147,6 +156,20 @@ def _streaks(src: DataFrame, bucket_ids: int) -> DataFrame:
     )
 
 
+def keyed_rows(closed: DataFrame, keys: list[str], profit: str = "profit_pct", order: str = "trade_id") -> DataFrame:
+    """(k, o, p) rows with k = struct(key_name, key_value): one row per trade and key."""
+    return closed.select(
+        F.col(order).alias("o"),
+        F.col(profit).alias("p"),
+        F.explode(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])).alias("k"),
+    )
+
+
+def _streaks(src: DataFrame, bucket_ids: int) -> DataFrame:
+    """Both levels over columns (k, o, p)."""
+    return chain_buckets(bucket_summaries(src, bucket_ids))
+
+
 def max_streaks_window(closed: DataFrame, key: str, profit: str = "profit_pct", order: str = "trade_id") -> DataFrame:
     """Reference formulation (one window per key); used by tests as the brute force."""
     p = F.col(profit)

@@ -106,16 +106,20 @@ class Tables:
     def _streaks_for(self, key: str) -> DataFrame | None:
         return None if self._streaks is None else streaks_for(self._streaks, key)
 
-    def persist_results(self) -> "Tables":
+    def persist_results(self, stats: DataFrame | None = None, streaks: DataFrame | None = None) -> "Tables":
         """Materialise every result table once (they are small: one row per
         pair/strategy/hour/...). The fact table is scanned once for the grain
         statistics and once for both streak keys; builders then only derive
-        from those small cached frames. Reports read the cached tables."""
-        self._stats = grain_stats(self.closed).cache()
+        from those small cached frames. Reports read the cached tables.
+        Precomputed (e.g. incrementally merged) statistics and streaks may be
+        passed in instead."""
+        self._stats = (stats if stats is not None else grain_stats(self.closed)).cache()
         self._stats.count()
         self._pinned.append(self._stats)
         if self.variant == "sql":
-            self._streaks = max_streaks_multi(self.closed, ["pair", "strategy"], bucket_ids=self.bucket_ids).cache()
+            if streaks is None:
+                streaks = max_streaks_multi(self.closed, ["pair", "strategy"], bucket_ids=self.bucket_ids)
+            self._streaks = streaks.cache()
             self._streaks.count()
             self._pinned.append(self._streaks)
         for name in RESULT_TABLES:

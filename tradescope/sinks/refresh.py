@@ -227,28 +227,33 @@ def refresh(
     variant: str = "sql",
     as_of: dt.datetime | None = None,
     snapshot_type: str = "automated_analysis",
+    records: tuple[int, int] | None = None,
+    stats: DataFrame | None = None,
+    streaks: DataFrame | None = None,
 ) -> dict:
     """One analysis run: detect new closed trades after the
     cursor, rebuild every result table into a new version, keep the health
     snapshot, then switch the pointer and record the run.
 
-    ``full=True`` (SNK-9) ignores the cursor and always recomputes. Returns a
-    small dict describing the run. Failures are recorded and re-raised.
+    ``full=True`` (SNK-9) ignores the cursor and always recomputes. A caller
+    that already knows the run's ``records=(new trades, max id)`` and holds
+    merged ``stats`` / ``streaks`` (the incremental stream) skips those scans.
+    Returns a small dict describing the run. Failures are recorded and re-raised.
     """
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    cursor = 0 if full else last_processed_trade_id(spark, root)
-    closed = trades.where(~F.col("is_open"))
-    stats = closed.agg(
-        F.count(F.when(F.col("trade_id") > cursor, 1)).alias("new"), F.max("trade_id").alias("max_id")
-    ).first()
-    if stats["new"] == 0 and not full:
-        return {"status": "skipped", "records_processed": 0, "last_trade_id": cursor}
+    if records is None:
+        cursor = 0 if full else last_processed_trade_id(spark, root)
+        closed = trades.where(~F.col("is_open"))
+        row = closed.agg(F.count(F.when(F.col("trade_id") > cursor, 1)).alias("new"), F.max("trade_id").alias("max_id")).first()
+        if row["new"] == 0 and not full:
+            return {"status": "skipped", "records_processed": 0, "last_trade_id": cursor}
+        records = (int(row["new"]), row["max_id"])
     run_id = uuid.uuid4().hex
-    common = dict(id=run_id, snapshot_type=snapshot_type, records_processed=int(stats["new"]), last_trade_id=stats["max_id"])
+    common = dict(id=run_id, snapshot_type=snapshot_type, records_processed=records[0], last_trade_id=records[1])
     append_ledger(spark, root, status="processing", last_analysis_run=as_of, **common)
     tables = Tables(trades, variant=variant, as_of=as_of)
     try:
-        tables.persist_results()
+        tables.persist_results(stats=stats, streaks=streaks)
         write_version(tables, root, run_id)
         append_health_snapshot(tables.bot_health_metrics, root, as_of)
         _switch(spark, root, run_id)

@@ -104,10 +104,19 @@ def stream_refresh(
     interval: str = DEFAULT_INTERVAL,
     max_files_per_trigger: int | None = None,
     variant: str = "sql",
+    incremental: bool = True,
 ):
-    """STR-3/4/5: start the refresh stream; returns the ``StreamingQuery``."""
+    """STR-3/4/5: start the refresh stream; returns the ``StreamingQuery``.
+
+    ``incremental=True`` (default) maintains bucketed trades, per-batch grain
+    statistics and streak summaries (``streaming.incremental``);
+    ``incremental=False`` recomputes everything per batch like the reference.
+    """
+    from tradescope.streaming.incremental import process_batch_incremental
+
     stream = closed_trade_stream(spark, source_dir, max_files_per_trigger)
-    writer = stream.writeStream.foreachBatch(lambda df, bid: process_batch(spark, df, bid, root, variant)).option(
+    step = process_batch_incremental if incremental else process_batch
+    writer = stream.writeStream.foreachBatch(lambda df, bid: step(spark, df, bid, root, variant=variant)).option(
         "checkpointLocation", checkpoint
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
