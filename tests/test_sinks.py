@@ -95,6 +95,9 @@ def test_incremental_batches_equal_batch_build(spark):
     root = _root(spark)
     rows = [trade(i, [1.0, -1.0, 0.5, None, 2.0, -3.0][i % 6], pair=["A/X", "B/X"][i % 2], strategy=["s1", "s2", "s3"][i % 3]) for i in range(1, 41)]
     batches = [rows[20:], rows[:10], rows[5:20], rows[:10]]  # late ids, overlaps, a replay
+    import tradescope.streaming.incremental as inc
+
+    inc.COMPACT_EVERY = 2  # exercise the base snapshot
     for bid, b in enumerate(batches):
         process_batch_incremental(spark, frame(spark, b), bid, root, bucket_ids=4)
     process_batch_incremental(spark, frame(spark, batches[-1]), len(batches) - 1, root, bucket_ids=4)  # retried

@@ -11,7 +11,9 @@ State under ``root`` (all on shared storage):
   partition overwrite. Rows carry their ``batch_id`` so a replayed batch
   rebuilds exactly the same partitions.
 * ``grain_stats/batch_id=<n>`` - the grain statistics of each batch's new
-  trades; they are mergeable, so the current statistics are their merge.
+  trades; they are mergeable, so the current statistics are their merge. Every
+  ``COMPACT_EVERY`` batches the merge is saved as ``grain_stats_base/upto=<n>``
+  and later reads start from it.
 * ``streak_buckets/b=<b>`` - run summaries per (key, bucket), recomputed for
   the touched buckets only; the longest runs come from chaining the (small)
   summaries.
@@ -33,6 +35,9 @@ from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, bucket_summaries, c
 from tradescope.sinks import refresh as sink
 
 STREAK_KEYS = ["pair", "strategy"]
+# Fold per-batch statistics into a base snapshot after this many batches, so
+# the merge at read stays bounded however long the stream runs.
+COMPACT_EVERY = 32
 
 
 def trades_path(root: str) -> str:
@@ -47,6 +52,33 @@ def streaks_path(root: str) -> str:
     return os.path.join(root, "streak_buckets")
 
 
+def base_path(root: str) -> str:
+    return os.path.join(root, "grain_stats_base")
+
+
+def current_stats(spark: SparkSession, root: str, batch_id: int, compact_every: int | None = None) -> DataFrame:
+    """Merged statistics = latest base snapshot + batches after it. Every
+    ``compact_every`` batches the merge is written as a new base (partition
+    ``upto=<batch>``), older batch partitions are then no longer read."""
+    compact_every = compact_every or COMPACT_EVERY
+    upto = -1
+    parts = None
+    if sink.exists(spark, base_path(root)):
+        bases = spark.read.parquet(base_path(root))
+        upto = bases.agg(F.max("upto")).first()[0]
+        parts = bases.where(F.col("upto") == upto).drop("upto")
+    batches = spark.read.parquet(stats_path(root)).where(F.col("batch_id") > upto).drop("batch_id")
+    parts = batches if parts is None else parts.unionByName(batches)
+    merged = merge_stats(parts)
+    if batch_id - upto >= compact_every:
+        snapshot = merged.checkpoint()
+        snapshot.withColumn("upto", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("upto").parquet(base_path(root))
+        return snapshot
+    return merged
+
+
 def _overwrite(df: DataFrame, path: str, column: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
@@ -90,7 +122,7 @@ def process_batch_incremental(
 
     # Grain statistics of the new trades only; current = merge of all batches.
     _overwrite(grain_stats(fresh).withColumn("batch_id", F.lit(batch_id).cast("long")), stats_path(root), "batch_id")
-    stats = merge_stats(spark.read.parquet(stats_path(root)).drop("batch_id"))
+    stats = current_stats(spark, root, batch_id)
 
     trades = spark.read.parquet(trades_path(root))
     streaks = None
