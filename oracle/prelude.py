@@ -120,7 +120,6 @@ closed AS (SELECT * FROM trades WHERE NOT is_open)
 """
 
 WIN = "CASE WHEN profit_pct > 0 THEN 1.0 ELSE 0.0 END"
-SD = "sqrt(CASE WHEN {v} >= 0 THEN {v} END)"
 
 
 def _var(x="profit_pct"):

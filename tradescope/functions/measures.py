@@ -161,10 +161,6 @@ def sl_eff_count(threshold: float) -> Column:
     return F.when(trig > 0, kept * HUNDRED / trig).otherwise(ZERO)
 
 
-def sl_trigger_rate() -> Column:
-    return F.round(sl_triggered() * HUNDRED / n_rows(), 2)
-
-
 def profit_per_hour(avg_profit: Column, avg_duration: Column) -> Column:
     """m_profit_per_hour with the reference's zero guard."""
     return F.when(avg_duration > 0, avg_profit / (avg_duration / F.lit(60.0))).otherwise(ZERO)

@@ -39,7 +39,7 @@ def build_duration_patterns(
     min_strategy_trades: int = 3,
 ) -> DataFrame:
     poller = variant == "poller"
-    st = stats if stats is not None else G.grain_stats(closed, ["category"] if poller else NEEDS)
+    st = G.stats_for(closed, ["category"] if poller else NEEDS, stats)
     specs = [("duration_based", "category", None, 1)]
     if not poller:
         specs += [("by_pair", "pair_category", "pair", min_pair_trades), ("by_strategy", "strategy_category", "strategy", min_strategy_trades)]

@@ -166,6 +166,20 @@ def grain_stats(closed: DataFrame, names: list[str] | None = None) -> DataFrame:
     return _keyed(closed).groupingSets(sets, *KEYS).agg(F.grouping_id(*KEYS).alias("gid"), *_stats())
 
 
+def stats_for(closed: DataFrame, names: list[str], stats: DataFrame | None = None) -> DataFrame:
+    """Given statistics, or the named grains computed once and checkpointed.
+
+    A builder reads several grains of one aggregate; left lazy, Catalyst
+    pushes each branch's grain filter and column pruning into the aggregate
+    and every branch rescans the trades. The statistics are small (one row
+    per group), so a reliable checkpoint (in ``spark.checkpoint.dir``) pins
+    them after a single scan and cuts the lineage.
+    """
+    if stats is not None:
+        return stats
+    return grain_stats(closed, names).checkpoint(eager=True)
+
+
 def grain(stats: DataFrame, name: str) -> DataFrame:
     """Rows of one grain (its population only)."""
     out = stats.where(F.col("gid") == grain_id(name))

@@ -34,7 +34,7 @@ def trading_stats(closed: DataFrame, stats: DataFrame | None = None) -> DataFram
     """
     from tradescope.operators import grains as G
 
-    st = stats if stats is not None else G.grain_stats(closed, NEEDS)
+    st = G.stats_for(closed, NEEDS, stats)
     return G.overall(
         st,
         G.count_groups("pair", "pair").alias("pairs_traded"),
@@ -58,25 +58,6 @@ def trading_stats(closed: DataFrame, stats: DataFrame | None = None) -> DataFram
     )
 
 
-def trading_stats_direct(closed: DataFrame) -> DataFrame:
-    """The same statistics straight from the trades (used by tests)."""
-    od = F.col("open_date")
-    return closed.agg(
-        m.n_rows().alias("total_trades"),
-        m.win_rate().alias("win_rate"),
-        F.avg(m.P).alias("avg_profit_pct"),
-        F.sum(m.A).alias("total_profit"),
-        F.min(m.P).alias("worst_loss"),
-        F.max(m.P).alias("best_win"),
-        F.countDistinct("pair").alias("pairs_traded"),
-        F.countDistinct("strategy").alias("strategies_used"),
-        F.avg("trade_duration").alias("avg_duration_minutes"),
-        m.sl_triggered().alias("sl_triggered"),
-        F.countDistinct(F.to_date(od)).alias("active_trading_days"),
-        (F.timestamp_diff("MICROSECOND", F.min(od), F.max(od)) / F.lit(MICROS_PER_DAY)).alias("total_trading_period_days"),
-    )
-
-
 def _metric_values(thresholds: dict | None = None):
     """(value column, status column) per metric, in the reference's order."""
     t = {name: (h, w) for name, _u, _hb, h, w, *_ in L.HEALTH_METRICS}
@@ -119,7 +100,7 @@ def build_bot_health(
     eleven-branch UNION, no re-scan per metric.
     """
     if variant == "poller":
-        return _poller_health(trading_stats(closed, stats if stats is not None else None), as_of)
+        return _poller_health(trading_stats(closed, stats), as_of)
     stats = trading_stats(closed, stats)
     values = _metric_values(thresholds)
     rows = []

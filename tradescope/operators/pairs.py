@@ -42,7 +42,7 @@ def build_pair_analytics(
     stats: DataFrame | None = None,
     streaks: DataFrame | None = None,
 ) -> DataFrame:
-    g = G.grain(stats if stats is not None else G.grain_stats(closed, NEEDS), "pair_currency")
+    g = G.grain(G.stats_for(closed, NEEDS, stats), "pair_currency")
     agg = g.select(
         "pair",
         "base_currency",

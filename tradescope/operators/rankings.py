@@ -18,7 +18,7 @@ def build_performance_rankings(closed: DataFrame, variant: str = "sql", stats: D
     Both variants compute the same rows (the SQL file only adds a no-op
     ``HAVING COUNT(*) >= 1``).
     """
-    g = G.grain(stats if stats is not None else G.grain_stats(closed, NEEDS), "pair")
+    g = G.grain(G.stats_for(closed, NEEDS, stats), "pair")
     rows = g.select(
         "pair",
         G.avg("s_ratio", "n_ratio").alias("profit_ratio"),

@@ -35,7 +35,7 @@ def build_risk_grains(
     Stop-loss effectiveness: money share for overall, count share above -10
     for pairs and above -5 for strategies (the reference's thresholds).
     """
-    st = stats if stats is not None else G.grain_stats(closed, NEEDS)
+    st = G.stats_for(closed, NEEDS, stats)
     null_d = F.lit(None).cast("double")
     overall = G.overall(st).select(
         F.lit("overall").alias("metric_type"),

@@ -86,7 +86,7 @@ def build_stop_loss_analytics(
     min_pair_trades: int = 3,
     min_strategy_trades: int = 5,
 ) -> DataFrame:
-    st = stats if stats is not None else G.grain_stats(closed, ["pair"] if variant == "poller" else NEEDS)
+    st = G.stats_for(closed, ["pair"] if variant == "poller" else NEEDS, stats)
     if variant == "poller":
         pairs = G.grain(st, "pair").where(F.col("n_sl") > 0)
         return _sl_row(pairs, "by_pair", F.col("pair"), None, "kept10_sl", False, poller=True).withColumn(

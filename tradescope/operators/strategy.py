@@ -45,7 +45,7 @@ def build_strategy_performance(
     The reference's correlated ratio updates are the same grain statistics;
     the streaks (raw-row operator) are joined back on the strategy key.
     """
-    g = G.grain(stats if stats is not None else G.grain_stats(closed, NEEDS), "strategy")
+    g = G.grain(G.stats_for(closed, NEEDS, stats), "strategy")
     sql = variant == "sql"
     null_d = F.lit(None).cast("double")
     agg = g.select(

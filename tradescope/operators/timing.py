@@ -118,7 +118,7 @@ def build_timing_analysis(closed: DataFrame, variant: str = "sql", stats: DataFr
     """
     if variant == "poller":
         return _conform(overall(closed, "poller"))
-    st = stats if stats is not None else G.grain_stats(closed, NEEDS)
+    st = G.stats_for(closed, NEEDS, stats)
     hours = G.grain(st, "hour").select(
         "hour_of_day", *_basic_from_stats(), G.volatility().alias("volatility_pct")
     )

@@ -66,39 +66,46 @@ class Tables:
 
     @cached_property
     def performance_rankings(self) -> DataFrame:
-        return build_performance_rankings(self.closed, self.variant, stats=self._stats)
+        return build_performance_rankings(self.closed, self.variant, stats=self.stats())
 
     @cached_property
     def risk_metrics(self) -> DataFrame:
-        return build_risk_metrics(self.closed, self.variant, stats=self._stats)
+        return build_risk_metrics(self.closed, self.variant, stats=self.stats())
 
     @cached_property
     def strategy_performance(self) -> DataFrame:
         return build_strategy_performance(
-            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self._stats, streaks=self._streaks_for("strategy")
+            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self.stats(), streaks=self._streaks_for("strategy")
         )
 
     @cached_property
     def timing_analysis(self) -> DataFrame:
-        return build_timing_analysis(self.closed, self.variant, stats=self._stats)
+        return build_timing_analysis(self.closed, self.variant, stats=self.stats())
 
     @cached_property
     def pair_analytics(self) -> DataFrame:
         return build_pair_analytics(
-            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self._stats, streaks=self._streaks_for("pair")
+            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self.stats(), streaks=self._streaks_for("pair")
         )
 
     @cached_property
     def stop_loss_analytics(self) -> DataFrame:
-        return build_stop_loss_analytics(self.closed, self.variant, stats=self._stats)
+        return build_stop_loss_analytics(self.closed, self.variant, stats=self.stats())
 
     @cached_property
     def duration_patterns(self) -> DataFrame:
-        return build_duration_patterns(self.closed, self.variant, stats=self._stats)
+        return build_duration_patterns(self.closed, self.variant, stats=self.stats())
 
     @cached_property
     def bot_health_metrics(self) -> DataFrame:
-        return build_bot_health(self.closed, self.variant, as_of=self.as_of, stats=self._stats)
+        return build_bot_health(self.closed, self.variant, as_of=self.as_of, stats=self.stats())
+
+    def stats(self) -> DataFrame:
+        """Grain statistics for all builders of this source: one scan,
+        checkpointed on first use (or the pinned copy after ``persist_results``)."""
+        if self._stats is None:
+            self._stats = grain_stats(self.closed).checkpoint(eager=True)
+        return self._stats
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)

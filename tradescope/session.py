@@ -21,6 +21,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpointed intermediates are dropped once no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Partitions fed by the Parquet scan: 128 MiB splits keep a task's input
     # well under executor memory at any table size.
