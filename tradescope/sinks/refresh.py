@@ -116,6 +116,34 @@ def _switch(spark: SparkSession, root: str, version: str) -> None:
     fs.rename(src, dst)
 
 
+def _list_dirs(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time) of the sub-directories of ``path``."""
+    if not exists(spark, path):
+        return []
+    fs, p = _fs(spark, path)
+    return [(st.getPath().getName(), st.getModificationTime()) for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Retention: drop all but the newest ``keep`` result versions (never the
+    current one). Returns the removed version ids."""
+    current = current_version(spark, root)
+    base = os.path.join(root, "versions")
+    versions = sorted(_list_dirs(spark, base), key=lambda v: v[1], reverse=True)
+    removed = []
+    for name, _mtime in versions[keep:]:
+        if name != current:
+            _delete(spark, os.path.join(base, name))
+            removed.append(name)
+    return removed
+
+
 def write_version(tables: Tables, root: str, version: str) -> str:
     """Write all eight result tables under ``root/versions/<version>/<table>``."""
     base = os.path.join(root, "versions", version)
@@ -230,6 +258,7 @@ def refresh(
     records: tuple[int, int] | None = None,
     stats: DataFrame | None = None,
     streaks: DataFrame | None = None,
+    keep_versions: int = 3,
 ) -> dict:
     """One analysis run: detect new closed trades after the
     cursor, rebuild every result table into a new version, keep the health
@@ -257,6 +286,7 @@ def refresh(
         write_version(tables, root, run_id)
         append_health_snapshot(tables.bot_health_metrics, root, as_of)
         _switch(spark, root, run_id)
+        prune_versions(spark, root, keep_versions)
         append_ledger(spark, root, status="completed", last_analysis_run=as_of + dt.timedelta(microseconds=1), **common)
     except Exception as exc:
         append_ledger(

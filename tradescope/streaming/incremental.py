@@ -75,10 +75,22 @@ def current_stats(spark: SparkSession, root: str, batch_id: int, compact_every:
         snapshot.withColumn("upto", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("upto").parquet(base_path(root))
+        _drop_folded(spark, root, batch_id)
         return snapshot
     return merged
 
 
+def _drop_folded(spark: SparkSession, root: str, upto: int) -> None:
+    """Retention after compaction: batch statistics and older bases now inside
+    the new base are removed (the new base alone is read from now on)."""
+    for name, _ in sink._list_dirs(spark, stats_path(root)):
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= upto:
+            sink._delete(spark, os.path.join(stats_path(root), name))
+    for name, _ in sink._list_dirs(spark, base_path(root)):
+        if name.startswith("upto=") and int(name.split("=", 1)[1]) < upto:
+            sink._delete(spark, os.path.join(base_path(root), name))
+
+
 def _overwrite(df: DataFrame, path: str, column: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
