@@ -177,7 +177,20 @@ def stats_for(closed: DataFrame, names: list[str], stats: DataFrame | None = Non
     """
     if stats is not None:
         return stats
-    return grain_stats(closed, names).checkpoint(eager=True)
+    return pin(grain_stats(closed, names))
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Materialise a small frame once as a reliable checkpoint (shared storage).
+
+    Later queries get a leaf plan: no re-planning of the producer, no cache
+    matching against its large plan, and no lineage back to the trades.
+    Caching first lets the checkpoint write reuse the computed rows.
+    """
+    cached = df.cache()
+    pinned = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return pinned
 
 
 def grain(stats: DataFrame, name: str) -> DataFrame:

@@ -20,6 +20,7 @@ from tradescope.operators.risk import build_risk_metrics
 from tradescope.operators.stop_loss import build_stop_loss_analytics
 from tradescope.operators.strategy import build_strategy_performance
 from tradescope.operators.grains import grain_stats
+from tradescope.operators.grains import pin as _pin
 from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, max_streaks_multi, streaks_for
 from tradescope.operators.timing import build_timing_analysis
 from tradescope.sources.trades import closed as closed_filter
@@ -104,7 +105,7 @@ class Tables:
         """Grain statistics for all builders of this source: one scan,
         checkpointed on first use (or the pinned copy after ``persist_results``)."""
         if self._stats is None:
-            self._stats = grain_stats(self.closed).checkpoint(eager=True)
+            self._stats = _pin(grain_stats(self.closed))
         return self._stats
 
     def table(self, name: str) -> DataFrame:
@@ -120,20 +121,15 @@ class Tables:
         from those small cached frames. Reports read the cached tables.
         Precomputed (e.g. incrementally merged) statistics and streaks may be
         passed in instead."""
-        self._stats = (stats if stats is not None else grain_stats(self.closed)).cache()
-        self._stats.count()
-        self._pinned.append(self._stats)
+        self._stats = _pin(stats if stats is not None else grain_stats(self.closed))
         if self.variant == "sql":
             if streaks is None:
                 streaks = max_streaks_multi(self.closed, ["pair", "strategy"], bucket_ids=self.bucket_ids)
-            self._streaks = streaks.cache()
-            self._streaks.count()
-            self._pinned.append(self._streaks)
+            self._streaks = _pin(streaks)
         for name in RESULT_TABLES:
-            df = self.table(name).cache()
-            df.count()
-            self.__dict__[name] = df
-            self._pinned.append(df)
+            # Result tables hold one row per group: one partition each keeps
+            # every later report to a single task per stage.
+            self.__dict__[name] = _pin(self.table(name).coalesce(1))
         return self
 
     def release(self) -> None:
