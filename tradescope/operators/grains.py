@@ -187,6 +187,9 @@ def pin(df: DataFrame) -> DataFrame:
     matching against its large plan, and no lineage back to the trades.
     Caching first lets the checkpoint write reuse the computed rows.
     """
+    from tradescope.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     cached = df.cache()
     pinned = cached.checkpoint(eager=True)
     cached.unpersist()
