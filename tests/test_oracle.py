@@ -29,9 +29,17 @@ def test_every_query_has_oracle():
     assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - NO_ORACLE))
-def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+@pytest.fixture(scope="module")
+def tables(spark):
+    # One lazily built source for the sweep: builders and their grain
+    # statistics are computed once and shared, as in a refresh.
+    from tradescope.plans.tables import Tables
+    from tradescope.sources.trades import fixture_trades
+
+    return Tables(fixture_trades(spark, SF))
+
+
+def _compare(df, duck, name):
     srows = [tuple(r) for r in df.collect()]
     res = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
@@ -40,6 +48,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 
 
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - NO_ORACLE))
+def test_query_matches_oracle(spark, duck, tables, name):
+    from tradescope.plans import catalog
+
+    _compare(catalog.run(name, tables), duck, name)
+
+
+@pytest.mark.parametrize("name", ["pr_top10", "build_strategy_performance", "sl_by_pair", "bh_history_lag", "poll_timing"])
+def test_entry_queries_match_oracle(spark, duck, name):
+    """The driver's own path: ``queries()[name](spark, sf_dir)``."""
+    _compare(E.queries()[name](spark, SF), duck, name)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "trading_pair" in df.columns
