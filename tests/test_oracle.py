@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
+from tradescope.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,7 +27,7 @@ NO_ORACLE = {"snk_ledger_report"}
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(catalog.CATALOG) - set(E.oracle_sql()) == NO_ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -48,10 +49,8 @@ def _compare(df, duck, name):
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - NO_ORACLE))
+@pytest.mark.parametrize("name", sorted(set(catalog.CATALOG) - NO_ORACLE))
 def test_query_matches_oracle(spark, duck, tables, name):
-    from tradescope.plans import catalog
-
     _compare(catalog.run(name, tables), duck, name)
 
 
