@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.packing import pack_documents
+
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.sentencepiece_bpe import round_trip
 
@@ -23,7 +29,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op9_sentencepiece,)
+    for f in (op4_best_fit_packing, op9_sentencepiece)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
