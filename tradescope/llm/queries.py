@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.pii import report
+
+    return report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.packing import pack_documents
 
@@ -29,7 +35,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_best_fit_packing, op9_sentencepiece)
+    for f in (op2_pii, op4_best_fit_packing, op9_sentencepiece)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
