@@ -27,6 +27,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.secret_scan import report
+
+    return report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.sentencepiece_bpe import round_trip
 
@@ -35,7 +41,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_pii, op4_best_fit_packing, op9_sentencepiece)
+    for f in (op2_pii, op4_best_fit_packing, op7_secrets, op9_sentencepiece)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
