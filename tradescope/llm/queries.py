@@ -39,9 +39,15 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.language_id import identify
+
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_pii, op4_best_fit_packing, op7_secrets, op9_sentencepiece)
+    for f in (op2_pii, op4_best_fit_packing, op7_secrets, op9_sentencepiece, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
