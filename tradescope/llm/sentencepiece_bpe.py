@@ -26,9 +26,11 @@ from tradescope.llm.common import documents_of, map_rows, sha256_hex
 BLANK = "▁"
 NO_RANK = np.int64(2**62)
 #: Words kept encoded per Python worker; the cache is emptied beyond it.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 #: Longer words are looked through for places that no piece spans.
 LONG_WORD = 48
+#: Marks that mostly stand behind a word; where no piece joins them to it they are words of their own.
+MARKS = "!\"#$%&()*+,./:;<=>?@[\\]^_`{|}~"
 
 
 class MergeEncoder:
@@ -71,8 +73,10 @@ class MergeEncoder:
         self.run = runs[-1] if runs and runs == list(range(2, runs[-1] + 1)) and tied == {scores[-1]} else 0
         # A piece with a blank after another character would join words.
         self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+") if not any(p[1] == BLANK != p[0] for p in self.inner) else re.compile(r"(?s).+")
+        self.lines_apart = not any("\n" in p for p in pieces)
         self.ids_text = [str(i) for i in range(n)]
-        self.cache: dict[str, tuple[list[int], str]] = {}
+        self.code = np.dtype("<u2" if n <= 1 << 16 else "<u4")
+        self.cache: dict[str, bytes] = {}
 
     def _build_table(self, pairs: list[tuple[int, int, int]]) -> None:
         """Open-addressed table of pair codes; a lookup then is one gather for nearly every pair."""
@@ -187,7 +191,9 @@ class MergeEncoder:
     def _parts(self, w: str) -> list[str]:
         """Cuts a word where no piece of the vocabulary reaches across."""
         if len(w) <= LONG_WORD:
-            return [w]
+            core = w.rstrip(MARKS)
+            k = len(core)
+            return [core, w[k:]] if 0 < k < len(w) and w[k - 1 : k + 1] not in self.inner else [w]
         cuts = [k + 1 for k in range(len(w) - 1) if w[k : k + 2] not in self.inner]
         parts = [w[a:b] for a, b in zip([0, *cuts], [*cuts, len(w)], strict=True)]
         out = []
@@ -199,58 +205,69 @@ class MergeEncoder:
             out.append(p)
         return out
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        parts, owner = [], []
-        for k, w in enumerate(words):
-            for p in self._parts(w):
-                parts.append(p)
-                owner.append(k)
-        distinct = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian numbers."""
+        per_word = [self._parts(w) for w in words]
+        distinct = list(dict.fromkeys(p for parts in per_word for p in parts))
         chars = "".join(distinct)
         alphabet = set(chars)
         unseen = {ch: -2 - i for i, ch in enumerate(sorted(alphabet - self.symbols.keys()))}
         code_of = {ch: unseen[ch] if ch in unseen else self.symbols[ch] for ch in alphabet}
         sym = np.fromiter(map(code_of.__getitem__, chars), dtype=np.int64, count=len(chars))
-        text_of = {v: k for k, v in unseen.items()} | {v: k for k, v in self.symbols.items() if v >= self.n_pieces}
         word = np.repeat(np.arange(len(distinct)), np.fromiter(map(len, distinct), dtype=np.int64, count=len(distinct)))
         # Unknown characters have no pair; their negative codes are never in the table.
         sym, word = self.merge_rounds(sym, word)
-        odd = set(word[(sym < 0) | (sym >= self.n_pieces)].tolist())
-        ends = np.searchsorted(word, np.arange(len(distinct)), side="right").tolist()
-        flat = sym.tolist()
-        encoded, begin = [], 0
-        for k, end in enumerate(ends):
-            ids = flat[begin:end]
+        whole = (sym >= 0) & (sym < self.n_pieces)
+        odd = set(word[~whole].tolist())
+        text_of = {v: k for k, v in code_of.items()}
+        ends = (np.searchsorted(word, np.arange(len(distinct)), side="right") * self.code.itemsize).tolist()
+        flat = np.where(whole, sym, 0).astype(self.code).tobytes()
+        encoded, begin = {}, 0
+        for k, (p, end) in enumerate(zip(distinct, ends, strict=True)):
+            encoded[p] = flat[begin:end]
             if k in odd:
+                ids = sym[begin // self.code.itemsize : end // self.code.itemsize].tolist()
                 ids = [i for s in ids for i in ([s] if 0 <= s < self.n_pieces else self._fallback(text_of[s]))]
-            encoded.append(ids)
+                encoded[p] = np.array(ids, dtype=self.code).tobytes()
             begin = end
-        out: list[list[int]] = [[] for _ in words]
-        for p, k in zip(parts, owner, strict=True):
-            out[k].extend(encoded[distinct[p]])
-        return out
+        return [encoded[p[0]] if len(p) == 1 else b"".join(map(encoded.__getitem__, p)) for p in per_word]
 
     def _fallback(self, ch: str) -> list[int]:
         return [int(self.byte_ids[b]) for b in ch.encode("utf-8", "surrogatepass")] if self.has_bytes else [self.unknown_id]
 
-    def words_of(self, text: str) -> list[str]:
-        return self.split.findall((BLANK + text).replace(" ", BLANK)) if text else []
+    # A key of the cache is a word; one blank before it is left out, unless a blank or a line break comes first.
+    def keys_of(self, text: str) -> list[str]:
+        if not text:
+            return []
+        plain = self.lines_apart and BLANK not in text and "  " not in text and " \n" not in text and text[0] not in " \n" and text[-1] != " "
+        if plain:
+            return text.replace("\n", " \n").split(" ")
+        words = self.split.findall((BLANK + text).replace(" ", BLANK))
+        return [w[1:] if len(w) > 1 and w[1] not in (BLANK, "\n") else w for w in words]
+
+    @staticmethod
+    def _word_of(key: str) -> str:
+        return key if key[0] in (BLANK, "\n") else BLANK + key
 
     def learn(self, per_text: list[list[str]]) -> None:
-        missing = list(dict.fromkeys(w for ws in per_text for w in ws if w not in self.cache))
+        met = set().union(*per_text)
+        missing = met.difference(self.cache)
         if len(self.cache) + len(missing) > CACHE_WORDS:
             self.cache.clear()
-            missing = list(dict.fromkeys(w for ws in per_text for w in ws))
+            missing = met
+        missing = list(missing)
         step = 50_000
         for k in range(0, len(missing), step):
             part = missing[k : k + step]
-            for w, ids in zip(part, self.encode_words(part), strict=True):
-                self.cache[w] = (ids, ",".join(map(self.ids_text.__getitem__, ids)))
+            self.cache.update(zip(part, self.encode_words([self._word_of(w) for w in part]), strict=True))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        per_text = [self.words_of(t) for t in texts]
+        per_text = [self.keys_of(t) for t in texts]
         self.learn(per_text)
-        return [[i for w in ws for i in self.cache[w][0]] for ws in per_text]
+        return [np.frombuffer(b"".join(map(self.cache.__getitem__, keys)), dtype=self.code).tolist() for keys in per_text]
+
+    def ids_as_text(self, ids: list[int]) -> str:
+        return ",".join(map(self.ids_text.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -303,13 +320,9 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
         enc, out = encoder(model_file), {"doc_id": cols["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         texts = cols["text"]
         for a, b in groups_by_size(texts):
-            per_text = [enc.words_of(t) for t in texts[a:b]]
-            enc.learn(per_text)
-            for ws in per_text:
-                known = [enc.cache[w] for w in ws]
-                ids = [i for k in known for i in k[0]]
+            for ids in enc.encode(texts[a:b]):
                 out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(sha256_hex(",".join([k[1] for k in known])))
+                out["ids_sha256"].append(sha256_hex(enc.ids_as_text(ids)))
                 out["decoded_sha256"].append(sha256_hex(enc.decode(ids)))
         return out
 
