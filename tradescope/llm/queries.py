@@ -33,6 +33,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.near_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.sentencepiece_bpe import round_trip
 
@@ -47,7 +53,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_pii, op4_best_fit_packing, op7_secrets, op9_sentencepiece, op10_language_id)
+    for f in (op2_pii, op4_best_fit_packing, op7_secrets, op8_near_dedup, op9_sentencepiece, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
