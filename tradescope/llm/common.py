@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -17,9 +18,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and read it back, which cuts its lineage.
+
+    Unlike ``checkpoint()``, the table brings its true size with it; estimates
+    carried through the joins of an iteration would multiply without end.
+    The tables stay until ``drop_cuts`` or the folder's own retention.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    CUTS.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Tables that this driver has written with ``cut``.
+CUTS: list[str] = []
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete the tables of ``cut``; call it once results that were built on them are written."""
+    jvm = spark.sparkContext._jvm
+    while CUTS:
+        path = jvm.org.apache.hadoop.fs.Path(CUTS.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents_of(df: DataFrame) -> DataFrame:
