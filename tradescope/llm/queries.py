@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.fingerprints import compare_edited
+
+    return compare_edited(read_table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.pii import report
 
@@ -53,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_pii, op4_best_fit_packing, op7_secrets, op8_near_dedup, op9_sentencepiece, op10_language_id)
+    for f in (op1_simhash, op2_pii, op4_best_fit_packing, op7_secrets, op8_near_dedup, op9_sentencepiece, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
