@@ -27,12 +27,31 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.url_filter import judge_urls
+
+    return judge_urls(read_table(spark, sf_dir, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.packing import pack_documents
 
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.topk import top_k, usable
+
+    vectors = usable(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return top_k(vectors.where("vec_id % 100 = 0"), vectors, 10)
+
+
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.chat import rotate
+
+    return rotate(read_table(spark, sf_dir, "conversations"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tradescope.llm.secret_scan import report
 
@@ -59,8 +78,46 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_pii, op4_best_fit_packing, op7_secrets, op8_near_dedup, op9_sentencepiece, op10_language_id)
+    for f in (op1_simhash, op2_pii, op3_url_filter, op4_best_fit_packing, op5_topk, op6_chat_rotation, op7_secrets, op8_near_dedup, op9_sentencepiece, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_topk": """
+        WITH usable AS (
+            SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op6_chat_rotation": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations
+        ), speakers AS (
+            SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'
+        ), seen AS (
+            SELECT t.conv_id, s.perspective, t.turn, t.role, t.body,
+                '<|im_start|>' || CASE WHEN t.role = s.perspective THEN 'assistant' WHEN t.role = 'system' THEN t.role
+                    ELSE 'user name=' || regexp_replace(t.role, '[^A-Za-z0-9_.-]', '_', 'g') END || chr(10) AS header
+            FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+        ), sized AS (
+            SELECT *, header || body || '<|im_end|>' || chr(10) AS segment FROM seen
+        ), placed AS (
+            SELECT *, coalesce(sum(length(segment)) OVER (
+                PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+            FROM sized
+        )
+        SELECT conv_id, perspective, turn, role, segment, start, start + length(segment) AS stop,
+            CASE WHEN role = perspective THEN start + length(header) END AS train_start,
+            CASE WHEN role = perspective THEN start + length(segment) - 1 END AS train_stop
+        FROM placed
+    """,
+}
