@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tradescope.llm.common import read_table
 
 
@@ -78,8 +79,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_pii, op3_url_filter, op4_best_fit_packing, op5_topk, op6_chat_rotation, op7_secrets, op8_near_dedup, op9_sentencepiece, op10_language_id)
-}
+    for f in (
+        op1_simhash,
+        op2_pii,
+        op3_url_filter,
+        op4_best_fit_packing,
+        op5_topk,
+        op6_chat_rotation,
+        op7_secrets,
+        op8_near_dedup,
+        op9_sentencepiece,
+        op10_language_id,
+    )
+} | {"pipeline": corpus_pipeline.run}
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {
