@@ -259,20 +259,21 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) ->
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every end of ``links`` (``a, b``): the least node that a path of links reaches.
 
-    Each round takes the least label among the neighbours, then the label of
-    that label; a path of n links takes about log(n) rounds. Rounds end when no
-    label changes.
+    Each round hooks every node to its least neighbour, follows that node's own
+    hook, and contracts: links between the merged nodes remain, those within one
+    vanish. A path of n links takes about log(n) rounds, links shrink with every
+    round, and the rounds end when none is left.
     """
-    edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
-    while True:
-        near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        met = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        far = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        new = cut(met.join(far, "label").select("node", "old", F.least("label", "far").alias("label")))
-        labels = new.select("node", "label")
-        if not new.where("label <> old").limit(1).count():
-            return labels
+    edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    labels = edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
+    while edges.limit(1).count():
+        hooks = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("hook")))
+        second = hooks.select(F.col("a").alias("hook"), F.col("hook").alias("to"))
+        parents = cut(hooks.join(second, "hook").select("a", "to"))
+        labels = cut(labels.join(parents.withColumnRenamed("a", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        left, right = parents.select("a", F.col("to").alias("x")), parents.select(F.col("a").alias("b"), F.col("to").alias("y"))
+        edges = cut(edges.join(left, "a").join(right, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    return labels
 
 
 # -- candidates -------------------------------------------------------------------
