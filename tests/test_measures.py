@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 
 from helpers import frame, trade
 from tradescope.functions import measures as m
+from tradescope.operators import grains as G
 from tradescope.operators.duration import duration_category
 from tradescope.operators.health import build_bot_health
-from tradescope.operators.risk import build_risk_var, var_rank
+from tradescope.operators.risk import build_risk_var
 from tradescope.operators.strategy import build_strategy_performance
 from tradescope.operators.timing import build_timing_analysis
 
 
 def agg(spark, rows, *cols):
-    return frame(spark, rows).agg(*cols).first()
+    """Derived measures over all rows, from the grain statistics."""
+    return G.overall(G.grain_stats(frame(spark, rows), ["overall"])).select(*cols).first()
 
 
 def test_empty_input_scalar_aggregates(spark):
@@ -32,7 +34,7 @@ def test_single_trade(spark):
 
 def test_constant_profit_variance(spark):
     rows = [trade(i, 0.1) for i in range(1, 4)]
-    r = agg(spark, rows, m.volatility().alias("v"), m.sharpe().alias("s"))
+    r = agg(spark, rows, G.volatility().alias("v"), G.sharpe().alias("s"))
     # E[x^2]-E[x]^2 may cancel to a tiny negative: NULL volatility, Sharpe 0 (SQLite rule).
     assert r.v is None or r.v < 1e-6
     assert r.s == 0.0
@@ -40,7 +42,7 @@ def test_constant_profit_variance(spark):
 
 def test_no_losses_profit_factor_zero(spark):
     rows = [trade(i, 1.0) for i in range(1, 5)]
-    r = agg(spark, rows, m.profit_factor().alias("pf"), m.risk_reward().alias("rr"), m.losses().alias("l"))
+    r = agg(spark, rows, G.profit_factor().alias("pf"), G.risk_reward().alias("rr"), F.col("losses").alias("l"))
     assert r.pf == 0.0 and r.rr == 0.0 and r.l == 0
 
 
@@ -67,7 +69,7 @@ def test_null_profit_breaks_runs_and_counts(spark):
 
 
 def test_profit_exactly_zero_is_a_loss(spark):
-    r = agg(spark, [trade(1, 0.0)], m.wins().alias("w"), m.losses().alias("l"))
+    r = agg(spark, [trade(1, 0.0)], F.col("wins").alias("w"), F.col("losses").alias("l"))
     assert r.w == 0 and r.l == 1
 
 
@@ -80,7 +82,7 @@ def test_null_exit_reason_excluded_from_not_triggered(spark):
 
 def test_sl_effectiveness_thresholds_are_strict(spark):
     rows = [trade(1, -5.0, exit_reason="stop_loss"), trade(2, -10.0, exit_reason="stop_loss"), trade(3, -4.0, exit_reason="stop_loss")]
-    r = agg(spark, rows, m.sl_eff_count(-10.0).alias("e10"), m.sl_eff_count(-5.0).alias("e5"))
+    r = agg(spark, rows, G.sl_eff_count("kept10").alias("e10"), G.sl_eff_count("kept5").alias("e5"))
     assert math.isclose(r.e10, 200.0 / 3) and math.isclose(r.e5, 100.0 / 3)
 
 
@@ -92,11 +94,19 @@ def test_duration_category_bounds(spark):
 
 def test_var_index_for_twenty_losers(spark):
     rows = [trade(i, -float(i)) for i in range(1, 21)]
-    assert var_rank(20) == 2  # 0-based index floor(0.05*20) = 1
     v = build_risk_var(frame(spark, rows)).first().var_95_pct
     assert v == -19.0
 
 
+def test_builders_take_all_trades(spark):
+    """Open trades given to a builder are left out by it."""
+    rows = [trade(1, 2.0), trade(2, -1.0), trade(3, -50.0, is_open=True)]
+    df = frame(spark, rows)
+    sp = build_strategy_performance(df).first()
+    assert sp.total_trades == 2 and sp.max_consecutive_losses == 1
+    assert build_risk_var(df).first().var_95_pct == -1.0
+
+
 def test_var_no_losers_is_null(spark):
     assert build_risk_var(frame(spark, [trade(1, 1.0)])).first().var_95_pct is None
 

@@ -4,9 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from helpers import frame, trade
-from tradescope.operators.order_stats import nth_smallest
-from tradescope.operators.streaks import max_streaks, max_streaks_window
+from helpers import frame, max_streaks_window, trade
+from tradescope.operators import order_stats
+from tradescope.operators.order_stats import element_at_fraction
+from tradescope.operators.streaks import max_streaks
 
 
 def _rows(seed, n=400):
@@ -43,12 +44,18 @@ def test_streaks_on_fixture(spark, sf001):
     assert _as_dict(max_streaks(closed, "pair", bucket_ids=13), "pair") == brute
 
 
-def test_nth_smallest_narrowing(spark):
+def test_element_at_fraction(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "BUCKETS", 8)
     rnd = random.Random(1)
-    vals = [rnd.choice([rnd.uniform(-50, 0), -3.0, -3.0, -7.25]) for _ in range(3000)]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    s = sorted(vals)
-    for rank in (1, 2, 150, 1500, 3000):
-        got = nth_smallest(df, "v", rank, exact_rows=50, buckets=8).first()[0]
-        assert got == s[rank - 1], rank
-    assert nth_smallest(df, "v", 3001).first()[0] is None
+    inf = float("inf")
+    cases = [
+        [rnd.choice([rnd.uniform(-50, 0), -3.0, -3.0, -7.25]) for _ in range(3000)],
+        [rnd.choice([-inf, inf, 1e300, -1e300, 5e-324, 0.0, -2.5]) for _ in range(500)],
+        [4.0],
+        [-1.0, -1.0],
+    ]
+    for values in cases:
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        for level in (0.0, 0.05, 0.5, 0.9):
+            assert element_at_fraction(df, "v", level).first()[0] == sorted(values)[int(len(values) * level)]
+    assert element_at_fraction(df.where("v IS NULL"), "v", 0.05).first()[0] is None

@@ -22,12 +22,8 @@ def duck():
     return con
 
 
-# Run-metadata reports (ids, timestamps) have no SQL twin; checked in test_sinks.
-NO_ORACLE = {"snk_ledger_report"}
-
-
 def test_every_query_has_oracle():
-    assert set(catalog.CATALOG) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(catalog.CATALOG) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +33,7 @@ def tables(spark):
     from tradescope.plans.tables import Tables
     from tradescope.sources.trades import fixture_trades
 
-    return Tables(fixture_trades(spark, SF))
+    return Tables(fixture_trades(spark, SF), as_of=catalog.AS_OF)
 
 
 def _compare(df, duck, name):
@@ -49,12 +45,12 @@ def _compare(df, duck, name):
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.CATALOG) - NO_ORACLE))
+@pytest.mark.parametrize("name", sorted(catalog.CATALOG))
 def test_query_matches_oracle(spark, duck, tables, name):
     _compare(catalog.run(name, tables), duck, name)
 
 
-@pytest.mark.parametrize("name", ["pr_top10", "build_strategy_performance", "sl_by_pair", "bh_history_lag", "poll_timing"])
+@pytest.mark.parametrize("name", ["pr_top10", "build_strategy_performance", "sl_by_pair", "poll_timing"])
 def test_entry_queries_match_oracle(spark, duck, name):
     """The driver's own path: ``queries()[name](spark, sf_dir)``."""
     _compare(E.queries()[name](spark, SF), duck, name)

@@ -4,8 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from helpers import frame, trade
-from tradescope.operators.streaks import max_streaks, max_streaks_window
+from helpers import frame, max_streaks_window, trade
+from tradescope.operators.streaks import max_streaks
 from tradescope.plans.tables import Tables
 
 

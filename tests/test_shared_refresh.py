@@ -1,13 +1,13 @@
 """The shared-statistics refresh path equals the per-table path."""
 
 from tools.check_oracle import digest
-from tradescope.plans.catalog import comparable
+from tradescope.plans.catalog import AS_OF, comparable
 from tradescope.plans.tables import RESULT_TABLES, Tables
 
 
 def test_persisted_tables_equal_lazy(spark, sf001):
-    lazy = Tables(sf001)
-    shared = Tables(sf001).persist_results()
+    lazy = Tables(sf001, as_of=AS_OF)
+    shared = Tables(sf001, as_of=AS_OF).persist_results()
     try:
         for name in RESULT_TABLES:
             a = comparable(lazy.table(name))
@@ -17,3 +17,18 @@ def test_persisted_tables_equal_lazy(spark, sf001):
             assert digest(a.columns, ra)[0] == digest(a.columns, rb)[0], name
     finally:
         shared.release()
+
+
+def test_building_a_plan_runs_no_job(spark, sf001):
+    from tradescope.plans import reports
+
+    tracker = spark.sparkContext.statusTracker()
+    sf001.count()
+    spark.sparkContext.setJobGroup("plan", "plan only")
+    try:
+        t = Tables(sf001, as_of=AS_OF)
+        plans = [reports.pr_top10(t), reports.sp_ranking(t), reports.dp_overall(t), reports.bh_dashboard(t), t.timing_analysis]
+        assert len(plans) == 5 and list(tracker.getJobIdsForGroup("plan")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    t.release()

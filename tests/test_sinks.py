@@ -1,72 +1,102 @@
-"""Refresh, ledger, upsert, subtype overwrite, history and streaming sinks."""
+"""Refresh, ledger, upsert, subtype overwrite, history and the streaming store."""
 
 import datetime as dt
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, trade
 from tradescope.session import shared_path
+from tradescope.sinks import logtable, storage
 from tradescope.sinks import refresh as sink
-from tradescope.streaming.stream import process_batch, read_store
+from tradescope.streaming import incremental as inc
 
 
 def _root(spark):
     return shared_path(spark, f"test-{uuid.uuid4().hex[:8]}")
 
 
-def test_refresh_ledger_and_cursor(spark):
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_refresh_runs_history_and_late_closer(spark):
     root = _root(spark)
-    rows = [trade(i, float(i % 3 - 1)) for i in range(1, 11)]
+    rows = [trade(i, float(i % 3 - 1)) for i in range(2, 12)]
     run = sink.refresh(spark, frame(spark, rows), root, as_of=dt.datetime(2024, 1, 1))
-    assert run["status"] == "completed" and run["records_processed"] == 10 and run["last_trade_id"] == 10
-    assert sink.last_processed_trade_id(spark, root) == 10
-    # No new closed trade after the cursor: skipped, ledger unchanged.
+    assert run["status"] == "completed" and run["records_processed"] == 10 and run["last_trade_id"] == 11
+    assert sink.processed_so_far(spark, root) == (11, 10)
     assert sink.refresh(spark, frame(spark, rows), root)["status"] == "skipped"
-    rows.append(trade(11, 2.0))
-    run2 = sink.refresh(spark, frame(spark, rows), root, as_of=dt.datetime(2024, 1, 2))
-    assert run2["records_processed"] == 1
-    states = sink.latest_runs(sink.read_ledger(spark, root)).collect()
-    assert len(states) == 2 and {r.status for r in states} == {"completed"}
-    report = sink.ledger_report(sink.read_ledger(spark, root)).collect()
-    assert len(report) == 2
-    pr = sink.read_result(spark, root, "performance_rankings")
-    assert pr.count() == 1 and pr.first().trade_count == 11
-    for _ in range(4):
-        sink.refresh(spark, frame(spark, rows), root, full=True)
-    versions = [n for n, _ in sink._list_dirs(spark, os.path.join(root, "versions"))]
-    assert len(versions) == 3 and sink.current_version(spark, root) in versions
-    hist = spark.read.parquet(sink.history_path(root))
-    lag = sink.health_history_lag(hist).where("metric_name = 'total_trades'").orderBy("analysis_date").collect()
-    assert [r.previous_value for r in lag][:2] == [None, 10.0] and lag[1].value_change == 1.0
-
-
-def test_failed_run_keeps_previous_version(spark):
+    # A trade with a lower id closes late: new, though the id cursor has passed it.
+    rows.append(trade(1, 2.0))
+    late = sink.refresh(spark, frame(spark, rows), root, as_of=dt.datetime(2024, 1, 2))
+    assert late["status"] == "completed" and late["records_processed"] == 1
+    ledger = sink.read_ledger(spark, root).collect()
+    assert [r.status for r in ledger] == ["completed", "completed"] and sorted(r.closed_trades for r in ledger) == [10, 11]
+    result = sink.read_result(spark, root, "performance_rankings").first()
+    assert result.trade_count == 11 and result.analysis_date == dt.datetime(2024, 1, 2)
+    lag = sink.health_history_lag(sink.read_health_history(spark, root)).where("metric_name = 'total_trades'").orderBy("analysis_date").collect()
+    assert [r.previous_value for r in lag] == [None, 10.0] and lag[1].value_change == 1.0
+
+
+def test_empty_refresh_is_readable(spark):
+    root = _root(spark)
+    sink.refresh(spark, frame(spark, []), root, full=True)
+    assert sink.read_result(spark, root, "performance_rankings").count() == 0
+    assert sink.read_result(spark, root, "duration_patterns").columns[-1] == "analysis_date"
+
+
+def test_failed_run_keeps_version_history_and_whole_message(spark, monkeypatch):
     root = _root(spark)
     rows = [trade(i, 1.0) for i in range(1, 4)]
-    sink.refresh(spark, frame(spark, rows), root)
+    sink.refresh(spark, frame(spark, rows), root, as_of=dt.datetime(2024, 1, 1))
     before = sink.current_version(spark, root)
-    bad = frame(spark, rows + [trade(4, 1.0)]).withColumn("profit_pct", F.raise_error(F.lit("boom")).cast("double"))
-    try:
+    bad = frame(spark, rows + [trade(4, 1.0)]).withColumn("profit_pct", F.raise_error(F.lit("boom " * 1000)).cast("double"))
+    with pytest.raises(Exception, match="boom"):
         sink.refresh(spark, bad, root)
-    except Exception:  # noqa: BLE001
-        pass
+    # A crash after the version is written and before the pointer moves.
+    monkeypatch.setattr(sink, "_switch", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        sink.refresh(spark, frame(spark, rows + [trade(4, 1.0)]), root)
     assert sink.current_version(spark, root) == before
-    statuses = {r.status for r in sink.latest_runs(sink.read_ledger(spark, root)).collect()}
-    assert "failed" in statuses
+    assert sink.read_result(spark, root, "performance_rankings").first().trade_count == 3
+    failed = sink.read_ledger(spark, root).where("status = 'failed'").collect()
+    assert len(failed) == 2 and max(len(r.error_message) for r in failed) > 5000
+    assert sink.read_health_history(spark, root).select("run").distinct().count() == 1
+
+
+def test_pointer_always_names_a_version(spark):
+    root = _root(spark)
+    for k in range(5):
+        sink._switch(spark, root, f"v{k}")
+        assert sink.current_version(spark, root) == f"v{k}"
+    assert len(storage.list_files(spark, os.path.join(root, "pointers"))) == 3
 
 
 def test_upsert_and_subtype_overwrite(spark):
-    old = spark.createDataFrame([("var_analysis", "portfolio", 1.0), ("overall", None, 2.0)], "metric_type string, entity_name string, v double")
-    new = spark.createDataFrame([("var_analysis", "portfolio", 9.0)], "metric_type string, entity_name string, v double")
-    got = {(r.metric_type, r.v) for r in sink.upsert(old, new, ["metric_type", "entity_name"]).collect()}
-    assert got == {("var_analysis", 9.0), ("overall", 2.0)}
+    schema = "metric_type string, entity_name string, v double"
+    old = spark.createDataFrame([("var_analysis", "portfolio", 1.0), ("overall", None, 2.0), ("by_pair", "A", 3.0)], schema)
+    new = spark.createDataFrame([("var_analysis", "portfolio", 9.0)], schema)
+    assert {(r.metric_type, r.v) for r in sink.upsert(old, new, ["metric_type", "entity_name"]).collect()} == {("var_analysis", 9.0), ("overall", 2.0), ("by_pair", 3.0)}
     path = os.path.join(_root(spark), "rm")
-    sink.overwrite_subtypes(old, path, "metric_type")
-    sink.overwrite_subtypes(new, path, "metric_type")
-    got = {(r.metric_type, r.v) for r in spark.read.parquet(path).collect()}
-    assert got == {("var_analysis", 9.0), ("overall", 2.0)}
+    sink.overwrite_subtypes(old, path, "metric_type", ["var_analysis", "overall", "by_pair"])
+    sink.overwrite_subtypes(new, path, "metric_type", ["var_analysis", "by_pair"])
+    assert {(r.metric_type, r.v) for r in spark.read.parquet(path).collect()} == {("var_analysis", 9.0), ("overall", 2.0)}
+
+
+def test_log_table_replaces_runs_and_compacts(spark, monkeypatch):
+    monkeypatch.setattr(logtable, "KEEP_FRESH", 3)
+    path = os.path.join(_root(spark), "log")
+    schema = spark.createDataFrame([], "k int").schema
+    assert logtable.read(spark, path, schema).count() == 0
+    for k in range(6):
+        logtable.write_run(spark.createDataFrame([(k,)], schema), path, f"r{k}")
+        logtable.write_run(spark.createDataFrame([(k + 10,)], schema), path, f"r{k}")
+    logtable.write_run(spark.createDataFrame([(99,)], schema), path, "r0")  # a run that is already in the base
+    assert _rows(logtable.read(spark, path, schema)) == [(11, "r1"), (12, "r2"), (13, "r3"), (14, "r4"), (15, "r5"), (99, "r0")]
+    assert len(storage.list_dirs(spark, os.path.join(path, "base"))) == 1
 
 
 def test_csv_export(spark):
@@ -76,41 +106,49 @@ def test_csv_export(spark):
     assert back[0].pair == "BTC/USDT"
 
 
-def test_stream_batches_dedupe_late_and_replayed(spark):
-    root = _root(spark)
-    b0 = frame(spark, [trade(5, 1.0), trade(6, -1.0)])
-    b1 = frame(spark, [trade(2, 1.0), trade(6, -1.0)])  # late id 2, replayed id 6
-    process_batch(spark, b0, 0, root)
-    process_batch(spark, b1, 1, root)
-    process_batch(spark, b1, 1, root)  # retried batch: idempotent
-    ids = sorted(r.trade_id for r in read_store(spark, root).collect())
-    assert ids == [2, 5, 6]
-    pr = sink.read_result(spark, root, "performance_rankings").first()
-    assert pr.trade_count == 3
-    assert process_batch(spark, b1, 2, root)["status"] == "skipped"
-
-
-def test_incremental_batches_equal_batch_build(spark):
-    from tradescope.plans.catalog import comparable
-    from tradescope.plans.tables import RESULT_TABLES, Tables
-    from tradescope.streaming.incremental import process_batch_incremental, read_trades
+def _state(spark, root):
+    return (
+        _rows(inc.read_trades(spark, root)),
+        _rows(sink.read_ledger(spark, root)),
+        _rows(sink.read_health_history(spark, root)),
+        _rows(inc.read_alerts(spark, root)),
+        _rows(sink.read_result(spark, root, "strategy_performance")),
+    )
+
+
+def test_stream_empty_late_and_replayed(spark):
+    root, date = _root(spark), dt.datetime(2024, 5, 1)
+    empty = frame(spark, [trade(9, 1.0, is_open=True)])
+    assert inc.process_batch_incremental(spark, empty, 0, root)["status"] == "skipped"
+    b1 = frame(spark, [trade(5, 1.0), trade(6, -30.0), trade(6, -30.0)])
+    inc.process_batch_incremental(spark, b1, 1, root, as_of=date)
+    b2 = frame(spark, [trade(2, 1.0), trade(6, 7.0)])  # late id 2; id 6 is known, its first close stands
+    inc.process_batch_incremental(spark, b2, 2, root, as_of=date + dt.timedelta(hours=1))
+    first = _state(spark, root)
+    assert [r[0] for r in first[0]] == [2, 5, 6] and len(first[1]) == 2 and len(first[2]) == 22
+    assert any(r[5] for r in first[3])  # some status changed
+    inc.process_batch_incremental(spark, b2, 2, root, as_of=date + dt.timedelta(hours=1))
+    assert _state(spark, root) == first
+    assert inc.process_batch_incremental(spark, b2, 3, root)["status"] == "skipped"
+    assert inc.process_batch_incremental(spark, empty, 4, root)["status"] == "skipped"
+
+
+def test_incremental_batches_equal_batch_build(spark, monkeypatch):
     from tools.check_oracle import digest
+    from tradescope.plans.catalog import as_cells
+    from tradescope.plans.tables import RESULT_TABLES, Tables
 
-    root = _root(spark)
+    monkeypatch.setattr(inc, "COMPACT_EVERY", 2)  # exercise the base snapshot
+    root, date = _root(spark), dt.datetime(2024, 5, 1)
     rows = [trade(i, [1.0, -1.0, 0.5, None, 2.0, -3.0][i % 6], pair=["A/X", "B/X"][i % 2], strategy=["s1", "s2", "s3"][i % 3]) for i in range(1, 41)]
-    batches = [rows[20:], rows[:10], rows[5:20], rows[:10]]  # late ids, overlaps, a replay
-    import tradescope.streaming.incremental as inc
-
-    inc.COMPACT_EVERY = 2  # exercise the base snapshot
-    for bid, b in enumerate(batches):
-        process_batch_incremental(spark, frame(spark, b), bid, root, bucket_ids=4)
-    process_batch_incremental(spark, frame(spark, batches[-1]), len(batches) - 1, root, bucket_ids=4)  # retried
-    assert sorted(r.trade_id for r in read_trades(spark, root).collect()) == list(range(1, 41))
-    expected = Tables(frame(spark, rows), bucket_ids=4)
+    batches = [rows[20:], rows[:10], rows[5:20]]  # late ids and overlaps
+    for bid, b in enumerate([*batches, batches[-1]]):
+        inc.process_batch_incremental(spark, frame(spark, b).repartition(4), min(bid, 2), root, bucket_ids=4, as_of=date)  # the last one is a replay
+    assert sorted(r.trade_id for r in inc.read_trades(spark, root).collect()) == list(range(1, 41))
+    for name, _ in storage.list_dirs(spark, inc.trades_path(root)):
+        files = [f for f in storage.list_files(spark, os.path.join(inc.trades_path(root), name)) if f.endswith(".parquet")]
+        assert len(files) == 1  # not tasks x buckets
+    expected = Tables(frame(spark, rows), bucket_ids=4, as_of=date)
     for name in RESULT_TABLES:
-        a = comparable(expected.table(name))
-        b = comparable(sink.read_result(spark, root, name)).select(*a.columns)
-        ra, rb = [tuple(r) for r in a.collect()], [tuple(r) for r in b.collect()]
-        if name == "performance_rankings":  # merged ratio sums may differ in the last bit
-            continue
-        assert digest(a.columns, ra)[0] == digest(a.columns, rb)[0], name
+        a, b = as_cells(expected.table(name), name), as_cells(sink.read_result(spark, root, name), name)
+        assert digest(a.columns, [tuple(r) for r in a.collect()]) == digest(b.columns, [tuple(r) for r in b.collect()]), name

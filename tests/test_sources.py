@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import frame, trade
 from tradescope.plans.tables import Tables
-from tradescope.sources.trades import TRADE_COLUMNS, conform, union_bots
+from tradescope.sources.trades import TRADE_COLUMNS, conform, jdbc_options, normalize_trades, rejects, to_upstream, union_bots
 
 
 def test_conform_parses_text_and_rejects_garbage(spark):
@@ -28,3 +28,19 @@ def test_union_bots_one_analysis_each(spark):
     }
     assert per_bot["bot_a"].trade_count == 3 and per_bot["bot_a"].win_rate == 1.0
     assert per_bot["bot_b"].trade_count == 5 and per_bot["bot_b"].win_rate == 0.0
+
+
+def test_flags_in_any_spelling_and_reject_counts(spark):
+    words = ["TRUE", "t", "1", "Yes", "false", "F", "0", " no ", "maybe", None]
+    raw = to_upstream(frame(spark, [trade(i, 1.0) for i in range(len(words))]))
+    spelt = F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("id") + 1).cast("int"))
+    raw = raw.withColumn("is_open", spelt).withColumn("close_profit", F.when(F.col("id") == 3, "x").otherwise(F.col("close_profit").cast("string")))
+    got = [r.is_open for r in normalize_trades(raw).orderBy("trade_id").collect()]
+    assert got == [True] * 4 + [False] * 4 + [None] * 2
+    counts = rejects(raw, normalize_trades).first()
+    assert counts.rows_read == 10 and counts.is_open_rejected == 1 and counts.profit_pct_rejected == 1 and counts.open_date_rejected == 0
+
+
+def test_jdbc_read_is_in_ranges():
+    assert "partitionColumn" not in jdbc_options("u")
+    assert jdbc_options("u", "t", (5, 904), 8) == {"url": "u", "dbtable": "t", "partitionColumn": "trade_id", "lowerBound": "5", "upperBound": "905", "numPartitions": "8"}

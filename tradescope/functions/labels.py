@@ -179,7 +179,6 @@ HEALTH_METRICS = [
 ]
 
 # Poller variant of the health table: six metrics with one shared status.
-POLLER_HEALTH_METRICS = ["overall_win_rate", "avg_profit_pct", "total_trades", "total_profit", "worst_loss", "best_win"]
 
 # Literal report captions.
 CAPTIONS = {

@@ -47,32 +47,6 @@ def count_when(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
-def wins(p: Column | str = P) -> Column:
-    return count_when(col(p) > 0)
-
-
-def losses(p: Column | str = P) -> Column:
-    return count_when(col(p) <= 0)
-
-
-def gross_profit(a: Column | str = A) -> Column:
-    return F.sum(F.when(col(a) > 0, col(a)).otherwise(ZERO))
-
-
-def gross_loss(a: Column | str = A) -> Column:
-    return F.sum(F.when(col(a) < 0, F.abs(col(a))).otherwise(ZERO))
-
-
-def profit_factor(a: Column | str = A) -> Column:
-    """m_profit_factor: gross profit / gross loss, 0 when there is no loss."""
-    gl = gross_loss(a)
-    return F.when(gl > 0, gross_profit(a) / gl).otherwise(ZERO)
-
-
-def expectancy(p: Column | str = P) -> Column:
-    return F.avg(col(p)) * win_rate(p)
-
-
 def pop_variance(p: Column | str = P) -> Column:
     """``E[x^2] - E[x]^2`` over non-null values, exactly as the reference writes it."""
     x = col(p)
@@ -85,44 +59,6 @@ def pop_std(p: Column | str = P) -> Column:
     return F.sqrt(F.when(v >= 0, v))
 
 
-def volatility(p: Column | str = P) -> Column:
-    """m_volatility: population std if more than one row else 0."""
-    return F.when(n_rows() > 1, pop_std(p)).otherwise(ZERO)
-
-
-def sharpe(p: Column | str = P) -> Column:
-    """m_sharpe (value only; callers apply the ``n > 1`` guard): mean/std, 0 if std is 0."""
-    sd = pop_std(p)
-    return F.when(sd > 0, F.avg(col(p)) / sd).otherwise(ZERO)
-
-
-def downside_dev(p: Column | str = P) -> Column:
-    x = col(p)
-    return F.sqrt(F.avg(F.when(x < 0, x * x).otherwise(ZERO)))
-
-
-def sortino(p: Column | str = P) -> Column:
-    dd = downside_dev(p)
-    return F.when(dd > 0, F.avg(col(p)) / dd).otherwise(ZERO)
-
-
-def calmar(p: Column | str = P) -> Column:
-    mn = F.min(col(p))
-    return F.when(mn < 0, F.avg(col(p)) / F.abs(mn)).otherwise(ZERO)
-
-
-def consistency(p: Column | str = P) -> Column:
-    """m_consistency for groups with more than one trade: ``1 - sd/|mean|``, 0 if mean is 0."""
-    mu = F.avg(col(p))
-    return F.when(mu == 0, ZERO).otherwise(ONE - pop_std(p) / F.abs(mu))
-
-
-def multi_trade(value: Column, otherwise: Column | None = None) -> Column:
-    """Apply ``value`` only where the group has more than one trade."""
-    w = F.when(n_rows() > 1, value)
-    return w if otherwise is None else w.otherwise(otherwise)
-
-
 def avg_win_or_zero(p: Column | str = P) -> Column:
     return F.avg(F.when(col(p) > 0, col(p)).otherwise(ZERO))
 
@@ -131,12 +67,6 @@ def avg_loss_or_zero(p: Column | str = P) -> Column:
     return F.avg(F.when(col(p) < 0, F.abs(col(p))).otherwise(ZERO))
 
 
-def risk_reward(p: Column | str = P) -> Column:
-    """m_risk_reward: AVG(win or 0) / AVG(|loss| or 0), 0 if no losses."""
-    loss = avg_loss_or_zero(p)
-    return F.when(loss > 0, avg_win_or_zero(p) / loss).otherwise(ZERO)
-
-
 def is_sl_exit() -> Column:
     return F.col("exit_reason") == "stop_loss"
 
@@ -146,21 +76,6 @@ def sl_triggered() -> Column:
     return count_when(is_sl_exit())
 
 
-def sl_eff_money() -> Column:
-    """m_sl_eff_money: share of money lost that was lost through stop-loss exits."""
-    a = F.col(A)
-    lost_sl = F.sum(F.when(is_sl_exit() & (a < 0), F.abs(a)).otherwise(ZERO))
-    lost = F.sum(F.when(a < 0, F.abs(a)).otherwise(ZERO))
-    return F.when(sl_triggered() > 0, F.try_divide(lost_sl, F.nullif(lost, F.lit(ZERO))) * HUNDRED).otherwise(ZERO)
-
-
-def sl_eff_count(threshold: float) -> Column:
-    """m_sl_eff_count(t): % of stop-loss exits whose profit stayed above ``t``."""
-    trig = sl_triggered()
-    kept = count_when(is_sl_exit() & (F.col(P) > threshold))
-    return F.when(trig > 0, kept * HUNDRED / trig).otherwise(ZERO)
-
-
 def profit_per_hour(avg_profit: Column, avg_duration: Column) -> Column:
     """m_profit_per_hour with the reference's zero guard."""
     return F.when(avg_duration > 0, avg_profit / (avg_duration / F.lit(60.0))).otherwise(ZERO)

@@ -167,17 +167,20 @@ def grain_stats(closed: DataFrame, names: list[str] | None = None) -> DataFrame:
 
 
 def stats_for(closed: DataFrame, names: list[str], stats: DataFrame | None = None) -> DataFrame:
-    """Given statistics, or the named grains computed once and checkpointed.
+    """Given statistics, or those of the named grains of ``closed``.
 
-    A builder reads several grains of one aggregate; left lazy, Catalyst
-    pushes each branch's grain filter and column pruning into the aggregate
-    and every branch rescans the trades. The statistics are small (one row
-    per group), so a reliable checkpoint (in ``spark.checkpoint.dir``) pins
-    them after a single scan and cuts the lineage.
+    A builder that reads several grains of one aggregate would rescan the
+    trades for each, since Catalyst pushes every branch's grain filter into the
+    aggregate. The statistics are small (one row per group), so a checkpoint
+    pins them after a single scan. One grain stays lazy. Open trades are left
+    out here, so a builder may be given all trades.
     """
     if stats is not None:
         return stats
-    return pin(grain_stats(closed, names))
+    if "is_open" in closed.columns:
+        closed = closed.where(~F.col("is_open"))
+    own = grain_stats(closed, names)
+    return own if len(names) == 1 else pin(own)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradescope.functions import labels as L
@@ -103,6 +103,7 @@ def build_bot_health(
         return _poller_health(trading_stats(closed, stats), as_of)
     stats = trading_stats(closed, stats)
     values = _metric_values(thresholds)
+    calculated = _calculated(as_of)
     rows = []
     for name, unit, _hb, _h, _w, tw, tc, desc, rec in L.HEALTH_METRICS:
         value, st = values[name]
@@ -114,7 +115,7 @@ def build_bot_health(
                 st.alias("health_status"),
                 F.lit(tw).cast("double").alias("threshold_warning"),
                 F.lit(tc).cast("double").alias("threshold_critical"),
-                F.lit(as_of).cast("timestamp").alias("last_calculation"),
+                calculated.alias("last_calculation"),
                 F.lit(desc).alias("metric_description"),
                 F.lit(rec).alias("recommendation"),
             )
@@ -122,8 +123,13 @@ def build_bot_health(
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _calculated(as_of) -> Column:
+    return F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+
+
 def _poller_health(stats: DataFrame, as_of) -> DataFrame:
     c = F.col
+    calculated = _calculated(as_of)
     shared = (
         F.when((c("win_rate") >= 0.7) & (c("avg_profit_pct") >= 0.5), F.lit(L.HEALTHY))
         .when((c("win_rate") >= 0.5) & (c("avg_profit_pct") >= 0), F.lit(L.WARNING))
@@ -145,7 +151,7 @@ def _poller_health(stats: DataFrame, as_of) -> DataFrame:
             st.alias("health_status"),
             F.lit(tw).cast("double").alias("threshold_warning"),
             F.lit(tc).cast("double").alias("threshold_critical"),
-            F.lit(as_of).cast("timestamp").alias("last_calculation"),
+            calculated.alias("last_calculation"),
             F.lit(None).cast("string").alias("metric_description"),
             F.lit(None).cast("string").alias("recommendation"),
         )
@@ -153,69 +159,3 @@ def _poller_health(stats: DataFrame, as_of) -> DataFrame:
     ]
     # No rows at all when there is no closed trade.
     return stats.where(c("total_trades") > 0).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def health_history_by_month(closed: DataFrame) -> DataFrame:
-    """Health metrics as they stood after each calendar month (cumulative).
-
-    One pass: per-month partial sums, then running sums/min/max over the
-    (few) month rows; distinct pairs/strategies/days become running sums of
-    first-seen counts. Every snapshot has the eleven metrics of
-    ``build_bot_health`` with ``analysis_date`` = month start. Undated trades
-    belong to no month and are left out.
-    """
-    od = F.col("open_date")
-    dated = closed.where(od.isNotNull()).withColumn("m", F.date_trunc("month", od).cast("timestamp_ntz"))
-    p, d = F.col(m.P), F.col("trade_duration")
-    per_month = dated.groupBy("m").agg(
-        m.n_rows().alias("n"),
-        F.sum(m.win_flag()).alias("sw"),
-        F.sum(p).alias("sp"),
-        F.count(p).alias("np"),
-        F.sum(m.A).alias("sa"),
-        F.min(p).alias("mn"),
-        F.max(p).alias("mx"),
-        F.sum(d).alias("sd"),
-        F.count(d).alias("nd"),
-        m.sl_triggered().alias("sl"),
-        F.countDistinct(F.to_date(od)).alias("days"),
-        F.min(od).alias("first_ts"),
-        F.max(od).alias("last_ts"),
-    )
-    firsts = []
-    for key, name in (("pair", "new_pairs"), ("strategy", "new_strategies")):
-        firsts.append(
-            dated.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("m").alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias(name))
-        )
-    months = per_month
-    for f in firsts:
-        months = months.join(f, "m", "left")
-    run = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per month
-    cum = lambda c: F.sum(c).over(run)
-    stats = months.select(
-        F.col("m").alias("analysis_date"),
-        cum("n").alias("total_trades"),
-        (cum("sw") / cum("n")).alias("win_rate"),
-        (cum("sp") / cum("np")).alias("avg_profit_pct"),
-        cum("sa").alias("total_profit"),
-        F.min("mn").over(run).alias("worst_loss"),
-        F.max("mx").over(run).alias("best_win"),
-        F.coalesce(cum("new_pairs"), F.lit(0)).alias("pairs_traded"),
-        F.coalesce(cum("new_strategies"), F.lit(0)).alias("strategies_used"),
-        (cum("sd") / cum("nd")).alias("avg_duration_minutes"),
-        cum("sl").alias("sl_triggered"),
-        cum("days").alias("active_trading_days"),
-        (F.timestamp_diff("MICROSECOND", F.min("first_ts").over(run), F.max("last_ts").over(run)) / F.lit(MICROS_PER_DAY)).alias(
-            "total_trading_period_days"
-        ),
-    )
-    values = _metric_values()
-    rows = [
-        F.struct(
-            F.lit(name).alias("metric_name"),
-            values[name][0].cast("double").alias("metric_value"),
-            values[name][1].alias("health_status"),
-        )
-        for name, *_ in L.HEALTH_METRICS
-    ]
-    return stats.select("analysis_date", F.explode(F.array(*rows)).alias("r")).select("r.*", "analysis_date")

@@ -1,66 +1,68 @@
-"""Exact order statistics without a global sort in one task.
+"""Exact order statistics without a row-level window.
 
-``nth_smallest`` finds the value at a 1-based rank of a column. A window with
-no partition would pull every row into one task; instead the value range is
-narrowed with distributed histograms (partial aggregation, at most ``buckets``
-groups reach the driver per step) until the candidate range holds at most
-``exact_rows`` rows, and only that bounded slice is ranked with a window.
-Duplicated values end the search early: a bucket whose min equals its max is
-the answer.
+``element_at_fraction`` finds the value at position ``floor(level * n)`` of the
+sorted column. One pass counts the values and brackets the position with a
+quantile sketch; a second pass reduces the bracket to distinct values with
+their counts, which are materialised. The rest works on that table alone:
+histograms narrow its range, at most ``BUCKETS`` + 2 groups reach the driver per
+step, until a single value is left. A step always separates the least from the
+greatest value, so the search ends by itself for any values and any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_EXACT_ROWS = 1_000_000
-DEFAULT_BUCKETS = 1024
-MAX_STEPS = 64
+BUCKETS = 1024
+#: The sketch's ranks are off by at most n / ACCURACY.
+ACCURACY = 10_000
+
+
+def element_at_fraction(values: DataFrame, column: str, level: float, *, out: str = "value") -> DataFrame:
+    """One row ``(out)``: the element at 0-based ``floor(level * n)`` of the ascending non-null values (NULL if there are none)."""
+    from tradescope.operators.grains import pin
 
+    spark = values.sparkSession
+    vals = values.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    margin = 2 / ACCURACY
+    edges = F.percentile_approx("v", [max(0.0, level - margin), min(1.0, level + margin)], ACCURACY)
+    n, bracket = vals.agg(F.count(F.lit(1)), edges).first()
+    if not n:
+        return spark.createDataFrame([(None,)], f"{out} double")
+    low, high = bracket
+    # Values below the bracket only count; they share the null group.
+    counted = vals.where(F.col("v") <= high).groupBy(F.when(F.col("v") >= low, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counted = pin(counted)
+    below = counted.where("v IS NULL").agg(F.sum("n")).first()[0] or 0
+    return spark.createDataFrame([(_select(counted.where("v IS NOT NULL"), math.floor(level * n) - below),)], f"{out} double")
 
-def nth_smallest(
-    values: DataFrame,
-    column: str,
-    rank,
-    *,
-    out: str = "value",
-    exact_rows: int = DEFAULT_EXACT_ROWS,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """One-row frame ``(out)`` holding the ``rank``-th smallest non-null value (NULL if none).
 
-    ``rank`` is an int, or a function of the number of values returning one
-    (so count, min and max come from the same single pass).
-    """
-    c = F.col(column)
-    vals = values.select(c.alias("v")).where(F.col("v").isNotNull())
-    lo, hi, count = vals.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
-    if callable(rank):
-        rank = rank(count)
-    if rank is None or rank < 1 or count < rank:
-        return vals.agg(F.max(F.when(F.lit(False), F.col("v"))).alias(out))
-    before = 0
-    for _ in range(MAX_STEPS):
-        if count <= exact_rows or lo == hi:
-            break
-        in_range = vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        hist = (
-            in_range.groupBy(F.width_bucket(F.col("v"), F.lit(lo), F.lit(hi), F.lit(buckets)).alias("bk"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .orderBy("bk")
-            .collect()
-        )
-        cum = before
-        for row in hist:
-            if cum + row["n"] >= rank:
-                before, lo, hi, count = cum, row["lo"], row["hi"], row["n"]
+def _select(counted: DataFrame, position: int) -> float:
+    """The value at a 0-based position among distinct values ``v`` with counts ``n``."""
+    low = high = None
+    while True:
+        rows = counted if low is None else counted.where(F.col("v").between(low, high))
+        first, last, infinite = rows.agg(F.min("v"), F.max("v"), F.sum(F.when(F.col("v") == float("-inf"), F.col("n")))).first()
+        if first == last:
+            return first
+        if first == float("-inf"):  # no width: counted apart
+            if position < infinite:
+                return first
+            position -= infinite
+            counted = counted.where(F.col("v") > float("-inf"))
+            continue
+        # Halves of the least and greatest value keep the width finite.
+        bucket = F.when(F.col("v") == last, BUCKETS + 1).otherwise(F.floor(F.try_divide(F.col("v") / 2 - first / 2, F.lit(_finite(last) / 2 - first / 2)) * BUCKETS))
+        histogram = rows.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+        for row in histogram:
+            if position < row["n"]:
+                low, high = row["low"], row["high"]
                 break
-            cum += row["n"]
-    target = rank - before
-    in_range = vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
-    if lo == hi:
-        return in_range.agg(F.max("v").alias(out))
-    # Bounded slice (<= exact_rows rows): a single ordered window is fine here.
-    ranked = in_range.withColumn("rn", F.row_number().over(Window.orderBy("v")))
-    return ranked.agg(F.max(F.when(F.col("rn") == target, F.col("v"))).alias(out))
+            position -= row["n"]
+
+
+def _finite(x: float) -> float:
+    return min(x, 1.7976931348623157e308)

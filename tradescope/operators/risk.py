@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradescope.functions import measures as m
 from tradescope.operators import grains as G
-from tradescope.operators.order_stats import nth_smallest
+from tradescope.operators.order_stats import element_at_fraction
 
 RISK_COLUMNS = [
     "metric_type",
@@ -68,15 +68,12 @@ def build_risk_grains(
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def var_rank(n_losers: int, level: float = 0.05) -> int:
-    """1-based rank of the VaR element: 0-based index ``floor(level * N)``."""
-    return int(n_losers * level) + 1
-
-
 def build_risk_var(closed: DataFrame, level: float = 0.05) -> DataFrame:
     """m_var95: among losing trades sorted ascending, the element at ``floor(level*N)``."""
+    if "is_open" in closed.columns:
+        closed = closed.where(~F.col("is_open"))
     losers = closed.where(F.col(m.P) < 0).select(m.P)
-    value = nth_smallest(losers, m.P, lambda n: var_rank(n, level) if n else None, out="var_95_pct")
+    value = element_at_fraction(losers, m.P, level, out="var_95_pct")
     return value.select(
         F.lit("var_analysis").alias("metric_type"),
         F.lit("portfolio").alias("entity_name"),

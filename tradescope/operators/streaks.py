@@ -29,38 +29,21 @@ DEFAULT_BUCKET_IDS = 1 << 20
 _SIDES = ("w", "l")
 
 
-def max_streaks(
-    closed: DataFrame,
-    key: str,
-    profit: str = "profit_pct",
-    order: str = "trade_id",
-    bucket_ids: int = DEFAULT_BUCKET_IDS,
-) -> DataFrame:
-    """Return ``(key, max_consecutive_wins, max_consecutive_losses)``.
-
-    Two exchanges in total: rows are hash-partitioned once on (key, bucket);
-    the running window, the island-length window and the per-bucket summary
-    all reuse that partitioning. The bucket summaries (a few numbers per
-    bucket) are then partitioned on key for the chaining window and the final
-    per-key maxima, which again reuse that partitioning.
-    """
-    return _streaks(closed.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(profit).alias("p")), bucket_ids).withColumnRenamed(
-        "k", key
-    )
+def max_streaks(closed: DataFrame, key: str, bucket_ids: int = DEFAULT_BUCKET_IDS) -> DataFrame:
+    """Return ``(key, max_consecutive_wins, max_consecutive_losses)``."""
+    return streaks_for(max_streaks_multi(closed, [key], bucket_ids), key)
 
 
-def max_streaks_multi(
-    closed: DataFrame,
-    keys: list[str],
-    profit: str = "profit_pct",
-    order: str = "trade_id",
-    bucket_ids: int = DEFAULT_BUCKET_IDS,
-) -> DataFrame:
-    """Streaks for several keys from one scan: each trade is exploded into one
-    row per key, keyed by (key name, value). Returns ``(key_name, key_value,
-    max_consecutive_wins, max_consecutive_losses)``."""
-    out = _streaks(keyed_rows(closed, keys, profit, order), bucket_ids)
-    return split_keys(out)
+def max_streaks_multi(closed: DataFrame, keys: list[str], bucket_ids: int = DEFAULT_BUCKET_IDS) -> DataFrame:
+    """Streaks for several keys from one scan and one shuffle of the trades.
+
+    Trades are partitioned on the id bucket and only then exploded into one row
+    per key; the windows on (key, bucket) and the bucket summaries reuse that
+    partitioning. The summaries (a few numbers per key and bucket) are
+    partitioned on the key for the chaining window and the final maxima.
+    Returns ``(key_name, key_value, max_consecutive_wins, max_consecutive_losses)``.
+    """
+    return split_keys(chain_buckets(bucket_summaries(keyed_rows(closed, keys, bucket_ids))))
 
 
 def split_keys(out: DataFrame) -> DataFrame:
@@ -74,19 +57,19 @@ def streaks_for(multi: DataFrame, key: str) -> DataFrame:
     )
 
 
-def bucket_summaries(src: DataFrame, bucket_ids: int) -> DataFrame:
-    """Level 1 over columns (k, o, p): one row per (k, b) with run statistics.
+def bucket_summaries(src: DataFrame) -> DataFrame:
+    """Level 1 over columns (k, b, o, p): one row per (k, b) with run statistics.
 
     ``(n, tw, tl, w_pre, w_suf, w_best, l_pre, l_suf, l_best)``: rows, breakers
     of win runs / loss runs, and the prefix, suffix and longest run per side.
     The running window, the island-length window and this aggregate all share
-    one hash partitioning on (k, b).
+    the partitioning on b that ``keyed_rows`` made.
     """
     p = F.col("p")
     rows = src.select(
         "k",
         "o",
-        F.floor(F.col("o") / F.lit(bucket_ids)).alias("b"),
+        "b",
         F.when(p > 0, F.lit(0)).otherwise(F.lit(1)).alias("not_w"),
         F.when(p <= 0, F.lit(0)).otherwise(F.lit(1)).alias("not_l"),
         F.when(p > 0, F.lit("w")).when(p <= 0, F.lit("l")).otherwise(F.lit("n")).alias("side"),
@@ -156,36 +139,10 @@ def chain_buckets(buckets: DataFrame) -> DataFrame:
     )
 
 
-def keyed_rows(closed: DataFrame, keys: list[str], profit: str = "profit_pct", order: str = "trade_id") -> DataFrame:
-    """(k, o, p) rows with k = struct(key_name, key_value): one row per trade and key."""
-    return closed.select(
-        F.col(order).alias("o"),
-        F.col(profit).alias("p"),
-        F.explode(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])).alias("k"),
-    )
-
-
-def _streaks(src: DataFrame, bucket_ids: int) -> DataFrame:
-    """Both levels over columns (k, o, p)."""
-    return chain_buckets(bucket_summaries(src, bucket_ids))
-
-
-def max_streaks_window(closed: DataFrame, key: str, profit: str = "profit_pct", order: str = "trade_id") -> DataFrame:
-    """Reference formulation (one window per key); used by tests as the brute force."""
-    p = F.col(profit)
-    w_all = Window.partitionBy(key).orderBy(order)
-    out = None
-    for name, cls in (("max_consecutive_wins", p > 0), ("max_consecutive_losses", p <= 0)):
-        flag = F.when(cls, F.lit(1)).otherwise(F.lit(0))
-        w_cls = Window.partitionBy(F.col(key), flag).orderBy(order)
-        g = (
-            closed.select(key, order, profit, (F.row_number().over(w_all) - F.row_number().over(w_cls)).alias("grp"))
-            .where(cls)
-            .groupBy(key, "grp")
-            .count()
-            .groupBy(key)
-            .agg(F.max("count").alias(name))
-        )
-        out = g if out is None else out.join(g, key, "full")
-    keys = closed.select(key).distinct()
-    return keys.join(out, key, "left")
+def keyed_rows(closed: DataFrame, keys: list[str], bucket_ids: int = DEFAULT_BUCKET_IDS) -> DataFrame:
+    """(k, b, o, p) rows with k = struct(key_name, key_value), one per trade and key, partitioned on the id bucket b."""
+    if "is_open" in closed.columns:
+        closed = closed.where(~F.col("is_open"))
+    rows = closed.select(F.col("trade_id").alias("o"), F.col("profit_pct").alias("p"), F.floor(F.col("trade_id") / F.lit(bucket_ids)).alias("b"), *keys)
+    names = F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])
+    return rows.repartition("b").select("o", "p", "b", F.explode(names).alias("k"))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradescope.functions import labels as L
-from tradescope.functions import measures as m
 from tradescope.operators import grains as G
 
 TIMING_COLUMNS = [
@@ -41,17 +40,7 @@ def _conform(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _basic():
-    return [
-        m.n_rows().alias("trade_count"),
-        m.win_rate().alias("win_rate"),
-        F.avg(m.P).alias("avg_profit_pct"),
-        F.sum(m.A).alias("total_profit_abs"),
-        F.avg("trade_duration").alias("duration_minutes_avg"),
-    ]
-
-
-def _name_of(value, names, first: int) -> F.Column:
+def _name_of(value, names, first: int) -> Column:
     expr = None
     for i, name in enumerate(names):
         cond = value == F.lit(first + i)
@@ -59,7 +48,7 @@ def _name_of(value, names, first: int) -> F.Column:
     return expr
 
 
-def hour_period(hour) -> F.Column:
+def hour_period(hour) -> Column:
     expr = None
     for lo, hi, name in L.HOUR_PERIODS:
         cond = hour.between(lo, hi)
@@ -67,36 +56,6 @@ def hour_period(hour) -> F.Column:
     return expr
 
 
-def overall(closed: DataFrame, variant: str = "sql") -> DataFrame:
-    """The overall row alone (poller variant). Best/worst hour come from the
-    (at most 24-row) hourly aggregate; the poller writes 0 when missing."""
-    dated = F.col("open_date").isNotNull()
-    weekend = m.dow_of().isin(*L.WEEKEND_DAYS)
-    totals = closed.agg(
-        *_basic(),
-        F.avg(F.when(dated & weekend, F.col(m.P))).alias("weekend_performance_pct"),
-        F.avg(F.when(dated & ~weekend, F.col(m.P))).alias("weekday_performance_pct"),
-    )
-    hours = closed.where(dated).groupBy(m.hour_of().alias("h")).agg(F.avg(m.P).alias("a"))
-    # Best: highest average (NULL averages last). Worst: lowest, NULL first
-    # (SQLite orders NULL as the smallest value). Ties -> lowest hour.
-    has = F.col("a").isNotNull()
-    picks = hours.agg(
-        F.max_by("h", F.struct(has, F.col("a"), -F.col("h"))).alias("best_performance_hour"),
-        F.min_by("h", F.struct(has, F.col("a"), F.col("h"))).alias("worst_performance_hour"),
-    )
-    row = totals.join(F.broadcast(picks), how="left", on=F.lit(True))  # 1 row x 1 row
-    if variant == "poller":
-        row = row.select(
-            *[c for c in row.columns if c not in ("best_performance_hour", "worst_performance_hour", "weekend_performance_pct", "weekday_performance_pct")],
-            F.coalesce("best_performance_hour", F.lit(0)).alias("best_performance_hour"),
-            F.coalesce("worst_performance_hour", F.lit(0)).alias("worst_performance_hour"),
-            F.coalesce("weekend_performance_pct", F.lit(0.0)).alias("weekend_performance_pct"),
-            F.coalesce("weekday_performance_pct", F.lit(0.0)).alias("weekday_performance_pct"),
-        )
-    return row.withColumn("time_category", F.lit("overall"))
-
-
 NEEDS = ["overall", "hour", "dow", "month"]
 
 
@@ -116,9 +75,8 @@ def build_timing_analysis(closed: DataFrame, variant: str = "sql", stats: DataFr
     reference. Best and worst hour are picked from the (at most 24) hourly
     rows of the same aggregate.
     """
-    if variant == "poller":
-        return _conform(overall(closed, "poller"))
-    st = G.stats_for(closed, NEEDS, stats)
+    poller = variant == "poller"
+    st = G.stats_for(closed, ["overall", "hour"] if poller else NEEDS, stats)
     hours = G.grain(st, "hour").select(
         "hour_of_day", *_basic_from_stats(), G.volatility().alias("volatility_pct")
     )
@@ -138,6 +96,8 @@ def build_timing_analysis(closed: DataFrame, variant: str = "sql", stats: DataFr
         .join(F.broadcast(picks), how="left", on=F.lit(True))  # 1 row x 1 row
         .withColumn("time_category", F.lit("overall"))
     )
+    if poller:  # the overall row alone, with 0 where nothing was found
+        return _conform(ov.na.fill(0, ["best_performance_hour", "worst_performance_hour", "weekend_performance_pct", "weekday_performance_pct"]))
     hourly = hours.select("*", hour_period(h).alias("time_period_name"), F.lit("hourly").alias("time_category"))
     daily = G.grain(st, "dow").select(
         "day_of_week",

@@ -2,12 +2,13 @@
 data-quality checks, guide queries and source checks.
 
 ``CATALOG[name](tables) -> DataFrame``. Builders are exposed through a
-projection that drops run metadata (``last_calculation``) and rounds the one
-measure whose sum is not exact in binary (``profit_ratio``) to 9 places.
+projection that rounds the one measure whose sum is not exact in binary
+(``profit_ratio``) to 9 places. Registered queries date their results ``AS_OF``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -15,20 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradescope.plans import reports as r
-from tradescope.plans.tables import RESULT_TABLES, Tables
+from tradescope.plans.tables import NATURAL_KEYS, RESULT_TABLES, Tables
 from tradescope.sources.trades import open_closed_counts
 
+AS_OF = dt.datetime(2024, 7, 1, 12, 0)
 INEXACT = {"profit_ratio"}
-RUN_METADATA = {"last_calculation"}
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    cols = []
-    for name in df.columns:
-        if name in RUN_METADATA:
-            continue
-        cols.append(F.round(F.col(name), 9).alias(name) if name in INEXACT else F.col(name))
-    return df.select(*cols)
+    return df.select(*[F.round(F.col(n), 9).alias(n) if n in INEXACT else F.col(n) for n in df.columns])
 
 
 def _builder(name: str, variant: str = "sql") -> Callable[[Tables], DataFrame]:
@@ -77,9 +73,7 @@ def _part(table: str, column: str | None, value: str | None, cols: list[str]) ->
 
 def _streaks(key: str, name: str) -> Callable[[Tables], DataFrame]:
     def run(t: Tables) -> DataFrame:
-        from tradescope.operators.streaks import max_streaks
-
-        return max_streaks(t.closed, key, bucket_ids=t.bucket_ids).withColumnRenamed(key, name)
+        return t.streaks(key).withColumnRenamed(key, name)
 
     return run
 
@@ -147,7 +141,7 @@ REPORT_NAMES = [
     # bot health
     "bh_dashboard", "bh_status_summary", "bh_attention", "bh_summary", "bh_correlated", "bh_risk_assessment",
     "bh_efficiency", "bh_profitability", "bh_critical_alerts", "bh_warning_alerts", "bh_score", "bh_realtime",
-    "bh_recent30", "bh_utilization", "bh_history_lag",
+    "bh_recent30", "bh_utilization",
     # data quality
     "dq_pr_quality", "dq_rm_quality", "dq_sp_quality", "dq_ta_quality", "dq_pa_quality", "dq_sl_quality",
     "dq_dp_quality", "dq_bh_quality", "dq_key_unique", "dq_trades_nulls",
@@ -160,8 +154,26 @@ REPORT_NAMES = [
 
 REPORTS = {name: getattr(r, name) for name in REPORT_NAMES}
 
+
+
+def src_rejects(t: Tables) -> DataFrame:
+    """SRC-2: reject counts of a loosely typed copy of the trades with some values spoilt."""
+    from tradescope.sources.trades import rejects
+
+    spoilt = F.col("trade_id") % 7 == 0
+    raw = t.trades.select(
+        F.col("trade_id").cast("string").alias("trade_id"),
+        "pair",
+        F.when(spoilt, "maybe").when(F.col("is_open"), "TRUE").otherwise("f").alias("is_open"),
+        F.when(spoilt, "n/a").otherwise(F.col("profit_pct").cast("string")).alias("profit_pct"),
+        F.when(F.col("trade_id") % 11 == 0, "yesterday").otherwise(F.col("open_date").cast("string")).alias("open_date"),
+    )
+    return rejects(raw).select("rows_read", "trade_id_rejected", "is_open_rejected", "profit_pct_rejected", "open_date_rejected")
+
+
 SOURCES = {
     "src_open_closed_counts": lambda t: open_closed_counts(t.trades),
+    "src_rejects": src_rejects,
 }
 
 
@@ -171,57 +183,153 @@ def _scratch(t: Tables, prefix: str) -> str:
     return shared_path(t.trades.sparkSession, f"{prefix}-{uuid.uuid4().hex[:10]}")
 
 
-def str_stream_refresh(t: Tables, n_files: int = 3) -> DataFrame:
-    """STR-1..6: closed trades arrive as close-ordered files (late ids included);
-    the foreachBatch refresh must end with the batch result."""
-    from tradescope.sinks.refresh import read_result
-    from tradescope.streaming.stream import stream_refresh, write_close_ordered_files
+# ------------------------------------------------------------ writing, refreshing, streaming
+def _parts(t: Tables, n: int) -> list[DataFrame]:
+    """Closed trades in ``n`` equal spans of close time (undated first); durations differ, so ids come out of order."""
+    at = F.timestamp_diff("MICROSECOND", F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), F.col("close_date"))
+    low, high = t.closed.agg(F.min(at), F.max(at)).first()
+    edges = [] if low is None else [low + (high - low) * k // n for k in range(1, n)]
+    part = sum((F.when(at > e, 1).otherwise(0) for e in edges), F.lit(0))
+    return [t.closed.where(part == k) for k in range(n)]
+
+
+def _streamed(t: Tables, n: int = 3) -> str:
+    """Refreshes over ``n`` arrivals of closed trades, one per micro-batch; returns the root of the results."""
+    from tradescope.streaming.stream import stream_refresh
 
     spark = t.trades.sparkSession
     root = _scratch(t, "stream")
-    src, out, ckpt = (f"{root}/{p}" for p in ("source", "out", "checkpoint"))
-    write_close_ordered_files(t.trades, src, n_files)
-    stream_refresh(spark, src, out, ckpt, max_files_per_trigger=1).awaitTermination()
-    return comparable(read_result(spark, out, "performance_rankings"))
+    for part in _parts(t, n):
+        part.write.mode("append").parquet(f"{root}/source")
+        stream_refresh(spark, f"{root}/source", f"{root}/out", f"{root}/checkpoint", as_of=t.as_of).awaitTermination()
+    return f"{root}/out"
+
+
+def str_stream_refresh(t: Tables) -> DataFrame:
+    """STR-1..6: after three arrivals in close order (late ids included) all eight tables equal a
+    batch build. One row per table, row and column, so that all of them can be compared at once."""
+    from tradescope.sinks.refresh import read_result
+
+    spark, out, all_rows = t.trades.sparkSession, _streamed(t), None
+    for name in RESULT_TABLES:
+        rows = as_cells(read_result(spark, out, name), name)
+        all_rows = rows if all_rows is None else all_rows.unionByName(rows)
+    return all_rows
+
+
+def as_cells(df: DataFrame, table: str) -> DataFrame:
+    """``table, entity, metric, number, word``: one row per value, rows named by their natural key."""
+    keys = NATURAL_KEYS[table]
+    entity = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+    cells = []
+    for f in df.schema.fields:
+        if f.name in (*keys, "analysis_date", "last_calculation"):
+            continue
+        text = f.dataType.simpleString() == "string"
+        number = F.lit(None).cast("double") if text else F.col(f.name).cast("double")
+        number = F.round(number, 9) if f.name in INEXACT else number
+        word = F.col(f.name) if text else F.lit(None).cast("string")
+        cells.append(F.struct(F.lit(f.name).alias("metric"), number.alias("number"), word.alias("word")))
+    return df.select(F.lit(table).alias("table"), entity.alias("entity"), F.explode(F.array(*cells)).alias("c")).select("table", "entity", "c.*")
+
+
+def str_alerts(t: Tables) -> DataFrame:
+    """STR-7: alerts of the later batches against the health of the batch before."""
+    from tradescope.streaming.incremental import read_alerts
+
+    return read_alerts(t.trades.sparkSession, _streamed(t)).select("batch_id", "metric_name", F.round("metric_value", 6).alias("metric_value"), "health_status", "previous_status", "changed")
+
+
+def bh_history_lag(t: Tables) -> DataFrame:
+    """SNK-8: change of each metric over the snapshots that three refreshes stored."""
+    from tradescope.sinks.refresh import health_history_lag, read_health_history
+
+    history = read_health_history(t.trades.sparkSession, _streamed(t))
+    return health_history_lag(history.withColumn("metric_value", F.round("metric_value", 6)))
 
 
 def str_live_windows(t: Tables) -> DataFrame:
-    """STR-8: hourly windows on close time from the streaming fixture."""
-    from tradescope.streaming.stream import closed_trade_stream, live_window_stats, write_close_ordered_files
+    """STR-8: hourly windows on close time, appended to files once the watermark has passed them."""
+    from tradescope.streaming.stream import closed_trade_stream, live_window_stats, write_windows
 
     spark = t.trades.sparkSession
     root = _scratch(t, "windows")
-    write_close_ordered_files(t.trades, f"{root}/source", 3)
-    name = f"live_windows_{uuid.uuid4().hex[:8]}"
-    q = (
-        live_window_stats(closed_trade_stream(spark, f"{root}/source", 1))
-        .writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(name)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.table(name)
+    t.closed.write.parquet(f"{root}/source")
+    windows = live_window_stats(closed_trade_stream(spark, f"{root}/source"))
+    write_windows(windows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(windows.schema).parquet(f"{root}/out")
+
+
+def snk_overwrite_subtypes(t: Tables) -> DataFrame:
+    """SNK-1: the risk table written, then by_pair replaced by its riskier half and by_strategy by nothing."""
+    from tradescope.sinks.refresh import overwrite_subtypes
+
+    spark, path = t.trades.sparkSession, _scratch(t, "subtypes")
+    risk = t.risk_metrics
+    overwrite_subtypes(risk, path, "metric_type", ["overall", "by_pair", "by_strategy", "var_analysis"])
+    overwrite_subtypes(risk.where("metric_type = 'by_pair' AND max_drawdown_pct < -15"), path, "metric_type", ["by_pair", "by_strategy"])
+    return spark.read.schema(risk.schema).parquet(path).select(*risk.columns)
+
+
+def _refreshed(t: Tables) -> str:
+    """Two refreshes with something new, one without, and a forced one (SNK-2, SNK-9)."""
+    from tradescope.sinks.refresh import refresh
+
+    spark, root, start = t.trades.sparkSession, _scratch(t, "refresh"), t.as_of or AS_OF
+    refresh(spark, t.trades.where("trade_id % 3 <> 0"), root, as_of=start)
+    refresh(spark, t.trades, root, as_of=start + dt.timedelta(hours=1))  # low ids close late: new although no id is higher
+    refresh(spark, t.trades, root, as_of=start + dt.timedelta(hours=2))  # nothing new: no run
+    refresh(spark, t.trades, root, as_of=start + dt.timedelta(hours=3), full=True)
+    return root
+
+
+def snk_version(t: Tables) -> DataFrame:
+    """SNK-2/9: the current version of a result table after several refreshes."""
+    from tradescope.sinks.refresh import read_result
+
+    return read_result(t.trades.sparkSession, _refreshed(t), "stop_loss_analytics").drop("analysis_date")
 
 
 def snk_ledger_report(t: Tables) -> DataFrame:
-    """SNK-2/5/6/9: two refresh runs (the second forced) and the last-3 ledger report."""
-    from tradescope.sinks.refresh import ledger_report, read_ledger, refresh
+    """SNK-5/6: the last three runs of the ledger."""
+    from tradescope.sinks.refresh import ledger_report, read_ledger
 
-    spark = t.trades.sparkSession
-    root = _scratch(t, "refresh")
-    refresh(spark, t.trades, root)
-    refresh(spark, t.trades, root)  # nothing new: skipped, no ledger row
-    refresh(spark, t.trades, root, full=True)
-    return ledger_report(read_ledger(spark, root))
+    return ledger_report(read_ledger(t.trades.sparkSession, _refreshed(t)))
+
+
+def snk_upsert(t: Tables) -> DataFrame:
+    """SNK-3: rows of the risk table replaced on their natural key; the VaR row is new."""
+    from tradescope.sinks.refresh import upsert
+
+    risk = t.risk_metrics.select("metric_type", "entity_name", "max_drawdown_pct", "var_95_pct")
+    old = risk.where("metric_type <> 'var_analysis'")
+    new = risk.where("metric_type IN ('overall', 'by_strategy', 'var_analysis')").withColumn("max_drawdown_pct", F.col("max_drawdown_pct") * 2)
+    return upsert(old, new, NATURAL_KEYS["risk_metrics"])
+
+
+def snk_csv_export(t: Tables) -> DataFrame:
+    """SNK-7: a result table through CSV and back."""
+    from tradescope.sinks.refresh import export_csv
+
+    spark, path = t.trades.sparkSession, _scratch(t, "csv")
+    rows = t.pair_analytics.select("pair", "total_trades", "winning_trades", "best_trade_pct", "worst_trade_pct", "total_volume")
+    export_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
 STREAMS = {
-    "str_stream_refresh": str_stream_refresh,
-    "str_live_windows": str_live_windows,
-    "snk_ledger_report": snk_ledger_report,
+    f.__name__: f
+    for f in (
+        str_stream_refresh,
+        str_alerts,
+        bh_history_lag,
+        str_live_windows,
+        snk_overwrite_subtypes,
+        snk_version,
+        snk_ledger_report,
+        snk_upsert,
+        snk_csv_export,
+    )
 }
 
 CATALOG: dict[str, Callable[[Tables], DataFrame]] = {**BUILDERS, **SUB_BUILDERS, **POLLER, **REPORTS, **SOURCES, **STREAMS}

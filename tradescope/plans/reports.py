@@ -458,9 +458,9 @@ def sp_duration_distribution(t):
 
 
 def _head_to_head(df: DataFrame, key: str, value: str, caption: str, names: tuple[str, str]):
-    # Rank over the (small) result table; two conditional maxima give one row.
-    w = Window.orderBy(c(value).desc_nulls_last(), c(key).asc_nulls_first())
-    r = df.select(key, value, F.row_number().over(w).alias("rn")).where(c("rn") <= 2)
+    # Only the top two rows meet in one task; two conditional maxima give one row.
+    order = [c(value).desc_nulls_last(), c(key).asc_nulls_first()]
+    r = df.select(key, value).orderBy(*order).limit(2).select(key, value, F.row_number().over(Window.orderBy(*order)).alias("rn"))
     first = F.max(F.when(c("rn") == 1, c(value)))
     second = F.max(F.when(c("rn") == 2, c(value)))
     return r.agg(
@@ -1074,23 +1074,23 @@ def sl_by_exit_reason(t):
     return _by_exit_reason(t, ("worst_outcome_pct", "best_outcome_pct"), True)
 
 
-def _protection_row(df: DataFrame, label: str, triggered: Column) -> DataFrame:
-    return df.agg(
+def _protection_row(label: str, side: Column, triggered: Column) -> Column:
+    return F.struct(
         F.lit(label).alias("protection_type"),
-        m.n_rows().alias("trade_count"),
-        R(F.avg(m.P), 2).alias("avg_profit_pct"),
-        R(F.min(m.P), 2).alias("worst_loss_pct"),
-        R(m.win_rate() * 100, 1).alias("win_rate_pct"),
+        F.count(F.when(side, 1)).alias("trade_count"),
+        R(F.avg(F.when(side, c(m.P))), 2).alias("avg_profit_pct"),
+        R(F.min(F.when(side, c(m.P))), 2).alias("worst_loss_pct"),
+        R(F.avg(F.when(side, m.win_flag())) * 100, 1).alias("win_rate_pct"),
         triggered.alias("protection_triggered"),
     )
 
 
 def sl_with_vs_without(t):
-    # Two scalar aggregates: both rows exist even when one side is empty.
+    # One scan; both rows exist even when one side is empty.
     has = c("stop_loss_pct").isNotNull()
-    with_sl = _protection_row(t.closed.where(has), L.WITH_SL, m.sl_triggered().cast("long"))
-    without = _protection_row(t.closed.where(~has), L.WITHOUT_SL, F.lit(0).cast("long"))
-    return with_sl.unionByName(without).orderBy("protection_type")
+    triggered = F.sum(F.when(has, F.when(m.is_sl_exit(), 1).otherwise(0))).cast("long")
+    sides = t.closed.agg(_protection_row(L.WITH_SL, has, triggered).alias("a"), _protection_row(L.WITHOUT_SL, ~has, F.lit(0).cast("long")).alias("b"))
+    return sides.select(F.explode(F.array("a", "b")).alias("r")).select("r.*").orderBy("protection_type")
 
 
 def sl_level_distribution(t):
@@ -1486,9 +1486,8 @@ def _alerts(t, status: str, threshold: str, threshold_alias: str, action_alias:
         "metric_unit",
         c("recommendation").alias(action_alias),
         F.lit(L.CAPTIONS[caption]).alias("alert_level"),
+        t.analysis_date.alias("alert_time"),
     ]
-    if t.as_of is not None:
-        cols.append(F.lit(t.as_of).cast("timestamp").alias("alert_time"))
     return _bh(t).where(c("health_status") == status).select(*cols).orderBy("alert_metric")
 
 
@@ -1563,14 +1562,6 @@ def bh_utilization(t):
     )
 
 
-def bh_history_lag(t):
-    """Previous value and change per metric across monthly health snapshots."""
-    from tradescope.operators.health import health_history_by_month
-    from tradescope.sinks.refresh import health_history_lag
-
-    return health_history_lag(health_history_by_month(t.closed))
-
-
 # ------------------------------------------------------------- data quality
 def _nulls(col_name: str) -> Column:
     return F.count(F.when(c(col_name).isNull(), 1))
@@ -1618,6 +1609,8 @@ def dq_ta_quality(t):
         F.countDistinct("time_category").alias("categories_analyzed"),
         _nulls("avg_profit_pct").alias("null_profit_count"),
         _count_if(c("trade_count") < 1).alias("invalid_trade_count"),
+        F.min("analysis_date").alias("oldest_analysis"),
+        F.max("analysis_date").alias("newest_analysis"),
     )
 
 

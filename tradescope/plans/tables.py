@@ -8,9 +8,11 @@ reuse them instead of re-running the builders.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tradescope.operators.duration import build_duration_patterns
 from tradescope.operators.health import build_bot_health
@@ -21,7 +23,7 @@ from tradescope.operators.stop_loss import build_stop_loss_analytics
 from tradescope.operators.strategy import build_strategy_performance
 from tradescope.operators.grains import grain_stats
 from tradescope.operators.grains import pin as _pin
-from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, max_streaks_multi, streaks_for
+from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, max_streaks, max_streaks_multi, streaks_for
 from tradescope.operators.timing import build_timing_analysis
 from tradescope.sources.trades import closed as closed_filter
 
@@ -49,13 +51,36 @@ NATURAL_KEYS = {
 }
 
 
+# Grains that a table reads; the poller's rules need fewer for some.
+GRAINS_OF = {
+    "performance_rankings": ["pair"],
+    "risk_metrics": ["overall", "pair", "strategy"],
+    "strategy_performance": ["strategy"],
+    "timing_analysis": ["overall", "hour", "dow", "month"],
+    "pair_analytics": ["pair_currency"],
+    "stop_loss_analytics": ["overall", "pair", "strategy", "level", "pair_level"],
+    "duration_patterns": ["category", "pair_category", "strategy_category"],
+    "bot_health_metrics": ["overall", "pair", "strategy", "day"],
+}
+POLLER_GRAINS_OF = {
+    "risk_metrics": ["overall", "pair", "strategy"],
+    "timing_analysis": ["overall", "hour"],
+    "stop_loss_analytics": ["pair"],
+    "duration_patterns": ["category"],
+    "bot_health_metrics": ["overall"],
+}
+
+
 class Tables:
-    def __init__(self, trades: DataFrame, variant: str = "sql", bucket_ids: int = DEFAULT_BUCKET_IDS, as_of=None):
+    """``as_of`` is the analysis date of every result row; without it, the time of the query."""
+
+    def __init__(self, trades: DataFrame, variant: str = "sql", bucket_ids: int = DEFAULT_BUCKET_IDS, as_of: dt.datetime | None = None):
         self.trades = trades
         self.variant = variant
         self.bucket_ids = bucket_ids
         self.as_of = as_of
-        self._pinned: list[DataFrame] = []
+        self._cached: list[DataFrame] = []
+        self._lazy_stats: dict[tuple[str, ...], DataFrame] = {}
         # Shared intermediates, set by ``persist_results``: the grain
         # statistics (one scan for all builders) and the pair+strategy streaks.
         self._stats: DataFrame | None = None
@@ -65,74 +90,95 @@ class Tables:
     def closed(self) -> DataFrame:
         return closed_filter(self.trades)
 
+    @property
+    def analysis_date(self):
+        return F.localtimestamp() if self.as_of is None else F.lit(self.as_of).cast("timestamp_ntz")
+
+    def _dated(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("analysis_date", self.analysis_date)
+
     @cached_property
     def performance_rankings(self) -> DataFrame:
-        return build_performance_rankings(self.closed, self.variant, stats=self.stats())
+        return self._dated(build_performance_rankings(self.closed, self.variant, stats=self.stats("performance_rankings")))
 
     @cached_property
     def risk_metrics(self) -> DataFrame:
-        return build_risk_metrics(self.closed, self.variant, stats=self.stats())
+        return self._dated(build_risk_metrics(self.closed, self.variant, stats=self.stats("risk_metrics")))
 
     @cached_property
     def strategy_performance(self) -> DataFrame:
-        return build_strategy_performance(
-            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self.stats(), streaks=self._streaks_for("strategy")
-        )
+        streaks = self.streaks("strategy") if self.variant == "sql" else None
+        return self._dated(build_strategy_performance(self.closed, self.variant, stats=self.stats("strategy_performance"), streaks=streaks))
 
     @cached_property
     def timing_analysis(self) -> DataFrame:
-        return build_timing_analysis(self.closed, self.variant, stats=self.stats())
+        return self._dated(build_timing_analysis(self.closed, self.variant, stats=self.stats("timing_analysis")))
 
     @cached_property
     def pair_analytics(self) -> DataFrame:
-        return build_pair_analytics(
-            self.closed, self.variant, bucket_ids=self.bucket_ids, stats=self.stats(), streaks=self._streaks_for("pair")
-        )
+        streaks = self.streaks("pair") if self.variant == "sql" else None
+        return self._dated(build_pair_analytics(self.closed, self.variant, stats=self.stats("pair_analytics"), streaks=streaks))
 
     @cached_property
     def stop_loss_analytics(self) -> DataFrame:
-        return build_stop_loss_analytics(self.closed, self.variant, stats=self.stats())
+        return self._dated(build_stop_loss_analytics(self.closed, self.variant, stats=self.stats("stop_loss_analytics")))
 
     @cached_property
     def duration_patterns(self) -> DataFrame:
-        return build_duration_patterns(self.closed, self.variant, stats=self.stats())
+        return self._dated(build_duration_patterns(self.closed, self.variant, stats=self.stats("duration_patterns")))
 
     @cached_property
     def bot_health_metrics(self) -> DataFrame:
-        return build_bot_health(self.closed, self.variant, as_of=self.as_of, stats=self.stats())
-
-    def stats(self) -> DataFrame:
-        """Grain statistics for all builders of this source: one scan,
-        checkpointed on first use (or the pinned copy after ``persist_results``)."""
-        if self._stats is None:
-            self._stats = _pin(grain_stats(self.closed))
-        return self._stats
+        return self._dated(build_bot_health(self.closed, self.variant, as_of=self.as_of, stats=self.stats("bot_health_metrics")))
+
+    def stats(self, table: str) -> DataFrame:
+        """Statistics of the grains that ``table`` needs: those of
+        ``persist_results``, or a plan of their own. Building it runs no job; where
+        several grains are read, the first action caches them after one scan."""
+        if self._stats is not None:
+            return self._stats
+        names = (POLLER_GRAINS_OF if self.variant == "poller" else {}).get(table, GRAINS_OF[table])
+        if tuple(names) not in self._lazy_stats:
+            df = grain_stats(self.closed, names)
+            if len(names) > 1:
+                df = df.cache()
+                self._cached.append(df)
+            self._lazy_stats[tuple(names)] = df
+        return self._lazy_stats[tuple(names)]
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def _streaks_for(self, key: str) -> DataFrame | None:
-        return None if self._streaks is None else streaks_for(self._streaks, key)
+    def streaks(self, key: str) -> DataFrame:
+        """Longest runs per ``key``: the pinned ones, or a plan for this key alone."""
+        if self._streaks is not None:
+            return streaks_for(self._streaks, key)
+        return max_streaks(self.closed, key, bucket_ids=self.bucket_ids)
 
     def persist_results(self, stats: DataFrame | None = None, streaks: DataFrame | None = None) -> "Tables":
         """Materialise every result table once (they are small: one row per
         pair/strategy/hour/...). The fact table is scanned once for the grain
         statistics and once for both streak keys; builders then only derive
-        from those small cached frames. Reports read the cached tables.
-        Precomputed (e.g. incrementally merged) statistics and streaks may be
-        passed in instead."""
+        from those small frames. Precomputed (e.g. incrementally merged)
+        statistics and streaks may be passed in instead."""
         self._stats = _pin(stats if stats is not None else grain_stats(self.closed))
         if self.variant == "sql":
             if streaks is None:
                 streaks = max_streaks_multi(self.closed, ["pair", "strategy"], bucket_ids=self.bucket_ids)
             self._streaks = _pin(streaks)
         for name in RESULT_TABLES:
-            # Result tables hold one row per group: one partition each keeps
-            # every later report to a single task per stage.
-            self.__dict__[name] = _pin(self.table(name).coalesce(1))
+            # Result tables hold one row per group: AQE merges their partitions.
+            self.__dict__[name] = _pin(self.table(name))
         return self
 
     def release(self) -> None:
-        for df in self._pinned:
+        """Drop cached statistics and forget the pinned tables. Their checkpoint
+        files go when the session's cleaner meets the unreferenced frames
+        (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+        for df in self._cached:
             df.unpersist()
-        self._pinned.clear()
+        self._cached.clear()
+        self._lazy_stats.clear()
+        self._stats = self._streaks = None
+        for name in RESULT_TABLES:
+            self.__dict__.pop(name, None)

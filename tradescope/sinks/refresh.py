@@ -1,17 +1,19 @@
-"""Writing results: versioned full refresh, subtype overwrite, upsert, run ledger,
+"""Writing results: versioned refresh, subtype overwrite, upsert, run ledger,
 metric history and CSV export.
 
 All outputs live under a root directory on shared storage (the cluster's
-checkpoint folder by default). A refresh writes every result table into a new
-version directory and only then moves the ``_CURRENT`` pointer, so a failed
-run never leaves a mix of old and new tables (the reference's failure path
-commits half-rebuilt tables). Writes are whole-directory overwrites keyed by
-run/batch id, so a retried task or a replayed batch is idempotent.
+checkpoint folder by default). A run writes every result table into a new
+version directory and then adds a pointer file that names it; readers take the
+newest pointer, so they see the old tables or the new ones and never a mix. The
+health snapshot follows the switch, so the history holds only versions that were
+current. Ledger and history rows are keyed on the run: a replayed batch
+replaces its own rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 import uuid
 
@@ -20,19 +22,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradescope.plans.tables import RESULT_TABLES, Tables
+from tradescope.sinks import logtable, storage
 
 LEDGER_SCHEMA = T.StructType(
     [
-        T.StructField("id", T.StringType(), False),
+        T.StructField("id", T.StringType(), True),
         T.StructField("snapshot_type", T.StringType(), True),
         T.StructField("records_processed", T.LongType(), True),
         T.StructField("status", T.StringType(), True),
         T.StructField("last_trade_id", T.LongType(), True),
-        T.StructField("last_analysis_run", T.TimestampType(), True),
+        T.StructField("closed_trades", T.LongType(), True),
+        T.StructField("last_analysis_run", T.TimestampNTZType(), True),
         T.StructField("error_message", T.StringType(), True),
     ]
 )
 
+HISTORY_SCHEMA = T.StructType(
+    [
+        T.StructField("metric_name", T.StringType(), True),
+        T.StructField("metric_value", T.DoubleType(), True),
+        T.StructField("health_status", T.StringType(), True),
+        T.StructField("analysis_date", T.TimestampNTZType(), True),
+        T.StructField("batch_id", T.LongType(), True),
+    ]
+)
+
 SUBTYPE_COLUMNS = {
     "performance_rankings": "ranking_type",
     "risk_metrics": "metric_type",
@@ -43,14 +57,19 @@ SUBTYPE_COLUMNS = {
 
 
 # ------------------------------------------------------------------ SNK-1
-def overwrite_subtypes(df: DataFrame, path: str, subtype_col: str) -> None:
-    """Replace only the subtypes present in ``df`` (``DELETE WHERE type=...; INSERT``)."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(subtype_col)
-        .parquet(path)
-    )
+def overwrite_subtypes(df: DataFrame, path: str, subtype_col: str, subtypes: list[str]) -> None:
+    """Replace the named subtypes by the rows of ``df`` (``DELETE WHERE type=...; INSERT``).
+
+    A subtype without rows ends up empty; subtypes that are not named stay as
+    they are, and rows of ``df`` of another subtype are an error of the caller.
+    """
+    spark = df.sparkSession
+    rows = df.where(F.col(subtype_col).isin(subtypes))
+    # The empty ones go first: dynamic overwrite only replaces partitions that get rows.
+    present = {r[0] for r in rows.select(subtype_col).distinct().collect()}  # one row per named subtype
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(subtype_col).parquet(path)
+    for name in set(subtypes) - present:
+        storage.delete(spark, os.path.join(path, f"{subtype_col}={name}"))
 
 
 # ------------------------------------------------------------------ SNK-3
@@ -64,70 +83,27 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new, cond, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-# ------------------------------------------------------------------ shared storage
-def _fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem for ``path`` (HDFS, object stores or local)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    if not exists(spark, path):
-        return None
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return None if line is None else str(line)
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
+# ------------------------------------------------------------------ SNK-2
+def _pointers(root: str) -> str:
+    return os.path.join(root, "pointers")
 
 
-# ------------------------------------------------------------------ SNK-2
 def current_version(spark: SparkSession, root: str) -> str | None:
-    text = _read_text(spark, os.path.join(root, "_CURRENT"))
+    """The version that the newest pointer names."""
+    names = [n for n in storage.list_files(spark, _pointers(root)) if not n.startswith(".")]
+    text = storage.read_text(spark, os.path.join(_pointers(root), names[-1])) if names else None
     return text.strip() if text and text.strip() else None
 
 
-def _switch(spark: SparkSession, root: str, version: str) -> None:
-    """Point readers at ``version``: write a temp file, then rename over the pointer."""
-    tmp = os.path.join(root, f"._CURRENT.{uuid.uuid4().hex}")
-    _write_text(spark, tmp, version)
-    fs, dst = _fs(spark, os.path.join(root, "_CURRENT"))
-    _fs_tmp, src = _fs(spark, tmp)
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(src, dst)
-
-
-def _list_dirs(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(name, modification time) of the sub-directories of ``path``."""
-    if not exists(spark, path):
-        return []
-    fs, p = _fs(spark, path)
-    return [(st.getPath().getName(), st.getModificationTime()) for st in fs.listStatus(p) if st.isDirectory()]
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+def _switch(spark: SparkSession, root: str, version: str, keep: int = 3) -> None:
+    """Point readers at ``version``: a pointer appears under its final name complete, older ones stay until then."""
+    names = [n for n in storage.list_files(spark, _pointers(root)) if not n.startswith(".")]
+    number = int(names[-1]) + 1 if names else 0
+    hidden = os.path.join(_pointers(root), f".{uuid.uuid4().hex}")
+    storage.write_text(spark, hidden, version)
+    storage.rename(spark, hidden, os.path.join(_pointers(root), f"{number:020d}"))
+    for name in names[: max(0, len(names) + 1 - keep)]:
+        storage.delete(spark, os.path.join(_pointers(root), name))
 
 
 def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
@@ -135,32 +111,36 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
     current one). Returns the removed version ids."""
     current = current_version(spark, root)
     base = os.path.join(root, "versions")
-    versions = sorted(_list_dirs(spark, base), key=lambda v: v[1], reverse=True)
+    versions = sorted(storage.list_dirs(spark, base), key=lambda v: v[1], reverse=True)
     removed = []
     for name, _mtime in versions[keep:]:
         if name != current:
-            _delete(spark, os.path.join(base, name))
+            storage.delete(spark, os.path.join(base, name))
             removed.append(name)
     return removed
 
 
 def write_version(tables: Tables, root: str, version: str) -> str:
-    """Write all eight result tables under ``root/versions/<version>/<table>``."""
+    """Write all eight result tables under ``root/versions/<version>/<table>``, each with its schema beside it."""
     base = os.path.join(root, "versions", version)
     for name in RESULT_TABLES:
         df = tables.table(name)
-        writer = df.coalesce(1).write.mode("overwrite")
+        writer = df.write.mode("overwrite")
         if name in SUBTYPE_COLUMNS:
             writer = writer.partitionBy(SUBTYPE_COLUMNS[name])
         writer.parquet(os.path.join(base, name))
+        storage.write_text(df.sparkSession, os.path.join(base, f"{name}.schema"), df.schema.json())
     return base
 
 
 def read_result(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A result table of the current version, also where it has no rows."""
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"no completed refresh under {root}")
-    return spark.read.parquet(os.path.join(root, "versions", version, name))
+    path = os.path.join(root, "versions", version, name)
+    schema = T.StructType.fromJson(json.loads(storage.read_text(spark, f"{path}.schema")))
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 # ------------------------------------------------------------------ SNK-5 / SNK-6
@@ -168,46 +148,31 @@ def ledger_path(root: str) -> str:
     return os.path.join(root, "analysis_snapshots")
 
 
-def append_ledger(spark: SparkSession, root: str, **row) -> None:
-    """One ledger row per state change (processing -> completed / failed)."""
-    values = {f.name: row.get(f.name) for f in LEDGER_SCHEMA.fields}
-    df = spark.createDataFrame([tuple(values[f.name] for f in LEDGER_SCHEMA.fields)], LEDGER_SCHEMA)
-    df.write.mode("append").parquet(ledger_path(root))
+def write_ledger(spark: SparkSession, root: str, **row) -> None:
+    """The state of one run (processing, then completed or failed); a later state replaces the earlier one."""
+    df = spark.createDataFrame([tuple(row.get(f.name) for f in LEDGER_SCHEMA.fields)], LEDGER_SCHEMA)
+    logtable.write_run(df, ledger_path(root), row["id"])
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    path = ledger_path(root)
-    if not exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-
-
-def latest_runs(ledger: DataFrame) -> DataFrame:
-    """Latest state of every run (``max_by`` over its state changes)."""
-    order = F.col("last_analysis_run")
-    return ledger.groupBy("id").agg(
-        *[F.max_by(c, order).alias(c) for c in ("snapshot_type", "records_processed", "status", "last_trade_id", "error_message")],
-        F.max(order).alias("last_analysis_run"),
-    )
+    """One row per run, its latest state."""
+    return logtable.read(spark, ledger_path(root), LEDGER_SCHEMA).drop("run")
 
 
 def ledger_report(ledger: DataFrame, k: int = 3) -> DataFrame:
     """SNK-6: the last ``k`` runs by time."""
     return (
-        latest_runs(ledger)
-        .orderBy(F.col("last_analysis_run").desc())
+        ledger.orderBy(F.col("last_analysis_run").desc(), "id")
         .limit(k)
         .select("snapshot_type", "status", "records_processed", F.col("last_analysis_run").alias("last_run"))
     )
 
 
-def last_processed_trade_id(spark: SparkSession, root: str) -> int:
-    """STR-1 cursor: highest ``last_trade_id`` of a completed run, 0 if none or unreadable."""
-    try:
-        row = latest_runs(read_ledger(spark, root)).where(F.col("status") == "completed").agg(F.max("last_trade_id")).first()
-        return int(row[0]) if row and row[0] is not None else 0
-    except Exception:  # noqa: BLE001 - a broken ledger restarts from the beginning
-        return 0
+def processed_so_far(spark: SparkSession, root: str) -> tuple[int, int]:
+    """STR-1: (highest trade id, closed trades) of the completed runs; zeros before the first one."""
+    done = read_ledger(spark, root).where(F.col("status") == "completed")
+    row = done.agg(F.max("last_trade_id").alias("id"), F.max_by("closed_trades", "last_analysis_run").alias("n")).first()
+    return row["id"] or 0, row["n"] or 0
 
 
 # ------------------------------------------------------------------ SNK-8
@@ -215,19 +180,20 @@ def history_path(root: str) -> str:
     return os.path.join(root, "bot_health_history")
 
 
-def append_health_snapshot(health: DataFrame, root: str, as_of: dt.datetime) -> None:
-    """Keep every refresh's health metrics, partitioned by analysis date."""
-    snap = health.drop("last_calculation").withColumn("analysis_date", F.lit(as_of).cast("timestamp"))
-    (
-        snap.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("analysis_date")
-        .parquet(history_path(root))
+def write_health_snapshot(health: DataFrame, root: str, run: str, as_of: dt.datetime, batch_id: int | None = None) -> None:
+    """Keep a run's health metrics with its analysis date."""
+    snap = health.select(
+        "metric_name", "metric_value", "health_status", F.lit(as_of).cast("timestamp_ntz").alias("analysis_date"), F.lit(batch_id).cast("long").alias("batch_id")
     )
+    logtable.write_run(snap, history_path(root), run)
+
+
+def read_health_history(spark: SparkSession, root: str) -> DataFrame:
+    return logtable.read(spark, history_path(root), HISTORY_SCHEMA)
 
 
 def health_history_lag(history: DataFrame) -> DataFrame:
-    """bh_history_lag: previous value and change per metric over the snapshots."""
+    """bh_history_lag: previous value and change per metric over the stored snapshots."""
     w = Window.partitionBy("metric_name").orderBy("analysis_date")
     prev = F.lag("metric_value").over(w)
     return history.select(
@@ -241,8 +207,9 @@ def health_history_lag(history: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ SNK-7
-def export_csv(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """CSV files with a header line; ``files=1`` for a table that is known to be small."""
+    (df if files is None else df.coalesce(files)).write.mode("overwrite").option("header", True).csv(path)
 
 
 # ------------------------------------------------------------------ refresh
@@ -255,47 +222,50 @@ def refresh(
     variant: str = "sql",
     as_of: dt.datetime | None = None,
     snapshot_type: str = "automated_analysis",
-    records: tuple[int, int] | None = None,
+    run_id: str | None = None,
+    batch_id: int | None = None,
+    counts: tuple[int, int, int] | None = None,
     stats: DataFrame | None = None,
     streaks: DataFrame | None = None,
     keep_versions: int = 3,
 ) -> dict:
-    """One analysis run: detect new closed trades after the
-    cursor, rebuild every result table into a new version, keep the health
-    snapshot, then switch the pointer and record the run.
-
-    ``full=True`` (SNK-9) ignores the cursor and always recomputes. A caller
-    that already knows the run's ``records=(new trades, max id)`` and holds
-    merged ``stats`` / ``streaks`` (the incremental stream) skips those scans.
-    Returns a small dict describing the run. Failures are recorded and re-raised.
+    """One analysis run: look for newly closed trades, rebuild
+    every result table into a new version, switch to it, keep the health
+    snapshot and record the run.
+
+    A trade counts as new when it has closed since the last completed run,
+    whatever its id, so the number of closed trades decides and not the highest
+    id. ``full=True`` (SNK-9) always recomputes. ``run_id`` names the run (a
+    stream names it after the batch, so a replay replaces its rows); a caller that
+    knows ``counts=(new, highest id, closed)`` and holds merged ``stats`` or
+    ``streaks`` saves those scans. Failures are recorded with their whole message
+    and raised again.
     """
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    if records is None:
-        cursor = 0 if full else last_processed_trade_id(spark, root)
-        closed = trades.where(~F.col("is_open"))
-        row = closed.agg(F.count(F.when(F.col("trade_id") > cursor, 1)).alias("new"), F.max("trade_id").alias("max_id")).first()
-        if row["new"] == 0 and not full:
-            return {"status": "skipped", "records_processed": 0, "last_trade_id": cursor}
-        records = (int(row["new"]), row["max_id"])
-    run_id = uuid.uuid4().hex
-    common = dict(id=run_id, snapshot_type=snapshot_type, records_processed=records[0], last_trade_id=records[1])
-    append_ledger(spark, root, status="processing", last_analysis_run=as_of, **common)
+    if counts is None:
+        top, known = processed_so_far(spark, root)
+        row = trades.where(~F.col("is_open")).agg(F.count(F.lit(1)).alias("n"), F.max("trade_id").alias("top")).first()
+        if not full and row["n"] == known and (row["top"] or 0) <= top:
+            return {"status": "skipped", "records_processed": 0, "last_trade_id": top}
+        counts = (int(row["n"]) - (0 if full else known), row["top"], int(row["n"]))
+    run_id = run_id or uuid.uuid4().hex
+    common = dict(id=run_id, snapshot_type=snapshot_type, records_processed=counts[0], last_trade_id=counts[1], closed_trades=counts[2], last_analysis_run=as_of)
+    write_ledger(spark, root, status="processing", **common)
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"  # a replay must not write into the version that is being read
     tables = Tables(trades, variant=variant, as_of=as_of)
     try:
         tables.persist_results(stats=stats, streaks=streaks)
-        write_version(tables, root, run_id)
-        append_health_snapshot(tables.bot_health_metrics, root, as_of)
-        _switch(spark, root, run_id)
+        write_version(tables, root, version)
+        _switch(spark, root, version)
+        write_health_snapshot(tables.bot_health_metrics, root, run_id, as_of, batch_id)
         prune_versions(spark, root, keep_versions)
-        append_ledger(spark, root, status="completed", last_analysis_run=as_of + dt.timedelta(microseconds=1), **common)
+        write_ledger(spark, root, status="completed", **common)
     except Exception as exc:
-        append_ledger(
-            spark, root, status="failed", error_message=str(exc)[:2000], last_analysis_run=as_of + dt.timedelta(microseconds=1), **common
-        )
+        write_ledger(spark, root, status="failed", error_message=str(exc), **common)
         raise
     finally:
         tables.release()
-    return {"status": "completed", "version": run_id, **{k: common[k] for k in ("records_processed", "last_trade_id")}}
+    return {"status": "completed", "version": version, "records_processed": counts[0], "last_trade_id": counts[1]}
 
 
 def status_changes(previous: DataFrame, current: DataFrame) -> DataFrame:

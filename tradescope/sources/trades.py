@@ -39,35 +39,77 @@ def load_trades(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.schema(TRADES_SCHEMA).format(fmt).load(path)
 
 
-def load_trades_jdbc(spark: SparkSession, url: str, table: str = "trades", **options: str) -> DataFrame:
+def jdbc_options(url: str, table: str = "trades", bounds: tuple[int, int] | None = None, partitions: int = 16) -> dict[str, str]:
+    """Reader options; with ``bounds`` of ``trade_id`` the table is read in ``partitions`` ranges of it, else in one task."""
+    options = {"url": url, "dbtable": table}
+    if bounds is not None:
+        options |= {"partitionColumn": "trade_id", "lowerBound": str(bounds[0]), "upperBound": str(bounds[1] + 1), "numPartitions": str(partitions)}
+    return options
+
+
+def load_trades_jdbc(
+    spark: SparkSession, url: str, table: str = "trades", bounds: tuple[int, int] | None = None, partitions: int = 16, **options: str
+) -> DataFrame:
     """SRC-1 over JDBC (e.g. a bot's SQLite file when its driver is on the classpath).
 
-    Partitioned reads are requested on ``trade_id`` when bounds are supplied.
+    Without ``bounds`` one small query asks the database for the least and the
+    greatest ``trade_id``, so the read itself is always in ranges.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return conform(reader.load())
+    reader = spark.read.format("jdbc").options(**options)
+    if bounds is None:
+        ends = f"(SELECT MIN(trade_id) AS low, MAX(trade_id) AS high FROM {table}) ends"
+        row = reader.options(**jdbc_options(url, ends)).load().first()
+        bounds = None if row[0] is None else (int(row[0]), int(row[1]))
+    return conform(spark.read.format("jdbc").options(**options, **jdbc_options(url, table, bounds, partitions)).load())
+
+
+# Spellings of a flag, compared in lower case; anything else is unknown (NULL).
+TRUE_WORDS = ("1", "true", "t", "yes", "y")
+FALSE_WORDS = ("0", "false", "f", "no", "n")
+
+
+def parse_flag(value: Column) -> Column:
+    text = F.lower(F.trim(value.cast("string")))
+    return F.when(text.isin(*TRUE_WORDS), True).when(text.isin(*FALSE_WORDS), False)
+
+
+def parse_timestamp(value: Column) -> Column:
+    return F.coalesce(value.try_cast(T.TimestampNTZType()), F.try_to_timestamp(value.cast("string")).cast(T.TimestampNTZType()))
+
+
+def rejects(raw: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """One row: how many rows came in and, per column ``<name>_rejected``, how many values did not parse.
+
+    ``parsed`` is ``conform`` (default) or ``normalize_trades``; a value counts
+    as rejected if it is present in its source column and NULL afterwards.
+    """
+    source = {n: n for n in TRADE_COLUMNS} if parsed is None or parsed is conform else UPSTREAM_OF
+    made = (parsed or conform)(raw.select("*", F.struct("*").alias("__raw")), keep="__raw")
+    lost = [
+        F.count(F.when(F.col(f"__raw.{source[n]}").isNotNull() & F.col(n).isNull(), 1)).alias(f"{n}_rejected")
+        for n in TRADE_COLUMNS
+        if source.get(n) in raw.columns
+    ]
+    return made.agg(F.count(F.lit(1)).alias("rows_read"), *lost)
 
 
-def conform(df: DataFrame) -> DataFrame:
+def conform(df: DataFrame, keep: str | None = None) -> DataFrame:
     """Cast a loosely typed trades frame to ``TRADES_SCHEMA``.
 
     Text numbers and dates are parsed with ``try_*`` casts so a malformed value
-    becomes NULL instead of failing the job (SQLite tolerates them).
+    becomes NULL instead of failing the job (SQLite tolerates them); ``rejects``
+    counts them. ``keep`` names one more column to pass on.
     """
-    cols = []
+    cols = [] if keep is None else [F.col(keep)]
     for field in TRADES_SCHEMA.fields:
         if field.name not in df.columns:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         c = F.col(field.name)
         if isinstance(field.dataType, T.BooleanType):
-            c = F.when(c.cast("string").isin("1", "true", "True"), True).when(
-                c.cast("string").isin("0", "false", "False"), False
-            )
+            c = parse_flag(c)
         elif isinstance(field.dataType, T.TimestampNTZType):
-            c = F.coalesce(c.try_cast(T.TimestampNTZType()), F.try_to_timestamp(c.cast("string")).cast(T.TimestampNTZType()))
+            c = parse_timestamp(c)
         else:
             c = c.try_cast(field.dataType)
         cols.append(c.alias(field.name))
@@ -80,23 +122,40 @@ def split_pair(pair: Column | str = "pair") -> tuple[Column, Column]:
     return F.split_part(p, F.lit("/"), F.lit(1)), F.split_part(p, F.lit("/"), F.lit(2))
 
 
-def normalize_trades(raw: DataFrame) -> DataFrame:
+# Column of the bot's own table that each of ours is parsed from.
+UPSTREAM_OF = {
+    "trade_id": "id",
+    "pair": "pair",
+    "is_open": "is_open",
+    "strategy": "strategy",
+    "profit_pct": "close_profit",
+    "profit_abs": "close_profit_abs",
+    "profit_ratio": "close_profit",
+    "exit_reason": "exit_reason",
+    "stop_loss_pct": "stop_loss_pct",
+    "stake_amount": "stake_amount",
+    "open_date": "open_date_utc",
+    "close_date": "close_date_utc",
+}
+
+
+def normalize_trades(raw: DataFrame, keep: str | None = None) -> DataFrame:
     """SRC-2: map the bot's own trade columns onto ``TRADES_SCHEMA``.
 
     id -> trade_id, close_profit -> profit_ratio (x100 -> profit_pct),
     close_profit_abs -> profit_abs, open/close_date_utc -> open/close_date,
     minutes between open and close -> trade_duration, pair split into
-    base/quote.
+    base/quote. Values that do not parse become NULL; ``rejects`` counts them.
     """
-    open_ts = F.col("open_date_utc").try_cast(T.TimestampNTZType())
-    close_ts = F.col("close_date_utc").try_cast(T.TimestampNTZType())
+    open_ts, close_ts = parse_timestamp(F.col("open_date_utc")), parse_timestamp(F.col("close_date_utc"))
     base, quote = split_pair("pair")
     return raw.select(
-        F.col("id").cast("long").alias("trade_id"),
+        *([] if keep is None else [F.col(keep)]),
+        F.col("id").try_cast("long").alias("trade_id"),
         F.col("pair"),
         base.alias("base_currency"),
         quote.alias("quote_currency"),
-        F.col("is_open").cast("string").isin("1", "true", "True").alias("is_open"),
+        parse_flag(F.col("is_open")).alias("is_open"),
         F.col("strategy"),
         (F.col("close_profit").try_cast("double") * F.lit(100.0)).alias("profit_pct"),
         F.col("close_profit_abs").try_cast("double").alias("profit_abs"),

@@ -3,23 +3,25 @@
 State under ``root`` (all on shared storage):
 
 * ``trades_by_bucket/bucket=<b>`` - closed trades partitioned by trade-id
-  bucket (2^20 ids). A batch rewrites only the buckets it touches: the
-  touched partitions are read back (dynamic partition pruning through a
-  semi-join with the batch's bucket ids), merged with the new trades
+  bucket (2^20 ids). A batch rewrites only the buckets it touches: they are
+  found with a semi-join on the batch's bucket ids, merged with the new trades
   (dedupe on ``trade_id`` inside the bucket - late closers and replayed
-  files), checkpointed to cut lineage, and written back with a dynamic
-  partition overwrite. Rows carry their ``batch_id`` so a replayed batch
-  rebuilds exactly the same partitions.
+  files), checkpointed to cut lineage, repartitioned by bucket, so that a bucket
+  is one file, and written back with a dynamic partition overwrite. Rows carry
+  their ``batch_id`` so a replayed batch rebuilds exactly the same partitions.
 * ``grain_stats/batch_id=<n>`` - the grain statistics of each batch's new
   trades; they are mergeable, so the current statistics are their merge. Every
   ``COMPACT_EVERY`` batches the merge is saved as ``grain_stats_base/upto=<n>``
-  and later reads start from it.
+  and later reads start from it; the result is the same either way.
 * ``streak_buckets/b=<b>`` - run summaries per (key, bucket), recomputed for
   the touched buckets only; the longest runs come from chaining the (small)
   summaries.
 
-VaR is an exact order statistic over all losing trades and still scans them
-(one pruned column with a pushed ``profit_pct < 0`` filter).
+A stored trade wins over a later row with its id, and of several rows with one id
+in a batch the one that closed last does: a close happens once. Corrections of
+stored trades need a full refresh from the source. VaR is an exact order
+statistic over all losing trades and still scans them (one pruned column with a
+pushed ``profit_pct < 0`` filter, twice).
 """
 
 from __future__ import annotations
@@ -29,16 +31,34 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradescope.operators.grains import grain_stats, merge_stats
 from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, bucket_summaries, chain_buckets, keyed_rows, split_keys
+from tradescope.session import ensure_checkpoint_dir
+from tradescope.sinks import logtable, storage
 from tradescope.sinks import refresh as sink
+from tradescope.sources.trades import TRADES_SCHEMA
 
 STREAK_KEYS = ["pair", "strategy"]
 # Fold per-batch statistics into a base snapshot after this many batches, so
 # the merge at read stays bounded however long the stream runs.
 COMPACT_EVERY = 32
 
+STORED_SCHEMA = T.StructType([*TRADES_SCHEMA.fields, T.StructField("batch_id", T.LongType(), True), T.StructField("bucket", T.LongType(), True)])
+
+ALERT_SCHEMA = T.StructType(
+    [
+        T.StructField("metric_name", T.StringType(), True),
+        T.StructField("metric_value", T.DoubleType(), True),
+        T.StructField("health_status", T.StringType(), True),
+        T.StructField("recommendation", T.StringType(), True),
+        T.StructField("previous_status", T.StringType(), True),
+        T.StructField("changed", T.BooleanType(), True),
+        T.StructField("batch_id", T.LongType(), True),
+    ]
+)
+
 
 def trades_path(root: str) -> str:
     return os.path.join(root, "trades_by_bucket")
@@ -56,6 +76,10 @@ def base_path(root: str) -> str:
     return os.path.join(root, "grain_stats_base")
 
 
+def alerts_path(root: str) -> str:
+    return os.path.join(root, "alerts")
+
+
 def current_stats(spark: SparkSession, root: str, batch_id: int, compact_every: int | None = None) -> DataFrame:
     """Merged statistics = latest base snapshot + batches after it. Every
     ``compact_every`` batches the merge is written as a new base (partition
@@ -63,18 +87,17 @@ def current_stats(spark: SparkSession, root: str, batch_id: int, compact_every:
     compact_every = compact_every or COMPACT_EVERY
     upto = -1
     parts = None
-    if sink.exists(spark, base_path(root)):
+    if storage.exists(spark, base_path(root)):
         bases = spark.read.parquet(base_path(root))
         upto = bases.agg(F.max("upto")).first()[0]
         parts = bases.where(F.col("upto") == upto).drop("upto")
     batches = spark.read.parquet(stats_path(root)).where(F.col("batch_id") > upto).drop("batch_id")
     parts = batches if parts is None else parts.unionByName(batches)
     merged = merge_stats(parts)
+    # A batch that is replayed after its base was written must not be folded twice.
     if batch_id - upto >= compact_every:
         snapshot = merged.checkpoint()
-        snapshot.withColumn("upto", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("upto").parquet(base_path(root))
+        _overwrite(snapshot.withColumn("upto", F.lit(batch_id).cast("long")), base_path(root), "upto")
         _drop_folded(spark, root, batch_id)
         return snapshot
     return merged
@@ -82,22 +105,31 @@ def current_stats(spark: SparkSession, root: str, batch_id: int, compact_every:
 
 def _drop_folded(spark: SparkSession, root: str, upto: int) -> None:
     """Retention after compaction: batch statistics and older bases now inside
-    the new base are removed (the new base alone is read from now on)."""
-    for name, _ in sink._list_dirs(spark, stats_path(root)):
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= upto:
-            sink._delete(spark, os.path.join(stats_path(root), name))
-    for name, _ in sink._list_dirs(spark, base_path(root)):
+    the new base are removed (the new base alone is read from now on). The newest
+    batch stays, as it may be replayed."""
+    for name, _ in storage.list_dirs(spark, stats_path(root)):
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < upto:
+            storage.delete(spark, os.path.join(stats_path(root), name))
+    for name, _ in storage.list_dirs(spark, base_path(root)):
         if name.startswith("upto=") and int(name.split("=", 1)[1]) < upto:
-            sink._delete(spark, os.path.join(base_path(root), name))
+            storage.delete(spark, os.path.join(base_path(root), name))
 
 
 def _overwrite(df: DataFrame, path: str, column: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    """Replace the partitions that ``df`` has rows of, one file each."""
+    df.repartition(column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def read_trades(spark: SparkSession, root: str) -> DataFrame | None:
     path = trades_path(root)
-    return spark.read.parquet(path) if sink.exists(spark, path) else None
+    return spark.read.schema(STORED_SCHEMA).parquet(path) if storage.exists(spark, path) else None
+
+
+def one_close_per_id(batch: DataFrame) -> DataFrame:
+    """Closed trades of a batch, the last close of each id (ties: the greatest row), by partial aggregation."""
+    rest = [c for c in TRADES_SCHEMA.names if c not in ("trade_id", "close_date")]
+    picked = batch.where(~F.col("is_open")).groupBy("trade_id").agg(F.max(F.struct("close_date", *rest)).alias("t"))
+    return picked.select("trade_id", "t.*").select(*TRADES_SCHEMA.names)
 
 
 def process_batch_incremental(
@@ -107,51 +139,47 @@ def process_batch_incremental(
     root: str,
     bucket_ids: int = DEFAULT_BUCKET_IDS,
     variant: str = "sql",
+    as_of: dt.datetime | None = None,
 ) -> dict:
+    """One micro-batch; replaying a batch leaves the same state. ``as_of`` is the time of the run unless given."""
+    ensure_checkpoint_dir(spark)
     incoming = (
-        batch.where(~F.col("is_open"))
-        .dropDuplicates(["trade_id"])
-        .withColumn("bucket", F.floor(F.col("trade_id") / F.lit(bucket_ids)))
+        one_close_per_id(batch)
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .withColumn("bucket", F.floor(F.col("trade_id") / F.lit(bucket_ids)))
     )
     stored = read_trades(spark, root)
-    if stored is not None:
-        # Bucket ids of one micro-batch: bounded by the batch size and, since
-        # ids grow with time, a handful in practice.
+    if stored is None:
+        content = incoming
+    else:
+        # The optimizer broadcasts the bucket ids where they are few, and prunes partitions with them.
         touched = incoming.select("bucket").distinct()
-        others = stored.join(F.broadcast(touched), "bucket", "left_semi").where(F.col("batch_id") != batch_id)
+        others = stored.join(touched, "bucket", "left_semi").where(F.col("batch_id") != batch_id)
         fresh = incoming.join(others.select("trade_id"), "trade_id", "left_anti")
-        content = others.unionByName(fresh.select(*others.columns))
-    else:
-        content = incoming
+        content = others.select(*STORED_SCHEMA.names).unionByName(fresh)
     # Lineage cut before overwriting the partitions it was read from.
-    from tradescope.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
     content = content.checkpoint()
-    _overwrite(content, trades_path(root), "bucket")
     fresh = content.where(F.col("batch_id") == batch_id).drop("bucket", "batch_id")
     row = fresh.agg(F.count(F.lit(1)).alias("n"), F.max("trade_id").alias("max_id")).first()
-    if row["n"] == 0:  # STR-2: nothing new
+    if row["n"] == 0:  # STR-2: nothing new, nothing is written
         return {"batch_id": batch_id, "status": "skipped"}
+    _overwrite(content, trades_path(root), "bucket")
 
     # Grain statistics of the new trades only; current = merge of all batches.
     _overwrite(grain_stats(fresh).withColumn("batch_id", F.lit(batch_id).cast("long")), stats_path(root), "batch_id")
     stats = current_stats(spark, root, batch_id)
 
-    trades = spark.read.parquet(trades_path(root))
+    trades = read_trades(spark, root)
     streaks = None
     if variant == "sql":
-        buckets = [r["bucket"] for r in content.select("bucket").distinct().collect()]
-        touched_rows = trades.where(F.col("bucket").isin(buckets))  # partition pruning
-        summaries = bucket_summaries(keyed_rows(touched_rows, STREAK_KEYS), bucket_ids)
-        _overwrite(summaries, streaks_path(root), "b")
+        # ``content`` holds the touched buckets whole.
+        _overwrite(bucket_summaries(keyed_rows(content, STREAK_KEYS, bucket_ids)), streaks_path(root), "b")
         streaks = split_keys(chain_buckets(spark.read.parquet(streaks_path(root))))
 
-    # Highest id so far: the ledger's cursor and this batch's maximum.
-    max_id = max(sink.last_processed_trade_id(spark, root), row["max_id"])
-    previous = latest_health(spark, root)
-    as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_id = f"batch-{batch_id:012d}"
+    earlier = sink.read_ledger(spark, root).where((F.col("status") == "completed") & (F.col("id") < run_id))
+    before = earlier.agg(F.max("last_trade_id").alias("id"), F.sum("records_processed").alias("n")).first()
+    previous = previous_health(spark, root, batch_id)
     run = sink.refresh(
         spark,
         trades.drop("bucket", "batch_id"),
@@ -160,34 +188,34 @@ def process_batch_incremental(
         variant=variant,
         as_of=as_of,
         snapshot_type="stream_batch",
-        records=(int(row["n"]), max_id),
+        run_id=run_id,
+        batch_id=batch_id,
+        counts=(int(row["n"]), max(before["id"] or 0, row["max_id"]), int(row["n"]) + (before["n"] or 0)),
         stats=stats,
         streaks=streaks,
     )
-    record_alerts(spark, root, previous, batch_id)
+    if previous is not None:
+        record_alerts(spark, root, previous, batch_id)
     return {"batch_id": batch_id, **run}
 
 
-def latest_health(spark: SparkSession, root: str) -> DataFrame | None:
-    """The last health snapshot (cached: it is about to be superseded)."""
-    if not sink.exists(spark, sink.history_path(root)):
+def previous_health(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
+    """The health snapshot of the last batch before this one (eleven rows)."""
+    earlier = sink.read_health_history(spark, root).where(F.col("batch_id") < batch_id)
+    last = earlier.agg(F.max("batch_id")).first()[0]
+    if last is None:
         return None
-    hist = spark.read.parquet(sink.history_path(root))
-    last = hist.agg(F.max("analysis_date")).first()[0]
-    snap = hist.where(F.col("analysis_date") == F.lit(last)).cache()
-    snap.count()
-    return snap
+    rows = earlier.where(F.col("batch_id") == last)
+    # A copy: the run that follows may rewrite the files these rows come from.
+    return spark.createDataFrame(rows.collect(), rows.schema)
 
 
-def alerts_path(root: str) -> str:
-    return os.path.join(root, "alerts")
-
-
-def record_alerts(spark: SparkSession, root: str, previous: DataFrame | None, batch_id: int) -> None:
-    """STR-7: status changes against the previous snapshot plus current alerts."""
-    if previous is None:
-        return
+def record_alerts(spark: SparkSession, root: str, previous: DataFrame, batch_id: int) -> None:
+    """STR-7: status changes against the previous batch plus current alerts."""
     current = sink.read_result(spark, root, "bot_health_metrics")
     alerts = sink.status_changes(previous, current).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _overwrite(alerts, alerts_path(root), "batch_id")
-    previous.unpersist()
+    logtable.write_run(alerts.select(*ALERT_SCHEMA.names), alerts_path(root), f"batch-{batch_id:012d}")
+
+
+def read_alerts(spark: SparkSession, root: str) -> DataFrame:
+    return logtable.read(spark, alerts_path(root), ALERT_SCHEMA).drop("run")

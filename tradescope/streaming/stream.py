@@ -3,15 +3,9 @@
 The reference polls every five minutes for closed trades with an id above
 its cursor and then recomputes everything. Here the *close event* is the
 stream: closed trades arrive as files (or any streaming source), and each
-micro-batch
-
-1. drops trades already stored (``left_anti`` on ``trade_id``), so a trade with
-   a lower id that closes late is still picked up (the id cursor would miss
-   it) and a replayed file is not double counted;
-2. stores the new trades under ``batch_id=<n>`` with a dynamic partition
-   overwrite, so a retried batch rewrites its own partition (idempotent);
-3. runs the versioned refresh over the stored trades and records alerts for
-   health metrics whose status changed.
+micro-batch goes through ``streaming.incremental``, which keeps what it has
+seen, so a trade with a lower id that closes late is still picked up, and a
+replayed file or batch changes nothing.
 
 Source offsets live in the checkpoint, so a restarted query resumes where it
 stopped; ``availableNow`` gives the reference's one-shot run and a
@@ -21,72 +15,16 @@ processing-time trigger its five-minute cadence.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradescope.sinks import refresh as sink
 from tradescope.sources.trades import TRADES_SCHEMA
+from tradescope.streaming.incremental import process_batch_incremental
 
 DEFAULT_INTERVAL = "5 minutes"
 
 
-def store_path(root: str) -> str:
-    return os.path.join(root, "trades_store")
-
-
-def alerts_path(root: str) -> str:
-    return os.path.join(root, "alerts")
-
-
-def read_store(spark: SparkSession, root: str) -> DataFrame | None:
-    path = store_path(root)
-    if not sink.exists(spark, path):
-        return None
-    return spark.read.parquet(path)
-
-
-def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str, variant: str = "sql") -> dict:
-    """One micro-batch of closed trades (also callable directly for tests)."""
-    fresh = batch.where(~F.col("is_open")).dropDuplicates(["trade_id"])
-    stored = read_store(spark, root)
-    if stored is not None:
-        # Ids stored by earlier batches only: a replay of this batch rewrites it.
-        known = stored.where(F.col("batch_id") < batch_id).select("trade_id")
-        fresh = fresh.join(known, "trade_id", "left_anti")
-    fresh = fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    (
-        fresh.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(store_path(root))
-    )
-    stored = read_store(spark, root)
-    n_new = stored.where(F.col("batch_id") == batch_id).limit(1).count()
-    if n_new == 0:  # STR-2: nothing new, nothing to do
-        return {"batch_id": batch_id, "status": "skipped"}
-    previous = None
-    if sink.exists(spark, sink.history_path(root)):
-        previous = spark.read.parquet(sink.history_path(root))
-        last = previous.agg(F.max("analysis_date")).first()[0]
-        previous = previous.where(F.col("analysis_date") == F.lit(last)).cache()
-        previous.count()
-    as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    run = sink.refresh(spark, stored.drop("batch_id"), root, full=True, variant=variant, as_of=as_of, snapshot_type="stream_batch")
-    if previous is not None:
-        current = sink.read_result(spark, root, "bot_health_metrics")
-        alerts = sink.status_changes(previous, current).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        (
-            alerts.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(alerts_path(root))
-        )
-        previous.unpersist()
-    return {"batch_id": batch_id, **run}
-
-
 def closed_trade_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(TRADES_SCHEMA)
     if max_files_per_trigger:
@@ -104,21 +42,19 @@ def stream_refresh(
     interval: str = DEFAULT_INTERVAL,
     max_files_per_trigger: int | None = None,
     variant: str = "sql",
-    incremental: bool = True,
+    as_of: dt.datetime | None = None,
 ):
     """STR-3/4/5: start the refresh stream; returns the ``StreamingQuery``.
 
-    ``incremental=True`` (default) maintains bucketed trades, per-batch grain
-    statistics and streak summaries (``streaming.incremental``);
-    ``incremental=False`` recomputes everything per batch like the reference.
+    With ``as_of`` the n-th batch is dated n hours after it, for results that
+    can be compared; without it, at the time it runs.
     """
-    from tradescope.streaming.incremental import process_batch_incremental
 
-    stream = closed_trade_stream(spark, source_dir, max_files_per_trigger)
-    step = process_batch_incremental if incremental else process_batch
-    writer = stream.writeStream.foreachBatch(lambda df, bid: step(spark, df, bid, root, variant=variant)).option(
-        "checkpointLocation", checkpoint
-    )
+    def step(df: DataFrame, batch_id: int) -> None:
+        date = None if as_of is None else as_of + dt.timedelta(hours=batch_id)
+        process_batch_incremental(spark, df, batch_id, root, variant=variant, as_of=date)
+
+    writer = closed_trade_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
@@ -150,25 +86,8 @@ def live_window_stats(closed_stream: DataFrame, window: str = "1 hour", watermar
     )
 
 
-def write_close_ordered_files(trades: DataFrame, out_dir: str, n_files: int) -> list:
-    """Streaming fixture: closed trades split by close time into ``n_files``
-    appends (earliest first). Trades with no close time go first. Because
-    durations differ, trade ids arrive out of order (late closers)."""
-    closed = trades.where(~F.col("is_open"))
-    probs = [i / n_files for i in range(1, n_files)]
-    bounds = closed.where(F.col("close_date").isNotNull()).select(F.unix_micros(F.col("close_date").cast("timestamp")).alias("u")).approxQuantile(
-        "u", probs, 0.0
-    )
-    u = F.unix_micros(F.col("close_date").cast("timestamp"))
-    edges = [None, *bounds, None]
-    for i in range(n_files):
-        lo, hi = edges[i], edges[i + 1]
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (u > F.lit(int(lo)))
-        if hi is not None:
-            cond = cond & (u <= F.lit(int(hi)))
-        if i == 0:
-            cond = cond | F.col("close_date").isNull()
-        closed.where(cond).coalesce(1).write.mode("append").parquet(out_dir)
-    return bounds
+def write_windows(windows: DataFrame, out: str, checkpoint: str, interval: str | None = None):
+    """STR-8: append each window once it is final to Parquet files; returns the ``StreamingQuery``."""
+    writer = windows.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
+    return writer.start()
