@@ -48,15 +48,23 @@ def get_spark(master: str | None = None, app: str = "tradescope", **conf: str) -
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) do we create a scratch directory and register it.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    local session gets a scratch directory; on a cluster every executor would
+    write to its own disk there, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder with master {sc.master}")
         current = tempfile.mkdtemp(prefix="tradescope-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
