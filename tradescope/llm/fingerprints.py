@@ -32,41 +32,45 @@ HALVES = 0x100000001
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
 
 
-def terms(text: Column) -> Column:
-    """Neighbouring words ``struct<word, after>``; a text without words is one word, itself."""
-    words = F.filter(F.split(F.lower(text), NOT_A_WORD), lambda w: w != "")
-    words = F.when(F.size(words) > 0, words).otherwise(F.array(text))
-    return F.arrays_zip(words.alias("word"), F.slice(words, F.lit(2), F.size(words)).alias("after"))
-
-
-def _votes(bits: Column, weight: Column, name: str) -> list[Column]:
-    return [F.sum(F.shiftright(bits, i).bitwiseAND(F.lit(HALVES)) * weight).alias(f"{name}{i}") for i in range(32)]
-
-
-def _signs(name: str) -> Column:
-    """64 bits from 32 sums of two votes each."""
-    out = F.lit(0).cast("long")
-    for i in range(32):
-        for shift, votes in ((i, F.col(f"{name}{i}").bitwiseAND(F.lit(0xFFFFFFFF))), (i + 32, F.shiftrightunsigned(F.col(f"{name}{i}"), 32))):
-            # 1 << 63 is the sign bit of a long
-            bit = F.lit((1 << shift) - (1 << 64) * (shift == 63)).cast("long")
-            out = out.bitwiseOR(F.when(votes * 2 > F.col("weight"), bit).otherwise(F.lit(0).cast("long")))
-    return out
+def with_terms(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys, place, term struct<word, after>``: neighbouring words; a text without words is one word, itself."""
+    words = texts.select(*keys, text, F.filter(F.split(F.lower(text), NOT_A_WORD), lambda w: w != "").alias("words"))
+    # Each step is a projection of its own, so that no text is split more than once.
+    words = words.select(*keys, F.when(F.size("words") > 0, F.col("words")).otherwise(F.array(text)).alias("words"))
+    words = words.select(*keys, "words", F.slice("words", F.lit(2), F.size("words")).alias("after"))
+    return words.select(*keys, F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.col("after"))).alias("place", "term"))
+
+
+def _votes(bits: str, weight: str) -> list[Column]:
+    return [F.sum(F.shiftright(F.col(bits), i).bitwiseAND(F.lit(HALVES)) * F.col(weight)).alias(f"{bits}{i}") for i in range(32)]
+
+
+def _signs(bits: str, weight: str) -> Column:
+    """64 bits from 32 sums of two votes each, set where the votes outweigh half of all."""
+    sums = F.array(*[F.col(f"{bits}{i}") for i in range(32)])
+    return F.aggregate(
+        F.transform(
+            sums,
+            lambda v, i: F.when(v.bitwiseAND(F.lit(0xFFFFFFFF)) * 2 > F.col(weight), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+            + F.when(F.shiftrightunsigned(v, 32) * 2 > F.col(weight), F.call_function("shiftleft", F.lit(1).cast("long"), i + 32)).otherwise(F.lit(0).cast("long")),
+        ),
+        F.lit(0).cast("long"),
+        lambda bits_so_far, pair: bits_so_far.bitwiseOR(pair),
+    )
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``keys, copies, high, low`` for each distinct combination of ``keys``, which must determine ``text``."""
-    term = texts.select(*keys, F.posexplode(terms(F.col(text))).alias("place", "term"))
     first = F.xxhash64("term.word", "term.after")
     weight = F.least(F.char_length("term.word"), F.lit(HEAVIEST)).cast("long")
-    hashed = term.select(*keys, "place", weight.alias("weight"), first.alias("h"), F.xxhash64(first, F.lit(1)).alias("l"))
+    hashed = with_terms(texts, keys, text).select(*keys, "place", weight.alias("weight"), first.alias("h"), F.xxhash64(first, F.lit(1)).alias("l"))
     votes = hashed.groupBy(*keys).agg(
-        F.sum("weight").alias("weight"),
+        F.sum("weight").alias("total"),
         F.sum(F.when(F.col("place") == 0, 1).otherwise(0)).alias("copies"),
-        *_votes(F.col("h"), F.col("weight"), "h"),
-        *_votes(F.col("l"), F.col("weight"), "l"),
+        *_votes("h", "weight"),
+        *_votes("l", "weight"),
     )
-    return votes.select(*keys, "copies", _signs("h").alias("high"), _signs("l").alias("low"))
+    return votes.select(*keys, "copies", _signs("h", "total").alias("high"), _signs("l", "total").alias("low"))
 
 
 def distance(high_a: Column, low_a: Column, high_b: Column, low_b: Column) -> Column:
