@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import re
 
-from tradescope.functions import labels as L
-from tradescope.functions.bands import band_sql, sql_str
-from tradescope.sources.trades import EVENT_PROFIT_OFFSETS
+from oracle import values as L
+from oracle.sql import band_sql, sql_str
+from oracle.values import EVENT_PROFIT_OFFSETS
 
 _NUM = re.compile(r"(?<![\w.])(\d+\.\d+)(?![\w.])")
 
@@ -474,5 +474,10 @@ def all_ctes() -> str:
     return sql
 
 
-def with_prelude(body: str) -> str:
-    return expand("WITH " + all_ctes() + "\n" + body)
+def with_prelude(body: str, trades: str | None = None) -> str:
+    """The whole query; ``trades`` names a table to read instead of the fixture trades."""
+    ctes = all_ctes()
+    if trades is not None:
+        given = f"trades AS (SELECT * FROM {trades}),\nclosed AS (SELECT * FROM trades WHERE NOT is_open)"
+        ctes = ctes.replace(TRADES.strip("\n"), given)
+    return expand("WITH " + ctes + "\n" + body)

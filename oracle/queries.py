@@ -6,8 +6,8 @@ spelled out with explicit NULLS FIRST/LAST (DuckDB's default differs).
 
 from __future__ import annotations
 
-from tradescope.functions import labels as L
-from tradescope.functions.bands import band_sql, sql_str
+from oracle import values as L
+from oracle.sql import band_sql, sql_str
 
 WIN = "CASE WHEN profit_pct > 0 THEN 1.0 ELSE 0.0 END"
 PR = "(SELECT * FROM performance_rankings WHERE ranking_type = 'by_pair')"
@@ -684,12 +684,9 @@ def _dup(table, keys):
 
 
 def _key_unique():
-    from tradescope.plans.tables import NATURAL_KEYS
+    return "\nUNION ALL\n".join(_dup(t, keys) for t, (keys, _, _) in CELLS.items())
 
-    return "\nUNION ALL\n".join(_dup(t, k) for t, k in NATURAL_KEYS.items())
 
-
-Q["dq_key_unique"] = _key_unique()
 Q["dq_trades_nulls"] = "SELECT count(*) AS total_trades, count(profit_pct) AS trades_with_profit, count(trade_duration) AS trades_with_duration FROM closed"
 
 # ----------------------------------------------------------------- guide queries
@@ -760,6 +757,7 @@ def _cells() -> str:
     return "\nUNION ALL\n".join(out)
 
 
+Q["dq_key_unique"] = _key_unique()
 Q["str_stream_refresh"] = _cells()
 Q["str_live_windows"] = f"""
 SELECT time_bucket(INTERVAL '1 hour', close_date) AS window_start, time_bucket(INTERVAL '1 hour', close_date) + INTERVAL '1 hour' AS window_end,
@@ -829,6 +827,42 @@ Q["src_rejects"] = """
 SELECT count(*) AS rows_read, CAST(0 AS BIGINT) AS trade_id_rejected, count(CASE WHEN trade_id % 7 = 0 THEN 1 END) AS is_open_rejected,
   count(CASE WHEN trade_id % 7 = 0 THEN 1 END) AS profit_pct_rejected, count(CASE WHEN trade_id % 11 = 0 THEN 1 END) AS open_date_rejected
 FROM trades"""
+_BOTS = """
+, bots AS (
+  SELECT 'bot_a' AS bot_id, trade_id, pair, strategy, profit_pct, profit_abs FROM closed
+  UNION ALL SELECT 'bot_b', trade_id // 3, pair, strategy, profit_pct, profit_abs FROM closed WHERE trade_id % 3 = 0
+)"""
+Q["bots_rankings"] = _BOTS + f"""
+SELECT bot_id, pair AS entity_name, avg(profit_pct) AS profit_pct, sum(profit_abs) AS profit_abs, count(*) AS trade_count, avg({WIN}) AS win_rate,
+  CAST(row_number() OVER (PARTITION BY bot_id ORDER BY avg(profit_pct) DESC NULLS LAST, pair ASC NULLS FIRST) AS INTEGER) AS rank_position
+FROM bots GROUP BY bot_id, pair"""
+Q["bots_strategies"] = _BOTS + f"""
+, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY bot_id, strategy ORDER BY trade_id) AS rn,
+    row_number() OVER (PARTITION BY bot_id, strategy, coalesce(profit_pct > 0, false) ORDER BY trade_id) AS rw,
+    row_number() OVER (PARTITION BY bot_id, strategy, coalesce(profit_pct <= 0, false) ORDER BY trade_id) AS rl
+  FROM bots
+),
+runs AS (
+  SELECT bot_id, strategy, count(*) AS w, NULL AS l FROM numbered WHERE profit_pct > 0 GROUP BY bot_id, strategy, rn - rw
+  UNION ALL SELECT bot_id, strategy, NULL, count(*) FROM numbered WHERE profit_pct <= 0 GROUP BY bot_id, strategy, rn - rl
+),
+longest AS (SELECT bot_id, strategy, max(w) AS max_consecutive_wins, max(l) AS max_consecutive_losses FROM runs GROUP BY bot_id, strategy)
+SELECT b.bot_id, b.strategy AS strategy_name, count(*) AS total_trades,
+  ISUM(CASE WHEN profit_pct > 0 THEN 1 ELSE 0 END) AS winning_trades, ISUM(CASE WHEN profit_pct <= 0 THEN 1 ELSE 0 END) AS losing_trades,
+  avg({WIN}) AS win_rate, avg(profit_pct) AS avg_profit_pct,
+  CASE WHEN sum(CASE WHEN profit_abs < 0 THEN abs(profit_abs) ELSE 0.0 END) > 0
+       THEN sum(CASE WHEN profit_abs > 0 THEN profit_abs ELSE 0.0 END) / sum(CASE WHEN profit_abs < 0 THEN abs(profit_abs) ELSE 0.0 END)
+       ELSE 0.0 END AS profit_factor,
+  CASE WHEN count(*) > 1 THEN (CASE WHEN {_sd()} > 0 THEN avg(profit_pct) / {_sd()} ELSE 0.0 END) END AS sharpe_ratio,
+  max(max_consecutive_wins) AS max_consecutive_wins, max(max_consecutive_losses) AS max_consecutive_losses
+FROM bots b LEFT JOIN longest g ON g.bot_id = b.bot_id AND g.strategy = b.strategy GROUP BY b.bot_id, b.strategy"""
+Q["bots_var"] = _BOTS + """
+, losers AS (
+  SELECT bot_id, profit_pct, row_number() OVER (PARTITION BY bot_id ORDER BY profit_pct) AS rn, count(*) OVER (PARTITION BY bot_id) AS n
+  FROM bots WHERE profit_pct < 0
+)
+SELECT bot_id, max(profit_pct) AS var_95_pct FROM losers WHERE rn = CAST(floor(n * 0.05) AS BIGINT) + 1 GROUP BY bot_id"""
 Q["src_normalize_trades"] = """
 SELECT trade_id, pair, base_currency, quote_currency, is_open, strategy, profit_ratio * 100.0 AS profit_pct, profit_abs, profit_ratio,
   date_sub('minute', open_date, close_date) AS trade_duration, exit_reason, stop_loss_pct, stake_amount, open_date, close_date

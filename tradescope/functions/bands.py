@@ -1,4 +1,4 @@
-"""First-match banding, as a Spark ``Column`` and as SQL text for the oracle."""
+"""First-match banding as a Spark ``Column``."""
 
 from __future__ import annotations
 
@@ -23,20 +23,6 @@ def band(col: Column | str, bands, else_label: str) -> Column:
     return expr.otherwise(F.lit(else_label))
 
 
-def band_sql(col: str, bands, else_label: str) -> str:
-    """The same banding as a SQL ``CASE`` expression."""
-    arms = " ".join(f"WHEN {col} {op} {_sql_num(t)} THEN {sql_str(label)}" for op, t, label in bands)
-    return f"CASE {arms} ELSE {sql_str(else_label)} END"
-
-
-def sql_str(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _sql_num(v) -> str:
-    return f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else str(v)
-
-
 def pick(pairs, else_value) -> Column:
     """First-match ``F.when`` over ``(condition, value)`` pairs."""
     expr = None

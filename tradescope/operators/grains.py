@@ -166,6 +166,11 @@ def grain_stats(closed: DataFrame, names: list[str] | None = None) -> DataFrame:
     return _keyed(closed).groupingSets(sets, *KEYS).agg(F.grouping_id(*KEYS).alias("gid"), *_stats())
 
 
+def stats_by(trades: DataFrame, keys: list[str]) -> DataFrame:
+    """The statistics of closed trades grouped by any columns, e.g. by bot and pair."""
+    return trades.where(~F.col("is_open")).groupBy(*keys).agg(*_stats())
+
+
 def stats_for(closed: DataFrame, names: list[str], stats: DataFrame | None = None) -> DataFrame:
     """Given statistics, or those of the named grains of ``closed``.
 

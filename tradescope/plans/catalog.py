@@ -171,7 +171,37 @@ def src_rejects(t: Tables) -> DataFrame:
     return rejects(raw).select("rows_read", "trade_id_rejected", "is_open_rejected", "profit_pct_rejected", "open_date_rejected")
 
 
+def _two_bots(t: Tables) -> DataFrame:
+    """Two bots whose trade ids collide: the second has a third of the trades, numbered anew by the first one's ids."""
+    from tradescope.sources.trades import union_bots
+
+    second = t.trades.where("trade_id % 3 = 0").withColumn("trade_id", F.floor(F.col("trade_id") / 3))
+    return union_bots({"bot_a": t.trades, "bot_b": second})
+
+
+def bots_rankings(t: Tables) -> DataFrame:
+    from tradescope.operators.bots import rankings_by_bot
+
+    return rankings_by_bot(_two_bots(t))
+
+
+def bots_strategies(t: Tables) -> DataFrame:
+    from tradescope.operators.bots import strategies_by_bot
+
+    return strategies_by_bot(_two_bots(t), t.bucket_ids)
+
+
+def bots_var(t: Tables) -> DataFrame:
+    from tradescope.operators.bots import var_of_bot
+
+    both = _two_bots(t)
+    return var_of_bot(both, "bot_a").unionByName(var_of_bot(both, "bot_b"))
+
+
 SOURCES = {
+    "bots_rankings": bots_rankings,
+    "bots_strategies": bots_strategies,
+    "bots_var": bots_var,
     "src_open_closed_counts": lambda t: open_closed_counts(t.trades),
     "src_rejects": src_rejects,
 }
