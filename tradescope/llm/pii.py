@@ -1,8 +1,9 @@
 """Personal data in texts: patterns propose, checksums confirm, context adjusts.
 
 Base kinds (``email``, ``ip``, ``card``, ``phone``) follow fixed patterns and are
-always reported. The method adds two kinds on top: ``iban`` (ISO 7064 mod-97
-confirms) and ``id`` (a bare national or account number, which only counts
+always reported. The method adds to them: cards and phone numbers in a usual
+layout that a longer run of digits hid from the fixed patterns, ``iban`` (ISO 7064
+mod-97 confirms) and ``id`` (a bare national or account number, which only counts
 where a cue word stands near). Every span gets a score: a prior by kind, raised
 when a checksum holds, moved by cue words around it. Added spans are kept from
 ``MIN_SCORE`` on; the score never removes a base span.
@@ -34,6 +35,9 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 BARE_ID = re.compile(r"(?<![A-Za-z0-9.+-])[0-9]{3}(?:[ -]?[0-9]){4,14}(?![0-9A-Za-z])")
+#: Usual layouts within a run of digits that fails as a whole.
+LAID_OUT_CARD = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])")
+LAID_OUT_PHONE = re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])")
 NOT_DIGIT = re.compile(r"[^0-9]")
 WORD = re.compile(r"\w+")
 
@@ -120,6 +124,13 @@ def find_spans(text: str) -> list[Span]:
     base = base_spans(text)
     out = [Span(kind, a, b, score(text, kind, a, kind == "card")) for kind, a, b in base]
     free = Gaps([(a, b) for _, a, b in base])
+    for m in LAID_OUT_PHONE.finditer(text):
+        out += propose(text, free, "phone", m.start(), m.end(), False)
+    free = Gaps([(s.start, s.end) for s in out])
+    for m in LAID_OUT_CARD.finditer(text):
+        if luhn(NOT_DIGIT.sub("", m[0])):
+            out += propose(text, free, "card", m.start(), m.end(), True)
+    free = Gaps([(s.start, s.end) for s in out])
     for m in IBAN.finditer(text):
         # Words in capitals may follow: the longest run of whole groups that the checksum confirms counts.
         found = m[0]
@@ -130,7 +141,7 @@ def find_spans(text: str) -> list[Span]:
     free = Gaps([(s.start, s.end) for s in out])
     for m in BARE_ID.finditer(text):
         out += propose(text, free, "id", m.start(), m.end(), False)
-    return out
+    return sorted(out, key=lambda s: (KINDS.index(s.kind), s.start))
 
 
 class Gaps:
@@ -199,15 +210,17 @@ def n_chars(text: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Counts and digests of the base spans, and all spans as text, per document; see ``detect`` for the edge cases."""
+    """Counts and digests of the base spans, and all spans as text, per document; see ``detect`` for the edge cases.
+
+    ``n_<kind>`` counts base spans of the base kinds, and the spans of the added kinds.
+    """
 
     def run(cols):
         out = {"doc_id": cols["doc_id"]} | {k: [] for k in (*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "scores")}
         for text in cols["text"]:
-            spans = find_spans(text)
-            base = [s[:3] for s in spans if s.kind in BASE_KINDS]
+            spans, base = find_spans(text), base_spans(text)
             for k in KINDS:
-                out[f"n_{k}"].append(sum(s.kind == k for s in spans))
+                out[f"n_{k}"].append(sum(s[0] == k for s in (base if k in BASE_KINDS else spans)))
             out["base_sha256"].append(sha256_hex(span_list(base)))
             out["spans"].append(span_list(s[:3] for s in spans))
             out["scores"].append([s.score for s in spans])
