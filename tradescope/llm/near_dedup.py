@@ -55,6 +55,8 @@ MOST_BITS = 45
 #: Components of the finer signature, one byte each: a pair at the threshold agrees in 80 % (standard deviation 1.25 %).
 FINE = 1024
 LEAST_FINE = 0.75
+#: Characters of the texts that get finer signatures together.
+FINE_CHARS = 100_000
 #: Members of a large bucket that one task compares at a time.
 CHUNK = 2048
 SKETCH = [f"s{k}" for k in range(COMPONENTS // 64)]
@@ -309,7 +311,7 @@ def fine_signatures(texts: DataFrame) -> DataFrame:
 
     def run(cols):
         out = {"content": [], "fine": []}
-        for a, b in groups_by_size(cols["text"]):
+        for a, b in groups_by_size(cols["text"], FINE_CHARS):
             hashes, counts = word_hashes(cols["text"][a:b])
             keys, full = content_keys(hashes, counts), np.flatnonzero(counts)
             text, shingle, weight = shingles(hashes, counts[full])
@@ -324,22 +326,31 @@ def fine_signatures(texts: DataFrame) -> DataFrame:
 
 
 def close_pairs(outside: pa.Table, members: pa.Table) -> pa.Table:
-    """Pairs of a row outside and a member with another label that the sketch and the finer signature let pass."""
+    """Pairs of a row outside and a member with another label that the sketch and the finer signature let pass.
+
+    Two texts may share several buckets; the first of these passes their pair on.
+    """
     out: dict[str, list[bytes]] = {"a": [], "b": []}
     if outside.num_rows and members.num_rows:
         sketch = [np.stack([t.column(s).to_numpy() for s in SKETCH], axis=1).view(U) for t in (outside, members)]
         fine = [np.frombuffer(b"".join(t.column("fine").to_pylist()), dtype=np.uint8).reshape(-1, FINE) for t in (outside, members)]
         names = [t.column("content").to_pylist() for t in (outside, members)]
+        buckets = [t.column("buckets").to_pylist() for t in (outside, members)]
+        here, apart = outside.column("bucket")[0].as_py(), members.column("outside").to_pylist()
         number = {x: k for k, x in enumerate({*outside.column("label").to_pylist(), *members.column("label").to_pylist()})}
         label = [np.array([number[x] for x in t.column("label").to_pylist()]) for t in (outside, members)]
         for i, name in enumerate(names[0]):
             bits = np.bitwise_count(sketch[0][i] ^ sketch[1]).sum(axis=1)
             near = np.flatnonzero((bits <= MOST_BITS) & (label[1] != label[0][i]))
             equal = (fine[1][near] == fine[0][i]).mean(axis=1)
+            mine = set(buckets[0][i])
             for j in near[(equal - 1 / 256) / (1 - 1 / 256) >= LEAST_FINE].tolist():
-                a, b = sorted((name, names[1][j]))
-                out["a"].append(a)
-                out["b"].append(b)
+                other = names[1][j]
+                # A pair of two rows outside meets twice in a bucket.
+                if here == min(mine.intersection(buckets[1][j])) and not (apart[j] and other < name):
+                    a, b = sorted((name, other))
+                    out["a"].append(a)
+                    out["b"].append(b)
     return pa.table({k: pa.array(v, pa.binary()) for k, v in out.items()})
 
 
@@ -351,8 +362,10 @@ def left_over_pairs(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> D
     per_label = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
     main = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
     chunks = F.ceil(F.col("n") / CHUNK).cast("long")
-    large = cut(large.join(fine, "content").join(main, "bucket").withColumn("chunks", chunks).drop("n", "pivot"))
-    outside = large.where("label <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    own = large.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))  # a bucket per band at most
+    large = large.join(fine, "content").join(own, "content").join(main, "bucket")
+    large = cut(large.withColumn("chunks", chunks).withColumn("outside", F.col("label") != F.col("main")).drop("n", "pivot", "main"))
+    outside = large.where("outside").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     members = large.withColumn("chunk", F.pmod(F.xxhash64("content"), "chunks"))
     met = outside.groupBy("bucket", "chunk").cogroup(members.groupBy("bucket", "chunk")).applyInArrow(close_pairs, "a binary, b binary")
     return met.distinct()
