@@ -412,7 +412,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     rows = cut(near_classes(docs, threshold)[0])
     keep = rows.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__copies"))
-    kept = docs.join(keep, "doc_id").select(*[docs[c] for c in docs.columns], "__copies")
+    # Always by shuffle: the list of kept ids grows with the table.
+    kept = docs.join(keep.hint("merge"), "doc_id").select(*[docs[c] for c in docs.columns], "__copies")
     once = kept.where("__copies = 1").drop("__copies")
     several = kept.where("__copies > 1").drop("__copies").dropDuplicates(["doc_id"])
     out = once.unionByName(several)
