@@ -48,11 +48,14 @@ def documents_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+ROWS_AT_ONCE = 1024
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """``mapInArrow`` with plain Python columns: ``fn`` gets and returns a dict of lists per record batch.
 
     Rows stay in the scan's partitions, so no key, source or group of copies
-    can gather in one task.
+    can gather in one task. ``ROWS_AT_ONCE`` bounds what is held as Python objects.
     """
     out = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,8 +64,8 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], sc
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(b.to_pydict()), schema=arrow)
+            for k in range(0, b.num_rows, ROWS_AT_ONCE):
+                yield pa.RecordBatch.from_pydict(fn(b.slice(k, ROWS_AT_ONCE).to_pydict()), schema=arrow)
 
     return df.mapInArrow(run, out)
 

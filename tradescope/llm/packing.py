@@ -31,7 +31,7 @@ from tradescope.llm.common import cut, documents_of, map_rows
 CAPACITY = 4096
 END_ID = 1
 #: Words kept per Python worker; the cache is emptied beyond it.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 350_000
 #: Most pieces of one length that are ranked together.
 RANKED_TOGETHER = 50_000
 #: Below this letter lower-casing and NFC work letter by letter, and no letter combines.
