@@ -56,9 +56,10 @@ def main() -> None:
         "",
         f"Generated by `tools/plans.py` on `{sf}` (trades written as 4 Parquet files). "
         "Exchanges counts shuffles; scans counts Parquet file scans of the trades table. "
-        "The builders read the grain statistics that `Tables` computes once (first row) and "
-        "checkpoints, so they scan no trades themselves; their exchanges move a few hundred "
-        "aggregated rows. Direct reports scan the trades with the closed filter pushed down.",
+        "Nothing runs while a plan is built. A builder of one grain scans the trades once; a builder of "
+        "several reads statistics that its first action caches after one scan (the scan shown stands under "
+        "the cache, once per branch that reads it). A refresh pins the statistics of all grains (first row) "
+        "instead. Direct reports scan the trades with the closed filter pushed down.",
         "",
         "| query | scans | exchanges | broadcasts | expand | partial agg |",
         "| --- | --- | --- | --- | --- | --- |",
