@@ -30,7 +30,7 @@ def summary(df) -> dict:
         "expand": "Expand" in plan,
         "partial_agg": "HashAggregate" in plan and "partial_" in text,
         "pushed": sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", text))),
-        "read": sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", text))),
+        "read": sorted(set(re.findall(r"ReadSchema: (struct<[^>\n]*>?)", text))),
     }
 
 
