@@ -98,3 +98,25 @@ def test_query_against_brute_force(spark):
     assert got == brute(docs)
     want = {i: plain_spans(t) for i, t in docs}
     assert all(r[1:4] == tuple(sum(s[0] == k for s in want[r[0]]) for k in S.BASE_KINDS) for r in got)
+
+
+def test_values_after_names_and_paths(spark):
+    """The places of planted values, known from how the text is made, whatever ``tokens_of`` takes for a token."""
+    rnd = random.Random(3)
+    draw = lambda alphabet, n: "".join(rnd.choice(S.ALPHABETS[alphabet]) for _ in range(n))
+    forms = [("AWS_SECRET_ACCESS_KEY=", "base64", ""), ("DB_PWD=", "base62", ";"), ("https://host.example/a?sig=", "base64url", "=="), ("/srv/my-app/", "base62", "/v2"), ("/srv/my-app/", "base64", ""), ("/a-b/", "base64url", "/c+d")]
+    rows, places = [], {}
+    for k in range(240):
+        before, alphabet, after = forms[k % len(forms)]
+        value = draw(alphabet, 40)
+        rows.append((k, f"see {before}{value}{after} there"))
+        places[k] = (4 + len(before), 4 + len(before) + 40)
+    rows += [(1000 + k, f"name=the/{w}-thing/and_the-other/thing_of/the_2024-thing") for k, w in enumerate(["first", "second", "third"])]
+    found = {r.doc_id: r.spans for r in S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for f in range(len(forms)):
+        mine = [k for k in places if k % len(forms) == f]
+        # A separator at the value's own ends, or a short path before it, may be taken along or left out.
+        hit = [any(s.kind == "random" and s.start <= places[k][0] + 2 and s.end >= places[k][1] - 2 for s in found[k]) for k in mine]
+        assert sum(hit) >= 0.6 * len(mine), (forms[f], sum(hit), len(mine))
+    for k in (k for k in places if k % len(forms) < 3):
+        assert all((s.start, s.end) == places[k] for s in found[k] if s.kind == "random")

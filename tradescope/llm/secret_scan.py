@@ -2,7 +2,8 @@
 
 Base kinds (``assign``, ``access``, ``hex``) follow fixed patterns and are
 always reported. The method adds ``random``: a long token of one inferred
-encoding (hex, base32, base36, base62, base64) whose characters look drawn uniformly.
+encoding (hex, base32, base36, base62, base64) whose characters look drawn uniformly;
+names before ``=`` and, where no encoding fits, paths around it are cut off (``parts_of``).
 Three tests put that to the proof: chi-squared uniformity over the encoding's
 alphabet, the number of runs about the alphabet's middle, and the lag-one
 serial correlation. Their smallest p-value, times three, is the token's.
@@ -32,8 +33,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST_VALUE = 12
 
-#: A token that the battery tests: an unbroken run of this length with a digit and a letter.
+#: A run that tokens are cut from (see ``parts_of``); the battery tests those of this length with a digit and a letter.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+WHOLE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+#: Pieces of a run that no alphabet holds.
+PIECES = tuple(re.compile(p) for p in (r"[A-Za-z0-9+]{20,}", r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}"))
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: The first alphabet that holds all of a token's characters is its encoding.
 ALPHABETS = {
@@ -113,6 +117,22 @@ def bin_of(p: float) -> int:
     return min(LAST_BIN, int(-math.log10(p) * BINS_A_DECADE)) if p > 0 else LAST_BIN
 
 
+def parts_of(run: str) -> list[tuple[int, int]]:
+    """Where the tokens of a run begin and end, by start.
+
+    ``=`` belongs to no alphabet: it pads a value or parts a name from it, so
+    each side is a token of its own. A side that no alphabet holds has ``/`` or ``+``
+    along with ``-`` or ``_``, like a value glued to a path. Which of them part and
+    which belong to the value is open, so its long pieces between ``/``, ``-`` and
+    ``_`` are tokens and its longest pieces of one alphabet as well; these may overlap.
+    """
+    out = set()
+    for side in re.finditer("[^=]+", run):
+        patterns = (WHOLE,) if encoding_of(side[0]) else PIECES
+        out |= {m.span() for pattern in patterns for m in pattern.finditer(run, *side.span())}
+    return sorted(out)
+
+
 def tokens_of(text: str, base: list[tuple[str, int, int]]) -> list[Token]:
     """Tokens to test: with a digit and a letter, of a known encoding, and outside the base spans."""
     spans = sorted((a, b) for _, a, b in base)
@@ -120,16 +140,16 @@ def tokens_of(text: str, base: list[tuple[str, int, int]]) -> list[Token]:
     ends = [reach := max(reach, b) for _, b in spans]
     out = []
     for m in TOKEN.finditer(text):
-        token = m[0].rstrip("=")
-        a, b = m.start(), m.start() + len(token)
-        before = bisect_left(starts, b)
-        if b - a < BANDS[0] or before and ends[before - 1] > a:
-            continue
-        if not re.search("[0-9]", token) or not re.search("[A-Za-z]", token):
-            continue
-        if encoding := encoding_of(token):
-            band = max(x for x in BANDS if x <= b - a)
-            out.append(Token(a, b, f"{encoding}/{band}", bin_of(p_uniform(token, encoding))))
+        for x, y in parts_of(m[0]):
+            token, a, b = m[0][x:y], m.start() + x, m.start() + y
+            before = bisect_left(starts, b)
+            if b - a < BANDS[0] or before and ends[before - 1] > a:
+                continue
+            if not re.search("[0-9]", token) or not re.search("[A-Za-z]", token):
+                continue
+            if encoding := encoding_of(token):
+                band = max(x for x in BANDS if x <= b - a)
+                out.append(Token(a, b, f"{encoding}/{band}", bin_of(p_uniform(token, encoding))))
     return out
 
 
