@@ -153,3 +153,34 @@ def test_query_against_brute_force(spark):
     out = QUERIES["op8_near_dedup"](spark, SF).collect()
     assert sorted(((r.doc_id, r.class_id) for r in out), key=str) == brute_classes(docs)
     assert all(r.kept == (r.doc_id == r.class_id) for r in out)
+
+
+def test_chunks_bound_both_sides(spark, monkeypatch):
+    """A bucket whose members are nearly all unlike: no task holds much more than a chunk of either side, and no pair is lost."""
+    compare, most = N.close_pairs, 32
+
+    def bounded(outside, members):
+        if max(outside.num_rows, members.num_rows) > most:
+            raise ValueError(f"{outside.num_rows} rows against {members.num_rows}")
+        return compare(outside, members)
+
+    monkeypatch.setattr(N, "CHUNK", most // 4)
+    monkeypatch.setattr(N, "close_pairs", bounded)
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.randint(0, 9999)}" for _ in range(150)) for _ in range(110)]
+    near = [t.rsplit(" ", 1)[0] + " changed" for t in texts[::3]]
+    key = {t: N.content_keys(*N.word_hashes([t]))[0] for t in [*texts, *near]}
+    linked = texts[1:60:3]  # the largest component
+    shared = spark.createDataFrame([(7, bytearray(k), len(key), False, 0, 0, 0, 0) for k in key.values()], f"bucket long, content binary, n long, pivot boolean, {', '.join(f'{s} long' for s in N.SKETCH)}")
+    labels = spark.createDataFrame([(bytearray(key[t]), bytearray(b"main")) for t in linked], "node binary, label binary")
+    held = spark.createDataFrame([(bytearray(k), t) for t, k in key.items()], "content binary, text string")
+    got = [(bytes(r.a), bytes(r.b)) for r in N.left_over_pairs(shared, labels, held).collect()]
+    assert len(got) == len(set(got)) and set(got) == {tuple(sorted((key[a], key[b]))) for a, b in zip(texts[::3], near, strict=True)}
+
+
+@pytest.mark.parametrize("chunk", [3])
+def test_classes_in_small_chunks(spark, rows, monkeypatch, chunk):
+    monkeypatch.setattr(N, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(N, "CHUNK", chunk)
+    got = sorted(((r.doc_id, r.class_id) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_classes(rows)

@@ -57,7 +57,7 @@ FINE = 1024
 LEAST_FINE = 0.75
 #: Characters of the texts that get finer signatures together.
 FINE_CHARS = 100_000
-#: Members of a large bucket that one task compares at a time.
+#: Rows of a large bucket, on either side, that one task compares at a time (on average: rows are dealt by hash).
 CHUNK = 2048
 SKETCH = [f"s{k}" for k in range(COMPONENTS // 64)]
 #: Buckets up to this size are compared pair by pair.
@@ -360,14 +360,20 @@ def left_over_pairs(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> D
     fine = fine_signatures(texts.join(large.select("content").distinct(), "content", "left_semi"))
     large = large.join(labels.withColumnRenamed("node", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
     per_label = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
-    chunks = F.ceil(F.col("n") / CHUNK).cast("long")
+    main = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), (F.sum("k") - F.max("k")).alias("n_outside"))
     own = large.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))  # a bucket per band at most
-    large = large.join(fine, "content").join(own, "content").join(main, "bucket")
-    large = cut(large.withColumn("chunks", chunks).withColumn("outside", F.col("label") != F.col("main")).drop("n", "pivot", "main"))
-    outside = large.where("outside").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    members = large.withColumn("chunk", F.pmod(F.xxhash64("content"), "chunks"))
-    met = outside.groupBy("bucket", "chunk").cogroup(members.groupBy("bucket", "chunk")).applyInArrow(close_pairs, "a binary, b binary")
+    large = large.join(fine, "content").join(own, "content").join(main.where("n_outside > 0"), "bucket")
+    chunks = [F.ceil(F.col(n) / CHUNK).cast("long").alias(c) for n, c in (("n", "chunks"), ("n_outside", "outside_chunks"))]
+    large = cut(large.select("*", *chunks, (F.col("label") != F.col("main")).alias("outside")).drop("n", "n_outside", "pivot", "main"))
+
+    def dealt(side: DataFrame, own_chunk: str, of: str, other_chunk: str, others: str) -> DataFrame:
+        """Every row in one chunk of its own side and in all chunks of the other."""
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1))
+        return side.withColumn(own_chunk, F.pmod(F.xxhash64("content"), of)).withColumn(other_chunk, every).groupBy("bucket", "outside_chunk", "chunk")
+
+    outside = dealt(large.where("outside"), "outside_chunk", "outside_chunks", "chunk", "chunks")
+    members = dealt(large, "chunk", "chunks", "outside_chunk", "outside_chunks")
+    met = outside.cogroup(members).applyInArrow(close_pairs, "a binary, b binary")
     return met.distinct()
 
 
