@@ -146,6 +146,25 @@ def test_empty_table(spark):
     assert out.count() == 0
 
 
+UNTOUCHED = Tokenizer.from_file(FILE)
+SPECIAL = st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|end", "oftext|>", "<", "|>", " ", "\n", "Ab", "é", "\u0301", "9", "'s"]), st.text(alphabet=ALPHABET, max_size=3)), max_size=10).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(SPECIAL)
+def test_ids_as_the_untouched_library(text):
+    want = UNTOUCHED.encode(text, add_special_tokens=False).ids
+    assert word_tokens(FILE, special_ids=True).token_bytes(text) == np.array(want, dtype="<u4").tobytes()
+
+
+def test_pieces_as_the_untouched_library(spark):
+    texts = ["end of text <|endoftext|> next", "a<|endoftext|>b", "<|startoftext|>x.", "<|ENDOFTEXT|> plain"]
+    rows = pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), FILE).collect()
+    want = {k: UNTOUCHED.encode(t, add_special_tokens=False).ids + [1] for k, t in enumerate(texts)}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {k: (len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes())) for k, x in want.items()}
+    assert len(want[0]) == 6
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_query(spark, sf):
     from tradescope.llm.queries import QUERIES

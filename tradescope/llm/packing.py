@@ -49,16 +49,19 @@ class WordTokens(dict):
     met so far as little-endian unsigned 32-bit numbers. A part of plain
     letters, with marks after it, goes straight to the tokenizer's merges
     (lower case, byte-level form); any other part goes through all of its steps.
+    The strings of special tokens hold no blank, so a part holds them whole; with
+    ``special_ids`` they get their own ids, as in the library's default, otherwise
+    they are ordinary text.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, special_ids: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_ids
         self.merges = self.tokenizer.model
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_form = {chr(c): level.pre_tokenize_str(chr(c))[0][0] for c in range(0x41, ord(SIMPLE_LETTERS)) if chr(c).isalpha()}
@@ -92,16 +95,19 @@ class WordTokens(dict):
 
 
 @lru_cache(maxsize=2)
-def word_tokens(tokenizer_file: str) -> WordTokens:
-    return WordTokens(tokenizer_file)
+def word_tokens(tokenizer_file: str, special_ids: bool = False) -> WordTokens:
+    return WordTokens(tokenizer_file, special_ids)
 
 
 def pieces_of(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` of each whole text (null: empty, i.e. only the end id)."""
+    """``doc_id, piece, start, length, ids_crc32`` of each whole text (null: empty, i.e. only the end id).
+
+    The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` with the tokenizer as loaded.
+    """
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def run(cols):
-        enc = word_tokens(tokenizer_file)
+        enc = word_tokens(tokenizer_file, special_ids=True)
         out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
         for doc_id, text in zip(cols["doc_id"], cols["text"], strict=True):
             ids = enc.token_bytes(text) + tail
