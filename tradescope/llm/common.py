@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +17,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back, which cuts its lineage.
 
     Unlike ``checkpoint()``, the table brings its true size with it; estimates
     carried through the joins of an iteration would multiply without end.
-    The tables stay until ``drop_cuts`` or the folder's own retention.
+    The tables stay until ``drop_cuts`` or the folder's own retention. The columns
+    ``by`` become folders, so that a filter on them reads its own files only.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -37,10 +38,14 @@ CUTS: list[str] = []
 
 def drop_cuts(spark: SparkSession) -> None:
     """Delete the tables of ``cut``; call it once results that were built on them are written."""
-    jvm = spark.sparkContext._jvm
     while CUTS:
-        path = jvm.org.apache.hadoop.fs.Path(CUTS.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        forget(spark, CUTS.pop())
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a table that this driver has written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def documents_of(df: DataFrame) -> DataFrame:

@@ -77,6 +77,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.line_dedup import line_digest
+
+    return line_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.lexical_search import search
+
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 20)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tradescope.llm.token_alignment import alignment_digest
+
+    return alignment_digest(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_sentencepiece,
         op10_language_id,
+        op11_line_dedup,
+        op12_lexical_search,
+        op13_token_alignment,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -132,4 +153,51 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN role = perspective THEN start + length(segment) - 1 END AS train_stop
         FROM placed
     """,
+    "op11_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, i, line,
+                translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (
+                SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+            )
+        ), repeated AS (
+            SELECT key, max(doc_id) AS top FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ), judged AS (
+            SELECT l.*, r.key IS NOT NULL AND l.doc_id <> r.top AS dropped FROM lines l LEFT JOIN repeated r ON l.key = r.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
+    "op12_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark)
+            GROUP BY item_id, term
+        ), counted AS (
+            SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+        ), sized AS (
+            SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id
+        ), total AS (
+            SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sized
+        ), normed AS (
+            SELECT doc_id, 100 - 25 + (25 * n * n_docs) // n_terms AS m FROM sized, total
+        ), weighed AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counted, total GROUP BY term, n_docs
+        ), scored AS (
+            SELECT a.item_id, c.doc_id, sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 12 * d.m)))::BIGINT AS score
+            FROM asked a JOIN weighed w ON a.term = w.term JOIN counted c ON c.term = a.term JOIN normed d ON d.doc_id = c.doc_id
+            GROUP BY a.item_id, c.doc_id
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }
