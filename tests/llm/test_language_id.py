@@ -1,5 +1,6 @@
 """Held-out accuracy, mixtures, the counting of trigrams against a plain loop, and edge cases."""
 
+import itertools
 import zlib
 from collections import Counter
 
@@ -88,3 +89,37 @@ def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in L.identify(df).collect()] == [("und", 0.0)]
     assert L.identify(df.limit(0)).count() == 0 and L.keep_identified(df.limit(0)).count() == 0
+
+
+def test_without_labels_texts_with_letters_stay(spark):
+    df = spark.createDataFrame([(1, "plain English", None), (2, "more of it", None), (3, "12", None), (4, None, None), (None, "é", None)], "doc_id long, text string, lang string")
+    assert Counter(str(r.doc_id) for r in L.keep_identified(df).collect()) == Counter(["1", "2", "None"])
+
+
+def plain_sets(model, text):
+    """The best set of languages by trying all, with an EM of its own (plain loops, thousands of steps)."""
+    bucket, _ = L.trigrams([text])
+    p = model.likelihood[bucket].astype(np.float64)
+    price = L.PENALTY * 0.5 * np.log(len(bucket) + 1)
+    best = None
+    for size in range(1, len(model.languages) + 1):
+        for chosen in itertools.combinations(range(len(model.languages)), size):
+            q, share = p[:, chosen], np.full(size, 1 / size)
+            for _ in range(3000 if size > 1 else 1):
+                joint = q * share
+                share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+            value = np.log((q * share).sum(axis=1)).sum() - price * (size - 1)
+            if best is None or value > best[0]:
+                best = value, {model.languages[j]: s for j, s in zip(chosen, share.tolist(), strict=True)}
+    return best[1]
+
+
+def test_sets_and_shares_as_trying_all_sets(model, docs):
+    texts = {r.lang: r.text for r in docs.where("n_chars BETWEEN 1500 AND 3000").select("lang", "text").collect()}
+    langs = sorted(texts)
+    mixed = [texts[a][:x] + " " + texts[b][:y] for a in langs for b in langs for x, y in ((300, 40), (300, 300), (90, 20))]
+    mixed += [" ".join(texts[x][:200] for x in langs), " ".join(texts[x][:60] for x in langs[:3]), "a", "hé hé"]
+    for text, found in zip(mixed, L.language_sets(model, mixed), strict=True):
+        want = plain_sets(model, text)
+        assert dict(found).keys() == want.keys()
+        assert all(abs(dict(found)[x] - s) < 0.02 for x, s in want.items())

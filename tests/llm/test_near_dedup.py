@@ -23,8 +23,8 @@ def plain_similarity(a, b):
     return low / high if high else 1.0
 
 
-def brute_classes(rows, threshold=0.8):
-    """Least id of each row's connected component, over all pairs."""
+def brute_groups(rows, threshold=0.8):
+    """A number of each row's connected component, over all pairs."""
     bags = [plain_shingles(t or "") for _, t in rows]
     up = list(range(len(rows)))
 
@@ -36,11 +36,16 @@ def brute_classes(rows, threshold=0.8):
     for i, j in itertools.combinations(range(len(rows)), 2):
         if plain_similarity(bags[i], bags[j]) >= threshold:
             up[top(j)] = top(i)
-    least = {}
-    for k, (doc_id, _) in enumerate(rows):
+    return [top(k) for k in range(len(rows))]
+
+
+def brute_classes(rows, threshold=0.8):
+    """Least id of each row's connected component."""
+    groups, least = brute_groups(rows, threshold), {}
+    for (doc_id, _), g in zip(rows, groups, strict=True):
         if doc_id is not None:
-            least[top(k)] = min(doc_id, least.get(top(k), doc_id))
-    return sorted(((doc_id, least.get(top(k))) for k, (doc_id, _) in enumerate(rows)), key=str)
+            least[g] = min(doc_id, least.get(g, doc_id))
+    return sorted(((doc_id, least.get(g)) for (doc_id, _), g in zip(rows, groups, strict=True)), key=str)
 
 
 def noisy(rnd, words, share):
@@ -118,9 +123,25 @@ def test_keep_one(spark, rows):
     df = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, content string, n long")
     out = N.keep_one(df)
     assert out.columns == df.columns
-    kept = Counter(r.doc_id for r in out.collect())
-    classes = brute_classes(rows)
-    assert kept == Counter({c: 1 for _, c in classes if c is not None} | {None: 1})
+    # One row per component: its least id, or a row without an id. Unlike texts under one id both stay.
+    least = {}
+    for (doc_id, _), g in zip(rows, brute_groups(rows), strict=True):
+        least[g] = min((i for i in (doc_id, least.get(g)) if i is not None), default=None)
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    assert Counter(i for i, _ in kept) == Counter(least.values())
+    assert {t for i, t in kept if i == 7} == {"tiny", "other text of the same id"}
+    assert all(row in rows for row in kept)
+
+
+def test_unlike_texts_under_one_id_and_near_copies_without_ids(spark):
+    long = " ".join(f"w{k}" for k in range(200))
+    rows = [(7, "text a"), (7, "quite another b"), (8, "text a"), (None, long), (None, long + " end"), (None, long + " end"), (None, "alone without id"), (9, "again"), (9, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted([(r.doc_id, r.text) for r in N.keep_one(df).collect()], key=str)
+    assert [t for i, t in kept if i == 7] == ["quite another b", "text a"] and (8, "text a") not in kept
+    assert sum(t.startswith(long) for _, t in kept) == 1 and (None, "alone without id") in kept and kept.count((9, "again")) == 1
+    assert len(kept) == 5
+    assert sum(r.kept for r in N.near_duplicates(df).collect()) == sum(Counter(rows)[x] for x in kept)
 
 
 def test_links_are_verified(spark, rows):

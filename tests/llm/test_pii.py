@@ -50,6 +50,10 @@ def test_method_adds_and_keeps_base():
     assert kinds("pay GB82 WEST 1234 5698 7654 32 THANKS") == ["iban"]
     assert kinds("pay GB82 WEST 1234 5698 7654 33 THANKS") == []
     assert kinds("SSN: 123-45-6789") == ["id"] and kinds("number 123-45-6789") == []
+    # Cues count on both sides, behind a span up to the end of the sentence.
+    assert kinds("123-45-6789 (SSN)") == ["id"] and kinds("987654321 is the passport no.") == ["id"]
+    assert kinds("number 123-45-6789. Passport follows") == [] and kinds("number 123-45-6789\nSSN") == []
+    assert kinds("123-45-6789 is a test SSN") == [] and kinds("123-45-6789" + " x" * 30 + " SSN") == []
     # A base span stays whatever its score.
     spans = find_spans("example test 192.168.0.1")
     assert [s.kind for s in spans] == ["ip"] and spans[0].score < 0.5

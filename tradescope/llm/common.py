@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradescope.session import ensure_checkpoint_dir
@@ -53,6 +53,17 @@ def documents_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, t1, t2, text`` (null: empty): rows that are equal in the first three have the same text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
+
+
+def same_row(a: str, b: str) -> Column:
+    """Rows of ``keyed`` under two aliases are equal; null ids equal each other."""
+    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.t1") == F.col(f"{b}.t1")) & (F.col(f"{a}.t2") == F.col(f"{b}.t2"))
+
+
 ROWS_AT_ONCE = 1024
 
 

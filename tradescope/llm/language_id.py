@@ -5,7 +5,8 @@ sample): each task adds up its own rows, Spark sums the tasks. The model is a
 table of ``BUCKETS`` likelihoods per language.
 
 A text's trigrams are taken as draws from a mixture of the languages; the
-mixture's proportions come from expectation-maximisation. The reported set of
+mixture's proportions come from expectation-maximisation, whose steps end when the
+likelihood is known to lie within a tolerance of its maximum. The reported set of
 languages is the one with the highest likelihood less a penalty for each
 language beyond the first (half the logarithm of the number of trigrams, times
 ``PENALTY``). The prediction is the language with the largest proportion in that
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import combinations
 from typing import NamedTuple
 
 import numpy as np
@@ -29,8 +31,11 @@ from tradescope.llm.sentencepiece_bpe import groups_by_size
 BUCKETS = 1 << 16
 #: Added to each bucket's count of each language.
 SMOOTHING = 0.5
-ITERATIONS = 12
 PENALTY = 2.0
+#: Log-likelihood that a mixture may lie below its maximum.
+TOLERANCE = 0.01
+#: Up to so many languages all sets of them are tried.
+MOST_TRIED = 6
 UNKNOWN = "und"
 #: Characters times languages that one round of numpy arrays holds.
 CELLS_AT_ONCE = 1_600_000
@@ -101,15 +106,48 @@ def fit(labelled: DataFrame) -> Model:
     return Model(languages, (counts / counts.sum(axis=0)).astype(np.float32) if languages else counts.astype(np.float32))
 
 
-def _mixture(p: np.ndarray, n: np.ndarray, starts: np.ndarray, sizes: np.ndarray, total: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions and log-likelihood per text; ``p`` and ``n`` hold its distinct trigrams in a row, ``allowed`` its languages."""
-    share = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(ITERATIONS):
-        joint = p * np.repeat(share, sizes, axis=0)
-        joint *= (n / joint.sum(axis=1))[:, None]
-        share = np.add.reduceat(joint, starts, axis=0) / total[:, None]
-    fit_ = np.add.reduceat(n * np.log((p * np.repeat(share, sizes, axis=0)).sum(axis=1)), starts)
-    return share, fit_
+def _mixture(
+    p: np.ndarray, n: np.ndarray, starts: np.ndarray, sizes: np.ndarray, total: np.ndarray, allowed: np.ndarray, enough: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Proportions, log-likelihood, and an upper bound of the best log-likelihood, per text.
+
+    ``p`` and ``n`` hold a text's distinct trigrams in a row, ``allowed`` marks its
+    languages. A step multiplies each proportion by a factor; the log-likelihood is concave in
+    the proportions, so it lies at most ``total * log(largest factor)`` below its
+    maximum. A text's steps end when that gap is at most ``TOLERANCE``, or when the
+    bound shows that it cannot exceed ``enough``.
+    """
+    share_out = allowed / allowed.sum(axis=1, keepdims=True)
+    fit_out, bound_out = np.zeros(len(total)), np.zeros(len(total))
+    at, share = np.arange(len(total)), share_out.copy()
+    while len(at):
+        inside = (p * np.repeat(share, sizes, axis=0)).sum(axis=1)
+        factor = np.add.reduceat(p * (n / inside)[:, None], starts, axis=0) / total[at][:, None]
+        value = np.add.reduceat(n * np.log(inside), starts)
+        gap = total[at] * np.log(np.maximum((factor * (allowed[at] > 0)).max(axis=1), 1.0))
+        done = (gap <= TOLERANCE) | (value + gap <= enough[at])
+        share_out[at[done]], fit_out[at[done]], bound_out[at[done]] = share[done], value[done], (value + gap)[done]
+        share = share * factor
+        share /= share.sum(axis=1, keepdims=True)
+        if done.any():
+            going = np.repeat(~done, sizes)
+            p, n, at, share, sizes = p[going], n[going], at[~done], share[~done], sizes[~done]
+            starts = np.cumsum(sizes) - sizes
+    return share_out, fit_out, bound_out
+
+
+def candidate_sets(k: int, size: int, order: np.ndarray) -> Iterator[np.ndarray]:
+    """Marks (texts x languages) of the sets of ``size`` languages to try: all of them, with more than
+    ``MOST_TRIED`` languages the ones with the largest proportions."""
+    if k <= MOST_TRIED:
+        for chosen in combinations(range(k), size):
+            marks = np.zeros(order.shape)
+            marks[:, chosen] = 1.0
+            yield marks
+    else:
+        marks = np.zeros(order.shape)
+        np.put_along_axis(marks, order[:, :size], 1.0, axis=1)
+        yield marks
 
 
 def language_sets(model: Model, texts: list[str]) -> list[list[tuple[str, float]]]:
@@ -129,22 +167,21 @@ def language_sets(model: Model, texts: list[str]) -> list[list[tuple[str, float]
     chosen[np.arange(len(present)), first] = 1.0
     best = single.max(axis=1)
     price = PENALTY * 0.5 * np.log(total + 1)
-    share, full = _mixture(p, n, starts, sizes, total, np.ones((len(present), k)))
-    # No set can beat the mixture of all languages, so most texts are settled by their best single language.
+    # No set can beat the mixture of all languages, whose bound settles most texts: their best single language stays.
+    share, _, bound = _mixture(p, n, starts, sizes, total, np.ones((len(present), k)), best + price)
     order = np.argsort(-share, axis=1, kind="stable")
     for size in range(2, k + 1):
-        open_ = np.flatnonzero(full - price * (size - 1) > best)
+        open_ = np.flatnonzero(bound - price * (size - 1) > best)
         if not len(open_):
             break
-        allowed = np.zeros((len(open_), k))
-        np.put_along_axis(allowed, order[open_, :size], 1.0, axis=1)
         rows = np.concatenate([np.arange(a, a + s) for a, s in zip(starts[open_], sizes[open_], strict=True)])
         begin = np.cumsum(sizes[open_]) - sizes[open_]
-        part, value = _mixture(p[rows], n[rows], begin, sizes[open_], total[open_], allowed)
-        value = value - price[open_] * (size - 1)
-        better = value > best[open_]
-        best[open_[better]] = value[better]
-        chosen[open_[better]] = part[better]
+        for allowed in candidate_sets(k, size, order[open_]):
+            part, value, _ = _mixture(p[rows], n[rows], begin, sizes[open_], total[open_], allowed, best[open_] + price[open_] * (size - 1))
+            value = value - price[open_] * (size - 1)
+            better = value > best[open_]
+            best[open_[better]] = value[better]
+            chosen[open_[better]] = part[better]
     for at, row in zip(present.tolist(), chosen, strict=True):
         ranked = np.argsort(-row, kind="stable")
         out[at] = [(model.languages[j], float(min(1.0, row[j]))) for j in ranked.tolist() if row[j] > 0]
@@ -185,8 +222,13 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, unchanged; texts that are null or without letters go."""
+    """The rows of ``docs`` whose text has a language, unchanged; texts that are null or without letters go.
+
+    Where no row has a label there is no language to reject by: every text with a letter stays.
+    """
     model = fit(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

@@ -26,7 +26,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradescope.llm.common import cut, forget, map_rows
+from tradescope.llm.common import cut, forget, keyed, map_rows, same_row
 from tradescope.session import ensure_checkpoint_dir
 
 #: Runs of one level that are merged into a run of the next.
@@ -46,12 +46,6 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return hashlib.blake2b(key, digest_size=16).digest()
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, t1, t2, text``: rows equal in the first three are equal in text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
-
-
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, t1, t2, hashes array<binary>``: the distinct keys of each whole text."""
 
@@ -171,8 +165,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     stays in all of them. Other columns play no part.
     """
     drops = dropped_lines(docs, min_chars, min_docs, batches)
-    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"x.{c}")) for c in ("doc_id", "t1", "t2")]
-    rows = keyed(docs).alias("d").join(drops.alias("x"), on[0] & on[1] & on[2], "left").select("d.doc_id", "d.text", "x.drops")
+    rows = keyed(docs).alias("d").join(drops.alias("x"), same_row("d", "x"), "left").select("d.doc_id", "d.text", "x.drops")
 
     def run(cols):
         out = {"doc_id": cols["doc_id"], "n_lines": [], "n_dropped": [], "text": []}

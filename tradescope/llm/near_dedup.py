@@ -36,13 +36,11 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
-from tradescope.llm.common import cut, documents_of, map_rows
+from tradescope.llm.common import cut, keyed, map_rows, same_row
 from tradescope.llm.sentencepiece_bpe import groups_by_size
 
 SHINGLE = 5
@@ -185,10 +183,10 @@ def band_keys(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """``doc_id, content, buckets array<long>, s0..s3`` of each whole text; a text without words has no buckets."""
+    """``doc_id, t1, t2, content, buckets array<long>, s0..s3`` of each whole text; a text without words has no buckets."""
 
     def run(cols):
-        out = {"doc_id": cols["doc_id"], "content": [], "buckets": []} | {s: [] for s in SKETCH}
+        out = {c: cols[c] for c in ("doc_id", "t1", "t2")} | {"content": [], "buckets": []} | {s: [] for s in SKETCH}
         for a, b in groups_by_size(cols["text"]):
             hashes, counts = word_hashes(cols["text"][a:b])
             out["content"] += content_keys(hashes, counts)
@@ -205,7 +203,7 @@ def sign(docs: DataFrame) -> DataFrame:
                 out[s] += sketch[:, k].tolist()
         return out
 
-    return map_rows(documents_of(docs), run, f"doc_id long, content binary, buckets array<long>, {', '.join(f'{s} long' for s in SKETCH)}")
+    return map_rows(keyed(docs), run, f"doc_id long, t1 long, t2 long, content binary, buckets array<long>, {', '.join(f'{s} long' for s in SKETCH)}")
 
 
 # -- verification -------------------------------------------------------------
@@ -223,9 +221,21 @@ def similarity(a: tuple[np.ndarray, np.ndarray, bytes], b: tuple[np.ndarray, np.
     return common / both if both else 1.0
 
 
+def rows_of(keyed_rows: DataFrame, holders: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` of the rows that ``holders`` names (by ``doc_id, t1, t2``; ``copies`` equal rows exist), each once.
+
+    Always by shuffle, since the list grows with the table. Only rows that exist
+    more than once take the step that leaves one of them.
+    """
+    found = keyed_rows.alias("d").join(holders.hint("merge").alias("h"), same_row("d", "h"))
+    found = found.select("copies", *[F.col(f"d.{c}").alias(c) for c in ("doc_id", "t1", "t2")], *names)
+    several = found.where("copies > 1").dropDuplicates(["doc_id", "t1", "t2"])
+    return found.where("copies = 1").unionByName(several).select(*names)
+
+
 def texts_of(contents: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
-    """``content, text`` for the given contents; ``holders`` names one document for each."""
-    return documents_of(docs).join(holders.join(contents, "content"), "doc_id").select("content", "text")
+    """``content, text`` for the given contents; ``holders`` names one row for each."""
+    return rows_of(keyed(docs), holders.join(contents, "content"), ["content", "text"])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -248,8 +258,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) ->
             for k in range(batch.num_rows):
                 a, b, text_a, text_b = (batch.column(i)[k].as_py() for i in range(4))
                 x, y = counts(a, text_a), counts(b, text_b)
-                # With repeated ids a row may hold another text than the one the content stands for.
-                if x[2] == a and y[2] == b and (s := similarity(x, y)) >= threshold:
+                if (s := similarity(x, y)) >= threshold:
                     for name, v in zip(out, (a, b, s), strict=True):
                         out[name].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())]))
@@ -317,9 +326,8 @@ def fine_signatures(texts: DataFrame) -> DataFrame:
             text, shingle, weight = shingles(hashes, counts[full])
             fine = (mix(signatures(text, shingle, weight, len(full), FINE).view(U)) >> U(40)).astype(np.uint8)
             for k, row in zip(full.tolist(), fine, strict=True):
-                if keys[k] == cols["content"][a + k]:  # with repeated ids a row may hold another text
-                    out["content"].append(keys[k])
-                    out["fine"].append(row.tobytes())
+                out["content"].append(keys[k])
+                out["fine"].append(row.tobytes())
         return out
 
     return map_rows(texts.select("content", "text"), run, "content binary, fine binary")
@@ -377,18 +385,20 @@ def left_over_pairs(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> D
     return met.distinct()
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): ``doc_id, content, class_id`` for every row, and the verified links ``a, b, similarity``.
+def classify(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, contents, links): ``doc_id, t1, t2, content`` of every row; per content the row that stands for it and its class; verified links.
 
-    ``class_id`` is the least doc_id of the class. Rows with equal words (case
-    and punctuation aside) are always one class; so are all empty and null
-    texts, which have no words at all. A null doc_id keeps its row; it never is
-    a class's id unless the class has no other, and a text that only null ids
-    carry is matched with equal texts only.
+    ``contents`` has ``content, doc_id, t1, t2, copies, label, class_id, kept``: the
+    row with the least id that has these words (null ids last), how many rows equal
+    it, the class's label and least id, and whether its row is the one that the
+    class keeps.
     """
     signed = cut(sign(docs))
-    nodes = signed.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("buckets").alias("buckets"), *[F.first(s).alias(s) for s in SKETCH])
-    holders = cut(nodes.select("content", "doc_id"))
+    holder = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t1", "t2")
+    nodes = signed.groupBy("content").agg(F.min(holder).alias("holder"), F.first("buckets").alias("buckets"), *[F.first(s).alias(s) for s in SKETCH])
+    repeated = signed.groupBy("doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    holders = nodes.select("content", "holder.doc_id", "holder.t1", "holder.t2").alias("h").join(repeated.alias("r"), same_row("h", "r"), "left")
+    holders = cut(holders.select("content", "h.doc_id", "h.t1", "h.t2", F.coalesce("n", F.lit(1)).alias("copies")))
     shared = cut(shared_buckets(nodes))
     texts = cut(texts_of(shared.select("content").distinct(), docs, holders))
     tried = cut(first_pairs(shared))
@@ -399,39 +409,40 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
         links = cut(links.union(verify(more, texts, threshold)))
         labels = components(links)
     classed = holders.join(labels.withColumnRenamed("node", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
-    least = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    of_content = classed.join(least, "label").select("content", "class_id")
-    return signed.select("doc_id", "content").join(of_content, "content"), links
-
-
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id, class_id, kept``; one document of each class, the least id, is kept."""
-    rows, _ = near_classes(docs, threshold)
-    return rows.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "content")
+    least = classed.groupBy("label").agg(F.min(first).alias("first"))
+    contents = classed.join(least, "label").withColumn("class_id", F.col("first.doc_id")).withColumn("kept", F.col("content") == F.col("first.content"))
+    return signed.select("doc_id", "t1", "t2", "content"), contents.drop("first"), links
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, unchanged, with one document of each class: the one with the least id.
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(documents, links): ``doc_id, content, class_id, kept`` for every row, and the verified links ``a, b, similarity``.
 
-    Where an id is repeated, one of its rows stays. Rows without an id stay if
-    no row with an id is in their class, one for each text.
+    ``class_id`` is the least doc_id of the class. Rows with equal words (case
+    and punctuation aside) are always one class; so are all empty and null
+    texts, which have no words at all. A null doc_id keeps its row and is matched
+    as any other; it is a class's id only if the class has no other. Rows that
+    share an id are rows of their own, in the class of their text. ``kept`` marks
+    the row of each class that stays (and rows equal to it in id and text).
     """
-    rows = cut(near_classes(docs, threshold)[0])
-    keep = rows.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__copies"))
-    # Always by shuffle: the list of kept ids grows with the table.
-    kept = docs.join(keep.hint("merge"), "doc_id").select(*[docs[c] for c in docs.columns], "__copies")
-    once = kept.where("__copies = 1").drop("__copies")
-    several = kept.where("__copies > 1").drop("__copies").dropDuplicates(["doc_id"])
-    out = once.unionByName(several)
-    nameless = rows.where("doc_id IS NULL AND class_id IS NULL").select(F.col("content").alias("__content")).distinct()
-    if not nameless.limit(1).count():
-        return out
-    alone = docs.where("doc_id IS NULL").withColumn("__content", content_of(F.coalesce("text", F.lit(""))))
-    return out.unionByName(alone.join(nameless, "__content").dropDuplicates(["__content"]).drop("__content"))
+    rows, contents, links = classify(docs, threshold)
+    of = contents.select("content", "class_id", *[F.col(c).alias(f"kept_{c}") for c in ("doc_id", "t1", "t2")], "kept")
+    is_it = F.col("doc_id").eqNullSafe(F.col("kept_doc_id")) & (F.col("t1") == F.col("kept_t1")) & (F.col("t2") == F.col("kept_t2"))
+    return rows.join(of, "content").select("doc_id", "content", "class_id", (F.col("kept") & is_it).alias("kept")), links
 
 
-@F.pandas_udf(BinaryType())
-def content_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([content_keys(*word_hashes([t]))[0] for t in texts], dtype=object)
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: ``doc_id, class_id, kept`` (see ``near_classes``)."""
+    return near_classes(docs, threshold)[0].select("doc_id", "class_id", "kept")
+
 
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of each class, unchanged: the one with the least id, or one without an id if the class has no other.
 
+    Rows are told apart by id and text, so unlike texts under one id all stay,
+    each for its class. Of rows equal in both, one stays.
+    """
+    keepers = cut(classify(docs, threshold)[1].where("kept").select("doc_id", "t1", "t2", "copies"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), F.struct(*docs.columns).alias("row"))
+    return rows_of(whole, keepers, ["row"]).select("row.*")

@@ -5,7 +5,7 @@ always reported. The method adds to them: cards and phone numbers in a usual
 layout that a longer run of digits hid from the fixed patterns, ``iban`` (ISO 7064
 mod-97 confirms) and ``id`` (a bare national or account number, which only counts
 where a cue word stands near). Every span gets a score: a prior by kind, raised
-when a checksum holds, moved by cue words around it. Added spans are kept from
+when a checksum holds, moved by cue words on either side of it. Added spans are kept from
 ``MIN_SCORE`` on; the score never removes a base span.
 
 The scanners are linear in the text: an email is looked for around each ``@``,
@@ -55,8 +55,10 @@ CUES = {
 }
 DOUBT = ("example", "test", "sample", "version", "isbn", "order", "part no")
 CUE_BONUS, DOUBT_MALUS = 0.35, 0.2
-#: Characters before a span in which cue words count.
+#: Characters on either side of a span in which cue words count.
 CONTEXT = 40
+#: What parts the words behind a span from it: cues there belong to the next sentence or line.
+SENTENCE_END = re.compile(r"[.;!?]\s|\n")
 MIN_SCORE = 0.5
 IBAN_LEAST = 15
 
@@ -111,18 +113,21 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def score(text: str, kind: str, start: int, confirmed: bool) -> float:
-    """Prior by kind, checksum, and the cue words in the characters before the span."""
-    before = f" {' '.join(WORD.findall(text[max(0, start - CONTEXT) : start].lower()))} "
+def score(text: str, kind: str, start: int, end: int, confirmed: bool) -> float:
+    """Prior by kind, checksum, and the cue words near the span: before it, and behind it up to the end of the sentence."""
+    behind = text[end : end + CONTEXT]
+    stop = SENTENCE_END.search(behind)
+    sides = (text[max(0, start - CONTEXT) : start], behind[: stop.start()] if stop else behind)
+    near = [f" {' '.join(WORD.findall(side.lower()))} " for side in sides]
     value = PRIOR[kind] + (CHECKSUM_BONUS.get(kind, 0) if confirmed else 0)
-    value += CUE_BONUS * any(f" {c} " in before for c in CUES[kind]) - DOUBT_MALUS * any(f" {c} " in before for c in DOUBT)
+    value += CUE_BONUS * any(f" {c} " in side for c in CUES[kind] for side in near) - DOUBT_MALUS * any(f" {c} " in side for c in DOUBT for side in near)
     return min(1.0, max(0.0, round(value, 4)))
 
 
 def find_spans(text: str) -> list[Span]:
     """Base spans with scores, and the added spans that reach ``MIN_SCORE``; by kind as listed, then start."""
     base = base_spans(text)
-    out = [Span(kind, a, b, score(text, kind, a, kind == "card")) for kind, a, b in base]
+    out = [Span(kind, a, b, score(text, kind, a, b, kind == "card")) for kind, a, b in base]
     free = Gaps([(a, b) for _, a, b in base])
     for m in LAID_OUT_PHONE.finditer(text):
         out += propose(text, free, "phone", m.start(), m.end(), False)
@@ -163,7 +168,7 @@ class Gaps:
 
 
 def propose(text: str, free: Gaps, kind: str, a: int, b: int, confirmed: bool) -> list[Span]:
-    value = score(text, kind, a, confirmed)
+    value = score(text, kind, a, b, confirmed)
     return [Span(kind, a, b, value)] if value >= MIN_SCORE and free.hold(a, b) else []
 
 
