@@ -8,6 +8,11 @@ only there, a token of A and one of B end together. What overlaps stays in its
 group. All texts of a chunk lie one after another on one line of bytes, so one
 sort serves them all.
 
+Neither tokenizer has a token that reaches over a single blank between two letters,
+digits or marks: such a token would hold a blank behind another character. Texts are
+cut there, and each distinct segment that a task meets is encoded and aligned
+once (the segments kept are bounded); a text is put together from its segments.
+
 A link is an occurrence of a token of A and one of B that end at the same byte.
 One of the two then ends with the other, so the number of different id pairs is
 bounded by the vocabularies (see ``most_pairs``), whatever the corpus: their
@@ -17,8 +22,10 @@ counts can be held by the driver and broadcast.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -31,6 +38,15 @@ from tradescope.llm.sentencepiece_bpe import BLANK, groups_by_size
 
 #: Characters of the texts that are aligned together.
 CHARS_AT_ONCE = 300_000
+#: Segments, and characters of them, that a Python worker keeps aligned; beyond either it starts anew.
+KEPT_SEGMENTS, KEPT_CHARS = 400_000, 16_000_000
+#: A single blank between characters that are no white space in any reading: a boundary of both tokenizers.
+BOUNDARY = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+#: A blank beside another character, which is no boundary.
+OTHER_BLANK = re.compile(r"^ |[^\w!-~] | [^\w!-~]| $")
+#: Segments that may stand between two boundaries, and how many of them are encoded as one text.
+INNER = re.compile(r"[\w!-~](?:(?s:.*)[\w!-~])?")
+TOGETHER = 500
 #: Separators before a token of the written form: first of a text, in its list, first of B, first of a group.
 SEPARATORS = ["", ",", "|", ";"]
 
@@ -70,6 +86,10 @@ class TokenizerPair:
             raise ValueError("a vocabulary entry without bytes ends nowhere")
         self.length_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
+        # A token with a blank behind a character that is no white space could reach over a boundary; texts then stay whole.
+        within = any(re.search(r"\S ", x.decode("utf-8", "replace")) for x in [*self.bytes_a, *self.bytes_b])
+        self.boundary = None if within else BOUNDARY
+        self.segments = Segments(self)
         ids = [str(i) for i in range(len(self.bytes_a))] + [str(i) for i in range(len(self.bytes_b))]
         self.written = [s + i for s in SEPARATORS for i in ids]
 
@@ -118,18 +138,23 @@ class Aligned(NamedTuple):
     times: np.ndarray
 
 
-def align_texts(tokenizers: TokenizerPair, texts: list[str]) -> Aligned:
-    n, n_ids = len(texts), len(tokenizers.bytes_a)
+def align_whole(tokenizers: TokenizerPair, texts: list[str]) -> Aligned:
+    """Encodes and aligns texts as they are."""
     ids_a, ids_b = tokenizers.encode(texts)
-    n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b))
     a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *ids]) for ids in (ids_a, ids_b))
     # One line of bytes for all texts: both tokenizers spell out the same bytes, so the sums of lengths agree at every text's end.
-    end_a, end_b = np.cumsum(tokenizers.length_a[a]), np.cumsum(tokenizers.length_b[b])
-    ends = np.r_[end_a, end_b]
+    return align_ids(tokenizers, a, b, np.cumsum([int(tokenizers.length_a[x].sum()) for x in ids_a]))
+
+
+def align_ids(tokenizers: TokenizerPair, a: np.ndarray, b: np.ndarray, text_ends: np.ndarray) -> Aligned:
+    """Aligns the tokens of texts that lie one after another and end at the bytes ``text_ends``."""
+    n, n_ids = len(text_ends), len(tokenizers.bytes_a)
+    ends = np.r_[np.cumsum(tokenizers.length_a[a]), np.cumsum(tokenizers.length_b[b])]
     starts = ends - np.r_[tokenizers.length_a[a], tokenizers.length_b[b]]
     kinds = np.repeat([0, 1], [len(a), len(b)])
     group, group_ends = coalesce(starts, ends, kinds)
-    text = np.r_[np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)]
+    text = np.searchsorted(text_ends, starts, side="right")
+    n_a, n_b = np.bincount(text[: len(a)], minlength=n), np.bincount(text[len(a) :], minlength=n)
 
     # The written form: group after group, in each the tokens of A before those of B.
     order = np.argsort(group * 2 + kinds, kind="stable")
@@ -151,13 +176,92 @@ def align_texts(tokenizers: TokenizerPair, texts: list[str]) -> Aligned:
     return Aligned(n_a, n_b, n_groups, per_text, groups, np.bincount(inverse_text, minlength=n), keys, times)
 
 
-def count_pairs(text: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs per text, in the order of texts: pair, its text, how often."""
+def count_pairs(text: np.ndarray, pair: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs per text, in the order of texts: pair, its text, how often (``times`` each)."""
     order = np.lexsort((pair, text))
     text, pair = text[order], pair[order]
     new = np.r_[True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])][: len(text)]
     at = np.flatnonzero(new)
-    return pair[at], text[at], np.diff(np.r_[at, len(text)])
+    if times is None:
+        return pair[at], text[at], np.diff(np.r_[at, len(text)])
+    return pair[at], text[at], np.add.reduceat(times[order], at) if len(at) else times
+
+
+class Segments:
+    """Alignments of segments that were met before, by number."""
+
+    def __init__(self, tokenizers: TokenizerPair):
+        self.tokenizers = tokenizers
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.chars, self.n_pairs_kept = 0, 0
+        self.counts = np.zeros((4, 1024), dtype=np.int64)  # n_a, n_b, n_groups, n_links
+        self.begin = np.zeros(1025, dtype=np.int64)
+        self.pairs, self.times = np.zeros(4096, dtype=np.int64), np.zeros(4096, dtype=np.int64)
+
+    def learn(self, segments: list[str]) -> None:
+        """Encodes and aligns segments; those that may stand between boundaries are encoded many at a time."""
+        inner = [x for x in segments if INNER.fullmatch(x)]
+        alone = list(set(segments).difference(inner))
+        blobs = [inner[k : k + TOGETHER] for k in range(0, len(inner), TOGETHER)]
+        ids_a, ids_b = self.tokenizers.encode([" ".join(x) for x in blobs])
+        spelled = [k for k, x in enumerate(ids_a) if len(x)]
+        for k in set(range(len(blobs))).difference(spelled):
+            alone += blobs[k]
+        if spelled:
+            a, b = (np.concatenate([ids[k] for k in spelled]) for ids in (ids_a, ids_b))
+            words = [x for k in spelled for x in blobs[k]]
+            self._keep(words, align_ids(self.tokenizers, a, b, np.cumsum([1 + len(x.encode("utf-8", "surrogatepass")) for x in words])))
+        if alone:
+            self._keep(alone, align_whole(self.tokenizers, alone))
+
+    def _keep(self, segments: list[str], got: Aligned) -> None:
+        n, m = len(self.groups), self.n_pairs_kept
+        while n + len(segments) > self.counts.shape[1]:
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)], axis=1)
+            self.begin = np.r_[self.begin, np.zeros(len(self.begin) - 1, dtype=np.int64)]
+        while m + len(got.pairs) > len(self.pairs):
+            self.pairs, self.times = (np.r_[x, np.zeros_like(x)] for x in (self.pairs, self.times))
+        self.counts[:, n : n + len(segments)] = got[:4]
+        self.begin[n + 1 : n + 1 + len(segments)] = m + np.cumsum(got.n_pairs)
+        self.pairs[m : m + len(got.pairs)], self.times[m : m + len(got.pairs)] = got.pairs, got.times
+        self.n_pairs_kept = m + len(got.pairs)
+        self.groups += got.groups
+        self.number.update(zip(segments, range(n, n + len(segments)), strict=True))
+        self.chars += sum(map(len, segments))
+
+    def align(self, texts: list[str]) -> Aligned:
+        """As ``align_whole``, by the segments of each text."""
+        if len(self.groups) > KEPT_SEGMENTS or self.chars > KEPT_CHARS:
+            self.clear()
+        # Each segment stands for a blank (A takes it along, B adds it) and itself.
+        parts = [(t.split(" ") if OTHER_BLANK.search(t) is None else self.tokenizers.boundary.split(t)) if t else [] for t in texts]
+        new = set().union(*parts).difference(self.number)
+        if new:
+            self.learn(list(new))
+        sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        known = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(sizes.sum()))
+        text = np.repeat(np.arange(len(texts)), sizes)
+        # A segment that a tokenizer does not spell out takes the tokens from its whole text.
+        spoilt = np.unique(text[self.counts[0][known] == 0])
+        if len(spoilt):
+            stays = ~np.isin(text, spoilt)
+            known, text = known[stays], text[stays]
+        counts = [np.bincount(text, weights=c[known], minlength=len(texts)).astype(np.int64) for c in self.counts]
+        edges, spelled = np.r_[0, np.cumsum(np.bincount(text, minlength=len(texts)))].tolist(), list(map(self.groups.__getitem__, known.tolist()))
+        groups = [";".join(spelled[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
+        segment, of, often = count_pairs(text, known)
+        each = self.begin[segment + 1] - self.begin[segment]
+        at = np.arange(int(each.sum())) + np.repeat(self.begin[segment] - (np.cumsum(each) - each), each)
+        pairs, of, times = count_pairs(np.repeat(of, each), self.pairs[at], self.times[at] * np.repeat(often, each))
+        return Aligned(*counts, groups, np.bincount(of, minlength=len(texts)), pairs, times)
+
+
+def align_texts(tokenizers: TokenizerPair, texts: list[str]) -> Aligned:
+    return align_whole(tokenizers, texts) if tokenizers.boundary is None else tokenizers.segments.align(texts)
 
 
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
