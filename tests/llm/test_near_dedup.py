@@ -205,3 +205,35 @@ def test_classes_in_small_chunks(spark, rows, monkeypatch, chunk):
     monkeypatch.setattr(N, "CHUNK", chunk)
     got = sorted(((r.doc_id, r.class_id) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
     assert got == brute_classes(rows)
+
+
+@pytest.mark.parametrize("oversized, chunk", [(4, 2048), (30, 4)])
+def test_classes_with_oversized_buckets(spark, rows, monkeypatch, oversized, chunk):
+    monkeypatch.setattr(N, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(N, "OVERSIZED", oversized)
+    monkeypatch.setattr(N, "CHUNK", chunk)
+    got = sorted(((r.doc_id, r.class_id) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_classes(rows)
+
+
+def test_unlike_members_of_a_bucket_do_not_meet(spark, monkeypatch):
+    """One bucket of 600 unlike texts and a few near copies: what is compared follows the rows, not their square."""
+    compared = spark.sparkContext.accumulator(0)
+    compare = N.close_pairs
+
+    def counted(outside, members):
+        compared.add(outside.num_rows * members.num_rows)
+        return compare(outside, members)
+
+    monkeypatch.setattr(N, "close_pairs", counted)
+    monkeypatch.setattr(N, "OVERSIZED", 64)
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{rnd.randint(0, 9999)}" for _ in range(120)) for _ in range(600)]
+    near = [t.rsplit(" ", 1)[0] + " changed" for t in texts[::20]]
+    key = {t: N.content_keys(*N.word_hashes([t]))[0] for t in [*texts, *near]}
+    shared = spark.createDataFrame([(7, bytearray(k), len(key), False, 0, 0, 0, 0) for k in key.values()], f"bucket long, content binary, n long, pivot boolean, {', '.join(f'{s} long' for s in N.SKETCH)}")
+    held = spark.createDataFrame([(bytearray(k), t) for t, k in key.items()], "content binary, text string")
+    labels = spark.createDataFrame([], "node binary, label binary")
+    got = {(bytes(r.a), bytes(r.b)) for r in N.left_over_pairs(shared, labels, held).collect()}
+    assert got == {tuple(sorted((key[a], key[b]))) for a, b in zip(texts[::20], near, strict=True)}
+    assert compared.value < 50 * len(key)

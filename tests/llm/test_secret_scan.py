@@ -1,8 +1,9 @@
 """Base patterns as written, the randomness battery, and the corpus-wide error control against brute force."""
 
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -41,30 +42,78 @@ def test_battery():
 
 def test_long_texts_are_linear():
     for text in ("a1" * 100_000, "password " * 30_000, "token" + " " * 200_000, "f" * 200_000, "AKIA" * 50_000, "a1b2c3d4e5f6g7h8i9j0k " * 5_000):
-        S.tokens_of(text, S.base_spans(text))
-
-
-def brute(rows, q=S.Q):
-    """Benjamini-Hochberg on the sorted p-values of each group."""
-    scanned = [(i, S.base_spans(t or ""), S.tokens_of(t or "", S.base_spans(t or ""))) for i, t in rows]
-    bins = defaultdict(list)
-    for _, _, tokens in scanned:
-        for t in tokens:
-            bins[t.group].append(t.bin)
+        S.tokens_of(text, S.base_spans(text), S.ordinary_model({}))
+
+
+# -- an independent battery: plain loops over the definitions, sharing nothing with the code under test
+UPPER, LOWER_, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+PLAIN_ALPHABETS = [
+    ("hex", DIGITS + "abcdef"),
+    ("HEX", DIGITS + "ABCDEF"),
+    ("base32", UPPER + "234567"),
+    ("base36", DIGITS + LOWER_),
+    ("BASE36", DIGITS + UPPER),
+    ("base62", UPPER + LOWER_ + DIGITS),
+    ("base64", UPPER + LOWER_ + DIGITS + "+/"),
+    ("base64url", UPPER + LOWER_ + DIGITS + "-_"),
+]
+
+
+def plain_p(token, alphabet):
+    n, k = len(token), len(alphabet)
+    v = [alphabet.index(c) for c in token]
+    chi = sum((token.count(c) - n / k) ** 2 / (n / k) for c in alphabet)
+    # Wilson-Hilferty: the cube root of chi-squared over its degrees of freedom is nearly normal.
+    mean, sd = 1 - 2 / (9 * (k - 1)), math.sqrt(2 / (9 * (k - 1)))
+    p1 = 0.5 * math.erfc(((chi / (k - 1)) ** (1 / 3) - mean) / sd / math.sqrt(2))
+    side = "".join("+" if x >= k / 2 else "-" for x in v)
+    up, down, runs = side.count("+"), side.count("-"), len(re.findall(r"\++|-+", side))
+    expected = 2 * up * down / n + 1
+    variance = (expected - 1) * (expected - 2) / (n - 1)
+    p2 = math.erfc(abs(runs - expected) / math.sqrt(2 * variance)) if variance > 0 else 2 ** (1 - n)
+    centred = [x - (k - 1) / 2 for x in v]
+    serial = sum(centred[i] * centred[i + 1] for i in range(n - 1)) / ((n - 1) * (k**2 - 1) / 12)
+    p3 = math.erfc(abs(serial) * math.sqrt((n - 1) / 2))
+    return min(1, 3 * min(p1, p2, p3))
+
+
+def brute(rows, q=0.05, wrong=0.05):
+    """Tokens of texts in which only blanks, commas, ``==`` and ends part them; both controls on sorted lists."""
+    table = Counter()
+    for _, t in rows:
+        for run in re.findall(r"[A-Za-z0-9+/_-]+", t or ""):
+            if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+                for x, y in zip(["", *run], run, strict=False):
+                    table[x, y] += 1
+    size = {x: sum(n for (a, _), n in table.items() if a == x) for x in {a for a, _ in table}}
+    logp = lambda x, y: math.log10((table[x, y] + 0.5) / (size.get(x, 0) + 33))  # noqa: E731  66 characters, half a count each
+    found = []
+    for k, (_, t) in enumerate(rows):
+        taken = plain_spans(t or "")
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{12,}", t or ""):
+            token = m[0]
+            names = [(name, a) for name, a in PLAIN_ALPHABETS if set(token) <= set(a)]
+            if any(a < m.end() and m.start() < b for _, a, b in taken) or not names or not (re.search("[0-9]", token) and re.search("[A-Za-z]", token)):
+                continue
+            name, alphabet = names[0]
+            band = max(x for x in (12, 16, 20, 24, 32, 48, 64, 128, 512) if x <= len(token))
+            p = plain_p(token, alphabet)
+            p_bin = min(2000, int(-math.log10(p) * 50)) if p > 0 else 2000
+            e = -len(token) * math.log10(len(alphabet)) - math.log10(8) - sum(logp(x, y) for x, y in zip(["", *token], token, strict=False))
+            found.append((k, m.start(), m.end(), (name, band), p_bin, max(0, min(2000, math.floor(e * 10)))))
+    least = min((x[5] for x in found if x[5] / 10 >= math.log10(len(found) / wrong / sum(y[5] >= x[5] for y in found))), default=9999)
     limit = {}
-    for g, values in bins.items():
-        values.sort(reverse=True)
-        n = len(values)
-        for k, b in enumerate(values, 1):
-            if 10 ** (-b / S.BINS_A_DECADE) <= sum(v >= b for v in values) / n * q and k <= n:
-                limit[g] = min(b, limit.get(g, b))
+    for g in {x[3] for x in found}:
+        bins = [x[4] for x in found if x[3] == g]
+        limit[g] = min((b for b in bins if 10 ** (-b / 50) <= sum(c >= b for c in bins) / len(bins) * q), default=9999)
     out = []
-    for i, base, tokens in scanned:
-        spans = [*base, *(("random", t.start, t.end) for t in tokens if t.bin < limit.get(t.group, S.LAST_BIN + 1))]
+    for k, (i, t) in enumerate(rows):
+        base = plain_spans(t or "")
+        spans = [*base, *(("random", a, b) for j, a, b, g, p, e in found if j == k and p < limit[g] and e >= least)]
         order = (*S.BASE_KINDS, "random")
         spans.sort(key=lambda s: (s[1], order.index(s[0])))
         text = lambda x: ",".join(f"{k}:{a}:{b}" for k, a, b in x)
-        out.append((i, *(sum(s[0] == k for s in spans) for k in order), sha256_hex(text(base)), text(spans)))
+        out.append((i, *(sum(s[0] == kind for s in spans) for kind in order), sha256_hex(text(base)), text(spans)))
     return sorted(out, key=str)
 
 
@@ -78,8 +127,9 @@ def test_rows(spark):
     df = spark.createDataFrame([(i, t, "x", []) for i, t in rows], "doc_id long, text string, spans string, tokens array<int>")
     out = S.report(df)
     names = ["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"]
-    assert out.columns == names
-    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert out.columns == [*names, "p_values"]
+    assert all(len(r.p_values) == r.n_assign + r.n_access + r.n_hex + r.n_random for r in out.collect())
+    got = sorted((tuple(r) for r in out.drop("p_values").collect()), key=str)
     assert got == brute(rows)
     found = sum(r[4] for r in got)
     assert 140 <= found <= 175  # the drawn tokens, and hardly any of the dull ones
@@ -94,12 +144,32 @@ def test_query_against_brute_force(spark):
 
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    got = sorted((tuple(r) for r in QUERIES["op7_secrets"](spark, sf).collect()), key=str)
+    rows = QUERIES["op7_secrets"](spark, sf).collect()
+    got = sorted((tuple(r)[:-1] for r in rows), key=str)
     assert got == brute(docs)
+    assert any(p is not None for r in rows for p in r.p_values)
     want = {i: plain_spans(t) for i, t in docs}
     assert all(r[1:4] == tuple(sum(s[0] == k for s in want[r[0]]) for k in S.BASE_KINDS) for r in got)
 
 
+def test_ordinary_tokens_are_seldom_reported(spark):
+    """Long identifiers, names with numbers and versions among drawn tokens: few of the reported ones are ordinary."""
+    rnd = random.Random(5)
+    words = "this is a very long identifier with some name value index total number of entry list item table user account order type path file".split()
+    rows, planted = [], set()
+    for k in range(400):
+        name = lambda glue: glue.join(rnd.choice(words) for _ in range(rnd.randint(2, 6))) + str(rnd.randint(1, 2030))
+        text = " ".join([*rnd.choices(words, k=30), name(""), name("_"), name("-"), rnd.choice(words)])
+        if k % 4 == 0:
+            drawn = "".join(rnd.choice(S.ALPHABETS["base62"]) for _ in range(rnd.choice([24, 32, 40])))
+            planted.add((k, len(text) + 1, len(text) + 1 + len(drawn)))
+            text += f" {drawn}"
+        rows.append((k, text))
+    found = {(r.doc_id, s.start, s.end) for r in S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect() for s in r.spans if s.kind == "random"}
+    assert len(found & planted) >= 0.9 * len(planted)
+    assert len(found - planted) <= 0.05 * len(found)
+
+
 def test_values_after_names_and_paths(spark):
     """The places of planted values, known from how the text is made, whatever ``tokens_of`` takes for a token."""
     rnd = random.Random(3)

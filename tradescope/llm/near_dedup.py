@@ -19,7 +19,9 @@ are one node from the start, so copies never meet in a bucket. Small buckets
 are compared pair by pair. In a large bucket every member is compared with one
 pivot, which differs from band to band; what the pivots leave outside a bucket's
 largest component is then held against all members of other components, in
-chunks of bounded size, by signatures of ``FINE`` components. Within a component no
+chunks of bounded size, by signatures of ``FINE`` components. A bucket of very many
+members is banded again by these first, so that members which are all unlike do not
+meet in it. Within a component no
 further link can change the classes, so no class is lost and no bucket is
 spelled out as pairs. A sketch of one bit per component, or the finer signature,
 drops pairs that are far below the threshold (four standard deviations) before
@@ -60,6 +62,10 @@ CHUNK = 2048
 SKETCH = [f"s{k}" for k in range(COMPONENTS // 64)]
 #: Buckets up to this size are compared pair by pair.
 SMALL_BUCKET = 24
+#: Buckets beyond this size are banded again by the finer signature: 102 bands of 10 of its bytes, which
+#: a pair at the threshold passes with probability 0.99999 and a pair of similarity 0.3 with 0.0007.
+OVERSIZED = 8 * CHUNK
+SUB_BANDS, SUB_ROWS = 102, 10
 
 U = np.uint64
 
@@ -365,14 +371,21 @@ def close_pairs(outside: pa.Table, members: pa.Table) -> pa.Table:
 def left_over_pairs(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
     """In large buckets: members outside the bucket's largest component with the members of other components that come close."""
     large = shared.where(F.col("n") > SMALL_BUCKET)
-    fine = fine_signatures(texts.join(large.select("content").distinct(), "content", "left_semi"))
-    large = large.join(labels.withColumnRenamed("node", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
+    fine = cut(fine_signatures(texts.join(large.select("content").distinct(), "content", "left_semi")))
+    sketches = large.select("content", *SKETCH).dropDuplicates(["content"])
+    large = large.select("bucket", "content", "n").join(labels.withColumnRenamed("node", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
     per_label = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
     main = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), (F.sum("k") - F.max("k")).alias("n_outside"))
-    own = large.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))  # a bucket per band at most
-    large = large.join(fine, "content").join(own, "content").join(main.where("n_outside > 0"), "bucket")
+    large = large.join(main.where("n_outside > 0"), "bucket").join(fine, "content")
+    # Members of an oversized bucket only meet where a band of their finer signatures agrees, as if in buckets of their own.
+    again = F.transform(F.sequence(F.lit(0), F.lit(SUB_BANDS - 1)), lambda i: F.xxhash64("bucket", i, F.substring(F.col("fine"), i * SUB_ROWS + 1, F.lit(SUB_ROWS))))
+    places = F.when(F.col("n") > OVERSIZED, again).otherwise(F.array("bucket"))
+    large = cut(large.select("content", "label", (F.col("label") != F.col("main")).alias("outside"), F.explode(places).alias("bucket")))
+    sizes = large.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("outside").cast("long")).alias("n_outside"))
     chunks = [F.ceil(F.col(n) / CHUNK).cast("long").alias(c) for n, c in (("n", "chunks"), ("n_outside", "outside_chunks"))]
-    large = cut(large.select("*", *chunks, (F.col("label") != F.col("main")).alias("outside")).drop("n", "n_outside", "pivot", "main"))
+    large = large.join(sizes.where("n > 1 AND n_outside > 0").select("bucket", *chunks), "bucket")
+    own = large.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))  # one per band at most, or sub-band of one
+    large = cut(large.join(fine, "content").join(sketches, "content").join(own, "content"))
 
     def dealt(side: DataFrame, own_chunk: str, of: str, other_chunk: str, others: str) -> DataFrame:
         """Every row in one chunk of its own side and in all chunks of the other."""

@@ -1,18 +1,28 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests on other tokens.
 
 Base kinds (``assign``, ``access``, ``hex``) follow fixed patterns and are
-always reported. The method adds ``random``: a long token of one inferred
-encoding (hex, base32, base36, base62, base64) whose characters look drawn uniformly;
-names before ``=`` and, where no encoding fits, paths around it are cut off (``parts_of``).
+always reported. The method adds ``random``: a token of one inferred encoding (hex,
+base32, base36, base62, base64) whose characters look drawn uniformly; names before
+``=`` and, where no encoding fits, paths around it are cut off (``parts_of``).
 Three tests put that to the proof: chi-squared uniformity over the encoding's
 alphabet, the number of runs about the alphabet's middle, and the lag-one
-serial correlation. Their smallest p-value, times three, is the token's.
-
-A token is refuted, i.e. not a secret, where the Benjamini-Hochberg procedure
-rejects uniformity. The procedure runs over all tokens of the table, apart for
-each encoding and band of lengths: short tokens have little power, so they must
-not share their error budget with long ones. Its counts are a bounded grid of
-p-value bins that Spark sums.
+serial correlation. Their smallest p-value, times three, is the token's; the values of
+base spans are tested as well and their p-values reported.
+
+Two false-discovery controls decide, both over all tokens of the table:
+
+* A token is refuted, i.e. not random, where the Benjamini-Hochberg procedure rejects
+  uniformity, apart for each encoding and band of lengths: short tokens have little
+  power, so they must not share their error budget with long ones.
+* What is not refuted is reported only on evidence against ordinary text. A token's
+  evidence is the ratio of its probability under uniform draws (a mixture over the
+  encodings) to that under a model of the corpus's own words and numbers: which
+  character follows which. Its mean over ordinary tokens is at most 1, so it grows with
+  length only for tokens that are not ordinary, and the procedure of
+  Benjamini and Hochberg on such ratios (e-BH) bounds the share of ordinary tokens
+  among the reported ones by ``WRONG``, however tokens depend on each other.
+
+Counts are bounded grids of bins that Spark sums.
 """
 
 from __future__ import annotations
@@ -22,10 +32,13 @@ import re
 from bisect import bisect_left
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradescope.llm.common import cut, documents_of, map_rows
+from tradescope.llm.sentencepiece_bpe import groups_by_size
 
 BASE_KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -34,10 +47,10 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST_VALUE = 12
 
 #: A run that tokens are cut from (see ``parts_of``); the battery tests those of this length with a digit and a letter.
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-WHOLE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+WHOLE = re.compile(r"[A-Za-z0-9+/_-]{12,}")
 #: Pieces of a run that no alphabet holds.
-PIECES = tuple(re.compile(p) for p in (r"[A-Za-z0-9+]{20,}", r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}"))
+PIECES = tuple(re.compile(p) for p in (r"[A-Za-z0-9+]{12,}", r"[A-Za-z0-9+/]{12,}", r"[A-Za-z0-9_-]{12,}"))
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: The first alphabet that holds all of a token's characters is its encoding.
 ALPHABETS = {
@@ -52,11 +65,19 @@ ALPHABETS = {
 }
 ORDER = {name: {c: k for k, c in enumerate(a)} for name, a in ALPHABETS.items()}
 #: Lower ends of the length bands; share of false refutations among refuted tokens.
-BANDS = (20, 24, 32, 48, 64, 128, 512)
+BANDS = (12, 16, 20, 24, 32, 48, 64, 128, 512)
 Q = 0.05
+#: Share of ordinary tokens among the reported ones, at most.
+WRONG = 0.05
 #: p-values are binned on a log scale, so many bins a decade, down to the last one.
 BINS_A_DECADE, DECADES = 50, 40
 LAST_BIN = BINS_A_DECADE * DECADES
+#: Evidence is binned on a log scale too, up to this bin.
+EVIDENCE_A_DECADE, LAST_EVIDENCE = 10, 2000
+#: Characters of tokens, by number; one more number stands for what is before a run.
+CHARACTERS = BASE64 + "-_"
+NUMBER = {c: k for k, c in enumerate(CHARACTERS)}
+BEFORE = len(CHARACTERS)
 
 
 class Token(NamedTuple):
@@ -64,6 +85,7 @@ class Token(NamedTuple):
     end: int
     group: str
     bin: int
+    evidence: int
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -133,7 +155,56 @@ def parts_of(run: str) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def tokens_of(text: str, base: list[tuple[str, int, int]]) -> list[Token]:
+# -- ordinary text -------------------------------------------------------------
+CODE = np.full(0x80, BEFORE, dtype=np.int64)
+CODE[[ord(c) for c in CHARACTERS]] = np.arange(BEFORE)
+
+
+def followers(texts: list[str]) -> np.ndarray:
+    """How often each character follows each, or begins, in runs of letters alone or digits alone (with ``+/-_`` in either)."""
+    joined = "\n".join(["", *texts, ""])
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    code = CODE[np.where(codes < 0x80, codes, 0)]
+    inside = code < BEFORE
+    run = np.cumsum(inside & ~np.r_[False, inside[:-1]]) * inside  # 0: outside
+    digit, letter = (np.bincount(run[kind & inside], minlength=int(run.max()) + 1) > 0 for kind in ((code >= 52) & (code < 62), code < 52))
+    plain = inside & ~(digit & letter)[run]
+    before = np.r_[BEFORE, code[:-1]]
+    return np.bincount(before[plain] * BEFORE + code[plain], minlength=(BEFORE + 1) * BEFORE)
+
+
+def count_followers(docs: DataFrame) -> DataFrame:
+    """``pair, n`` over all texts: a row per task and pair of characters at most enters the shuffle."""
+
+    def run(batches):
+        total = np.zeros((BEFORE + 1) * BEFORE, dtype=np.int64)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in groups_by_size(texts):
+                total += followers(texts[a:b])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
+
+    return documents_of(docs).mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def ordinary_model(counts: dict[int, int]) -> np.ndarray:
+    """-log10 of the probability of each character after each (or at the beginning), half a count added to every pair."""
+    table = np.full((BEFORE + 1, BEFORE), 0.5)
+    for pair, n in counts.items():
+        table[pair // BEFORE, pair % BEFORE] += n
+    return -np.log10(table / table.sum(axis=1, keepdims=True))
+
+
+def evidence_of(token: str, encoding: str, model: np.ndarray) -> int:
+    """The bin (rounded down) of the token's evidence against ordinary text."""
+    at = [NUMBER[c] for c in token]
+    surprise = float(model[[BEFORE, *at[:-1]], at].sum())
+    value = surprise - len(token) * math.log10(len(ORDER[encoding])) - math.log10(len(ORDER))
+    return max(0, min(LAST_EVIDENCE, math.floor(value * EVIDENCE_A_DECADE)))
+
+
+def tokens_of(text: str, base: list[tuple[str, int, int]], model: np.ndarray) -> list[Token]:
     """Tokens to test: with a digit and a letter, of a known encoding, and outside the base spans."""
     spans = sorted((a, b) for _, a, b in base)
     starts, reach = [a for a, _ in spans], 0
@@ -149,22 +220,38 @@ def tokens_of(text: str, base: list[tuple[str, int, int]]) -> list[Token]:
                 continue
             if encoding := encoding_of(token):
                 band = max(x for x in BANDS if x <= b - a)
-                out.append(Token(a, b, f"{encoding}/{band}", bin_of(p_uniform(token, encoding))))
+                out.append(Token(a, b, f"{encoding}/{band}", bin_of(p_uniform(token, encoding)), evidence_of(token, encoding, model)))
     return out
 
 
+def base_p(text: str, kind: str, start: int, end: int) -> float | None:
+    """The battery's p-value of a base span's value; none where it is too short or of no encoding."""
+    value = text[start:end]
+    if kind == "assign":
+        value = ASSIGN.match(value)[1].rstrip("=")
+    elif kind == "access":
+        value = value[4:]
+    encoding = encoding_of(value)
+    return p_uniform(value, encoding) if encoding and len(value) >= BANDS[0] else None
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, base array<span>, tokens array<token>`` of every whole text, one row per input row."""
+    counts = {r["pair"]: r["n"] for r in count_followers(docs).collect()}  # bounded by the pairs of characters
+    shared = docs.sparkSession.sparkContext.broadcast(ordinary_model(counts))
 
     def run(cols):
-        base = [base_spans(t) for t in cols["text"]]
-        tokens = [[x._asdict() for x in tokens_of(t, b)] for t, b in zip(cols["text"], base, strict=True)]
-        return {"doc_id": cols["doc_id"], "base": [[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in base], "tokens": tokens}
+        model, out = shared.value, {"doc_id": cols["doc_id"], "base": [], "tokens": []}
+        for t in cols["text"]:
+            base = base_spans(t)
+            out["base"].append([{"kind": k, "start": a, "end": b, "p": base_p(t, k, a, b)} for k, a, b in base])
+            out["tokens"].append([x._asdict() for x in tokens_of(t, base, model)])
+        return out
 
     return map_rows(
         documents_of(docs),
         run,
-        "doc_id long, base array<struct<kind: string, start: long, end: long>>, tokens array<struct<start: long, end: long, group: string, bin: int>>",
+        "doc_id long, base array<struct<kind: string, start: long, end: long, p: double>>, tokens array<struct<start: long, end: long, group: string, bin: int, evidence: int>>",
     )
 
 
@@ -180,20 +267,35 @@ def refuted_from(scanned: DataFrame, q: float = Q) -> DataFrame:
     return ranked.where(edge <= F.col("rank") / F.col("total") * q).groupBy("group").agg(F.min("bin").alias("refuted_from"))
 
 
-def find_secrets(docs: DataFrame, q: float = Q) -> DataFrame:
-    """``doc_id, spans array<struct<kind, start, end>>``, base spans and unrefuted tokens by start, then kind.
+def reported_from(scanned: DataFrame, wrong: float = WRONG) -> int:
+    """The least bin of evidence that e-BH accepts: evidence of at least n / (wrong * k) for the k tokens that have as much."""
+    bins = scanned.select(F.explode("tokens").alias("t")).groupBy(F.col("t.evidence").alias("bin")).count().collect()  # LAST_EVIDENCE + 1 at most
+    total, so_far, out = sum(r["count"] for r in bins), 0, LAST_EVIDENCE + 1
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        so_far += r["count"]
+        if r["bin"] / EVIDENCE_A_DECADE >= math.log10(total / (wrong * so_far)):
+            out = r["bin"]
+    return out
+
+
+def find_secrets(docs: DataFrame, q: float = Q, wrong: float = WRONG) -> DataFrame:
+    """``doc_id, spans array<struct<kind, start, end, p>>``, base spans and reported tokens by start, then kind.
 
-    One row per input row: null and empty texts have no spans, a null doc_id
-    stays null, repeated rows are repeated, other columns are ignored.
+    ``p`` is the battery's p-value (of a random token: its bin's upper edge; null
+    where a base span cannot be tested). One row per input row: null and empty texts
+    have no spans, a null doc_id stays null, repeated rows are repeated, other
+    columns are ignored.
     """
     scanned = cut(scan(docs))
     limits = {r["group"]: r["refuted_from"] for r in refuted_from(scanned, q).collect()}  # bounded: one row per group
     known = F.create_map(*[x for k, v in sorted(limits.items()) for x in (F.lit(k), F.lit(v))]) if limits else F.lit(None).cast("map<string,int>")
-    kept = F.filter("tokens", lambda t: t["bin"] < F.coalesce(F.try_element_at(known, t["group"]), F.lit(LAST_BIN + 1)))
-    added = F.transform(kept, lambda t: F.struct(F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    least = reported_from(scanned, wrong)
+    kept = F.filter("tokens", lambda t: (t["bin"] < F.coalesce(F.try_element_at(known, t["group"]), F.lit(LAST_BIN + 1))) & (t["evidence"] >= least))
+    edge = lambda t: F.pow(F.lit(10.0), -t["bin"] / F.lit(float(BINS_A_DECADE)))
+    added = F.transform(kept, lambda t: F.struct(F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end"), edge(t).alias("p")))
     rank = F.create_map(*[x for k, kind in enumerate((*BASE_KINDS, "random")) for x in (F.lit(kind), F.lit(k))])
-    keyed = F.transform(F.concat("base", added), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    spans = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    keyed = F.transform(F.concat("base", added), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), s["p"].alias("p")))
+    spans = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["p"].alias("p")))
     return scanned.select("doc_id", spans.alias("spans"))
 
 
@@ -209,6 +311,6 @@ def report(docs: DataFrame, q: float = Q) -> DataFrame:
 
     base = F.filter("spans", lambda s: s["kind"] != "random")
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in (*BASE_KINDS, "random")]
-    return spans.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return spans.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.col("spans.p").alias("p_values"))
 
 
