@@ -766,6 +766,17 @@ FROM closed WHERE close_date IS NOT NULL
   AND time_bucket(INTERVAL '1 hour', close_date) + INTERVAL '1 hour' <= (SELECT max(close_date) - INTERVAL '1 hour' FROM closed)
 GROUP BY 1, 2, 3"""
 
+Q["str_revised_windows"] = f"""
+, span AS (SELECT epoch_us(min(close_date)) AS low, epoch_us(max(close_date)) AS high, max(close_date) - INTERVAL '1 hour' AS passed FROM closed),
+timed AS (
+  SELECT c.*, time_bucket(INTERVAL '1 hour', close_date) AS window_start, epoch_us(close_date) <= low + (high - low) * 2 // 3 AS after_the_last
+  FROM closed c, span WHERE close_date IS NOT NULL
+)
+SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, strategy, count(*) AS trades, avg(profit_pct) AS avg_profit_pct,
+  sum(profit_abs) AS total_profit_abs, avg({WIN}) AS win_rate,
+  ISUM(CASE WHEN after_the_last AND window_start + INTERVAL '1 hour' <= passed THEN 1 ELSE 0 END) AS late_rows
+FROM timed, span GROUP BY window_start, strategy"""
+
 # ----------------------------------------------------------------- health history / normalisation
 def _history() -> str:
     """Health of the trades of the first one, two and three thirds of the span of close times."""
@@ -823,6 +834,14 @@ Q["snk_upsert"] = """
 SELECT metric_type, entity_name, max_drawdown_pct * CASE WHEN metric_type IN ('overall', 'by_strategy', 'var_analysis') THEN 2 ELSE 1 END AS max_drawdown_pct,
   var_95_pct FROM risk_metrics"""
 Q["snk_csv_export"] = "SELECT pair, total_trades, winning_trades, best_trade_pct, worst_trade_pct, total_volume FROM pair_analytics"
+Q["snk_update_table"] = """
+SELECT 'pair_analytics' AS "table", pair AS entity, total_trades AS trades FROM pair_analytics
+UNION ALL SELECT 'timing_analysis', CAST(hour(open_date) AS VARCHAR), count(*) FROM closed WHERE trade_id % 3 <> 0 AND open_date IS NOT NULL GROUP BY 2"""
+for _report in ("pr_top10", "rm_sl_by_pair", "sp_ranking", "ta_best_hours", "pa_rating", "sl_by_strategy", "dp_by_strategy", "bh_dashboard"):
+    Q[f"stored_{_report}"] = Q[_report]
+Q["src_load_trades"] = """
+SELECT trade_id, pair, base_currency, quote_currency, is_open, strategy, profit_pct, profit_abs, profit_ratio, trade_duration, exit_reason,
+  stop_loss_pct, stake_amount, open_date, close_date FROM trades"""
 Q["src_rejects"] = """
 SELECT count(*) AS rows_read, CAST(0 AS BIGINT) AS trade_id_rejected, count(CASE WHEN trade_id % 7 = 0 THEN 1 END) AS is_open_rejected,
   count(CASE WHEN trade_id % 7 = 0 THEN 1 END) AS profit_pct_rejected, count(CASE WHEN trade_id % 11 = 0 THEN 1 END) AS open_date_rejected
@@ -910,3 +929,16 @@ Q.update(_sub())
 Q["build_strategy_streaks"] = "SELECT k AS strategy_name, max_consecutive_wins, max_consecutive_losses FROM strategy_streaks"
 Q["build_pair_streaks"] = "SELECT k AS pair, max_consecutive_wins, max_consecutive_losses FROM pair_streaks"
 Q["build_risk_var"] = "SELECT metric_type, entity_name, var_95_pct FROM risk_metrics WHERE metric_type = 'var_analysis'"
+
+
+def _of_bots(body: str) -> str:
+    """The query over each of two bots' trades; the second has a third of them, numbered anew."""
+    from oracle.prelude import TRADES, with_prelude
+
+    second = f"(WITH {TRADES.strip()} SELECT * REPLACE (trade_id // 3 AS trade_id) FROM trades WHERE trade_id % 3 = 0)"
+    return f"SELECT 'bot_a' AS bot_id, a.* FROM ({with_prelude(body)}) a UNION ALL SELECT 'bot_b', b.* FROM ({with_prelude(body, second)}) b"
+
+
+for _table in ("performance_rankings", "risk_metrics", "strategy_performance", "timing_analysis", "pair_analytics", "stop_loss_analytics", "duration_patterns"):
+    Q[f"bots_{_table}"] = _of_bots(Q[f"build_{_table}"])
+Q["bots_bot_health_metrics"] = _of_bots(Q["build_bot_health"])

@@ -59,3 +59,41 @@ def test_element_at_fraction(spark, monkeypatch):
         for level in (0.0, 0.05, 0.5, 0.9):
             assert element_at_fraction(df, "v", level).first()[0] == sorted(values)[int(len(values) * level)]
     assert element_at_fraction(df.where("v IS NULL"), "v", 0.05).first()[0] is None
+
+
+def test_element_at_fraction_of_many_keys(spark, monkeypatch):
+    """All keys are narrowed together, in two scans of the values, whatever their number."""
+    monkeypatch.setattr(order_stats, "BUCKETS", 4)
+    rnd = random.Random(7)
+    rows = [(f"k{rnd.randint(0, 40)}", rnd.randint(0, 1), rnd.choice([-1.5, rnd.uniform(-100, 5), rnd.gauss(0, 1e-3), None])) for _ in range(4000)]
+    rows += [(None, 1, -4.0), (None, 1, -5.0), ("hot", 0, -0.25)] + [("hot", 0, rnd.uniform(-1, -0.9)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k string, g int, v double")
+    for level in (0.0, 0.05, 0.5, 0.999):
+        got = {(r.k, r.g): r.value for r in element_at_fraction(df, "v", level, ["k", "g"]).collect()}
+        want = {}
+        for k, g, v in rows:
+            if v is not None:
+                want.setdefault((k, g), []).append(v)
+        assert got == {key: sorted(vs)[int(len(vs) * level)] for key, vs in want.items()}
+    assert element_at_fraction(df.where("k = 'none'"), "v", 0.5, ["k"]).collect() == []
+
+
+def test_ranges_keep_the_order_of_values(spark):
+    tiny, huge = 5e-324, 1.7976931348623157e308
+    values = sorted({s * x for s in (-1, 1) for x in (0.0, tiny, 2 * tiny, 3 * tiny, 1e-300, 0.5, 0.999999, 1.0, 1.0000001, 2.0, 3.99, 4.0, 1e5, huge, float("inf"))})
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_stats.value_range(F.col("v")).alias("r"))
+    ranges = [r.r for r in df.orderBy("v").collect()]
+    assert ranges == sorted(ranges) and len(set(ranges)) > 20
+
+
+def test_rank_index_adds_up_over_batches(spark):
+    rnd = random.Random(5)
+    batches = [[rnd.choice([-3.0, rnd.uniform(-60, -0.01)]) for _ in range(n)] for n in (300, 1, 40, 200)]
+    parts = [order_stats.count_values(spark.createDataFrame([(v,) for v in b], "v double"), "v").cache() for b in batches]
+    values = parts[0]
+    ranges = order_stats.count_ranges(parts[0])
+    for p in parts[1:]:
+        values, ranges = values.unionByName(p), ranges.unionByName(order_stats.count_ranges(p))
+    every = sorted(v for b in batches for v in b)
+    for level in (0.0, 0.05, 0.7):
+        assert order_stats.element_from_index(order_stats.merge_ranges(ranges), values, level).first()[0] == every[int(len(every) * level)]

@@ -54,7 +54,7 @@ def strategies_by_bot(trades: DataFrame, bucket_ids: int = DEFAULT_BUCKET_IDS) -
     return core.join(runs, ["bot_id", "strategy_name"], "left")
 
 
-def var_of_bot(trades: DataFrame, bot_id: str, level: float = 0.05) -> DataFrame:
-    """Value at risk of one bot's losing trades."""
-    losers = trades.where((F.col("bot_id") == bot_id) & ~F.col("is_open") & (F.col("profit_pct") < 0))
-    return element_at_fraction(losers, "profit_pct", level, out="var_95_pct").select(F.lit(bot_id).alias("bot_id"), "var_95_pct")
+def var_by_bot(trades: DataFrame, level: float = 0.05) -> DataFrame:
+    """``bot_id, var_95_pct``: value at risk of each bot's losing trades, all bots in the same two scans."""
+    losing = G.only_closed(trades).where(F.col("profit_pct") < 0)
+    return element_at_fraction(losing, "profit_pct", level, ["bot_id"], "var_95_pct")

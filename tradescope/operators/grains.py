@@ -159,11 +159,12 @@ def _stats() -> list[Column]:
     ]
 
 
-def grain_stats(closed: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Statistics for the named grains (all by default) from one scan."""
-    names = names or list(GRAINS)
-    sets = [GRAINS[n] for n in names]
-    return _keyed(closed).groupingSets(sets, *KEYS).agg(F.grouping_id(*KEYS).alias("gid"), *_stats())
+def grain_stats(closed: DataFrame, names: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """Statistics for the named grains (all by default) from one scan; ``by`` names columns that every grain is crossed with."""
+    names, by = names or list(GRAINS), by or []
+    sets = [[*by, *GRAINS[n]] for n in names]
+    # Columns of every set leave the grouping id as it is without them.
+    return _keyed(closed).groupingSets(sets, *by, *KEYS).agg(F.grouping_id(*by, *KEYS).alias("gid"), *_stats())
 
 
 def stats_by(trades: DataFrame, keys: list[str]) -> DataFrame:
@@ -171,6 +172,11 @@ def stats_by(trades: DataFrame, keys: list[str]) -> DataFrame:
     return trades.where(~F.col("is_open")).groupBy(*keys).agg(*_stats())
 
 
+def only_closed(trades: DataFrame) -> DataFrame:
+    """Trades without the open ones, where the frame says which are open."""
+    return trades.where(~F.col("is_open")) if "is_open" in trades.columns else trades
+
+
 def stats_for(closed: DataFrame, names: list[str], stats: DataFrame | None = None) -> DataFrame:
     """Given statistics, or those of the named grains of ``closed``.
 
@@ -182,9 +188,7 @@ def stats_for(closed: DataFrame, names: list[str], stats: DataFrame | None = Non
     """
     if stats is not None:
         return stats
-    if "is_open" in closed.columns:
-        closed = closed.where(~F.col("is_open"))
-    own = grain_stats(closed, names)
+    own = grain_stats(only_closed(closed), names)
     return own if len(names) == 1 else pin(own)
 
 
@@ -319,11 +323,11 @@ _MIN_COLUMNS = {"min_p", "min_d", "min_p_sl_exit", "first_open"}
 _MAX_COLUMNS = {"max_p", "max_d", "last_open"}
 
 
-def merge_stats(parts: DataFrame) -> DataFrame:
+def merge_stats(parts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Combine grain statistics computed on disjoint sets of trades (e.g. one
-    per micro-batch): counts and sums add, minima and maxima combine."""
+    per id bucket), apart for each value of ``by``: counts and sums add, minima and maxima combine."""
     aggs = []
     for name in STAT_COLUMNS:
         fn = F.min if name in _MIN_COLUMNS else F.max if name in _MAX_COLUMNS else F.sum
         aggs.append(fn(name).alias(name))
-    return parts.groupBy("gid", *KEYS).agg(*aggs)
+    return parts.groupBy(*(by or []), "gid", *KEYS).agg(*aggs)

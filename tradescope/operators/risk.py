@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradescope.functions import measures as m
 from tradescope.operators import grains as G
-from tradescope.operators.order_stats import element_at_fraction
+from tradescope.operators.order_stats import element_at_fraction, element_from_index
 
 RISK_COLUMNS = [
     "metric_type",
@@ -24,6 +24,22 @@ RISK_COLUMNS = [
 NEEDS = ["overall", "pair", "strategy"]
 
 
+def build_risk_overall(stats: DataFrame) -> DataFrame:
+    """The overall row from statistics that hold the overall grain."""
+    null_d = F.lit(None).cast("double")
+    return G.overall(stats).select(
+        F.lit("overall").alias("metric_type"),
+        F.lit(None).cast("string").alias("entity_name"),
+        F.col("trig").alias("stop_loss_triggered_count"),
+        G.sl_eff_money().alias("stop_loss_effectiveness_pct"),
+        F.lit(0.0).alias("sharpe_ratio"),
+        F.col("min_p").alias("max_drawdown_pct"),
+        null_d.alias("volatility_pct"),
+        null_d.alias("var_95_pct"),
+        null_d.alias("risk_reward_ratio"),
+    )
+
+
 def build_risk_grains(
     closed: DataFrame,
     min_pair_trades: int = 3,
@@ -37,18 +53,7 @@ def build_risk_grains(
     """
     st = G.stats_for(closed, NEEDS, stats)
     null_d = F.lit(None).cast("double")
-    overall = G.overall(st).select(
-        F.lit("overall").alias("metric_type"),
-        F.lit(None).cast("string").alias("entity_name"),
-        F.col("trig").alias("stop_loss_triggered_count"),
-        G.sl_eff_money().alias("stop_loss_effectiveness_pct"),
-        F.lit(0.0).alias("sharpe_ratio"),
-        F.col("min_p").alias("max_drawdown_pct"),
-        null_d.alias("volatility_pct"),
-        null_d.alias("var_95_pct"),
-        null_d.alias("risk_reward_ratio"),
-    )
-    parts = [overall]
+    parts = [build_risk_overall(st)]
     for name, key, kept, min_n in (("by_pair", "pair", "kept10", min_pair_trades), ("by_strategy", "strategy", "kept5", min_strategy_trades)):
         parts.append(
             G.grain(st, key)
@@ -68,12 +73,24 @@ def build_risk_grains(
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def build_risk_var(closed: DataFrame, level: float = 0.05) -> DataFrame:
-    """m_var95: among losing trades sorted ascending, the element at ``floor(level*N)``."""
-    if "is_open" in closed.columns:
-        closed = closed.where(~F.col("is_open"))
-    losers = closed.where(F.col(m.P) < 0).select(m.P)
-    value = element_at_fraction(losers, m.P, level, out="var_95_pct")
+def losers(closed: DataFrame) -> DataFrame:
+    """The losing trades' profits (``is_open`` trades left out)."""
+    return G.only_closed(closed).where(F.col(m.P) < 0).select(m.P)
+
+
+def build_risk_var(closed: DataFrame, level: float = 0.05, index: tuple[DataFrame, DataFrame] | None = None, value: DataFrame | None = None) -> DataFrame:
+    """m_var95: among losing trades sorted ascending, the element at ``floor(level*N)``.
+
+    ``index`` is a kept rank index of the losers (range counts, values with
+    counts); without it the trades are scanned twice. Either way the search runs
+    small jobs while this plan is built. ``value`` is a known result (``var_95_pct``).
+    """
+    if value is not None:
+        value = value.select("var_95_pct")
+    elif index is None:
+        value = element_at_fraction(losers(closed), m.P, level, out="var_95_pct")
+    else:
+        value = element_from_index(*index, level, out="var_95_pct")
     return value.select(
         F.lit("var_analysis").alias("metric_type"),
         F.lit("portfolio").alias("entity_name"),
@@ -83,7 +100,14 @@ def build_risk_var(closed: DataFrame, level: float = 0.05) -> DataFrame:
     )
 
 
-def build_risk_metrics(closed: DataFrame, variant: str = "sql", stats: DataFrame | None = None, **params) -> DataFrame:
+def build_risk_metrics(
+    closed: DataFrame,
+    variant: str = "sql",
+    stats: DataFrame | None = None,
+    index: tuple[DataFrame, DataFrame] | None = None,
+    value: DataFrame | None = None,
+    **params,
+) -> DataFrame:
     if variant == "poller":
-        return build_risk_grains(closed, stats=stats, **params).where(F.col("metric_type") == "overall")
-    return build_risk_grains(closed, stats=stats, **params).unionByName(build_risk_var(closed))
+        return build_risk_overall(G.stats_for(closed, ["overall"], stats))
+    return build_risk_grains(closed, stats=stats, **params).unionByName(build_risk_var(closed, index=index, value=value))

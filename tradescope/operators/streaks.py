@@ -19,14 +19,18 @@ Keys without any win (loss) get NULL, as the reference's ``MAX`` over no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradescope.operators.grains import only_closed
+
 # 2^20 consecutive trade ids per bucket: buckets stay far below a task's memory
 # while the bucket-level chain per key stays small (ids / 1M rows).
 DEFAULT_BUCKET_IDS = 1 << 20
 
 _SIDES = ("w", "l")
+#: Columns of a bucket's summary beside its key.
+SUMMARY = ["n", "tw", "tl", *(f"{s}_{c}" for s in _SIDES for c in ("pre", "suf", "best"))]
 
 
 def max_streaks(closed: DataFrame, key: str, bucket_ids: int = DEFAULT_BUCKET_IDS) -> DataFrame:
@@ -101,16 +105,21 @@ def bucket_summaries(src: DataFrame) -> DataFrame:
     return rows.groupBy("k", "b").agg(F.max("n").alias("n"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), *side_aggs)
 
 
-def chain_buckets(buckets: DataFrame) -> DataFrame:
-    """Level 2: longest runs per k from its bucket summaries (runs crossing
-    bucket edges are chained). Returns ``(k, max_consecutive_wins, max_consecutive_losses)``."""
-    chain_w = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_key = Window.partitionBy("k")
+def _chains(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, side, chain, len, best, last``: the runs that touch bucket edges, by side, with the side's best inner run.
+
+    ``chain`` counts the broken buckets before a run, ``last`` those of the key:
+    chain 0 begins at the first row, chain ``last`` ends at the last one.
+    """
+    chain_w = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_key = Window.partitionBy(*keys)
     parts = []
     for s in _SIDES:
         broken = F.col(f"t{s}") > 0
         seg = F.col(f"{s}_seg")
-        piece = lambda chain, length: F.struct(F.lit(s).alias("side"), chain.alias("chain"), length.alias("len"))
+        piece = lambda chain, length: F.struct(
+            F.lit(s).alias("side"), chain.alias("chain"), length.alias("len"), F.col(f"{s}_kbest").alias("best"), F.col(f"{s}_last").alias("last")
+        )
         parts.append(
             F.when(broken, F.array(piece(seg, F.col(f"{s}_suf")), piece(seg - 1, F.col(f"{s}_pre")))).otherwise(
                 F.array(piece(seg, F.col("n")))
@@ -119,30 +128,44 @@ def chain_buckets(buckets: DataFrame) -> DataFrame:
     buckets = buckets.select(
         "*",
         *[F.sum(F.when(F.col(f"t{s}") > 0, F.lit(1)).otherwise(F.lit(0))).over(chain_w).alias(f"{s}_seg") for s in _SIDES],
+        *[F.sum(F.when(F.col(f"t{s}") > 0, F.lit(1)).otherwise(F.lit(0))).over(per_key).alias(f"{s}_last") for s in _SIDES],
         *[F.max(f"{s}_best").over(per_key).alias(f"{s}_kbest") for s in _SIDES],
     )
-    pieces = buckets.select("k", "w_kbest", "l_kbest", F.explode(F.concat(*parts)).alias("c")).select(
-        "k", "w_kbest", "l_kbest", "c.side", "c.chain", "c.len"
-    )
-    chains = pieces.groupBy("k", "side", "chain").agg(
-        F.sum("len").alias("len"), F.max("w_kbest").alias("w_kbest"), F.max("l_kbest").alias("l_kbest")
-    )
-    out = chains.groupBy("k").agg(
-        *[F.max(F.when((F.col("side") == s) & (F.col("len") > 0), F.col("len"))).alias(f"{s}_chain") for s in _SIDES],
-        F.max("w_kbest").alias("w_best"),
-        F.max("l_kbest").alias("l_best"),
-    )
-    return out.select(
-        "k",
-        F.greatest("w_best", "w_chain").cast("long").alias("max_consecutive_wins"),
-        F.greatest("l_best", "l_chain").cast("long").alias("max_consecutive_losses"),
-    )
+    pieces = buckets.select(*keys, F.explode(F.concat(*parts)).alias("c")).select(*keys, "c.*")
+    return pieces.groupBy(*keys, "side", "chain").agg(F.sum("len").alias("len"), F.max("best").alias("best"), F.max("last").alias("last"))
+
+
+def _longest(side: str) -> Column:
+    """Over the chains of a key: the longest run of a side, null without any."""
+    mine = F.col("side") == side
+    return F.greatest(F.max(F.when(mine, F.col("best"))), F.max(F.when(mine & (F.col("len") > 0), F.col("len"))))
+
+
+def chain_buckets(buckets: DataFrame) -> DataFrame:
+    """Level 2: longest runs per k from its bucket summaries (runs crossing
+    bucket edges are chained). Returns ``(k, max_consecutive_wins, max_consecutive_losses)``."""
+    return _chains(buckets, ["k"]).groupBy("k").agg(_longest("w").cast("long").alias("max_consecutive_wins"), _longest("l").cast("long").alias("max_consecutive_losses"))
+
+
+def merge_buckets(buckets: DataFrame) -> DataFrame:
+    """Summaries of consecutive buckets ``b`` as one summary per ``(k, node)``, of the same form: what holds for
+    a bucket's rows then holds for the node's."""
+    keys = ["k", "node"]
+    sums = buckets.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", *(f"t{s}" for s in _SIDES))])
+    edges = []
+    for s in _SIDES:
+        mine = F.col("side") == s
+        edges += [
+            F.max(F.when(mine & (F.col("chain") == 0), F.col("len"))).alias(f"{s}_pre"),
+            F.max(F.when(mine & (F.col("chain") == F.col("last")), F.col("len"))).alias(f"{s}_suf"),
+            _longest(s).alias(f"{s}_best"),
+        ]
+    joined = sums.join(_chains(buckets, keys).groupBy(*keys).agg(*edges), keys)
+    return joined.select(*keys, *SUMMARY)
 
 
 def keyed_rows(closed: DataFrame, keys: list[str], bucket_ids: int = DEFAULT_BUCKET_IDS) -> DataFrame:
     """(k, b, o, p) rows with k = struct(key_name, key_value), one per trade and key, partitioned on the id bucket b."""
-    if "is_open" in closed.columns:
-        closed = closed.where(~F.col("is_open"))
-    rows = closed.select(F.col("trade_id").alias("o"), F.col("profit_pct").alias("p"), F.floor(F.col("trade_id") / F.lit(bucket_ids)).alias("b"), *keys)
+    rows = only_closed(closed).select(F.col("trade_id").alias("o"), F.col("profit_pct").alias("p"), F.floor(F.col("trade_id") / F.lit(bucket_ids)).alias("b"), *keys)
     names = F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("string").alias("key_value")) for k in keys])
     return rows.repartition("b").select("o", "p", "b", F.explode(names).alias("k"))

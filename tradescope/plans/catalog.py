@@ -63,7 +63,7 @@ def _part(table: str, column: str | None, value: str | None, cols: list[str]) ->
     """A §2.3 sub-builder: one subtype / column group of a result table."""
 
     def run(t: Tables) -> DataFrame:
-        df = t.table(table)
+        df = t.risk_rows(value) if table == "risk_metrics" else t.table(table)
         if column is not None:
             df = df.where(F.col(column) == value)
         return comparable(df.select(*cols))
@@ -192,13 +192,37 @@ def bots_strategies(t: Tables) -> DataFrame:
 
 
 def bots_var(t: Tables) -> DataFrame:
-    from tradescope.operators.bots import var_of_bot
+    from tradescope.operators.bots import var_by_bot
 
-    both = _two_bots(t)
-    return var_of_bot(both, "bot_a").unionByName(var_of_bot(both, "bot_b"))
+    return var_by_bot(_two_bots(t))
 
 
+def src_load_trades(t: Tables) -> DataFrame:
+    """SRC-1: a written trades table read back with its schema; columns of the file beyond it are not read."""
+    from tradescope.sources.trades import load_trades
+
+    spark, path = t.trades.sparkSession, _scratch(t, "load")
+    t.trades.withColumn("note", F.lit("not read")).write.parquet(path)
+    return load_trades(spark, path)
+
+
+def _of_bots(name: str) -> Callable[[Tables], DataFrame]:
+    """A result table of two bots, written by a refresh and read back."""
+
+    def run(t: Tables) -> DataFrame:
+        from tradescope.sinks.refresh import read_result, refresh
+
+        root = _scratch(t, "bots")
+        refresh(t.trades.sparkSession, _two_bots(t), root, as_of=t.as_of or AS_OF, names=[name])
+        return comparable(read_result(t.trades.sparkSession, root, name))
+
+    return run
+
+
+BOT_TABLES = {f"bots_{name}": _of_bots(name) for name in RESULT_TABLES}
+
 SOURCES = {
+    "src_load_trades": src_load_trades,
     "bots_rankings": bots_rankings,
     "bots_strategies": bots_strategies,
     "bots_var": bots_var,
@@ -290,15 +314,27 @@ def str_live_windows(t: Tables) -> DataFrame:
     return spark.read.schema(windows.schema).parquet(f"{root}/out")
 
 
+def str_revised_windows(t: Tables) -> DataFrame:
+    """STR-8: the same windows over arrivals in the wrong order: rows behind the watermark revise their window and are counted."""
+    from tradescope.streaming.stream import closed_trade_stream, read_windows, revised_window_stream
+
+    spark, root = t.trades.sparkSession, _scratch(t, "revised")
+    first, second, third = _parts(t, 3)
+    for part in (third, first, second):
+        part.write.mode("append").parquet(f"{root}/source")
+        revised_window_stream(closed_trade_stream(spark, f"{root}/source"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return read_windows(spark, f"{root}/out")
+
+
 def snk_overwrite_subtypes(t: Tables) -> DataFrame:
     """SNK-1: the risk table written, then by_pair replaced by its riskier half and by_strategy by nothing."""
-    from tradescope.sinks.refresh import overwrite_subtypes
+    from tradescope.sinks.refresh import overwrite_subtypes, read_subtypes
 
     spark, path = t.trades.sparkSession, _scratch(t, "subtypes")
     risk = t.risk_metrics
     overwrite_subtypes(risk, path, "metric_type", ["overall", "by_pair", "by_strategy", "var_analysis"])
     overwrite_subtypes(risk.where("metric_type = 'by_pair' AND max_drawdown_pct < -15"), path, "metric_type", ["by_pair", "by_strategy"])
-    return spark.read.schema(risk.schema).parquet(path).select(*risk.columns)
+    return read_subtypes(spark, path, risk.schema)
 
 
 def _refreshed(t: Tables) -> str:
@@ -320,6 +356,48 @@ def snk_version(t: Tables) -> DataFrame:
     return read_result(t.trades.sparkSession, _refreshed(t), "stop_loss_analytics").drop("analysis_date")
 
 
+def snk_update_table(t: Tables) -> DataFrame:
+    """SNK-2: one table updated after a whole refresh of fewer trades; the other tables stay as they were."""
+    from tradescope.sinks.refresh import read_result, refresh
+
+    spark, root, start = t.trades.sparkSession, _scratch(t, "update"), t.as_of or AS_OF
+    refresh(spark, t.trades.where("trade_id % 3 <> 0"), root, as_of=start)
+    refresh(spark, t.trades, root, as_of=start + dt.timedelta(hours=1), names=["pair_analytics"])
+    pairs = read_result(spark, root, "pair_analytics").select(F.lit("pair_analytics").alias("table"), F.col("pair").alias("entity"), F.col("total_trades").alias("trades"))
+    hours = read_result(spark, root, "timing_analysis").where("time_category = 'hourly'")
+    return pairs.unionByName(hours.select(F.lit("timing_analysis").alias("table"), F.col("hour_of_day").cast("string").alias("entity"), F.col("trade_count").alias("trades")))
+
+
+def _stored(name: str) -> Callable[[Tables], DataFrame]:
+    """A report read from a stored version, which is held while later refreshes replace and prune it."""
+
+    def run(t: Tables) -> DataFrame:
+        from tradescope.plans.stored import StoredTables
+        from tradescope.sinks.refresh import refresh
+
+        spark, root, start = t.trades.sparkSession, _scratch(t, "stored"), t.as_of or AS_OF
+        names = [STORED_REPORTS[name]]
+        refresh(spark, t.trades, root, as_of=start, names=names)
+        stored = StoredTables.open(spark, root)
+        refresh(spark, t.trades.where("trade_id % 3 = 0"), root, as_of=start, names=names, full=True, keep_versions=1)
+        return REPORTS[name](stored)
+
+    return run
+
+
+#: Reports that are also read from a stored version, one of each result table.
+STORED_REPORTS = {
+    "pr_top10": "performance_rankings",
+    "rm_sl_by_pair": "risk_metrics",
+    "sp_ranking": "strategy_performance",
+    "ta_best_hours": "timing_analysis",
+    "pa_rating": "pair_analytics",
+    "sl_by_strategy": "stop_loss_analytics",
+    "dp_by_strategy": "duration_patterns",
+    "bh_dashboard": "bot_health_metrics",
+}
+
+
 def snk_ledger_report(t: Tables) -> DataFrame:
     """SNK-5/6: the last three runs of the ledger."""
     from tradescope.sinks.refresh import ledger_report, read_ledger
@@ -354,13 +432,15 @@ STREAMS = {
         str_alerts,
         bh_history_lag,
         str_live_windows,
+        str_revised_windows,
         snk_overwrite_subtypes,
         snk_version,
         snk_ledger_report,
         snk_upsert,
         snk_csv_export,
+        snk_update_table,
     )
-}
+} | BOT_TABLES | {f"stored_{name}": _stored(name) for name in STORED_REPORTS}
 
 CATALOG: dict[str, Callable[[Tables], DataFrame]] = {**BUILDERS, **SUB_BUILDERS, **POLLER, **REPORTS, **SOURCES, **STREAMS}
 

@@ -41,7 +41,7 @@ def _pr(t: Tables) -> DataFrame:
 
 
 def _rm(t: Tables, kind: str) -> DataFrame:
-    return t.risk_metrics.where(c("metric_type") == kind)
+    return t.risk_rows(kind)
 
 
 def _ta(t: Tables, kind: str) -> DataFrame:

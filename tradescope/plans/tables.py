@@ -18,7 +18,7 @@ from tradescope.operators.duration import build_duration_patterns
 from tradescope.operators.health import build_bot_health
 from tradescope.operators.pairs import build_pair_analytics
 from tradescope.operators.rankings import build_performance_rankings
-from tradescope.operators.risk import build_risk_metrics
+from tradescope.operators.risk import build_risk_grains, build_risk_metrics
 from tradescope.operators.stop_loss import build_stop_loss_analytics
 from tradescope.operators.strategy import build_strategy_performance
 from tradescope.operators.grains import grain_stats
@@ -63,7 +63,7 @@ GRAINS_OF = {
     "bot_health_metrics": ["overall", "pair", "strategy", "day"],
 }
 POLLER_GRAINS_OF = {
-    "risk_metrics": ["overall", "pair", "strategy"],
+    "risk_metrics": ["overall"],
     "timing_analysis": ["overall", "hour"],
     "stop_loss_analytics": ["pair"],
     "duration_patterns": ["category"],
@@ -85,6 +85,8 @@ class Tables:
         # statistics (one scan for all builders) and the pair+strategy streaks.
         self._stats: DataFrame | None = None
         self._streaks: DataFrame | None = None
+        self._losers: tuple[DataFrame, DataFrame] | None = None
+        self._var: DataFrame | None = None
 
     @cached_property
     def closed(self) -> DataFrame:
@@ -103,7 +105,19 @@ class Tables:
 
     @cached_property
     def risk_metrics(self) -> DataFrame:
-        return self._dated(build_risk_metrics(self.closed, self.variant, stats=self.stats("risk_metrics")))
+        return self._dated(build_risk_metrics(self.closed, self.variant, stats=self.stats("risk_metrics"), index=self._losers, value=self._var))
+
+    @cached_property
+    def risk_grains(self) -> DataFrame:
+        """The risk table without its VaR row, which takes jobs of its own."""
+        if self.variant == "poller":
+            return self.risk_metrics
+        return self._dated(build_risk_grains(self.closed, stats=self.stats("risk_metrics")))
+
+    def risk_rows(self, kind: str) -> DataFrame:
+        """Rows of one metric type; VaR is only computed where it is asked for."""
+        whole = "risk_metrics" in self.__dict__ or kind == "var_analysis"
+        return (self.risk_metrics if whole else self.risk_grains).where(F.col("metric_type") == kind)
 
     @cached_property
     def strategy_performance(self) -> DataFrame:
@@ -155,12 +169,13 @@ class Tables:
             return streaks_for(self._streaks, key)
         return max_streaks(self.closed, key, bucket_ids=self.bucket_ids)
 
-    def persist_results(self, stats: DataFrame | None = None, streaks: DataFrame | None = None) -> "Tables":
+    def persist_results(self, stats: DataFrame | None = None, streaks: DataFrame | None = None, losers: tuple[DataFrame, DataFrame] | None = None) -> "Tables":
         """Materialise every result table once (they are small: one row per
         pair/strategy/hour/...). The fact table is scanned once for the grain
         statistics and once for both streak keys; builders then only derive
         from those small frames. Precomputed (e.g. incrementally merged)
-        statistics and streaks may be passed in instead."""
+        statistics, streaks and a rank index of the losers may be passed in instead."""
+        self._losers = losers
         self._stats = _pin(stats if stats is not None else grain_stats(self.closed))
         if self.variant == "sql":
             if streaks is None:
@@ -179,6 +194,6 @@ class Tables:
             df.unpersist()
         self._cached.clear()
         self._lazy_stats.clear()
-        self._stats = self._streaks = None
-        for name in RESULT_TABLES:
+        self._stats = self._streaks = self._losers = None
+        for name in [*RESULT_TABLES, "risk_grains"]:
             self.__dict__.pop(name, None)

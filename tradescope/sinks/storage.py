@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrameWriter, SparkSession
 
 
 def filesystem(spark: SparkSession, path: str):
@@ -62,3 +62,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+
+
+def write_parquet(writer: DataFrameWriter, path: str) -> None:
+    """A new folder of Parquet files."""
+    writer.parquet(path)

@@ -1,51 +1,51 @@
 """Incremental micro-batch refresh: work per batch follows the batch, not the table.
 
-State under ``root`` (all on shared storage):
-
-* ``trades_by_bucket/bucket=<b>`` - closed trades partitioned by trade-id
-  bucket (2^20 ids). A batch rewrites only the buckets it touches: they are
-  found with a semi-join on the batch's bucket ids, merged with the new trades
-  (dedupe on ``trade_id`` inside the bucket - late closers and replayed
-  files), checkpointed to cut lineage, repartitioned by bucket, so that a bucket
-  is one file, and written back with a dynamic partition overwrite. Rows carry
-  their ``batch_id`` so a replayed batch rebuilds exactly the same partitions.
-* ``grain_stats/batch_id=<n>`` - the grain statistics of each batch's new
-  trades; they are mergeable, so the current statistics are their merge. Every
-  ``COMPACT_EVERY`` batches the merge is saved as ``grain_stats_base/upto=<n>``
-  and later reads start from it; the result is the same either way.
-* ``streak_buckets/b=<b>`` - run summaries per (key, bucket), recomputed for
-  the touched buckets only; the longest runs come from chaining the (small)
-  summaries.
+The state under ``root/state`` is one manifest store (``sinks.manifest``). A batch
+writes new parts beside the old ones and commits all of them at once, with its
+number, so a stop at any point leaves the state before the batch or the one after
+it. A batch that is replayed after its commit changes no state; only its results are
+written again.
+
+Closed trades are kept by trade-id bucket (2^20 ids); a batch reads and rewrites only
+the buckets that its rows fall into. Everything else is derived from whole buckets and
+merges, so it is kept as trees over the buckets, ``FANOUT`` children to a node: a batch
+recomputes the leaves of its buckets and the nodes above them, and the root
+describes all trades. Trees hold the grain statistics, the run summaries of the
+streaks, and how many losing profits each fixed range holds. With the distinct losing
+profits of each bucket, the last is a rank index: VaR is found from the root's range counts and the
+values of one range, and no stored trade is read for it.
 
 A stored trade wins over a later row with its id, and of several rows with one id
-in a batch the one that closed last does: a close happens once. Corrections of
-stored trades need a full refresh from the source. VaR is an exact order
-statistic over all losing trades and still scans them (one pruned column with a
-pushed ``profit_pct < 0`` filter, twice).
+in a batch the one that closed last does: a close happens once. With
+``corrections`` the later row wins: it replaces the stored trade, and an open row
+takes it out again. As leaves are computed from what a bucket holds, extremes, counts
+and runs are then those of the trades that are left.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradescope.operators.grains import grain_stats, merge_stats
-from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, bucket_summaries, chain_buckets, keyed_rows, split_keys
+from tradescope.operators.grains import grain_stats, merge_stats, only_closed
+from tradescope.operators.order_stats import count_ranges, count_values, merge_ranges
+from tradescope.operators.streaks import DEFAULT_BUCKET_IDS, bucket_summaries, chain_buckets, keyed_rows, merge_buckets, split_keys
 from tradescope.session import ensure_checkpoint_dir
-from tradescope.sinks import logtable, storage
+from tradescope.sinks import logtable, manifest
 from tradescope.sinks import refresh as sink
 from tradescope.sources.trades import TRADES_SCHEMA
 
 STREAK_KEYS = ["pair", "strategy"]
-# Fold per-batch statistics into a base snapshot after this many batches, so
-# the merge at read stays bounded however long the stream runs.
-COMPACT_EVERY = 32
+# Children of a node in the trees over the buckets.
+FANOUT = 64
 
-STORED_SCHEMA = T.StructType([*TRADES_SCHEMA.fields, T.StructField("batch_id", T.LongType(), True), T.StructField("bucket", T.LongType(), True)])
+VALUES_SCHEMA = T.StructType([T.StructField("v", T.DoubleType()), T.StructField("n", T.LongType())])
 
 ALERT_SCHEMA = T.StructType(
     [
@@ -60,76 +60,146 @@ ALERT_SCHEMA = T.StructType(
 )
 
 
-def trades_path(root: str) -> str:
-    return os.path.join(root, "trades_by_bucket")
+def state_path(root: str) -> str:
+    return os.path.join(root, "state")
 
 
-def stats_path(root: str) -> str:
-    return os.path.join(root, "grain_stats")
-
+def alerts_path(root: str) -> str:
+    return os.path.join(root, "alerts")
 
-def streaks_path(root: str) -> str:
-    return os.path.join(root, "streak_buckets")
 
+def read_trades(spark: SparkSession, root: str) -> DataFrame:
+    """All stored trades of the committed state."""
+    path = state_path(root)
+    return manifest.read_parts(spark, path, manifest.current(spark, path).parts("trades"), TRADES_SCHEMA)
+
+
+def one_close_per_id(batch: DataFrame, corrections: bool = False) -> DataFrame:
+    """One row per id of a batch: the last close (ties: the greatest row), by partial aggregation.
+
+    With ``corrections`` an id that only open rows have keeps one of them.
+    """
+    rest = [c for c in TRADES_SCHEMA.names if c not in ("trade_id", "close_date", "is_open")]
+    rows = batch if corrections else batch.where(~F.col("is_open"))
+    order = F.struct((~F.col("is_open")).alias("ended"), "close_date", *rest, "is_open")
+    return rows.groupBy("trade_id").agg(F.max(order).alias("t")).select("trade_id", "t.*").select(*TRADES_SCHEMA.names)
+
+
+# ------------------------------------------------------------------ trees over the buckets
+def _level(name: str, level: int) -> str:
+    return f"{name}/{level}"
+
+
+def root_parts(state: manifest.State, name: str) -> dict[str, str]:
+    """The parts that describe all buckets: the first level with one node, or the highest (ids below zero)."""
+    level = 0
+    while len(state.parts(_level(name, level))) > 1 and state.parts(_level(name, level + 1)):
+        level += 1
+    return state.parts(_level(name, level))
+
+
+def read_node_parts(spark: SparkSession, path: str, parts: dict[str, str]) -> DataFrame:
+    return spark.read.parquet(*[os.path.join(path, p) for p in parts.values()])
+
+
+def grow_tree(
+    spark: SparkSession, path: str, state: manifest.State, name: str, leaves: dict[str, str | None], merge: Callable[[DataFrame], DataFrame]
+) -> dict[str, dict[str, str | None]]:
+    """The changes of a tree: new leaves (None: the bucket is empty) and the nodes above them.
+
+    ``merge`` gets the rows of children with their own number ``b`` and their
+    parent's ``node``, and returns one set of rows per ``node``.
+    """
+    changes: dict[str, dict[str, str | None]] = {_level(name, 0): leaves}
+    level = 0
+    while True:
+        here = changes[_level(name, level)]
+        nodes = {k: p for k, p in {**state.parts(_level(name, level)), **here}.items() if p is not None}
+        above = _level(name, level + 1)
+        grown = {int(k) // FANOUT for k in nodes}
+        # One node is the root; ids on both sides of zero end in two.
+        if not state.parts(above) and (len(nodes) <= 1 or grown == {int(k) for k in nodes}):
+            return changes
+        touched = {int(k) // FANOUT for k in here} if state.parts(above) else grown
+        children = {k: p for k, p in nodes.items() if int(k) // FANOUT in touched}
+        written = {}
+        if children:
+            rows = read_node_parts(spark, path, children).withColumnRenamed("node", "b").withColumn("node", F.floor(F.col("b") / FANOUT))
+            written = manifest.write_parts(merge(rows), path, "node")
+        changes[above] = {str(k): written.get(str(k)) for k in touched}
+        level += 1
+
+
+def store_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str, bucket_ids: int, variant: str, corrections: bool = False) -> manifest.State | None:
+    """Takes a batch's new trades into the state; nothing if it has none."""
+    path = state_path(root)
+    state = manifest.begin(spark, path)
+    if batch_id <= state.notes.get("batch", -1):  # a replay: the state has this batch
+        return state if batch_id == state.notes["batch"] else None
+    node = F.floor(F.col("trade_id") / F.lit(bucket_ids))
+    incoming = one_close_per_id(batch, corrections).checkpoint()
+    # One row per 2^20 ids that the batch reaches.
+    touched = [r[0] for r in incoming.select(node).distinct().collect()]
+    stored = manifest.read_parts(spark, path, state.parts("trades"), TRADES_SCHEMA, touched)
+    if corrections:
+        # Rows that are stored just so are no news.
+        fresh = incoming.where(~F.col("is_open")).join(stored.intersect(incoming).select("trade_id"), "trade_id", "left_anti")
+        gone = incoming.where("is_open").unionByName(fresh).select("trade_id").join(stored.select("trade_id"), "trade_id", "left_semi")
+    else:
+        fresh = incoming.join(stored.select("trade_id"), "trade_id", "left_anti")
+        gone = incoming.select("trade_id").where(F.lit(False))
+    fresh, gone = fresh.select(*TRADES_SCHEMA.names).checkpoint(), gone.checkpoint()
+    row = fresh.agg(F.count(F.lit(1)).alias("n"), F.max("trade_id").alias("top"), F.collect_set(node).alias("nodes")).first()
+    left = gone.agg(F.count(F.lit(1)).alias("n"), F.collect_set(node).alias("nodes")).first()
+    if not row["n"] and not left["n"]:
+        return None
+    nodes = sorted({*row["nodes"], *left["nodes"]})
+    stored = manifest.read_parts(spark, path, state.parts("trades"), TRADES_SCHEMA, nodes)
+    if left["n"]:
+        stored = stored.join(gone, "trade_id", "left_anti").select(*TRADES_SCHEMA.names)
+    # Parts never change, so the rewritten buckets may be read while they are written.
+    content = stored.unionByName(fresh).withColumn("node", node)
+
+    def whole(df: DataFrame) -> dict[str, str | None]:
+        """Parts of all buckets that the batch changes; those without rows go."""
+        written = manifest.write_parts(df, path, "node")
+        return {str(k): written.get(str(k)) for k in nodes}
+
+    trades = whole(content)
+    content = read_node_parts(spark, path, {k: p for k, p in trades.items() if p}) if any(trades.values()) else content.where(F.lit(False))
+    values = whole(count_values(only_closed(content).where(F.col("profit_pct") < 0), "profit_pct", ["node"]))
+    held = {k: p for k, p in values.items() if p}
+    losing = read_node_parts(spark, path, held) if held else spark.createDataFrame([], "node long, v double, n long")
+    changes = {"trades": trades, "loser_values": values}
+    changes |= grow_tree(spark, path, state, "loser_ranges", whole(count_ranges(losing, ["node"])), lambda rows: merge_ranges(rows, ["node"]))
+    changes |= grow_tree(spark, path, state, "stats", whole(grain_stats(content, by=["node"])), lambda rows: merge_stats(rows, ["node"]))
+    if variant == "sql":
+        runs = bucket_summaries(keyed_rows(content, STREAK_KEYS, bucket_ids)).withColumnRenamed("b", "node")
+        changes |= grow_tree(spark, path, state, "streaks", whole(runs), merge_buckets)
+    before = state.notes
+    notes = {"batch": batch_id, "new": row["n"], "top": max(row["top"] or 0, before.get("top", 0)), "closed": row["n"] - left["n"] + before.get("closed", 0)}
+    return manifest.commit(spark, path, state, changes, notes)
 
-def base_path(root: str) -> str:
-    return os.path.join(root, "grain_stats_base")
 
+class Current(NamedTuple):
+    """What the state says about all trades: merged statistics, longest runs, and the rank index of the losers."""
 
-def alerts_path(root: str) -> str:
-    return os.path.join(root, "alerts")
+    stats: DataFrame
+    streaks: DataFrame | None
+    losers: tuple[DataFrame, DataFrame]
 
 
-def current_stats(spark: SparkSession, root: str, batch_id: int, compact_every: int | None = None) -> DataFrame:
-    """Merged statistics = latest base snapshot + batches after it. Every
-    ``compact_every`` batches the merge is written as a new base (partition
-    ``upto=<batch>``), older batch partitions are then no longer read."""
-    compact_every = compact_every or COMPACT_EVERY
-    upto = -1
-    parts = None
-    if storage.exists(spark, base_path(root)):
-        bases = spark.read.parquet(base_path(root))
-        upto = bases.agg(F.max("upto")).first()[0]
-        parts = bases.where(F.col("upto") == upto).drop("upto")
-    batches = spark.read.parquet(stats_path(root)).where(F.col("batch_id") > upto).drop("batch_id")
-    parts = batches if parts is None else parts.unionByName(batches)
-    merged = merge_stats(parts)
-    # A batch that is replayed after its base was written must not be folded twice.
-    if batch_id - upto >= compact_every:
-        snapshot = merged.checkpoint()
-        _overwrite(snapshot.withColumn("upto", F.lit(batch_id).cast("long")), base_path(root), "upto")
-        _drop_folded(spark, root, batch_id)
-        return snapshot
-    return merged
-
-
-def _drop_folded(spark: SparkSession, root: str, upto: int) -> None:
-    """Retention after compaction: batch statistics and older bases now inside
-    the new base are removed (the new base alone is read from now on). The newest
-    batch stays, as it may be replayed."""
-    for name, _ in storage.list_dirs(spark, stats_path(root)):
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < upto:
-            storage.delete(spark, os.path.join(stats_path(root), name))
-    for name, _ in storage.list_dirs(spark, base_path(root)):
-        if name.startswith("upto=") and int(name.split("=", 1)[1]) < upto:
-            storage.delete(spark, os.path.join(base_path(root), name))
-
-
-def _overwrite(df: DataFrame, path: str, column: str) -> None:
-    """Replace the partitions that ``df`` has rows of, one file each."""
-    df.repartition(column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-
-
-def read_trades(spark: SparkSession, root: str) -> DataFrame | None:
-    path = trades_path(root)
-    return spark.read.schema(STORED_SCHEMA).parquet(path) if storage.exists(spark, path) else None
-
-
-def one_close_per_id(batch: DataFrame) -> DataFrame:
-    """Closed trades of a batch, the last close of each id (ties: the greatest row), by partial aggregation."""
-    rest = [c for c in TRADES_SCHEMA.names if c not in ("trade_id", "close_date")]
-    picked = batch.where(~F.col("is_open")).groupBy("trade_id").agg(F.max(F.struct("close_date", *rest)).alias("t"))
-    return picked.select("trade_id", "t.*").select(*TRADES_SCHEMA.names)
+def current_summaries(spark: SparkSession, root: str, state: manifest.State, variant: str) -> Current:
+    path = state_path(root)
+    empty_ranges = "place long, n long, low double, high double"
+    found = {name: root_parts(state, name) for name in ("stats", "streaks", "loser_ranges")}
+    ranges = read_node_parts(spark, path, found["loser_ranges"]) if found["loser_ranges"] else spark.createDataFrame([], empty_ranges)
+    values = manifest.read_parts(spark, path, state.parts("loser_values"), VALUES_SCHEMA)
+    stats = merge_stats(read_node_parts(spark, path, found["stats"])) if found["stats"] else grain_stats(spark.createDataFrame([], TRADES_SCHEMA))
+    streaks = None
+    if variant == "sql" and found["streaks"]:
+        streaks = split_keys(chain_buckets(read_node_parts(spark, path, found["streaks"]).withColumnRenamed("node", "b")))
+    return Current(stats, streaks, (merge_ranges(ranges), values))
 
 
 def process_batch_incremental(
@@ -140,59 +210,29 @@ def process_batch_incremental(
     bucket_ids: int = DEFAULT_BUCKET_IDS,
     variant: str = "sql",
     as_of: dt.datetime | None = None,
+    corrections: bool = False,
 ) -> dict:
     """One micro-batch; replaying a batch leaves the same state. ``as_of`` is the time of the run unless given."""
     ensure_checkpoint_dir(spark)
-    incoming = (
-        one_close_per_id(batch)
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .withColumn("bucket", F.floor(F.col("trade_id") / F.lit(bucket_ids)))
-    )
-    stored = read_trades(spark, root)
-    if stored is None:
-        content = incoming
-    else:
-        # The optimizer broadcasts the bucket ids where they are few, and prunes partitions with them.
-        touched = incoming.select("bucket").distinct()
-        others = stored.join(touched, "bucket", "left_semi").where(F.col("batch_id") != batch_id)
-        fresh = incoming.join(others.select("trade_id"), "trade_id", "left_anti")
-        content = others.select(*STORED_SCHEMA.names).unionByName(fresh)
-    # Lineage cut before overwriting the partitions it was read from.
-    content = content.checkpoint()
-    fresh = content.where(F.col("batch_id") == batch_id).drop("bucket", "batch_id")
-    row = fresh.agg(F.count(F.lit(1)).alias("n"), F.max("trade_id").alias("max_id")).first()
-    if row["n"] == 0:  # STR-2: nothing new, nothing is written
+    state = store_batch(spark, batch, batch_id, root, bucket_ids, variant, corrections)
+    if state is None:  # STR-2: nothing new, nothing is written
         return {"batch_id": batch_id, "status": "skipped"}
-    _overwrite(content, trades_path(root), "bucket")
-
-    # Grain statistics of the new trades only; current = merge of all batches.
-    _overwrite(grain_stats(fresh).withColumn("batch_id", F.lit(batch_id).cast("long")), stats_path(root), "batch_id")
-    stats = current_stats(spark, root, batch_id)
-
-    trades = read_trades(spark, root)
-    streaks = None
-    if variant == "sql":
-        # ``content`` holds the touched buckets whole.
-        _overwrite(bucket_summaries(keyed_rows(content, STREAK_KEYS, bucket_ids)), streaks_path(root), "b")
-        streaks = split_keys(chain_buckets(spark.read.parquet(streaks_path(root))))
-
-    run_id = f"batch-{batch_id:012d}"
-    earlier = sink.read_ledger(spark, root).where((F.col("status") == "completed") & (F.col("id") < run_id))
-    before = earlier.agg(F.max("last_trade_id").alias("id"), F.sum("records_processed").alias("n")).first()
+    known = current_summaries(spark, root, state, variant)
     previous = previous_health(spark, root, batch_id)
     run = sink.refresh(
         spark,
-        trades.drop("bucket", "batch_id"),
+        manifest.read_parts(spark, state_path(root), state.parts("trades"), TRADES_SCHEMA),
         root,
         full=True,
         variant=variant,
         as_of=as_of,
         snapshot_type="stream_batch",
-        run_id=run_id,
+        run_id=f"batch-{batch_id:012d}",
         batch_id=batch_id,
-        counts=(int(row["n"]), max(before["id"] or 0, row["max_id"]), int(row["n"]) + (before["n"] or 0)),
-        stats=stats,
-        streaks=streaks,
+        counts=(state.notes["new"], state.notes["top"], state.notes["closed"]),
+        stats=known.stats,
+        streaks=known.streaks,
+        losers=known.losers,
     )
     if previous is not None:
         record_alerts(spark, root, previous, batch_id)
