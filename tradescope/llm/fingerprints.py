@@ -19,7 +19,7 @@ unlike ones seldom meet, and finds the same ones in every case.
 
 Near copies are reported as classes, the connected components of "within the radius".
 Small buckets of a table are compared pair by pair. Every member of a large one is compared
-with one pivot, another in each table; what stays outside the bucket's largest component
+with one pivot; what stays outside the bucket's largest component
 then meets the members of other components, in chunks of bounded size. Within a
 component no further link can change a class, so a large group of copies is never
 spelled out as pairs.
@@ -44,7 +44,7 @@ RADIUS = 11
 #: Parts, and blocks of a part, by growing length of the keys.
 LAYOUTS = ((4, 4), (4, 5), (4, 6), (3, 7), (3, 8), (2, 9), (2, 10))
 #: Buckets up to this size are compared pair by pair.
-SMALL_BUCKET = 24
+SMALL_BUCKET = 4
 #: Rows of a large bucket, on either side, that are compared at a time (on average: rows are dealt by hash).
 CHUNK = 2048
 #: Fingerprints of more than 1 / HOT_SHARE of all rows, fewer than HOT_SHARE of them, are joined by broadcast.
@@ -150,7 +150,8 @@ def near_links(prints: DataFrame, radius: int = RADIUS, layout: tuple[int, int]
     """``node, label``: the class of each of the distinct fingerprints ``high, low`` that has another within the radius."""
     keys = block_keys(radius, *(layout or layout_for(prints.count(), radius)))
     table = prints.select("high", "low", F.explode(F.array(*keys)).alias("key"))
-    place = F.xxhash64("key", "high", "low")
+    # A pivot in one table is likely the pivot of its neighbours in the others, so few of their links differ.
+    place = F.xxhash64("high", "low")
     sizes = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
     chunk = F.pmod(F.xxhash64("high", "low"), F.col("chunks")).alias("chunk")
     found = table.join(sizes, "key").select("key", "high", "low", "n", (place == F.col("first")).alias("pivot"), F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
