@@ -121,7 +121,7 @@ def test_stream_state(spark, stop_after):
         # The former state as it was, or the new one; every part that it names is there.
         assert state == before or state.notes == after[-1]
         assert all(storage.exists(spark, os.path.join(path, p)) for t in state.tables.values() for p in t.values())
-        if n % 4 == 0 or state != before:
+        if n % 6 == 0 or state != before:
             store(root, second, 1)
             assert _values(spark, root) == after
         # Nothing that no manifest names stays behind the next writer.
@@ -158,9 +158,9 @@ def test_a_batch_reads_no_stored_loser(spark, monkeypatch):
     root, rows = _root(spark), [trade(i, round(rnd.uniform(-9, 3), 2)) for i in range(1, 400)]
     seen = []
     nothing = frame(spark, []).withColumn("profit_pct", F.raise_error(F.lit("a trade was read")).cast("double"))
-    for k in range(4):
-        seen += rows[k::4]
-        state = inc.store_batch(spark, frame(spark, rows[k::4]), k, root, 64, "poller")
+    for k in range(3):
+        seen += rows[k::3]
+        state = inc.store_batch(spark, frame(spark, rows[k::3]), k, root, 64, "poller")
         known = inc.current_summaries(spark, root, state, "poller")
         losing = sorted(r["profit_pct"] for r in seen if r["profit_pct"] < 0)
         assert build_risk_var(nothing, index=known.losers).first().var_95_pct == losing[int(len(losing) * 0.05)]

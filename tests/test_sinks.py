@@ -248,20 +248,20 @@ def test_corrected_and_reopened_trades_change_all_tables(spark, monkeypatch):
     rows = {i: trade(i, [1.0, -1.0, 0.5, 2.0, -3.0][i % 5], pair=["A/X", "B/X"][i % 2], strategy=["s1", "s2"][i % 3 == 0]) for i in range(1, 31)}
     rows[7] = trade(7, 99.0, pair="C/Y")  # the best trade, the only one of its pair
     rows[8] = trade(8, -90.0, trade_duration=None)
-    step = lambda batch, k: inc.process_batch_incremental(spark, frame(spark, batch), k, root, bucket_ids=4, as_of=date + dt.timedelta(hours=k), corrections=True)
+    step = lambda batch, k: inc.store_batch(spark, frame(spark, batch), k, root, 4, "sql", corrections=True)
     step(list(rows.values()), 0)
     changed = [trade(7, 0.25, pair="A/X"), trade(8, -0.5), trade(9, 1.0, is_open=True, close_date=None), trade(40, -2.0), rows[12], trade(77, 1.0, is_open=True)]
-    assert step(changed, 1)["records_processed"] == 3
+    assert step(changed, 1).notes["new"] == 3
     rows |= {7: changed[0], 8: changed[1], 40: changed[3]}
     del rows[9]
     again = [trade(9, -4.0)]
     step(again, 2)
     rows[9] = again[0]
+    assert step([rows[20], trade(77, 5.0, is_open=True)], 3) is None
     reopened = [trade(i, 0.0, is_open=True) for i in (13, 14, 15)]  # most of a bucket
-    step(reopened, 3)
+    inc.process_batch_incremental(spark, frame(spark, reopened), 4, root, bucket_ids=4, as_of=date, corrections=True)
     for i in (13, 14, 15):
         del rows[i]
-    assert step([rows[20], trade(13, 5.0, is_open=True)], 4)["status"] == "skipped"
     assert sorted(r.trade_id for r in inc.read_trades(spark, root).collect()) == sorted(rows)
     assert sink.processed_so_far(spark, root)[1] == len(rows)
     expected = Tables(frame(spark, list(rows.values())), bucket_ids=4, as_of=date)
