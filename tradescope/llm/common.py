@@ -17,17 +17,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+#: Spark's own setting: an execution's shuffle files are deleted when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, by: Sequence[str] = (), free: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back, which cuts its lineage.
 
     Unlike ``checkpoint()``, the table brings its true size with it; estimates
     carried through the joins of an iteration would multiply without end.
     The tables stay until ``drop_cuts`` or the folder's own retention. The columns
-    ``by`` become folders, so that a filter on them reads its own files only.
+    ``by`` become folders, so that a filter on them reads its own files only. With
+    ``free`` the shuffle files of the write go as soon as the table stands, so that
+    steps in turn need the disk of the largest one and not of all.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true" if free else before)
+    try:
+        df.write.partitionBy(*by).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

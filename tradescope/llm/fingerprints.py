@@ -155,17 +155,17 @@ def near_links(prints: DataFrame, radius: int = RADIUS, layout: tuple[int, int]
     sizes = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
     chunk = F.pmod(F.xxhash64("high", "low"), F.col("chunks")).alias("chunk")
     found = table.join(sizes, "key").select("key", "high", "low", "n", (place == F.col("first")).alias("pivot"), F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
-    found = cut(found.select("*", chunk))
+    found = cut(found.select("*", chunk), free=True)
     small, large = found.where(F.col("n") <= SMALL_BUCKET), found.where(F.col("n") > SMALL_BUCKET)
     ordered = F.struct("x.high", "x.low") < F.struct("y.high", "y.low")
     every = small.alias("x").join(small.alias("y"), _on("key") & ordered & _close(radius))
     pivots = large.where("pivot").drop("chunk").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     star = large.where("NOT pivot").alias("x").join(pivots.alias("y"), _on("key", "chunk") & _close(radius))
-    links = cut(_links(every).union(_links(star)).distinct())
+    links = cut(_links(every).union(_links(star)).distinct(), free=True)
     labels = components(links)
     if not large.limit(1).count():
         return labels
-    return components(cut(links.union(left_over(large, labels, radius))))
+    return components(cut(links.union(left_over(large, labels, radius)), free=True))
 
 
 def left_over(large: DataFrame, labels: DataFrame, radius: int) -> DataFrame:
@@ -178,7 +178,7 @@ def left_over(large: DataFrame, labels: DataFrame, radius: int) -> DataFrame:
     rows = large.join(main, ["key", "chunk"]).select(
         "key", "high", "low", "label", "chunk", "chunks", (F.col("label") != F.col("main")).alias("outside"), F.ceil(F.col("n_outside") / CHUNK).cast("long").alias("own_chunks")
     )
-    rows = cut(rows)
+    rows = cut(rows, free=True)
 
     def spread(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -217,7 +217,7 @@ def followers(ids: DataFrame) -> DataFrame:
     between ranges the ranges' largest ids do, one row per range.
     """
     width = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = cut(ids.repartitionByRange(width, "doc_id").withColumn("range", F.spark_partition_id()))
+    ranged = cut(ids.repartitionByRange(width, "doc_id").withColumn("range", F.spark_partition_id()), free=True)
     tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top"))  # at most ``width`` rows
     below = tops.select("range", F.lag("top").over(Window.orderBy("range")).alias("below"), F.max("top").over(Window.partitionBy()).alias("largest"))
     inside = ranged.withColumn("next_id", F.lag("doc_id").over(Window.partitionBy("range").orderBy("doc_id")))
@@ -270,11 +270,11 @@ def compare_edited(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     keys = ["doc_id", "key", "n_chars", "edited_sha256", "next_id", "next_key"]
     prints = fingerprints(keyed.select(*keys, "v.version", "v.body"), [*keys, "version"], "body")
     of = [F.max(F.when(F.col("version") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("high", "low")]
-    rows = cut(prints.groupBy(*keys).agg(F.max("copies").alias("copies"), *of))
+    rows = cut(prints.groupBy(*keys).agg(F.max("copies").alias("copies"), *of), free=True)
     distinct = rows.groupBy(F.col("high0").alias("high"), F.col("low0").alias("low"))
-    distinct = cut(distinct.agg(F.sum("copies").alias("documents"), F.min("doc_id").alias("least_id")))
+    distinct = cut(distinct.agg(F.sum("copies").alias("documents"), F.min("doc_id").alias("least_id")), free=True)
     total = distinct.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
-    found = cut(near_classes(distinct, radius)).withColumnsRenamed({"high": "high0", "low": "low0"})
+    found = cut(near_classes(distinct, radius), free=True).withColumnsRenamed({"high": "high0", "low": "low0"})
     following = rows.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("text_key")).agg(F.max("high0").alias("high2"), F.max("low0").alias("low2"))
     out = rows.join(following, F.col("next_id").eqNullSafe(F.col("id")) & (F.col("next_key") == F.col("text_key")))
     out = join_prints(out, found, total)

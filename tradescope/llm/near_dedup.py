@@ -281,15 +281,15 @@ def components(links: DataFrame) -> DataFrame:
     vanish. A path of n links takes about log(n) rounds, links shrink with every
     round, and the rounds end when none is left.
     """
-    edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), free=True)
     labels = edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
     while edges.limit(1).count():
-        hooks = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("hook")))
+        hooks = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("hook")), free=True)
         second = hooks.select(F.col("a").alias("hook"), F.col("hook").alias("to"))
-        parents = cut(hooks.join(second, "hook").select("a", "to"))
-        labels = cut(labels.join(parents.withColumnRenamed("a", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        parents = cut(hooks.join(second, "hook").select("a", "to"), free=True)
+        labels = cut(labels.join(parents.withColumnRenamed("a", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), free=True)
         left, right = parents.select("a", F.col("to").alias("x")), parents.select(F.col("a").alias("b"), F.col("to").alias("y"))
-        edges = cut(edges.join(left, "a").join(right, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        edges = cut(edges.join(left, "a").join(right, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), free=True)
     return labels
 
 
