@@ -43,6 +43,8 @@ HEAVIEST = 16
 RADIUS = 11
 #: Parts, and blocks of a part, by growing length of the keys.
 LAYOUTS = ((4, 4), (4, 5), (4, 6), (3, 7), (3, 8), (2, 9), (2, 10))
+#: Values of a key for each fingerprint: at most one unlike fingerprint in so many meets another by chance.
+ROOM = 8
 #: Buckets up to this size are compared pair by pair.
 SMALL_BUCKET = 4
 #: Rows of a large bucket, on either side, that are compared at a time (on average: rows are dealt by hash).
@@ -106,8 +108,8 @@ def key_bits(parts: int, blocks: int, radius: int = RADIUS) -> float:
 
 
 def layout_for(n: int, radius: int = RADIUS) -> tuple[int, int]:
-    """The shortest keys with twice as many values as there are fingerprints (the longest, if none has)."""
-    fits = [x for x in LAYOUTS if x[1] > radius // x[0] and key_bits(*x, radius) >= math.log2(max(n, 2)) + 1]
+    """The shortest keys with ``ROOM`` times as many values as there are fingerprints (the longest, if none has)."""
+    fits = [x for x in LAYOUTS if x[1] > radius // x[0] and key_bits(*x, radius) >= math.log2(max(n, 2) * ROOM)]
     return fits[0] if fits else LAYOUTS[-1]
 
 
