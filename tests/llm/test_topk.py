@@ -50,3 +50,31 @@ def test_large_components_stay_exact(spark):
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_oracle(matches_oracle, sf):
     assert matches_oracle("op5_topk", sf) > 0
+
+
+def test_short_vectors_are_not_sent(spark):
+    """Only candidates that may reach a cutoff travel to the queries; all others are never scored."""
+    rnd = random.Random(5)
+    rows = [(i, [rnd.gauss(0, 1) * (1.0 if i < 40 else 0.001) for _ in range(8)]) for i in range(1, 400)] + [(0, [1.0] * 8)]
+    rows += [(1000 + i, [1.0 + i / 64] * 8) for i in range(5)]
+    vectors = T.with_lengths(T.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding"))
+    cutoff = brute(rows, 5, lambda i: i == 0)[-1][3]
+    told = vectors.where("vec_id = 0").selectExpr("0L AS qb", f"{cutoff}L AS cutoff", *T.PARTS)
+    kept = {r.vec_id for r in T.sent(vectors.selectExpr("0L AS qb", "vec_id", *T.PARTS), T.reach_of(told)).collect()}
+    assert {1000 + i for i in range(5)} <= kept and len(kept) < 50
+    assert run(spark, rows, 5, "vec_id = 0") == brute(rows, 5, lambda i: i == 0)
+
+
+def test_heads_are_bounded_and_give_a_safe_cutoff(spark, monkeypatch):
+    monkeypatch.setattr(T, "HEAD_GROUPS", 3)
+    rnd = random.Random(6)
+    rows = [(i, [float(rnd.randrange(-9, 10)) for _ in range(rnd.randrange(0, 12))]) for i in range(300)] + [(7, [3.0] * 6)] * 40
+    vectors = T.with_lengths(T.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding"))
+    heads = T.heads_of(vectors).collect()
+    assert 0 < len(heads) <= 3 * T.SLICES and len({r.vec_id for r in heads}) == len(heads)
+    assert run(spark, rows, 4, "vec_id % 10 = 0") == brute(rows, 4, lambda i: i % 10 == 0)
+
+
+def test_no_positive_score(spark):
+    rows = [(0, [1.0, 0.0, 0.5])] + [(i, [-float(i), 0.0, -1.0]) for i in range(1, 30)]
+    assert run(spark, rows, 3, "vec_id = 0") == brute(rows, 3, lambda i: i == 0)
