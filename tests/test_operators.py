@@ -97,3 +97,27 @@ def test_rank_index_adds_up_over_batches(spark):
     every = sorted(v for b in batches for v in b)
     for level in (0.0, 0.05, 0.7):
         assert order_stats.element_from_index(order_stats.merge_ranges(ranges), values, level).first()[0] == every[int(len(every) * level)]
+
+
+def test_pinned_frames_keep_no_empty_partitions(spark):
+    from tradescope.operators.grains import pin
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        pinned = pin(spark.range(100).groupBy((F.col("id") % 5).alias("k")).count())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert pinned.rdd.getNumPartitions() == 1 and pinned.count() == 5
+
+
+def test_bucket_summaries_sort_trades_once(spark):
+    from tradescope.operators.streaks import bucket_summaries, keyed_rows
+
+    profits = [1.0, 2.0, None, 3.0, -1.0, 0.0, 4.0, 5.0, 6.0, None]
+    rows = frame(spark, [trade(i, p) for i, p in enumerate(profits)] + [trade(20, None), trade(21, None)])
+    out = bucket_summaries(keyed_rows(rows, ["pair"], 10))
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Window ") <= 1 and out._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    got = {r.b: r.asDict() for r in out.collect()}
+    assert {c: v for c, v in got[0].items() if c not in "kb"} == {"n": 10, "tw": 4, "tl": 8, "w_pre": 2, "w_suf": 0, "w_best": 3, "l_pre": 0, "l_suf": 0, "l_best": 2}
+    assert {c: v for c, v in got[2].items() if c not in "kb"} == {"n": 2, "tw": 2, "tl": 2, "w_pre": 0, "w_suf": 0, "w_best": None, "l_pre": 0, "l_suf": 0, "l_best": None}

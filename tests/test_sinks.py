@@ -268,3 +268,37 @@ def test_corrected_and_reopened_trades_change_all_tables(spark, monkeypatch):
     for name in RESULT_TABLES:
         a, b = as_cells(expected.table(name), name), as_cells(sink.read_result(spark, root, name), name)
         assert digest(a.columns, [tuple(r) for r in a.collect()]) == digest(b.columns, [tuple(r) for r in b.collect()]), name
+
+
+def test_stored_leaves_take_in_the_batch_alone(spark, monkeypatch):
+    root, seen = _root(spark), []
+    plain = inc.grain_stats
+    monkeypatch.setattr(inc, "grain_stats", lambda df, **k: (seen.append(df.count()), plain(df, **k))[1])
+    first, second = [trade(i, float(i % 5 - 3)) for i in range(1, 41)], [trade(i, float(i % 7 - 4), pair="ETH/USDT") for i in range(41, 51)]
+    inc.process_batch_incremental(spark, frame(spark, first), 0, root, corrections=True, as_of=dt.datetime(2024, 1, 1))
+    inc.process_batch_incremental(spark, frame(spark, second), 1, root, corrections=True, as_of=dt.datetime(2024, 1, 2))
+    assert seen == [40, 10]
+    # A trade that opens again is taken out of its bucket, which is then counted anew.
+    inc.process_batch_incremental(spark, frame(spark, [trade(2, None, is_open=True, close_date=None)]), 2, root, corrections=True, as_of=dt.datetime(2024, 1, 3))
+    assert seen == [40, 10, 49]
+    whole = _root(spark)
+    left = frame(spark, [r for r in first + second if r["trade_id"] != 2])
+    sink.refresh(spark, left, whole, full=True, as_of=dt.datetime(2024, 1, 3))
+    for name in ("bot_health_metrics", "risk_metrics", "strategy_performance", "pair_analytics"):
+        assert _rows(sink.read_result(spark, root, name).drop("last_calculation")) == _rows(sink.read_result(spark, whole, name).drop("last_calculation"))
+
+
+def test_arrivals_read_stored_trades(spark, tmp_path):
+    from tradescope.plans import catalog
+    from tradescope.plans.tables import Tables
+    from tradescope.sources.trades import trades_from_events
+
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), 1, "click", float(i), f'{{"k": {i % 100}}}') for i in range(300)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    trades = trades_from_events(spark.read.parquet(f"{tmp_path}/events.parquet"))
+    # The JSON is parsed once for all columns that need it.
+    assert trades._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+    parts = catalog._parts(Tables(trades), 3)
+    assert all("get_json_object" not in p._jdf.queryExecution().optimizedPlan().toString() for p in parts)
+    assert sorted(r[0] for p in parts for r in p.select("trade_id").collect()) == [i + 1 for i in range(300) if i % 20 != 19]

@@ -197,15 +197,13 @@ def pin(df: DataFrame) -> DataFrame:
 
     Later queries get a leaf plan: no re-planning of the producer, no cache
     matching against its large plan, and no lineage back to the trades.
-    Caching first lets the checkpoint write reuse the computed rows.
+    The checkpoint computes the frame once by itself; a cache before it would keep
+    all shuffle partitions, and every reader of a few rows would run that many tasks.
     """
     from tradescope.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    cached = df.cache()
-    pinned = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return pinned
+    return df.checkpoint(eager=True)
 
 
 def grain(stats: DataFrame, name: str) -> DataFrame:

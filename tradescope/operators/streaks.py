@@ -6,7 +6,7 @@ hot pair that is a handful of tasks holding most of the table. Here a key's
 trades are cut into buckets of consecutive ``trade_id``s:
 
 1. Within each (key, bucket) a running count of "breaker" rows numbers the
-   islands; islands are counted and each bucket is reduced to
+   islands; their rows are counted and each bucket is reduced to
    ``(rows, breakers, prefix run, suffix run, best run)`` per side.
 2. Across the buckets of a key (a few rows per bucket), runs that cross bucket
    edges are chained: suffix of a broken bucket + all-run buckets + prefix of
@@ -66,8 +66,8 @@ def bucket_summaries(src: DataFrame) -> DataFrame:
 
     ``(n, tw, tl, w_pre, w_suf, w_best, l_pre, l_suf, l_best)``: rows, breakers
     of win runs / loss runs, and the prefix, suffix and longest run per side.
-    The running window, the island-length window and this aggregate all share
-    the partitioning on b that ``keyed_rows`` made.
+    The running window and both aggregates share the partitioning on b that
+    ``keyed_rows`` made; only the running window sorts the trades.
     """
     p = F.col("p")
     rows = src.select(
@@ -79,7 +79,6 @@ def bucket_summaries(src: DataFrame) -> DataFrame:
         F.when(p > 0, F.lit("w")).when(p <= 0, F.lit("l")).otherwise(F.lit("n")).alias("side"),
     )
     running = Window.partitionBy("k", "b").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("k", "b")
     rows = rows.select(
         "k",
         "b",
@@ -88,21 +87,23 @@ def bucket_summaries(src: DataFrame) -> DataFrame:
         .when(F.col("side") == "l", F.sum("not_l").over(running))
         .otherwise(F.lit(-1))
         .alias("brk"),
-        F.sum("not_w").over(whole).alias("tw"),
-        F.sum("not_l").over(whole).alias("tl"),
-        F.count(F.lit(1)).over(whole).alias("n"),
     )
-    # Island length on every row of the island (same (k, b) clustering).
-    rows = rows.withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("k", "b", "side", "brk")))
-    side_aggs = []
+    # One row per island; the rows without a side are one island that breaks both.
+    islands = rows.groupBy("k", "b", "side", "brk").agg(F.count(F.lit(1)).alias("len"))
+    aggs, summary = [], []
     for s in _SIDES:
         mine = F.col("side") == s
-        side_aggs += [
+        aggs += [
+            F.sum(F.when(mine, F.lit(0)).otherwise(F.col("len"))).alias(f"t{s}"),
             F.coalesce(F.max(F.when(mine & (F.col("brk") == 0), F.col("len"))), F.lit(0)).alias(f"{s}_pre"),
-            F.coalesce(F.max(F.when(mine & (F.col("brk") == F.col(f"t{s}")), F.col("len"))), F.lit(0)).alias(f"{s}_suf"),
+            # The island after most breakers: the suffix, if those are all there are.
+            F.max(F.when(mine, F.col("brk"))).alias(f"{s}_end"),
+            F.max_by(F.when(mine, F.col("len")), F.when(mine, F.col("brk"))).alias(f"{s}_tail"),
             F.max(F.when(mine, F.col("len"))).alias(f"{s}_best"),
         ]
-    return rows.groupBy("k", "b").agg(F.max("n").alias("n"), F.max("tw").alias("tw"), F.max("tl").alias("tl"), *side_aggs)
+        summary.append(F.when(F.col(f"{s}_end") == F.col(f"t{s}"), F.col(f"{s}_tail")).otherwise(F.lit(0)).alias(f"{s}_suf"))
+    done = islands.groupBy("k", "b").agg(F.sum("len").alias("n"), *aggs)
+    return done.select("*", *summary).select("k", "b", *SUMMARY)
 
 
 def _chains(buckets: DataFrame, keys: list[str]) -> DataFrame:

@@ -239,12 +239,18 @@ def _scratch(t: Tables, prefix: str) -> str:
 
 # ------------------------------------------------------------ writing, refreshing, streaming
 def _parts(t: Tables, n: int) -> list[DataFrame]:
-    """Closed trades in ``n`` equal spans of close time (undated first); durations differ, so ids come out of order."""
+    """Closed trades in ``n`` equal spans of close time (undated first); durations differ, so ids come out of order.
+
+    They are written once, so that each part reads stored trades and does not derive them again.
+    """
+    spark, path = t.trades.sparkSession, _scratch(t, "arrivals")
+    t.closed.write.parquet(path)
+    rows = spark.read.schema(t.closed.schema).parquet(path)
     at = F.timestamp_diff("MICROSECOND", F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), F.col("close_date"))
-    low, high = t.closed.agg(F.min(at), F.max(at)).first()
+    low, high = rows.agg(F.min(at), F.max(at)).first()
     edges = [] if low is None else [low + (high - low) * k // n for k in range(1, n)]
     part = sum((F.when(at > e, 1).otherwise(0) for e in edges), F.lit(0))
-    return [t.closed.where(part == k) for k in range(n)]
+    return [rows.where(part == k) for k in range(n)]
 
 
 def _streamed(t: Tables, n: int = 3) -> str:

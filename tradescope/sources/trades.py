@@ -225,8 +225,9 @@ EVENT_PROFIT_OFFSETS = {"click": 30, "view": 40, "purchase": 45, "signup": 55, "
 
 def trades_from_events(events: DataFrame) -> DataFrame:
     """Derive a ``trades`` frame from the driver's ``events`` table (narrow: no shuffle)."""
-    e = F.col("event_id")
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
+    # A column of its own: several columns below need it, and each would parse the JSON again.
+    events = events.withColumn("_k", F.get_json_object(F.col("props"), "$.k").cast("int"))
+    e, k = F.col("event_id"), F.col("_k")
     offset = F.col("event_type")
     off = None
     for name, value in EVENT_PROFIT_OFFSETS.items():

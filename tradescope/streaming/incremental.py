@@ -9,17 +9,19 @@ written again.
 Closed trades are kept by trade-id bucket (2^20 ids); a batch reads and rewrites only
 the buckets that its rows fall into. Everything else is derived from whole buckets and
 merges, so it is kept as trees over the buckets, ``FANOUT`` children to a node: a batch
-recomputes the leaves of its buckets and the nodes above them, and the root
+renews the leaves of its buckets and the nodes above them, and the root
 describes all trades. Trees hold the grain statistics, the run summaries of the
-streaks, and how many losing profits each fixed range holds. With the distinct losing
-profits of each bucket, the last is a rank index: VaR is found from the root's range counts and the
-values of one range, and no stored trade is read for it.
+streaks, and how many losing profits each fixed range holds. Statistics and counts
+add up, so their leaves take in the batch's own; where trades were taken out of a
+bucket, and for the runs, leaves are computed from whole buckets. With the distinct
+losing profits of each bucket, the range counts are a rank index: VaR is found from
+the root's range counts and the values of one range, and no stored trade is read for it.
 
 A stored trade wins over a later row with its id, and of several rows with one id
 in a batch the one that closed last does: a close happens once. With
 ``corrections`` the later row wins: it replaces the stored trade, and an open row
-takes it out again. As leaves are computed from what a bucket holds, extremes, counts
-and runs are then those of the trades that are left.
+takes it out again. As leaves are then computed from what a bucket holds, extremes, counts
+and runs are those of the trades that are left.
 """
 
 from __future__ import annotations
@@ -165,14 +167,27 @@ def store_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
         written = manifest.write_parts(df, path, "node")
         return {str(k): written.get(str(k)) for k in nodes}
 
+    def grown(leaves: str, compute: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame]) -> dict[str, str | None]:
+        """New leaves of what adds up: the batch's own merged into the stored ones; from whole buckets where trades were taken out."""
+        if left["n"]:
+            return whole(compute(content))
+        own = compute(fresh.withColumn("node", node))
+        known = {str(k): state.parts(leaves)[str(k)] for k in nodes if str(k) in state.parts(leaves)}
+        return whole(merge(read_node_parts(spark, path, known).unionByName(own)) if known else own)
+
     trades = whole(content)
     content = read_node_parts(spark, path, {k: p for k, p in trades.items() if p}) if any(trades.values()) else content.where(F.lit(False))
-    values = whole(count_values(only_closed(content).where(F.col("profit_pct") < 0), "profit_pct", ["node"]))
+    values = grown(
+        "loser_values",
+        lambda rows: count_values(only_closed(rows).where(F.col("profit_pct") < 0), "profit_pct", ["node"]),
+        lambda rows: rows.groupBy("node", "v").agg(F.sum("n").alias("n")),
+    )
     held = {k: p for k, p in values.items() if p}
     losing = read_node_parts(spark, path, held) if held else spark.createDataFrame([], "node long, v double, n long")
     changes = {"trades": trades, "loser_values": values}
     changes |= grow_tree(spark, path, state, "loser_ranges", whole(count_ranges(losing, ["node"])), lambda rows: merge_ranges(rows, ["node"]))
-    changes |= grow_tree(spark, path, state, "stats", whole(grain_stats(content, by=["node"])), lambda rows: merge_stats(rows, ["node"]))
+    stats = grown(_level("stats", 0), lambda rows: grain_stats(rows, by=["node"]), lambda rows: merge_stats(rows, ["node"]))
+    changes |= grow_tree(spark, path, state, "stats", stats, lambda rows: merge_stats(rows, ["node"]))
     if variant == "sql":
         runs = bucket_summaries(keyed_rows(content, STREAK_KEYS, bucket_ids)).withColumnRenamed("b", "node")
         changes |= grow_tree(spark, path, state, "streaks", whole(runs), merge_buckets)
