@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradescope.llm import fingerprints as P
+from tradescope.llm.common import cut
 
 SF = "/root/testdata/sf0.001"
 
@@ -117,6 +118,31 @@ def test_tables_find_all_within_radius(spark, monkeypatch, radius, layout, small
     assert got == want
 
 
+def broadcast_sides(plan):
+    """The build sides of a physical plan's broadcast joins."""
+    children = [plan.children().apply(k) for k in range(plan.children().size())]
+    found = [x for c in children for x in broadcast_sides(c)]
+    if plan.nodeName().startswith("Broadcast") and len(children) == 2:
+        found.append(children[plan.buildSide().toString() == "BuildRight"].toString())
+    return found
+
+
+def test_exploded_tables_and_members_are_never_broadcast(spark, monkeypatch):
+    """Spark takes 3 000 fingerprints for small, and so their rows in all tables; the bucket's members come in chunks."""
+    monkeypatch.setattr(P, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(P, "CHUNK", 5)
+    monkeypatch.setattr(P, "cut", lambda df, keep=P.cut, **k: plans.append(df._jdf.queryExecution().sparkPlan()) or keep(df, **k))
+    plans = []
+    one_bucket = spark.range(40).select(F.xxhash64("id").alias("high"), F.lit(1).cast("long").alias("low"))
+    others = spark.range(3000).select(F.xxhash64(F.col("id") + 40).alias("high"), F.xxhash64("id", F.lit(1)).alias("low"))
+    P.near_links(cut(one_bucket.union(others)), 3, (2, 2)).count()
+    assert len(plans) == 4  # members of shared buckets, their links, large buckets' rows, all links
+    assert sum("Generate" in p.toString() for p in plans) == 4
+    sides = [side for p in plans for side in broadcast_sides(p)]
+    assert not [side for side in sides if "Generate" in side]
+    assert not broadcast_sides(plans[1])
+
+
 def test_layouts_follow_the_number_of_fingerprints():
     assert P.layout_for(0) == P.layout_for(1000) == (4, 4)
     lengths = [P.key_bits(*P.layout_for(10**k)) for k in range(1, 10)]

@@ -59,6 +59,15 @@ def forget(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that deals both sides by their keys and broadcasts neither.
+
+    Spark sizes an exploded table by its rows before the explosion, and a stored one by its
+    compressed files, so it takes a side for small that the driver's memory cannot hold.
+    """
+    return df.hint("merge")
+
+
 def documents_of(df: DataFrame) -> DataFrame:
     """Only ``doc_id`` and ``text`` (null: empty); every other column is pruned."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradescope.llm.common import cut, documents_of
+from tradescope.llm.common import cut, dealt, documents_of
 from tradescope.llm.near_dedup import components
 
 BITS = 128
@@ -156,13 +156,13 @@ def near_links(prints: DataFrame, radius: int = RADIUS, layout: tuple[int, int]
     place = F.xxhash64("high", "low")
     sizes = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
     chunk = F.pmod(F.xxhash64("high", "low"), F.col("chunks")).alias("chunk")
-    found = table.join(sizes, "key").select("key", "high", "low", "n", (place == F.col("first")).alias("pivot"), F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
+    found = table.join(dealt(sizes), "key").select("key", "high", "low", "n", (place == F.col("first")).alias("pivot"), F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
     found = cut(found.select("*", chunk), free=True)
     small, large = found.where(F.col("n") <= SMALL_BUCKET), found.where(F.col("n") > SMALL_BUCKET)
     ordered = F.struct("x.high", "x.low") < F.struct("y.high", "y.low")
-    every = small.alias("x").join(small.alias("y"), _on("key") & ordered & _close(radius))
+    every = small.alias("x").join(dealt(small.alias("y")), _on("key") & ordered & _close(radius))
     pivots = large.where("pivot").drop("chunk").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    star = large.where("NOT pivot").alias("x").join(pivots.alias("y"), _on("key", "chunk") & _close(radius))
+    star = large.where("NOT pivot").alias("x").join(dealt(pivots.alias("y")), _on("key", "chunk") & _close(radius))
     links = cut(_links(every).union(_links(star)).distinct(), free=True)
     labels = components(links)
     if not large.limit(1).count():
@@ -177,7 +177,7 @@ def left_over(large: DataFrame, labels: DataFrame, radius: int) -> DataFrame:
     per_label = large.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"), F.max("chunks").alias("chunks"))
     main = per_label.groupBy("key").agg(F.max_by("label", F.struct("k", "label")).alias("main"), (F.sum("k") - F.max("k")).alias("n_outside"), F.max("chunks").alias("chunks"))
     main = main.where("n_outside > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
-    rows = large.join(main, ["key", "chunk"]).select(
+    rows = large.join(dealt(main), ["key", "chunk"]).select(
         "key", "high", "low", "label", "chunk", "chunks", (F.col("label") != F.col("main")).alias("outside"), F.ceil(F.col("n_outside") / CHUNK).cast("long").alias("own_chunks")
     )
     rows = cut(rows, free=True)
@@ -187,7 +187,7 @@ def left_over(large: DataFrame, labels: DataFrame, radius: int) -> DataFrame:
 
     outside = rows.where("outside").withColumn("own_chunk", F.pmod(F.xxhash64("high", "low"), F.col("own_chunks"))).drop("chunk").withColumn("chunk", spread("chunks"))
     members = rows.withColumn("own_chunk", spread("own_chunks"))
-    met = outside.alias("x").join(members.alias("y"), _on("key", "chunk", "own_chunk") & (F.col("x.label") != F.col("y.label")) & _close(radius))
+    met = outside.alias("x").join(dealt(members.alias("y")), _on("key", "chunk", "own_chunk") & (F.col("x.label") != F.col("y.label")) & _close(radius))
     return _links(met).distinct()
 
 
